@@ -1,0 +1,48 @@
+"""Joins on keys of which one may hold a large share of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+HOT_SHARE = 0.01
+MAX_HOT = 100  # at most 1 / HOT_SHARE keys can each hold that share
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold at least ``share`` of the rows, heaviest first.
+
+    Runs one scan of the key column with a mergeable sketch (no shuffle of
+    rows) and brings at most ``MAX_HOT`` keys to the driver. The answer only
+    steers the salting below; a missed key costs time, never a row.
+    """
+    top = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT})").alias("top"), F.count("*").alias("rows")
+    ).first()
+    return [t["item"] for t in top["top"] or [] if t["item"] is not None and t["count"] >= share * top["rows"]]
+
+
+def join_hot(
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: list[str],
+    salts: int = 64, hot: list | None = None,
+) -> DataFrame:
+    """``left.join(right, key, how)`` with the left rows of hot keys spread over ``salts`` tasks.
+
+    ``how`` is inner, left, left_semi or left_anti. ``spread_by`` are left
+    columns that differ within a key. Only the right rows of hot keys are
+    repeated, so the right side grows by at most ``MAX_HOT * salts`` rows per
+    row it has of one key. ``right`` should hold each key once.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"cannot salt a {how} join")
+    hot = hot_keys(left, key) if hot is None else hot
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(hot)
+    salted = left.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    )
+    repeated = right.withColumn(
+        "_salt",
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
+    )
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
