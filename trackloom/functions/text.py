@@ -17,7 +17,7 @@ ASCII_DIGITS = "01234567890123456789"
 
 SENTENCE = r"[^.!?]*[.!?]+|[^.!?]+"
 BPM = r"(?U)(?:^|[^0-9.])([0-9]{2,3}(?:\.[0-9]+)?)\s*(?i:BPM)"
-KEY = r"(?U)\b([A-G])([#♯b♭]?)[\s\u2011-]+(?i:(major|minor))\b"
+KEY = r"(?U)\b[A-G][#♯b♭]?[\s\u2011-]+(?i:major|minor)\b"
 TIME_SIGNATURE = r"(?:^|[^0-9/])([0-9]{1,2}/(?:2|4|8|16))(?![0-9/])"
 BULLET = r"(?U)^\s*[-•*]\s+([^:\n]+?)\s*:\s*(.*)$"
 
@@ -37,8 +37,9 @@ def ascii_digits(c: Column | str) -> Column:
 
 def to_int(c: Column | str) -> Column:
     """Whole number in text, or null. Accepts Arabic-Indic digits and outer blanks."""
-    digits = ascii_digits(strip(c))
-    return F.when(digits.rlike(r"^[+-]?[0-9]+$"), digits.try_cast("bigint"))
+    # the pattern keeps bad text away from the cast, whose failures are slow
+    digits = F.regexp_extract(ascii_digits(strip(c)), r"^[+-]?[0-9]+$", 0)
+    return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
 def quoted(c: Column | str) -> Column:
@@ -95,21 +96,21 @@ def bpm_values(text: Column | str) -> Column:
 
 
 def first_bpm(text: Column | str) -> Column:
-    return F.try_element_at(bpm_values(text), F.lit(1))
+    """First tempo figure in the text; one search, no array of all of them."""
+    return F.round(F.nullif(F.regexp_extract(_col(text), BPM, 1), F.lit("")).cast("double"), 1)
 
 
 def musical_key(text: Column | str) -> Column:
     """First key named, as ``C# minor``; null when there is none."""
-    text = _col(text)
-    note = F.regexp_extract(text, KEY, 1)
-    sign = F.translate(F.regexp_extract(text, KEY, 2), "♯♭", "#b")
-    mode = F.lower(F.regexp_extract(text, KEY, 3))
-    return F.when(note != "", F.concat(note, sign, F.lit(" "), mode))
+    # one chain, so that the text is searched once
+    found = F.translate(F.regexp_extract(_col(text), KEY, 0), "♯♭", "#b")
+    named = F.initcap(F.regexp_replace(found, r"(?U)[\s\u2011-]+", " "))
+    lower_mode = F.replace(F.replace(named, F.lit(" Major"), F.lit(" major")), F.lit(" Minor"), F.lit(" minor"))
+    return F.nullif(lower_mode, F.lit(""))
 
 
 def time_signature(text: Column | str) -> Column:
-    found = F.regexp_extract(_col(text), TIME_SIGNATURE, 1)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(_col(text), TIME_SIGNATURE, 1), F.lit(""))
 
 
 def bullet_fields(text: Column | str) -> Column:
@@ -127,7 +128,7 @@ def bullet_fields(text: Column | str) -> Column:
 
 def word_count(text: Column | str) -> Column:
     body = strip(text)
-    return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, r"(?U)\s+")))
+    return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, r"(?U)[\s\x1c-\x1f]+")))
 
 
 def in_length_rule(text: Column | str, low: int = 60, high: int = 120) -> Column:

@@ -7,7 +7,7 @@ import traceback
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trackloom.model import DRY_RUN, ERROR, MESSAGES, OK, RESULT
@@ -50,17 +50,22 @@ def annotate(
     bad media and a retried task gives the same rows.
     """
     carried = [pending.schema[c] for c in carry]
+    results = pa.schema([
+        ("ord", pa.int32()), ("category", pa.string()), ("prompt_used", pa.string()), ("status", pa.string()),
+        ("output", pa.string()), ("error", pa.string()), ("traceback", pa.string()),
+        ("processing_time_sec", pa.float64()), ("audio_windows", pa.int32()), ("audio_covered_sec", pa.int32()),
+        ("output_truncated", pa.bool_()),
+    ])
     extra = [T.StructField("ord", T.IntegerType()), T.StructField("category", T.StringType()),
              T.StructField("prompt_used", T.StringType())]
     schema = T.StructType(carried + extra + RESULT.fields)
-    names = schema.fieldNames()
-    ints = {f.name: "Int32" for f in RESULT.fields if isinstance(f.dataType, T.IntegerType)}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         annotator = make_annotator()
         for batch in batches:
+            out = pa.schema([batch.schema.field(c) for c in carry] + list(results))
             rows = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 key = {c: row[c] for c in carry}
                 try:
                     prepared, broken = annotator.prepare(row[content]), None
@@ -70,9 +75,9 @@ def annotate(
                     result = broken or _answer(annotator, prepared, p["prompt"])
                     rows.append({**key, "ord": p["ord"], "category": p["category"],
                                  "prompt_used": p["prompt"], **result})
-            yield pd.DataFrame(rows, columns=names).astype(ints)
+            yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    return pending.select(*carry, content, "prompts").mapInPandas(run, schema)
+    return pending.select(*carry, content, "prompts").mapInArrow(run, schema)
 
 
 def dry_run(pairs: DataFrame, category: str = "category") -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trackloom.functions import text
 from trackloom.operators.resume import latest_state
-from trackloom.operators.skew import join_hot
+from trackloom.operators.skew import hot_keys, join_hot
 
 TEMPO_SPREAD = 5
+MAX_WINDOWS = 63  # a record has four; the window set of a tag is one 64-bit word
 
 
 def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
@@ -22,12 +23,27 @@ def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
     )
 
 
+def _window_bit() -> Column:
+    """The row's window as one bit of a number; a number outside 0..62 fails the job."""
+    window = F.col("chunk_index")
+    inside = window.between(0, MAX_WINDOWS - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), window.cast("int"))
+    outside = F.when(window.isNotNull(), F.raise_error(F.lit("chunk_index out of range")).cast("bigint"))
+    return F.when(inside, bit).otherwise(outside)
+
+
+def _windows(bits: Column) -> Column:
+    """How many windows a set of bits holds, as an aggregate."""
+    return F.coalesce(F.bit_count(F.bit_or(bits)), F.lit(0)).cast("bigint")
+
+
 def tag_votes(tags: DataFrame, track: str = "track_id") -> DataFrame:
-    """Distinct windows per (track, dimension, tag).
+    """Distinct windows per (track, dimension, tag). One shuffle.
 
-    Duplicates collapse before the count, in two aggregates on ever fewer rows.
+    The windows seen are bits of one number, so partial results have a fixed
+    size; ``count_distinct`` would shuffle the rows twice.
     """
-    return tags.groupBy(track, "dimension", "tag").agg(F.count_distinct("chunk_index").alias("windows"))
+    return tags.groupBy(track, "dimension", "tag").agg(_windows(_window_bit()).alias("windows"))
 
 
 def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id") -> DataFrame:
@@ -35,50 +51,61 @@ def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id"
     return tag_votes(tags, track).withColumn("kept", F.col("windows") >= min_windows)
 
 
-def voice_consensus(tags: DataFrame, track: str = "track_id") -> DataFrame:
-    """Voice types that count: those of the majority, and others in two windows or more."""
-    votes = tag_votes(tags.where(F.col("dimension") == "vocals"), track)
+def _with_top(captions: DataFrame, dimension: str, track: str) -> DataFrame:
+    """Votes of one dimension, with the most windows any tag of the track has.
+
+    A maximum per track joined back, not a ranking window, so a track with
+    very many labels is not sorted in one task. Hot tracks are looked for in
+    the captions, which is one scan of a column.
+    """
+    asked = captions.where(F.col("category") == dimension)
+    votes = tag_votes(caption_tags(asked, track), track)
     top = votes.groupBy(track).agg(F.max("windows").alias("top_windows"))
-    joined = join_hot(votes, top, track, "inner", spread_by=["tag"])
+    return join_hot(votes, top, track, "inner", spread_by=["tag"], hot=hot_keys(asked, track))
+
+
+def voice_consensus(captions: DataFrame, dimension: str = "vocals", track: str = "track_id") -> DataFrame:
+    """Voice types that count: those of the majority, and others in two windows or more."""
+    joined = _with_top(captions, dimension, track)
     return joined.where((F.col("windows") >= 2) | (F.col("windows") == F.col("top_windows"))).select(
         track, F.col("tag").alias("voice"), "windows",
         (F.col("windows") == F.col("top_windows")).alias("dominant"),
     )
 
 
-def genre_consensus(tags: DataFrame, dimension: str = "genre_style", track: str = "track_id") -> DataFrame:
-    """The label(s) most windows agree on; an even split keeps both.
-
-    A maximum per track joined back, not a ranking window, so a track with
-    very many labels is not sorted in one task.
-    """
-    votes = tag_votes(tags.where(F.col("dimension") == dimension), track)
-    top = votes.groupBy(track).agg(F.max("windows").alias("top_windows"))
-    joined = join_hot(votes, top, track, "inner", spread_by=["tag"])
+def genre_consensus(captions: DataFrame, dimension: str = "genre_style", track: str = "track_id") -> DataFrame:
+    """The label(s) most windows agree on; an even split keeps both."""
+    joined = _with_top(captions, dimension, track)
     return joined.where(F.col("windows") == F.col("top_windows")).select(
         track, F.col("tag").alias("genre"), "windows"
     )
 
 
-def instrument_union(tags: DataFrame, dimension: str = "instruments", track: str = "track_id") -> DataFrame:
+def instrument_union(captions: DataFrame, dimension: str = "instruments", track: str = "track_id") -> DataFrame:
     """Every instrument of a track once, with the number of windows that name it."""
-    return tag_votes(tags.where(F.col("dimension") == dimension), track).select(
+    asked = captions.where(F.col("category") == dimension)
+    return tag_votes(caption_tags(asked, track), track).select(
         track, F.col("tag").alias("instrument"), "windows"
     )
 
 
+def _median_tempo(per_bpm: DataFrame, track: str) -> DataFrame:
+    """Low, high and median of (track, bpm, bits) rows; null tempos do not count."""
+    weights = per_bpm.groupBy(track, "bpm").agg(_windows(F.col("bits")).alias("n"))
+    return weights.groupBy(track).agg(
+        F.min("bpm").alias("low"), F.max("bpm").alias("high"),
+        F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
+    )
+
+
 def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = TEMPO_SPREAD) -> DataFrame:
     """Median tempo when the windows are close, else the range. Never the mean.
 
-    Tempo is a bounded figure (up to 999.9, one decimal), and rows collapse
-    to counts of it before the median.
+    Rows collapse to (track, tempo) first. A tempo is a two- or three-digit
+    figure with one decimal, so a track has a bounded number of them.
     """
-    known = facts.where(F.col("bpm").isNotNull())
-    counts = known.groupBy(track, "bpm").agg(F.count_distinct("chunk_index").alias("n"))
-    stats = counts.groupBy(track).agg(
-        F.min("bpm").alias("low"), F.max("bpm").alias("high"),
-        F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
-    )
+    per_bpm = facts.groupBy(track, "bpm").agg(F.bit_or(_window_bit()).alias("bits"))
+    stats = _median_tempo(per_bpm, track).where(F.col("median_bpm").isNotNull())
     close = F.col("high") - F.col("low") <= spread
     return stats.select(
         track, "low", "high", "median_bpm", close.alias("consistent"),
@@ -92,29 +119,38 @@ def key_consensus(facts: DataFrame, track: str = "track_id") -> DataFrame:
     """Key per track: the one with most windows; on a tie the one nearest the median tempo.
 
     Still tied: left out. Time signature is 4/4 unless every window that
-    names one says otherwise. Aggregates on ever fewer rows, no ranking window.
+    names one says otherwise.
+
+    Rows collapse to (track, key, tempo) first, a bounded number per track
+    whatever its share of the rows, and move to their track's task once. All
+    later steps, the join included, find the rows where they need them.
+    Nulls are handled inside the aggregates: a filter would be pushed below
+    the shuffle, repeat the text searches and keep the branches from sharing it.
     """
-    medians = tempo_consensus(facts, track).select(track, "median_bpm")
-    seen = facts.where(F.col("music_key").isNotNull()).select(track, "chunk_index", "music_key", "bpm").distinct()
-    near = join_hot(seen, medians, track, "left", spread_by=["chunk_index", "music_key", "bpm"])
+    seen = facts.groupBy(track, "bpm", "music_key").agg(
+        F.bit_or(_window_bit()).alias("bits"),
+        F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
+    ).repartition(track)
+    medians = _median_tempo(seen, track).select(track, "median_bpm")
+    near = seen.join(medians, track)
     distance = F.coalesce(F.abs(F.col("bpm") - F.col("median_bpm")), F.lit(float("inf")))
     per_key = near.groupBy(track, "music_key").agg(
-        F.count_distinct("chunk_index").alias("votes"), F.min(distance).alias("distance")
+        _windows(F.col("bits")).alias("votes"), F.min(distance).alias("distance"),
+        F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
     )
-    per_rank = per_key.groupBy(track, "votes", "distance").agg(
-        F.count("*").alias("n"), F.min("music_key").alias("k")
+    named = F.col("music_key").isNotNull()
+    per_rank = per_key.groupBy(track, F.when(named, F.col("votes")).alias("votes"), "distance").agg(
+        F.count("music_key").alias("n"), F.min("music_key").alias("k"),
+        F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
     )
+    ranked = F.when(F.col("votes").isNotNull(), F.struct(F.col("votes"), -F.col("distance")))
     best = per_rank.groupBy(track).agg(
-        F.max_by(F.when(F.col("n") == 1, F.col("k")), F.struct(F.col("votes"), -F.col("distance"))).alias("music_key"),
-        F.sum("n").alias("keys_named"),
-    )
-    signatures = facts.groupBy(track).agg(
-        F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi")
+        F.max_by(F.when(F.col("n") == 1, F.col("k")), ranked).alias("music_key"),
+        F.sum("n").alias("keys_named"), F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
     )
     agreed = F.col("sig_lo") == F.col("sig_hi")
-    return signatures.join(best, track, "left").select(
-        track, "music_key", F.coalesce("keys_named", F.lit(0)).alias("keys_named"),
-        F.when(agreed, F.col("sig_lo")).otherwise("4/4").alias("signature"),
+    return best.select(
+        track, "music_key", "keys_named", F.when(agreed, F.col("sig_lo")).otherwise("4/4").alias("signature")
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from trackloom.session import spread
 from trackloom.sources.catalog import Catalog
 
 EVENT_CATALOG = Catalog("events", tuple(
@@ -153,8 +154,8 @@ def _hundredths(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("int")
 
 
-def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four captions per window, as comma-separated noun phrases."""
+def captions(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """Captions of all four kinds, or of the given ones, as comma-separated noun phrases."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     genre = F.when(flag == "A", "Arabic pop, contemporary").when(flag == "N", "Folk , traditional ").otherwise("Jazz fusion")
     instruments = F.concat(
@@ -171,8 +172,12 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.array(*[
         F.struct(F.lit(k).alias("category"), v.alias("output"))
         for k, v in (("genre_style", genre), ("instruments", instruments), ("vocals", vocals), ("tempo_key", tempo))
+        if not kinds or k in kinds
     ])
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_quantity"
+    )
+    return spread(lines).select(
         F.col("l_orderkey").alias("track_id"), F.col("l_linenumber").alias("chunk_index"), F.inline(rows)
     )
 

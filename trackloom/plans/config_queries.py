@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trackloom.operators import config
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
+from trackloom.session import spread
 from trackloom.sources.catalog import MODE_PROMPTS
 
 CARRY = ("track_index", "job")
@@ -85,7 +86,10 @@ SELECT l_orderkey, l_linenumber, concat_ws(',',
   CASE WHEN f = 'A' AND s = 'F' THEN 'custom_prompt' END) AS violations FROM requests""")
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    requests = a.table(spark, sf_dir, "lineitem").select(
+    lines = a.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus"
+    )
+    requests = spread(lines).select(
         "l_orderkey", "l_linenumber",
         (F.col("l_quantity") * 10).cast("int").cast("string").alias("duration"),
         F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("guidance"),

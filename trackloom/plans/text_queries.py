@@ -8,6 +8,7 @@ from trackloom.functions import text as tx
 from trackloom.operators import config
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
+from trackloom.session import spread
 
 SENTENCE = r"[^.!?]*[.!?]+|[^.!?]+"
 BLANK = r"[\s\x0b\x85\x1c-\x1f\p{Z}]"
@@ -66,7 +67,7 @@ def bullet_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 counted AS (SELECT doc_id, t, CASE WHEN t = '' THEN 0 ELSE len(string_split_regex(t, '[\s\x0b\x85\p{{Z}}]+')) END AS words FROM bare)
 SELECT doc_id, words, words BETWEEN 60 AND 120 AS in_rule, length(t) > 4096 AS too_long FROM counted""")
 def word_count_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return a.table(spark, sf_dir, "documents").select(
+    return spread(a.table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", tx.word_count("text").cast("bigint").alias("words"), tx.in_length_rule("text").alias("in_rule"),
         config.breaks_max_length("text").alias("too_long"),
     )

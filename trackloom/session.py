@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", name: str = "trackloom", memory: str = "8g") -> SparkSession:
@@ -47,6 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before costly expressions, when the input has too few splits.
+
+    A few files, or files that do not split, would leave most cores idle. With
+    at least one split per core, as on any large table, the input is unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for tables written between steps."""
     return os.path.join(shared_dir(spark), "trackloom", f"{name}-{uuid.uuid4().hex}")

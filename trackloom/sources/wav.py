@@ -14,6 +14,7 @@ DECODED = (
     "path string, sample_rate int, channels int, n_frames bigint, duration_sec double, "
     "samples array<float>, decode_error string"
 )
+FLUSH_BYTES = 32 * 2**20
 
 
 def _mono(frames: bytes, width: int, channels: int) -> np.ndarray:
@@ -49,11 +50,16 @@ def decode_wav(files: DataFrame, with_samples: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in DECODED.split(", ")]
+        ints = {"sample_rate": "Int32", "channels": "Int32", "n_frames": "Int64"}
         for batch in batches:
-            # one file at a time, so that a task holds the samples of one file only
+            rows, held = [], 0
             for path, content in zip(batch["path"], batch["content"]):
-                yield pd.DataFrame([_decode(path, content, with_samples)], columns=names).astype(
-                    {"sample_rate": "Int32", "channels": "Int32", "n_frames": "Int64"}
-                )
+                rows.append(_decode(path, content, with_samples))
+                held += len(content)
+                if held >= FLUSH_BYTES:  # so that a task holds the samples of few files
+                    yield pd.DataFrame(rows, columns=names).astype(ints)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names).astype(ints)
 
     return files.select("path", "content").mapInPandas(run, DECODED)
