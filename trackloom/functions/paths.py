@@ -19,6 +19,11 @@ def file_name(path: Column | str) -> Column:
     return F.substring_index(_col(path), "/", -1)
 
 
+def without_scheme(path: Column | str) -> Column:
+    """A plain absolute path from a URI such as ``file:/music/a.mp3``."""
+    return F.regexp_replace(_col(path), r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
+
+
 def suffix(path: Column | str) -> Column:
     """Last suffix in lower case with its dot; empty for ``.hidden`` and ``name.``."""
     return F.lower(F.regexp_extract(file_name(path), LAST_SUFFIX, 1))

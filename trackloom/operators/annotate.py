@@ -39,7 +39,7 @@ def _answer(annotator: Annotator, prepared: Any, prompt: str) -> dict:
 
 def annotate(
     pending: DataFrame, make_annotator: Callable[[], Annotator],
-    carry: tuple[str, ...] = ("track_id",), content: str = "content",
+    carry: tuple[str, ...] = ("track_id",), content: str = "content", tasks: int | None = None,
 ) -> DataFrame:
     """Run an annotator over tracks with a ``prompts`` array; one result row per prompt.
 
@@ -48,7 +48,12 @@ def annotate(
     key and tag columns are carried around it. An exception is an error row of
     its prompt (of all prompts, when decoding fails), so a task never fails on
     bad media and a retried task gives the same rows.
+
+    ``tasks`` deals the tracks out evenly first: worth a shuffle when the
+    annotator is slow and the pending tracks sit in few partitions.
     """
+    if tasks is not None:
+        pending = pending.repartition(tasks)
     carried = [pending.schema[c] for c in carry]
     results = pa.schema([
         ("ord", pa.int32()), ("category", pa.string()), ("prompt_used", pa.string()), ("status", pa.string()),

@@ -113,12 +113,13 @@ def pending_pairs(
     return pending.select(*others, F.inline("prompts"))
 
 
-def load_state(tracks: DataFrame, state: DataFrame) -> DataFrame:
+def load_state(tracks: DataFrame, state: DataFrame, catalog: Catalog) -> DataFrame:
     """Each track with its record so far; an empty map of statuses for a new one.
 
-    ``state`` holds each (track, category) once, so the map is as small as the catalogue.
+    ``state`` holds each (track, category) once, so the list of a track is no
+    longer than the catalogue.
     """
-    per_track = state.groupBy("track_id").agg(
+    per_track = state.where(F.col("category").isin(catalog.keys)).groupBy("track_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "status")))).alias("categories")
     )
     empty = F.expr("map()").cast("map<string,string>")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trackloom.functions.text import cell_text
-from trackloom.model import ERROR, OK, PARTIAL
+from trackloom.functions.paths import file_name, record_path
+from trackloom.functions.text import cell_text, quoted
+from trackloom.model import ERROR, MESSAGES, OK, PARTIAL, WINDOW_LABELS
 from trackloom.operators.resume import latest_state
 
 PART_SIZE = 10_000
@@ -130,18 +131,58 @@ def nest_by_category(
     return wide.select(*by, present.alias("categories"))
 
 
-def nest_windows(captions: DataFrame, track: str = "path") -> DataFrame:
-    """Window captions into ``chunks``; input has each (track, window, prompt) once.
+def nest_windows(captions: DataFrame, keys: list[str], track: str = "path") -> DataFrame:
+    """Window captions into ``chunks``, windows in order and empty ones left out.
 
-    A track has four windows and a catalogue of prompts, so the array is small.
+    Windows and prompts are both fixed lists, so every slot is its own
+    aggregate: one shuffle by track, partial results first, nothing collected.
     """
-    chunk = ["chunk_index", "label", "start_seconds", "end_seconds"]
-    per_window = captions.groupBy(track, *chunk).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "output")))).alias("captions")
-    )
-    return per_window.groupBy(track).agg(
-        F.array_sort(
-            F.collect_list(F.struct(*chunk, "captions")), lambda x, y: x["chunk_index"] - y["chunk_index"]
-        ).alias("chunks"),
-        F.count("*").cast("int").alias("total_chunks"),
+    window = F.col("chunk_index")
+    slots = []
+    for i in range(len(WINDOW_LABELS)):
+        here = window == i
+        slots += [F.min(F.when(here, F.col(c))).alias(f"_{c}{i}") for c in ("start_seconds", "end_seconds")]
+        slots += [
+            F.max(F.when(here & (F.col("category") == k), F.col("output"))).alias(f"_{i}_{j}")
+            for j, k in enumerate(keys)
+        ]
+    wide = captions.groupBy(track).agg(*slots)
+    names = F.array(*[F.lit(k) for k in keys])
+    chunks = F.array(*[
+        F.when(F.col(f"_start_seconds{i}").isNotNull(), F.struct(
+            F.lit(i).alias("chunk_index"), F.lit(label).alias("label"),
+            F.col(f"_start_seconds{i}").alias("start_seconds"), F.col(f"_end_seconds{i}").alias("end_seconds"),
+            F.map_filter(
+                F.map_from_arrays(names, F.array(*[F.col(f"_{i}_{j}") for j in range(len(keys))])),
+                lambda k, v: v.isNotNull(),
+            ).alias("captions"),
+        ))
+        for i, label in enumerate(WINDOW_LABELS)
+    ])
+    return wide.select(track, F.array_compact(chunks).alias("chunks")).withColumn("total_chunks", F.size("chunks"))
+
+
+def flat_summary(results: DataFrame) -> DataFrame:
+    """One row for runs of one prompt per track: tracks, succeeded, failed."""
+    return results.agg(
+        F.count("*").alias("total_tracks"), F.count_if(F.col("status") == OK).alias("success_count"),
+    ).withColumn("fail_count", F.col("total_tracks") - F.col("success_count"))
+
+
+def job_summary(tracks: DataFrame, rollup: DataFrame, prompts: int, output_dir: str, path: str = "path") -> DataFrame:
+    """One row per manifest entry. A missing file is an error row with no time and no record.
+
+    ``tracks`` carries ``exists``; ``rollup`` has one row per ``track_id``.
+    """
+    joined = tracks.join(rollup, "track_id", "left")
+    there = F.col("exists")
+    missing = F.concat(F.lit(MESSAGES["not_found"].removesuffix("%s")), quoted(path))
+    return joined.select(
+        "track_id", file_name(path).alias("file"),
+        F.when(there, F.coalesce("status", F.lit(ERROR))).otherwise(ERROR).alias("status"),
+        F.when(there, F.col("total_processing_time_sec")).alias("total_processing_time_sec"),
+        F.when(there, F.coalesce("prompts_ok", F.lit(0))).otherwise(0).alias("prompts_ok"),
+        F.lit(prompts).alias("prompts_total"),
+        F.when(~there, missing).alias("error"),
+        F.when(there, record_path(path, output_dir)).alias("output_file"),
     )

@@ -56,7 +56,7 @@ def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = resume.latest_state(
         a.log(spark, sf_dir).select("track_id", "category", "updated_at", "event_id", "status"), order=a.LOG_ORDER
     )
-    loaded = resume.load_state(a.listeners(spark, sf_dir).select("track_id"), state)
+    loaded = resume.load_state(a.listeners(spark, sf_dir).select("track_id"), state, a.EVENT_CATALOG)
     values = F.map_values("categories")
     return loaded.select(
         "track_id", F.size("categories").cast("bigint").alias("categories"),
@@ -136,7 +136,7 @@ def annotate_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = resume.pending_prompts(
         a.listeners(spark, sf_dir).select("track_id", "content"), a.log(spark, sf_dir), a.EVENT_CATALOG, order=a.LOG_ORDER
     )
-    results = an.annotate(pending, EchoAnnotator)
+    results = an.annotate(pending, EchoAnnotator, tasks=spark.sparkContext.defaultParallelism)
     return results.select(
         "track_id", "ord", "category", "status", "error", "output", "processing_time_sec",
         F.col("traceback").isNotNull().alias("has_traceback"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trackloom.functions import text as tx
 from trackloom.model import ORDERED_RECORD
 from trackloom.operators import consensus, summarize
+from trackloom.operators.resume import with_existence
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
 from trackloom.session import shared_path
@@ -160,3 +161,26 @@ def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("processing_time_sec"),
     )
     return consensus.run_comparison(timed, ["A", "R"])
+
+
+@query("""SELECT count(*) AS total_tracks, count(*) FILTER (l_returnflag <> 'R') AS success_count,
+  count(*) FILTER (l_returnflag = 'R') AS fail_count FROM lineitem""")
+def flat_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize.flat_summary(a.responses(spark, sf_dir))
+
+
+@query(f"""WITH {a.LISTENERS}, {a.LOG},
+sums AS (SELECT track_id, count(*) AS n, count(*) FILTER (status = 'ok') AS k,
+  CAST(round(sum(CAST(processing_time_sec AS DECIMAL(18,3))), 1) AS DOUBLE) AS s FROM log GROUP BY 1),
+found AS (SELECT *, c_custkey IN (SELECT o_custkey FROM orders) AS there FROM listeners LEFT JOIN sums USING (track_id))
+SELECT track_id, regexp_extract(path, '[^/]+$') AS file,
+  CASE WHEN NOT there OR n IS NULL OR k = 0 THEN 'error' WHEN n = k THEN 'ok' ELSE 'partial' END AS status,
+  CASE WHEN there THEN s END AS total_processing_time_sec, CASE WHEN there THEN coalesce(k, 0) ELSE 0 END AS prompts_ok,
+  6 AS prompts_total, CASE WHEN NOT there THEN 'File not found: ''' || path || '''' END AS error,
+  CASE WHEN there THEN 'out/' || regexp_replace(regexp_extract(path, '[^/]+$'), '[.]mp3$', '') || '.caption.json' END AS output_file
+FROM found""")
+def job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scan = a.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    tracks = with_existence(a.listeners(spark, sf_dir), scan, "c_custkey", "c_custkey")
+    rollup = summarize.track_rollup(a.log(spark, sf_dir)).drop("prompts_total")
+    return summarize.job_summary(tracks, rollup, len(a.EVENT_CATALOG.keys), "out")

@@ -34,6 +34,27 @@ def scan_audio(
     )
 
 
+SCAN_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def stream_audio(
+    spark: SparkSession, directory: str, suffixes: list[str] | None = None, max_files: int = 1000,
+    with_content: bool = True,
+) -> DataFrame:
+    """New audio files as a stream, at most ``max_files`` per micro-batch."""
+    files = (
+        spark.readStream.format("binaryFile").schema(SCAN_SCHEMA)
+        .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+        .load(directory)
+    )
+    wanted = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
+    return (
+        files.select(*wanted)
+        .where(paths.has_suffix("path", suffixes or AUDIO_SUFFIXES["keyed"]))
+        .withColumn("file", paths.file_name("path"))
+    )
+
+
 def changed_files(scan: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Files that are new or rewritten since the snapshot, by (path, modificationTime)."""
     seen = snapshot.select("path", "modificationTime")

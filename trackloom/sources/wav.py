@@ -10,6 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from trackloom.model import AUDIO_CAP_SEC, MESSAGES, MODEL_MAX_SEC
+
 DECODED = (
     "path string, sample_rate int, channels int, n_frames bigint, duration_sec double, "
     "samples array<float>, decode_error string"
@@ -42,6 +44,22 @@ def _decode(path: str, content: bytes, with_samples: bool) -> tuple:
         return path, None, None, None, None, None, f"Failed to load or parse audio file: {exc}"
 
 
+def checked_samples(content: bytes, cap_sec: int = AUDIO_CAP_SEC) -> tuple[np.ndarray, int]:
+    """(samples, sample rate) cut to the cap, for an annotator's ``prepare``.
+
+    Media an annotator must not see raise ``ValueError`` with the reason, in
+    the same order as ``quality.waveform_error``.
+    """
+    _, rate, _, n, duration, samples, broken = _decode("", content, True)
+    if broken:
+        raise ValueError(broken)
+    if n == 0:
+        raise ValueError(MESSAGES["empty"])
+    if duration > MODEL_MAX_SEC:
+        raise ValueError(MESSAGES["too_long"] % duration)
+    return (samples[: int(cap_sec * rate)] if cap_sec else samples), rate
+
+
 def decode_wav(files: DataFrame, with_samples: bool = True) -> DataFrame:
     """Decode ``content`` of (path, content) rows; failures fill ``decode_error``.
 
