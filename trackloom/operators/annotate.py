@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trackloom.model import DRY_RUN, ERROR, MESSAGES, OK, RESULT
+from trackloom.session import ship_package
 
 
 class Annotator(Protocol):
@@ -52,6 +53,7 @@ def annotate(
     ``tasks`` deals the tracks out evenly first: worth a shuffle when the
     annotator is slow and the pending tracks sit in few partitions.
     """
+    ship_package(pending.sparkSession)
     if tasks is not None:
         pending = pending.repartition(tasks)
     carried = [pending.schema[c] for c in carry]

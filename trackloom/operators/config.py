@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,10 +35,12 @@ def layered(key: str, layers: list[Column], default: str | None) -> Column:
 
 def merge_layers(*layers: Column) -> Column:
     """Open-ended merge of maps, the rightmost present key winning."""
-    merged = layers[0]
-    for layer in layers[1:]:
-        merged = F.map_concat(F.map_filter(merged, lambda k, v, top=layer: ~F.map_contains_key(top, k)), layer)
-    return merged
+
+    def over(below: Column, above: Column) -> Column:
+        kept = F.map_filter(below, lambda k, v: ~F.map_contains_key(above, k))
+        return F.map_concat(kept, above)
+
+    return reduce(over, layers)
 
 
 def resolve_settings(

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def local_session(cpus: int | str = "*", name: str = "trackloom", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks. On a cluster use the session given."""
@@ -47,6 +50,27 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    A job submitted with ``--py-files`` has it already; then this changes nothing
+    but the copy in use.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="trackloom-code-"), "trackloom.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores before costly expressions, when the input has too few splits.
 

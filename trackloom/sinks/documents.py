@@ -43,9 +43,12 @@ def write_framed(header: DataFrame, field: str, body: DataFrame, order: list[str
 
 
 def write_manifest(globals_row: DataFrame, tracks: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """A manifest from (path, tags) rows and a one-row table of globals, to a new path."""
+    """A manifest from (path, tags) rows and a one-row table of globals, to a new path.
+
+    The globals are one column each, or one ``globals`` map as read from a manifest.
+    """
     element = F.to_json(F.struct("path", "tags"))
-    header = globals_row.select(F.struct("*").alias("globals"))
+    header = globals_row if globals_row.columns == ["globals"] else globals_row.select(F.struct("*").alias("globals"))
     write_framed(header, "tracks", tracks, order or ["path"], element, path)
 
 

@@ -10,41 +10,34 @@ from trackloom.model import CHUNK_RECORD, ERROR, FLAT_RECORD, KEYED_RECORD, OK,
 CORRUPT = "_corrupt"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, pretty: bool, options: dict) -> DataFrame:
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, pretty: bool) -> DataFrame:
+    """One row per record document: the parsed record, and its text when it does not parse."""
+    options = {"pathGlobFilter": "*.caption.json"} if pretty else {}
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(with_corrupt)
-        .option("multiLine", str(pretty).lower())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .options(**options)
-        .json(path)
-    )
+    documents = spark.read.options(**options).text(path, wholetext=pretty)
+    record = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return documents.select(record.alias("r")).select("r.*")
 
 
 def read_records(
     spark: SparkSession, path: str, schema: T.StructType, pretty: bool = True
 ) -> DataFrame:
-    """The ``*.caption.json`` records of a folder; files that do not parse are skipped.
+    """The ``*.caption.json`` records of a folder; documents that do not parse are skipped.
 
     ``pretty`` reads one indented document per file. Exports of this package
     are JSON lines, read with ``pretty=False`` so that files split.
     """
-    options = {"pathGlobFilter": "*.caption.json"} if pretty else {}
-    # A nested PERMISSIVE error nulls the bad field and fills CORRUPT, so one test covers both.
-    return _read(spark, path, schema, pretty, options).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return _parsed(spark, path, schema, pretty).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def count_corrupt(spark: SparkSession, path: str, schema: T.StructType, pretty: bool = True) -> DataFrame:
     """One row: records read, and how many of them do not parse or lack their body."""
-    options = {"pathGlobFilter": "*.caption.json"} if pretty else {}
-    records = _read(spark, path, schema, pretty, options).select(
-        *[c for c in ("file", "categories") if c in schema.names], CORRUPT
-    )
     bad = F.col(CORRUPT).isNotNull()
     if "categories" in schema.names:
         bad = bad | F.col("categories").isNull()
-    return records.agg(F.count("*").alias("records"), F.count_if(bad).alias("corrupt"))
+    return _parsed(spark, path, schema, pretty).agg(
+        F.count("*").alias("records"), F.count_if(bad).alias("corrupt")
+    )
 
 
 def read_done_files(spark: SparkSession, path: str, pretty: bool = True) -> DataFrame:

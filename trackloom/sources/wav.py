@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from trackloom.model import AUDIO_CAP_SEC, MESSAGES, MODEL_MAX_SEC
+from trackloom.session import ship_package
 
 DECODED = (
     "path string, sample_rate int, channels int, n_frames bigint, duration_sec double, "
@@ -80,4 +81,5 @@ def decode_wav(files: DataFrame, with_samples: bool = True) -> DataFrame:
             if rows:
                 yield pd.DataFrame(rows, columns=names).astype(ints)
 
+    ship_package(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, DECODED)
