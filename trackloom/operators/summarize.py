@@ -132,34 +132,26 @@ def nest_by_category(
 
 
 def nest_windows(captions: DataFrame, keys: list[str], track: str = "path") -> DataFrame:
-    """Window captions into ``chunks``, windows in order and empty ones left out.
+    """Window captions into ``chunks``, windows in order.
 
-    Windows and prompts are both fixed lists, so every slot is its own
-    aggregate: one shuffle by track, partial results first, nothing collected.
+    Windows and prompts are both fixed lists. A window's captions are one
+    aggregate per prompt, and a track collects at most its four windows,
+    whatever repeats the input holds.
     """
-    window = F.col("chunk_index")
-    slots = []
-    for i in range(len(WINDOW_LABELS)):
-        here = window == i
-        slots += [F.min(F.when(here, F.col(c))).alias(f"_{c}{i}") for c in ("start_seconds", "end_seconds")]
-        slots += [
-            F.max(F.when(here & (F.col("category") == k), F.col("output"))).alias(f"_{i}_{j}")
-            for j, k in enumerate(keys)
-        ]
-    wide = captions.groupBy(track).agg(*slots)
-    names = F.array(*[F.lit(k) for k in keys])
-    chunks = F.array(*[
-        F.when(F.col(f"_start_seconds{i}").isNotNull(), F.struct(
-            F.lit(i).alias("chunk_index"), F.lit(label).alias("label"),
-            F.col(f"_start_seconds{i}").alias("start_seconds"), F.col(f"_end_seconds{i}").alias("end_seconds"),
-            F.map_filter(
-                F.map_from_arrays(names, F.array(*[F.col(f"_{i}_{j}") for j in range(len(keys))])),
-                lambda k, v: v.isNotNull(),
-            ).alias("captions"),
-        ))
-        for i, label in enumerate(WINDOW_LABELS)
-    ])
-    return wide.select(track, F.array_compact(chunks).alias("chunks")).withColumn("total_chunks", F.size("chunks"))
+    known = captions.where(F.col("chunk_index").between(0, len(WINDOW_LABELS) - 1))
+    per_window = known.groupBy(track, "chunk_index").agg(
+        F.min("start_seconds").alias("start_seconds"), F.min("end_seconds").alias("end_seconds"),
+        *[F.max(F.when(F.col("category") == k, F.col("output"))).alias(f"_{j}") for j, k in enumerate(keys)],
+    )
+    texts = F.map_filter(
+        F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(f"_{j}") for j in range(len(keys))])),
+        lambda k, v: v.isNotNull(),
+    )
+    label = F.element_at(F.array(*[F.lit(w) for w in WINDOW_LABELS]), F.col("chunk_index") + 1)
+    chunk = F.struct("chunk_index", label.alias("label"), "start_seconds", "end_seconds", texts.alias("captions"))
+    nested = per_window.groupBy(track).agg(F.collect_list(chunk).alias("chunks"))
+    in_order = F.array_sort("chunks", lambda x, y: x["chunk_index"] - y["chunk_index"])
+    return nested.select(track, in_order.alias("chunks"), F.size("chunks").alias("total_chunks"))
 
 
 def flat_summary(results: DataFrame) -> DataFrame:
