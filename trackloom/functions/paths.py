@@ -8,7 +8,6 @@ from trackloom.functions.text import strip, to_int
 from trackloom.model import RECORD_SUFFIX
 
 NUMBERED_STEM = r"(?U)^(\d+)[.\s_-]+(.+)$"
-LAST_SUFFIX = r"(?s)^.+(\.[^.]+)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -19,6 +18,13 @@ def file_name(path: Column | str) -> Column:
     return F.substring_index(_col(path), "/", -1)
 
 
+def _suffix_length(name: Column) -> Column:
+    """Characters of the last suffix with its dot, by string search instead of a pattern."""
+    tail = F.length(F.substring_index(name, ".", -1))
+    real = (tail > 0) & (F.length(name) - tail > 1)  # neither ``name.`` nor ``.hidden`` nor without a dot
+    return F.when(real, tail + 1).otherwise(0)
+
+
 def without_scheme(path: Column | str) -> Column:
     """A plain absolute path from a URI such as ``file:/music/a.mp3``."""
     return F.regexp_replace(_col(path), r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
@@ -26,13 +32,14 @@ def without_scheme(path: Column | str) -> Column:
 
 def suffix(path: Column | str) -> Column:
     """Last suffix in lower case with its dot; empty for ``.hidden`` and ``name.``."""
-    return F.lower(F.regexp_extract(file_name(path), LAST_SUFFIX, 1))
+    name = file_name(path)
+    return F.lower(F.right(name, _suffix_length(name)))
 
 
 def stem(path: Column | str) -> Column:
     """File name without its last suffix."""
     name = file_name(path)
-    return F.left(name, F.length(name) - F.length(F.regexp_extract(name, LAST_SUFFIX, 1)))
+    return F.left(name, F.length(name) - _suffix_length(name))
 
 
 def parent(path: Column | str) -> Column:
@@ -80,8 +87,7 @@ def record_path(path: Column | str, output_dir: str) -> Column:
 def sibling_path(path: Column | str, new_suffix: str) -> Column:
     """Same folder and stem, other suffix."""
     path = _col(path)
-    cut = F.length(F.regexp_extract(file_name(path), LAST_SUFFIX, 1))
-    return F.concat(F.left(path, F.length(path) - cut), F.lit(new_suffix))
+    return F.concat(F.left(path, F.length(path) - _suffix_length(file_name(path))), F.lit(new_suffix))
 
 
 def mirrored_path(path: Column | str, source_root: str, target_root: str, new_suffix: str) -> Column:

@@ -134,7 +134,7 @@ def with_existence(tracks: DataFrame, scan: DataFrame, path: str = "path", scan_
 
 def missing_file_errors(tracks: DataFrame, scan: DataFrame, catalog: Catalog, path: str = "path") -> DataFrame:
     """An error row per prompt of each track whose file is not there; the run goes on."""
-    found = scan.select(F.col("path").alias(path))
+    found = scan.select(F.col("path").alias(path)).distinct()
     lost = tracks.join(found, path, "left_anti")
     message = F.concat(F.lit(MESSAGES["not_found"].removesuffix("%s")), quoted(path))
     return fan_out(lost, catalog).withColumns({"status": F.lit(ERROR), "error": message})

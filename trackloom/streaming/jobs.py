@@ -11,6 +11,8 @@ from trackloom.operators.resume import pending_prompts
 from trackloom.sinks.log import read_log, write_batch
 from trackloom.sources.catalog import Catalog
 
+BATCH_BROADCAST = 200_000  # so many keys fit any executor
+
 
 def _start(writer, every: str | None) -> StreamingQuery:
     """Drain what is there when ``every`` is None, else run on a schedule."""
@@ -51,6 +53,10 @@ def resume_annotation(
         others = read_log(spark, log_path).where(
             ~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
         ).select("track_id", "category", "status", "updated_at", "run_id", "batch_id")
+        # only the batch's tracks matter: the log is cut to them before it is aggregated
+        arrived = batch.select("track_id").distinct()
+        small = arrived.limit(BATCH_BROADCAST + 1).count() <= BATCH_BROADCAST
+        others = others.join(F.broadcast(arrived) if small else arrived, "track_id", "left_semi")
         todo = pending_prompts(batch, others, catalog, overwrite, ("updated_at", "batch_id"))
         results = annotate(todo).withColumn("updated_at", F.current_timestamp())
         write_batch(results, log_path, run_id, batch_id)
