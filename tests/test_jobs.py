@@ -1,12 +1,14 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from test_annotate import wav
 from trackloom.operators import annotate as an
 from trackloom.plans import jobs
 from trackloom.sinks.log import read_log
+from trackloom.sources import records
 from trackloom.sources.catalog import Catalog
 from trackloom.sources.scan import stream_audio
 from trackloom.sources.wav import checked_samples
@@ -89,3 +91,46 @@ def test_mirror_adds_each_file_once(spark, tmp_path):
     (source / "b.json").write_text('{"file": "b"}\n')
     assert drain() == ["a", "b"]
     assert drain() == ["a", "b"]
+
+
+def test_manifest_job(spark, tmp_path):
+    root, log = music(tmp_path, ["A/1.wav", "A/2.wav"]), str(tmp_path / "log")
+    manifest = tmp_path / "job.json"
+    manifest.write_text(json.dumps({"globals": {"prompt_mode": "custom", "custom_prompt": "Say."}, "tracks": [
+        {"path": "A/2.wav"}, {"path": "A/gone.wav"}, {"path": "A/1.wav", "prompt_mode": "minimal"}, {"path": "A/1.wav"}]}))
+    jobs.caption_job(spark, str(manifest), root, log, "j1", str(tmp_path / "out"), make_annotator=Loudness)
+    rows = {r.track_id[-5:]: r for r in read_log(spark, log).collect()}
+    assert set(rows) == {"1.wav", "2.wav"} and rows["2.wav"].output == "Say. 2.0s" and rows["1.wav"].category == "minimal"
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out" / "results_summary.json").glob("part-*"))))
+    assert (document["total_tracks"], document["ok_count"], document["fail_count"]) == (4, 3, 1)
+    gone = [r for r in document["results"] if r["file"] == "gone.wav"][0]
+    assert gone["error"] == "File not found: 'A/gone.wav'" and "output_file" not in gone and gone["prompts_ok"] == 0
+
+    jobs.caption_job(spark, str(manifest), root, log, "j2", str(tmp_path / "out2"), catalog=CATALOG)
+    assert read_log(spark, log).where("run_id = 'j2'").count() == 4
+    manifest.write_text(json.dumps({"tracks": [{"path": "A/1.wav", "prompt_mode": "custom"}]}))
+    with pytest.raises(ValueError, match="custom-prompt is required"):
+        jobs.caption_job(spark, str(manifest), root, log, "j3", str(tmp_path / "out3"))
+
+
+class Window:
+    def prepare(self, content):
+        return len(content)
+
+    def annotate(self, prepared, prompt):
+        if prepared < 100 and prompt == "V?":
+            raise RuntimeError("too short")
+        return {"output": f" {prompt}{prepared} "}
+
+
+def test_window_job(spark, tmp_path):
+    root = music(tmp_path, ["1.wav", "2.wav", "bad.wav", "3.wav", "4.wav"])
+    jobs.caption_windows(spark, root, str(tmp_path / "out"), CATALOG, Window, window_sec=1.5)
+    long = records.read_responses(spark, str(tmp_path / "out"), "chunks", pretty=False)
+    rows = {(r.file, r.chunk_index, r.category): r for r in long.collect()}
+    assert {f for f, _, _ in rows} == {"1.wav", "2.wav", "3.wav", "4.wav"} - {"bad.wav"}
+    # one second, windows of 1.5: the second window is empty, the middle halves are short
+    assert {i for f, i, _ in rows if f == "1.wav"} == {0, 2, 3}
+    assert rows["1.wav", 2, "genre"].output == "G?50"
+    assert (rows["1.wav", 2, "vocals"].status, rows["1.wav", 2, "vocals"].error) == ("error", "too short")
+    assert rows["4.wav", 1, "vocals"].output == "V?150"

@@ -131,7 +131,7 @@ def nest_by_category(
     return wide.select(*by, present.alias("categories"))
 
 
-def nest_windows(captions: DataFrame, keys: list[str], track: str = "path") -> DataFrame:
+def nest_windows(captions: DataFrame, keys: list[str], by: tuple[str, ...] = ("path",)) -> DataFrame:
     """Window captions into ``chunks``, windows in order.
 
     Windows and prompts are both fixed lists. A window's captions are one
@@ -139,7 +139,7 @@ def nest_windows(captions: DataFrame, keys: list[str], track: str = "path") -> D
     whatever repeats the input holds.
     """
     known = captions.where(F.col("chunk_index").between(0, len(WINDOW_LABELS) - 1))
-    per_window = known.groupBy(track, "chunk_index").agg(
+    per_window = known.groupBy(*by, "chunk_index").agg(
         F.min("start_seconds").alias("start_seconds"), F.min("end_seconds").alias("end_seconds"),
         *[F.max(F.when(F.col("category") == k, F.col("output"))).alias(f"_{j}") for j, k in enumerate(keys)],
     )
@@ -149,9 +149,9 @@ def nest_windows(captions: DataFrame, keys: list[str], track: str = "path") -> D
     )
     label = F.element_at(F.array(*[F.lit(w) for w in WINDOW_LABELS]), F.col("chunk_index") + 1)
     chunk = F.struct("chunk_index", label.alias("label"), "start_seconds", "end_seconds", texts.alias("captions"))
-    nested = per_window.groupBy(track).agg(F.collect_list(chunk).alias("chunks"))
+    nested = per_window.groupBy(*by).agg(F.collect_list(chunk).alias("chunks"))
     in_order = F.array_sort("chunks", lambda x, y: x["chunk_index"] - y["chunk_index"])
-    return nested.select(track, in_order.alias("chunks"), F.size("chunks").alias("total_chunks"))
+    return nested.select(*by, in_order.alias("chunks"), F.size("chunks").alias("total_chunks"))
 
 
 def flat_summary(results: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def nest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = windows.landmark_windows(_audio(spark, sf_dir)).select(
         "o_orderkey", "chunk_index", "label", "start_seconds", "end_seconds", F.inline(DETAILED.as_array())
     )
-    nested = summarize.nest_windows(annotate.dry_run(cut), DETAILED.keys, "o_orderkey")
+    nested = summarize.nest_windows(annotate.dry_run(cut), DETAILED.keys, ("o_orderkey",))
     captions = F.aggregate("chunks", F.lit(0), lambda n, c: n + F.size(c["captions"]))
     return nested.select(
         "o_orderkey", F.col("total_chunks").cast("bigint").alias("total_chunks"),

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackloom.functions import paths
-from trackloom.model import AUDIO_SUFFIXES, RECORD_SUFFIX
+from trackloom.functions import paths, scalars
+from trackloom.functions.text import strip
+from trackloom.model import AUDIO_SUFFIXES, LANDMARK_SEC
 from trackloom.operators import annotate as an, config, resume, summarize, windows
 from trackloom.session import shared_dir
 from trackloom.sinks.documents import write_manifest, write_summary_csv, write_summary_document
@@ -15,6 +16,7 @@ from trackloom.sinks.log import export_records, read_log, write_batch
 from trackloom.sources import manifests, records
 from trackloom.sources.catalog import Catalog
 from trackloom.sources.scan import scan_audio
+from trackloom.sources.wav import decode_wav
 
 BROADCAST_TRACKS = 200_000  # paths and prompts of this many tracks fit any executor
 
@@ -74,7 +76,7 @@ def _attach_content(scan: DataFrame, pending: DataFrame) -> DataFrame:
     content moves; beyond that both sides are shuffled by path.
     """
     small = pending.limit(BROADCAST_TRACKS + 1).count() <= BROADCAST_TRACKS
-    side = pending.drop("path")
+    side = pending.select("track_id", "prompts")
     return scan.join(F.broadcast(side) if small else side, "track_id")
 
 
@@ -141,6 +143,81 @@ def resolve_job(spark: SparkSession, manifest: str, framed: bool = False, **sett
     return config.resolve_settings(tracks, **settings)
 
 
-def record_name(track_id: str = "track_id"):
-    """File name of a track's record."""
-    return F.concat(paths.stem(track_id), F.lit(RECORD_SUFFIX))
+def _prompts_of(settings: DataFrame, catalog: Catalog | None) -> DataFrame:
+    """Every catalogue prompt, or without a catalogue the one prompt of the track's mode."""
+    if catalog is not None:
+        return settings.withColumn("prompts", catalog.as_array())
+    prompt, reason = config.prompt_for_mode()
+    bad = settings.where(reason.isNotNull()).select(reason.alias("reason")).take(1)
+    if bad:
+        raise ValueError(bad[0]["reason"])
+    single = F.struct(F.lit(0).alias("ord"), F.col("prompt_mode").alias("category"), prompt.alias("prompt"))
+    return settings.withColumn("prompts", F.array(single))
+
+
+def caption_job(
+    spark: SparkSession, manifest: str, base: str, log_path: str, run_id: str, out: str,
+    catalog: Catalog | None = None, make_annotator: Callable[[], an.Annotator] | None = None,
+    framed: bool = False, tasks: int | None = None,
+) -> None:
+    """Annotate the tracks of a manifest and write the job's summary document.
+
+    A bad manifest or prompt mode fails before any media is read. A missing
+    file is an error row of the summary and has no record; the job goes on.
+    Every run does all of its tracks again, as job runs do.
+    """
+    shared_dir(spark)
+    root = base.rstrip("/") + "/"
+    settings = _prompts_of(resolve_job(spark, manifest, framed), catalog)
+    listed = settings.withColumn("track_id", F.concat(F.lit(root), F.col("path")))
+    scan = _with_track_id(scan_audio(spark, base)).select("track_id")
+    tracks = resume.with_existence(listed, scan, "track_id", "track_id").checkpoint()
+    # the same file may be listed twice; it is annotated once, with its first entry's prompts
+    pending = tracks.where("exists").groupBy("track_id").agg(F.min_by("prompts", "track_index").alias("prompts"))
+    if make_annotator is None:
+        results = an.dry_run(pending.select("track_id", F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
+    else:
+        content = _with_track_id(scan_audio(spark, base, with_content=True)).drop("path")
+        results = an.annotate(_attach_content(content, pending), make_annotator, tasks=tasks)
+    write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, 0)
+
+    answers = read_log(spark, log_path).where((F.col("run_id") == run_id) & (F.col("batch_id") == 0))
+    rollup = summarize.track_rollup(answers).drop("prompts_total")
+    rows = summarize.job_summary(tracks, rollup, len(catalog.keys) if catalog else 1, "records")
+    write_summary_document(
+        summarize.run_summary(rows, len(catalog.keys) if catalog else 1), rows.withColumn("path", F.col("track_id")),
+        f"{out}/results_summary.json", "results",
+    )
+
+
+def caption_windows(
+    spark: SparkSession, directory: str, out: str, catalog: Catalog, make_annotator: Callable[[], an.Annotator],
+    window_sec: float = LANDMARK_SEC, recursive: bool = False, tasks: int | None = None,
+) -> None:
+    """Annotate the landmark windows of PCM WAV files and write one nested record per file.
+
+    The annotator gets the samples of one window. Errors stay in the answers,
+    as ``ERROR: …``; files that do not decode have no record.
+    """
+    files = scan_audio(spark, directory, AUDIO_SUFFIXES["windowed"], recursive, with_content=True)
+    decoded = decode_wav(files.withColumn("path", paths.without_scheme("path"))).where(F.col("decode_error").isNull())
+    cut = windows.landmark_windows(decoded, "n_frames", "sample_rate", window_sec)
+    length = (F.col("end_frame") - F.col("start_frame")).cast("int")
+    pending = cut.select(
+        "path", "duration_sec", "chunk_index", "start_seconds", "end_seconds",
+        F.slice("samples", (F.col("start_frame") + 1).cast("int"), length).alias("content"),
+        catalog.as_array().alias("prompts"),
+    )
+    answers = an.annotate(
+        pending, make_annotator, ("path", "duration_sec", "chunk_index", "start_seconds", "end_seconds"), tasks=tasks
+    )
+    said = F.coalesce(F.concat(F.lit("ERROR: "), F.col("error")), strip("output"))
+    nested = summarize.nest_windows(answers.withColumn("output", said), catalog.keys, ("path", "duration_sec"))
+    export_records(nested.select(
+        F.struct(
+            F.lit("annotator").alias("model"), scalars.iso_utc(scalars.now_utc(), zulu=True).alias("generated_at"),
+            F.col("path").alias("audio_file"), F.round("duration_sec", 2).alias("duration_seconds"),
+            F.lit(float(window_sec)).alias("window_seconds"), "total_chunks", F.lit(catalog.name).alias("mode"),
+        ).alias("metadata"),
+        "chunks",
+    ), out)
