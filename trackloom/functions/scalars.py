@@ -58,17 +58,20 @@ def duration_text(seconds: Column | str) -> Column:
 
 
 def iso_utc(wall_clock: Column | str, zulu: bool = False) -> Column:
-    """ISO-8601 text of a UTC wall-clock time; the fraction is left out when zero."""
-    ts = _col(wall_clock)
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    zone = F.lit("Z" if zulu else "+00:00")
-    return F.concat(whole, F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)), zone)
+    """ISO-8601 text of a UTC wall-clock time (timestamp_ntz), in any session time zone.
+
+    The fraction has six digits and is left out when zero.
+    """
+    shown = _col(wall_clock).cast("string")
+    whole = F.replace(F.left(shown, F.lit(19)), F.lit(" "), F.lit("T"))
+    fraction = F.when(F.length(shown) > 19, F.rpad(F.substr(shown, F.lit(20)), 7, "0")).otherwise("")
+    return F.concat(whole, fraction, F.lit("Z" if zulu else "+00:00"))
 
 
 def now_utc() -> Column:
-    """The query's start time as a UTC wall-clock, whatever the session time zone."""
-    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    """The query's start time as a UTC wall-clock (timestamp_ntz), whatever the session time zone."""
+    local = F.current_timestamp().cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
 
 
 def error_text(output: Column | str) -> Column:

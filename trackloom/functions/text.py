@@ -78,6 +78,11 @@ def drop_refusals(text: Column | str, pattern: str = REFUSAL_PATTERN) -> Column:
     return drop_sentences(text, pattern)
 
 
+def drop_noise(text: Column | str) -> Column:
+    """Without refusals and leaked durations, in one pass over the sentences."""
+    return drop_sentences(text, f"{REFUSAL_PATTERN}|{DURATION_LEAK_PATTERN}")
+
+
 def drop_duration_leaks(text: Column | str, pattern: str = DURATION_LEAK_PATTERN) -> Column:
     return drop_sentences(text, pattern)
 

@@ -6,7 +6,7 @@ Only the countable part of the synthesis rules is here. Judgements such as
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackloom.functions import text
 from trackloom.operators.resume import latest_state
@@ -89,23 +89,17 @@ def instrument_union(captions: DataFrame, dimension: str = "instruments", track:
     )
 
 
-def _median_tempo(per_bpm: DataFrame, track: str) -> DataFrame:
-    """Low, high and median of (track, bpm, bits) rows; null tempos do not count."""
-    weights = per_bpm.groupBy(track, "bpm").agg(_windows(F.col("bits")).alias("n"))
-    return weights.groupBy(track).agg(
-        F.min("bpm").alias("low"), F.max("bpm").alias("high"),
-        F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
-    )
-
-
 def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = TEMPO_SPREAD) -> DataFrame:
     """Median tempo when the windows are close, else the range. Never the mean.
 
     Rows collapse to (track, tempo) first. A tempo is a two- or three-digit
     figure with one decimal, so a track has a bounded number of them.
     """
-    per_bpm = facts.groupBy(track, "bpm").agg(F.bit_or(_window_bit()).alias("bits"))
-    stats = _median_tempo(per_bpm, track).where(F.col("median_bpm").isNotNull())
+    weights = facts.groupBy(track, "bpm").agg(_windows(_window_bit()).alias("n"))
+    stats = weights.groupBy(track).agg(
+        F.min("bpm").alias("low"), F.max("bpm").alias("high"),
+        F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
+    ).where(F.col("median_bpm").isNotNull())
     close = F.col("high") - F.col("low") <= spread
     return stats.select(
         track, "low", "high", "median_bpm", close.alias("consistent"),
@@ -121,18 +115,22 @@ def key_consensus(facts: DataFrame, track: str = "track_id") -> DataFrame:
     Still tied: left out. Time signature is 4/4 unless every window that
     names one says otherwise.
 
-    Rows collapse to (track, key, tempo) first, a bounded number per track
-    whatever its share of the rows, and move to their track's task once. All
-    later steps, the join included, find the rows where they need them.
-    Nulls are handled inside the aggregates: a filter would be pushed below
-    the shuffle, repeat the text searches and keep the branches from sharing it.
+    Rows collapse to (track, key, tempo) first: some 40 keys times a few
+    thousand tempos at most, whatever the track's share of the rows. They move
+    to their track's task once, and every later step finds them there. Nulls
+    are handled inside the aggregates: a filter would be pushed below the
+    shuffle and repeat the text searches.
     """
     seen = facts.groupBy(track, "bpm", "music_key").agg(
         F.bit_or(_window_bit()).alias("bits"),
         F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
     ).repartition(track)
-    medians = _median_tempo(seen, track).select(track, "median_bpm")
-    near = seen.join(medians, track)
+    same_bpm = Window.partitionBy(track, "bpm")
+    once = F.row_number().over(same_bpm.orderBy("music_key")) == 1  # a tempo weighs once, not per key
+    weighed = seen.withColumn("n", F.when(once, F.bit_count(F.bit_or("bits").over(same_bpm))).otherwise(0))
+    near = weighed.withColumn(
+        "median_bpm", F.percentile("bpm", 0.5, F.col("n")).over(Window.partitionBy(track))
+    )
     distance = F.coalesce(F.abs(F.col("bpm") - F.col("median_bpm")), F.lit(float("inf")))
     per_key = near.groupBy(track, "music_key").agg(
         _windows(F.col("bits")).alias("votes"), F.min(distance).alias("distance"),
@@ -196,11 +194,9 @@ def unified_record(pairs: DataFrame, reliable: str = "reliable_dimensions") -> D
 
     Refusals and duration sentences are dropped first; both raw texts stay.
     """
-    def clean(c: str) -> Column:
-        body = text.drop_duration_leaks(text.drop_refusals(F.col(c)))
-        return F.nullif(body, F.lit(""))
-
-    cleaned = pairs.withColumns({"_ca": clean("pass_a_raw"), "_cb": clean("pass_b_raw")})
+    cleaned = pairs.withColumns({
+        "_ca": F.nullif(text.drop_noise("pass_a_raw"), F.lit("")), "_cb": F.nullif(text.drop_noise("pass_b_raw"), F.lit("")),
+    })
     trusted = F.col(reliable)
     a, b = F.col("_ca"), F.col("_cb")
     return cleaned.select(

@@ -100,7 +100,7 @@ def duration_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def utc_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.table(spark, sf_dir, "events").select(
         "event_id", scalars.iso_utc("ts").alias("with_offset"),
-        scalars.iso_utc(F.date_trunc("second", "ts"), zulu=True).alias("zulu"),
+        scalars.iso_utc(F.date_trunc("second", "ts").cast("timestamp_ntz"), zulu=True).alias("zulu"),
     )
 
 
