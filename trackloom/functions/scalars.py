@@ -11,6 +11,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def whole_units(seconds: Column | str, per_second: int = 1000) -> Column:
+    """Seconds as a whole number of milliseconds (or other units).
+
+    Whole numbers add up exactly in any order, as decimals do, and much faster.
+    """
+    return F.floor(_col(seconds) * per_second + F.lit(0.5))
+
+
 def clamp(value: Column | str, ceiling: int) -> Column:
     return F.least(_col(value), F.lit(ceiling))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackloom.functions import text
+from trackloom.functions.scalars import whole_units
 from trackloom.operators.resume import latest_state
 from trackloom.operators.skew import hot_keys, join_hot
 
@@ -212,8 +213,8 @@ def run_comparison(responses: DataFrame, runs: list[str], file: str = "file", ru
 
     Conditional aggregates in one shuffle; no self-join.
     """
-    seconds = F.col("processing_time_sec").cast("decimal(18,3)")
+    ms = whole_units("processing_time_sec")
     sums = responses.where(F.col(run).isin(runs)).groupBy(file).agg(*[
-        F.sum(F.when(F.col(run) == r, seconds)).cast("double").alias(f"sec_{r}") for r in runs
+        (F.sum(F.when(F.col(run) == r, ms)) / 1000).alias(f"sec_{r}") for r in runs
     ])
     return sums.withColumn("delta_sec", F.round(F.col(f"sec_{runs[-1]}") - F.col(f"sec_{runs[0]}"), 3))

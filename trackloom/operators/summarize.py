@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trackloom.functions.paths import file_name, record_path
+from trackloom.functions.scalars import whole_units
 from trackloom.functions.text import cell_text, quoted
 from trackloom.model import ERROR, MESSAGES, OK, PARTIAL, WINDOW_LABELS
 from trackloom.operators.resume import latest_state
@@ -22,21 +23,20 @@ def status_of(ok_count: Column | str, total: Column | str) -> Column:
 def track_rollup(responses: DataFrame, tracks: DataFrame | None = None, track: str = "track_id") -> DataFrame:
     """Per track: prompts, ok prompts, total seconds and status.
 
-    Seconds add up as decimals, so the total does not depend on row order.
+    Seconds add up as whole milliseconds, so the total does not depend on row order.
     With ``tracks`` the tracks without responses are kept; the join comes
     after the aggregate and has one row per track on both sides.
     """
-    seconds = F.col("processing_time_sec").cast("decimal(18,3)")
     rolled = responses.groupBy(track).agg(
         F.count("*").alias("prompts_total"),
         F.count_if(F.col("status") == OK).alias("prompts_ok"),
-        F.sum(seconds).alias("_sec"),
+        F.sum(whole_units("processing_time_sec")).alias("_ms"),
     )
     if tracks is not None:
         rolled = tracks.select(track).join(rolled, track, "left").fillna(0, ["prompts_total", "prompts_ok"])
     return rolled.select(
         track, "prompts_total", "prompts_ok",
-        F.round(F.coalesce("_sec", F.lit(0)), 1).cast("double").alias("total_processing_time_sec"),
+        F.round(F.coalesce("_ms", F.lit(0)) / 1000, 1).alias("total_processing_time_sec"),
         status_of("prompts_ok", "prompts_total").alias("status"),
     )
 
@@ -76,18 +76,18 @@ def prompt_timing(responses: DataFrame, by: tuple[str, ...] = ("category",)) ->
     Seconds are on a 0.1 s grid, so rows collapse to (prompt, seconds) counts
     first; the median then weighs a bounded number of values.
     """
-    seconds = F.round(F.col("processing_time_sec").cast("decimal(18,3)"), 1).alias("sec")
+    tenths = whole_units("processing_time_sec", 10).alias("tenths")
     counts = (
         responses.where(F.col("processing_time_sec").isNotNull())
-        .groupBy(*by, seconds).agg(F.count("*").alias("n"))
+        .groupBy(*by, tenths).agg(F.count("*").alias("n"))
     )
-    total = F.sum((F.col("sec") * F.col("n")).cast("decimal(38,1)"))
+    sec = F.col("tenths") / 10
     return counts.groupBy(*by).agg(
         F.sum("n").alias("responses"),
-        F.round(total / F.sum("n"), 3).cast("double").alias("mean_sec"),
-        F.min("sec").cast("double").alias("min_sec"),
-        F.percentile(F.col("sec").cast("double"), 0.5, F.col("n")).alias("median_sec"),
-        F.max("sec").cast("double").alias("max_sec"),
+        F.round(F.sum(F.col("tenths") * F.col("n")) / (F.sum("n") * 10), 3).alias("mean_sec"),
+        F.min(sec).alias("min_sec"),
+        F.percentile(sec, 0.5, F.col("n")).alias("median_sec"),
+        F.max(sec).alias("max_sec"),
     )
 
 
