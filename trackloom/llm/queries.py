@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackloom.llm import substring
+from trackloom.llm import packing, rules, substring, urls
 from trackloom.session import ship_package
 
 QUERIES: dict = {}
@@ -53,3 +53,75 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id LEFT JOIN s ON w.doc_id = s.doc_id
 """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_digests(table(spark, sf_dir, "documents"))
+
+
+@register("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op8_url_filter", """
+WITH u AS (
+  SELECT page_id, url,
+         CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN contains(url, '://') THEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path,
+         list_sort(list_filter(string_split(regexp_extract(url, '^.*?://[^?#]*\\?([^#]*)', 1, 's'), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]*|ref)='))) AS kept
+  FROM pages
+), c AS (
+  SELECT page_id, host, path,
+         CASE WHEN contains(url, '://') THEN regexp_replace(host, '^www\\.', '')
+           || regexp_replace(regexp_replace(path, '/+$', ''), '\\.html?$', '')
+           || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+  FROM u
+), l AS (
+  SELECT canonical FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1
+), r AS (
+  SELECT c.*, l.canonical IS NOT NULL AS listed,
+         CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/en/') THEN 'com/en/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/de/') THEN 'net/de/'
+              WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/es/') THEN 'org/es/' END AS rule
+  FROM c LEFT JOIN l ON c.canonical = l.canonical
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict, canonical
+FROM r
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.repeated_addresses(pages))
+
+
+@register("op10_quality_rules", """
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3
+), g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i+1], words[i+2]) AS n FROM p
+), r AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 3)) AS j FROM g WHERE n > 1) GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, len(words)::BIGINT AS n_words,
+         (length(t) - len(regexp_extract_all(t, '[\\x20\\x09-\\x0D]')))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         len(regexp_extract_all(t, '[!?]{2,}'))::BIGINT AS n_marks,
+         len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(r.n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN r ON w.doc_id = r.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 40 * n_words OR 100 * n_marks > 40 * n_words
+            OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM m
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
