@@ -8,6 +8,7 @@ squared counts of open bins per residual gap become smallest. A task's state is
 
 from __future__ import annotations
 
+import base64
 import math
 import zlib
 from collections import defaultdict
@@ -23,61 +24,26 @@ from trackloom.llm.words import key_of, slices
 CAPACITY = 2048
 #: Short pieces that one task packs. A bin holds two or more of them on average.
 PIECES_PER_TASK = 20_000
-#: Encoded stretches of text that a task remembers, and the longest one that it does.
-REMEMBERED, LONGEST = 300_000, 40
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, kind long"
 _PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
 class Encoder:
-    """Ids of a public byte-level BPE vocabulary, as the ``tokenizers`` library gives them.
+    """Ids of a public byte-level BPE vocabulary, given as ranks; the same as those of its ``tokenizers`` file.
 
-    The pattern of this vocabulary never joins what stands before a single space with what follows it, so a text is the sum
-    of its stretches from one single space to the next. Stretches repeat; each is encoded once and remembered, as many as
-    ``REMEMBERED``.
+    special: strings that stand for an id of their own wherever they occur, as in that file.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, without special tokens around them."""
-        parts = [self._parts(t) for t in texts]
-        new = list({p for part in parts for p in part if p not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list({p for part in parts for p in part})
-        long = []
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-                if len(p) > LONGEST:
-                    long.append(p)
-        out = [np.frombuffer(b"".join([self.known[p] for p in part]), dtype="<u4") for part in parts]
-        for p in long:
-            del self.known[p]
-        return out
-
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        """The text cut before each single space between two other characters that are not white space."""
-        if "<|" in text or not text:  # a special token may stand inside
-            return [text] if text else []
-        parts = text.split(" ")
-        whole, out = parts[0], []
-        for p in parts[1:]:
-            # white space at either side of the space binds it; then the stretch goes on
-            if p and whole and not whole[-1].isspace() and not p[0].isspace():
-                out.append(whole)
-                whole = " " + p
-            else:
-                whole += " " + p
-        out.append(whole)
-        return out
+    def __init__(self, path: str, pattern: str, special: dict[str, int]):
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text, without special tokens around them."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -85,15 +51,18 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (of the piece's ids) and kind (of the whole document's)."""
+def token_pieces(docs: DataFrame, tokenizer: tuple, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (of the piece's ids) and kind (of the whole document's).
+
+    tokenizer: what ``Encoder`` is made with: path of the ranks, pattern, special tokens.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(*tokenizer)
         end = np.array([end_id], dtype="<u4")
         for batch in slices(batches):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
-                raw = np.concatenate((ids, end)).tobytes()
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                raw = np.concatenate((encoder.encode(text.as_py()), end)).tobytes()
                 n = len(raw) // 4
                 kind = zlib.crc32(raw)
                 first = n % capacity or capacity
@@ -108,8 +77,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
 def place(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[int]]:
     """The bin and the offset of each length, in the order given, by the sum-of-squares rule.
 
-    Putting length s into a bin of gap g changes the sum of squares by 2 * (N[g - s] - N[g]) + 2, by 1 - 2 * N[s] if that
-    fills the bin, and by 2 * N[capacity - s] + 1 for a new bin. The smallest change wins; of equals, the smallest gap.
+    Putting length s into an open bin of gap g changes the sum of squares by 2 * (N[g - s] - N[g]) + 2, or by 1 - 2 * N[s]
+    if that fills the bin. The smallest change wins; of equals, the smallest gap. A new bin is opened only if s fits in none.
     """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     open_bins: dict[int, list[int]] = defaultdict(list)
@@ -117,14 +86,13 @@ def place(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list
     huge = np.iinfo(np.int64).max
     for s in lengths:
         gaps = counts[s:capacity]
-        gap, change = capacity, 2 * counts[capacity - s] + 1 if s < capacity else 0
+        gap = capacity
         if len(gaps):
-            left = counts[: capacity - s].copy()
-            changes = 2 * (left - gaps) + 2
+            changes = 2 * (counts[: capacity - s] - gaps) + 2
             changes[0] = 1 - 2 * gaps[0]
             changes[gaps == 0] = huge
             at = int(changes.argmin())
-            if changes[at] <= change and changes[at] != huge:
+            if changes[at] != huge:
                 gap = s + at
         if gap == capacity:
             number, n_bins = n_bins, n_bins + 1
@@ -158,7 +126,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, tasks: int = 1) -> DataFra
     return pieces.repartition(tasks, "doc_id", "kind", "piece").mapInArrow(packed, _PLACED)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: tuple, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """Packs all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset, one row per piece.
 
     A null or empty text is just the end id. Repeated rows and repeated or null doc_ids are documents of their own.

@@ -55,11 +55,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_digests(table(spark, sf_dir, "documents"))
 
 
-@register("op2_best_fit_packing")
-def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def byte_bpe() -> tuple:
+    """The vocabulary of byte_bpe_50k.json, as ranks."""
     import public_tokenizers
 
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256}
+
+
+@register("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe())
 
 
 @register("op8_url_filter", """
