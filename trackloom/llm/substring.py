@@ -13,8 +13,8 @@ Documents come in blocks of about ``words.SLICE_BYTES``. Every block is a refere
    all others, so a repeat that no single factor covers is not lost.
 
 A block sends each distinct window once, so a passage in a third of all documents arrives once per block. One shuffle
-carries the windows (8 bytes a word and one row per run of about 8 words), one carries the texts to their factors.
-Two windows count as equal if their 64-bit hashes and the 64-bit hashes of their anchors agree.
+carries the windows (7 bytes a word and one row per run of about 9 words), one carries the texts to their factors.
+Two windows count as equal if 56 bits of their hashes and the 64-bit hashes of their anchors agree.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.words import Words, blobs, gram_hashes, joined, key_of, slices, unblobs
@@ -32,9 +32,11 @@ from trackloom.llm.words import Words, blobs, gram_hashes, joined, key_of, slice
 #: Words in a window.
 WINDOW = 20
 #: Words in an anchor gram. Shorter grams give fewer, longer runs.
-ANCHOR = 6
-_RUNS = "anchor long, key long, kind long, start int, n int, source long, source_start int, windows binary"
-_FACTORS = "key long, kind long, start int, n int, source long, source_start int"
+ANCHOR = 5
+#: Bytes that are sent of a window's hash.
+HASH_BYTES = 7
+_RUNS = "anchor long, key long, kind int, start int, n int, source long, source_start int, windows binary"
+_FACTORS = "key long, kind int, start int, n int, source long, source_start int"
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -82,7 +84,7 @@ def _block_runs(batch: pa.RecordBatch, window: int) -> Iterator[pa.RecordBatch]:
     bounds = np.append(head, len(new))
     top = new[head]
     none = pa.nulls(len(top), pa.int64())
-    yield _batch(_RUNS, [anchors[top].view(np.int64), key[doc[top]], kind[doc[top]], start[top], np.diff(bounds).astype(np.int32), none, none.cast(pa.int32()), blobs(hashes[new], bounds)])
+    yield _batch(_RUNS, [anchors[top].view(np.int64), key[doc[top]], kind[doc[top]], start[top], np.diff(bounds).astype(np.int32), none, none.cast(pa.int32()), blobs(hashes[new].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES], bounds * HASH_BYTES)])
 
     old = np.flatnonzero(~fresh)
     if len(old):
@@ -106,7 +108,11 @@ def _match(rows: pa.RecordBatch, seen: tuple) -> tuple[pa.RecordBatch, tuple]:
     seen: anchor, and for its windows so far the sorted hashes with key, kind and start of the earliest.
     """
     anchor, key, kind, start = (rows.column(c).to_numpy() for c in ("anchor", "key", "kind", "start"))
-    hashes, n = unblobs(rows.column("windows"), np.uint64)
+    raw, n = unblobs(rows.column("windows"), np.uint8)
+    n = n // HASH_BYTES
+    hashes = np.zeros((len(raw) // HASH_BYTES, 8), np.uint8)
+    hashes[:, :HASH_BYTES] = raw.reshape(-1, HASH_BYTES)
+    hashes = hashes.view(np.uint64).ravel()
     row = np.repeat(np.arange(rows.num_rows), n)
     at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     a, k, d, s = anchor[row], key[row], kind[row], start[row] + at.astype(np.int32)
@@ -140,7 +146,7 @@ def _match(rows: pa.RecordBatch, seen: tuple) -> tuple[pa.RecordBatch, tuple]:
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches sorted by (anchor, key, kind, start): earlier documents come first, so one pass is enough."""
     empty = np.zeros(0, np.int64)
-    seen: tuple = (None, empty.astype(np.uint64), empty, empty, empty.astype(np.int32))
+    seen: tuple = (None, empty.astype(np.uint64), empty, empty.astype(np.int32), empty.astype(np.int32))
     for batch in batches:
         through = batch.filter(pa.compute.is_valid(batch.column("source")))
         if through.num_rows:
@@ -151,10 +157,14 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out
 
 
+def _kind(text: Column) -> Column:
+    return F.hash(F.coalesce(text, F.lit("")))
+
+
 def documents_in(docs: DataFrame) -> DataFrame:
     """key, kind, text: kind tells rows apart that share a doc_id."""
     text = F.col("text").cast("string")
-    return docs.select(key_of().alias("key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("kind"), text.alias("text"))
+    return docs.select(key_of().alias("key"), _kind(text).alias("kind"), text.alias("text"))
 
 
 def factor_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -197,7 +207,7 @@ def with_factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A document without repeats has null.
     """
     pieces = factor_pieces(docs, window).groupBy("key", "kind").agg(F.collect_list(F.struct("start", "n", "source", "source_start")).alias("pieces"))
-    rows = docs.withColumns({"__key": key_of(), "__kind": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    rows = docs.withColumns({"__key": key_of(), "__kind": _kind(F.col("text").cast("string"))})
     return rows.join(pieces.withColumnsRenamed({"key": "__key", "kind": "__kind", "pieces": "__pieces"}), ["__key", "__kind"], "left").drop("__key", "__kind")
 
 
