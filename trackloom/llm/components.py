@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.session import shared_path
+from trackloom.llm.tables import written
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,23 +54,17 @@ def components(edges: DataFrame) -> DataFrame:
     folder, so no lineage grows and a lost executor costs a part of one round. No group is gathered: the smallest
     neighbour is an aggregate that combines before the shuffle, and joining it back is left to Spark's skew handling.
     """
-    spark = edges.sparkSession
 
-    def written(df: DataFrame) -> DataFrame:
-        path = shared_path(spark, "components")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).mapInArrow(_thin, "a long, b long").distinct())
+    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).mapInArrow(_thin, "a long, b long").distinct(), "components")
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = written(small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        edges = written(small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "components")
         now = edges.agg(F.count("*"), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackloom.llm import packing, rules, substring, urls
+from trackloom.llm import jaccard, mixing, packing, rules, substring, toxicity, urls
 from trackloom.session import ship_package
 
 QUERIES: dict = {}
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int):
+    """The remainder that tells held-out documents from those to learn from."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 @register("op1_substring_dedup", """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
@@ -67,6 +73,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+@register("op3_context_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.lm_scores(table(spark, sf_dir, "documents"), fold(7) == 2)
+
+
+@register("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @register("op8_url_filter", """
 WITH u AS (
   SELECT page_id, url,
@@ -101,6 +117,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.repeated_addresses(pages))
 
 
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(4) == 2)
+
+
 @register("op10_quality_rules", """
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
