@@ -126,9 +126,13 @@ def word_inputs(model: dict, chars: np.ndarray, mask: np.ndarray, own: np.ndarra
     return np.concatenate((model["in"]["own"][own], pool([t[chars] for t in table], mask, model["bytes"])), axis=1)
 
 
-def window_logits(model: dict, inputs: np.ndarray, words: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """words: (time, windows), rows of ``inputs``."""
-    projects = _apply(inputs, model["words"])
+def project(model: dict, inputs: np.ndarray) -> list[np.ndarray]:
+    """Word inputs as the window layer's two directions take them."""
+    return _apply(inputs, model["words"])
+
+
+def window_logits(model: dict, projects: list[np.ndarray], words: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """words: (time, windows), rows of ``projects``."""
     return pool([x[words] for x in projects], mask, model["words"]) @ model["out"]["w"] + model["out"]["b"]
 
 

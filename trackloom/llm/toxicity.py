@@ -29,7 +29,7 @@ THRESHOLD = 0.3
 #: Documents that a word's log-odds are shrunk by.
 SHRINK = 4.0
 #: Words whose inputs a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def _rows(hashes: np.ndarray) -> np.ndarray:
@@ -92,7 +92,7 @@ def _examples(tables):
                 a, b = start[i], start[i] + size[i]
                 sizes = w.ends[a:b] - w.starts[a:b]
                 raw = b"".join(w.data[s:e].tobytes() for s, e in zip(w.starts[a:b].tolist(), w.ends[a:b].tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array([int(half[doc[i]])]), pa.array([int(toxic[doc[i]])]), pa.array([raw], pa.binary()), pa.array([sizes.astype("<i4").tobytes()], pa.binary()), pa.array([_rows(w.hashes[a:b]).astype("<i4").tobytes()], pa.binary())], ["half", "toxic", "raw", "sizes", "rows"])
+                yield pa.RecordBatch.from_arrays([pa.array([int(half[doc[i]])], pa.int32()), pa.array([int(toxic[doc[i]])], pa.int32()), pa.array([raw], pa.binary()), pa.array([sizes.astype("<i4").tobytes()], pa.binary()), pa.array([_rows(w.hashes[a:b]).astype("<i4").tobytes()], pa.binary())], ["half", "toxic", "raw", "sizes", "rows"])
 
     return pick
 
@@ -104,8 +104,8 @@ class Scorer:
         self.model = model
         self.hashes, self.inputs = np.zeros(0, np.uint64), np.zeros((0, net.OWN + 2 * net.HIDDEN_BYTES), np.float32)
 
-    def word_inputs(self, w: Words) -> np.ndarray:
-        """For each word its row in ``self.inputs``."""
+    def word_inputs(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The inputs of the distinct words, and for each word its row there."""
         distinct, where, which = np.unique(w.hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, distinct)
         known = np.zeros(len(distinct), bool)
@@ -132,7 +132,7 @@ class Scorer:
             order = np.argsort(hashes, kind="stable")
             self.hashes, self.inputs = hashes[order], np.concatenate((self.inputs, made))[order]
             at = np.searchsorted(self.hashes, distinct)
-        return at[which]
+        return self.inputs[at], which
 
     def highest(self, texts: pa.Array) -> np.ndarray:
         """Per text; -inf for one without words."""
@@ -140,11 +140,12 @@ class Scorer:
         out = np.full(len(texts), -np.inf)
         if not len(w):
             return out
-        row = self.word_inputs(w)
+        inputs, row = self.word_inputs(w)
+        projects = net.project(self.model, inputs)
         doc, start, size = windows_of(w.per_doc, w.first[:-1])
         for i in range(0, len(doc), 4096):
             words, mask = _grid(start[i : i + 4096], size[i : i + 4096])
-            np.maximum.at(out, doc[i : i + 4096], net.window_logits(self.model, self.inputs, row[words], mask))
+            np.maximum.at(out, doc[i : i + 4096], net.window_logits(self.model, projects, row[words], mask))
         return out
 
 
