@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import jaccard, mixing, packing, rules, substring, toxicity, urls
+from trackloom.llm import fingerprints, jaccard, mixing, packing, rules, substring, toxicity, urls
 from trackloom.session import ship_package
 
 QUERIES: dict = {}
@@ -78,6 +78,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.lm_scores(table(spark, sf_dir, "documents"), fold(7) == 2)
 
 
+@register("op4_weighted_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 @register("op7_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
