@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.tables import partitions, written
-from trackloom.llm.words import Words, blobs, key_of, mixed, unblobs
+from trackloom.llm.words import Words, blobs, key_of, mixed, slices, unblobs
 
 CLASSES = 1 << 16
 #: Class of words that training lacks or has once; takes the place of the last hash class.
@@ -49,6 +49,12 @@ _END = np.uint64(0xE7D0E7D0E7D0E7D1)
 
 def _block_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of the texts end to end, and where each text's tokens begin."""
+    some = [_slice_tokens(part.column(0)) for part in slices(iter([pa.record_batch([texts], ["text"])]))]
+    sizes = np.concatenate([np.diff(first) for _, first in some]) if some else np.zeros(0, np.int64)
+    return np.concatenate([np.zeros(0, np.uint64), *[tokens for tokens, _ in some]]), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _slice_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     w = Words(texts, fold=True)
     n = w.per_doc + 1
     first = np.concatenate(([0], np.cumsum(n)))
@@ -343,10 +349,10 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = partitions(spark)
-    bits = max(4, (4 * parts - 1).bit_length())
+    bits = max(4, (parts - 1).bit_length())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key_of().alias("key"), F.hash(text).alias("kind"), text.alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.octet_length(text).cast("long").alias("bytes"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "kind"), F.lit(4 * parts)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "kind"), F.lit(2 * parts)).cast("int"))
     sent = rows.groupBy("block").applyInArrow(_send(bits), "bucket int, block int, tokens binary, counts binary")
     replies = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(_total), "block int, bucket int, totals binary, known long, all_tokens long")
     answers = written(replies, "counts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import fingerprints, jaccard, mixing, packing, rules, substring, toxicity, urls
+from trackloom.llm import fingerprints, jaccard, mixing, packing, private, rules, substring, toxicity, unigram, urls
 from trackloom.session import ship_package
 
 QUERIES: dict = {}
@@ -83,6 +83,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+@register("op5_private_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.private_spans(table(spark, sf_dir, "documents"))
+
+
+@register("op6_unigram_pieces")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return unigram.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @register("op7_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
