@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.components import components
 from trackloom.llm.tables import partitions, written
-from trackloom.llm.words import Words, blobs, key_of, mixed, unblobs
+from trackloom.llm.words import Words, blobs, key_of, mixed, slices, unblobs
 
 #: Words in a shingle, and the similarity in hundredths from which documents are linked.
 SHINGLE, PERCENT = 5, 75
@@ -37,27 +37,38 @@ SET_BYTES, COUNT_BYTES = 6, 4
 _SETS = "key long, kind int, n long, sig1 long, sig2 long, tokens binary, flags binary, prefix binary, places binary"
 
 
+def _text_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and hash of each distinct shingle, sorted."""
+    w = Words(texts, fold=True)
+    grams, whole = w.grams(n)
+    at = np.flatnonzero(whole)
+    doc, tokens = w.doc[at], grams[at]
+    short = np.flatnonzero((w.per_doc > 0) & (w.per_doc < n))
+    if len(short):
+        # fewer words: the sequence as one token
+        single = []
+        for i in short.tolist():
+            h = w.hashes[w.first[i] : w.first[i + 1]].tolist()
+            single.append((sum(x * pow(31, j + 1, 2**64) for j, x in enumerate(h)) + len(h)) % 2**64)
+        doc, tokens = np.concatenate((doc, short)), np.concatenate((tokens, mixed(np.array(single, np.uint64))))
+    order = np.lexsort((tokens, doc))
+    doc, tokens = doc[order], tokens[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tokens[1:] != tokens[:-1])
+    return doc[new], tokens[new]
+
+
 class Block:
     """The shingle sets of some texts, end to end: ``tokens`` (sorted within a document), ``doc``, ``sizes``."""
 
     def __init__(self, texts: pa.Array, n: int = SHINGLE):
-        w = Words(texts, fold=True)
-        grams, whole = w.grams(n)
-        at = np.flatnonzero(whole)
-        doc, tokens = w.doc[at], grams[at]
-        short = np.flatnonzero((w.per_doc > 0) & (w.per_doc < n))
-        if len(short):
-            # fewer words: the sequence as one token
-            single = []
-            for i in short.tolist():
-                h = w.hashes[w.first[i] : w.first[i + 1]]
-                single.append(mixed(np.array([int(sum(int(x) * pow(31, j + 1, 2**64) for j, x in enumerate(h.tolist())) + len(h)) % 2**64], np.uint64))[0])
-            doc, tokens = np.concatenate((doc, short)), np.concatenate((tokens, np.array(single, np.uint64)))
-        order = np.lexsort((tokens, doc))
-        doc, tokens = doc[order], tokens[order]
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (tokens[1:] != tokens[:-1])
-        self.doc, self.tokens = doc[new], tokens[new]
+        docs, sets, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+        for part in slices(iter([pa.record_batch([texts], ["text"])])):
+            doc, tokens = _text_sets(part.column(0), n)
+            docs.append(doc + begin)
+            sets.append(tokens)
+            begin += part.num_rows
+        self.doc, self.tokens = np.concatenate(docs), np.concatenate(sets)
         self.sizes = np.bincount(self.doc, minlength=len(texts))
         self.first = np.concatenate(([0], np.cumsum(self.sizes)))
         sums = np.zeros((2, len(self.tokens) + 1), np.uint64)
@@ -173,10 +184,10 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """key, kind, n, signature, and for sets that may have a partner the tokens and the prefix, one row per document."""
     spark = docs.sparkSession
     parts = partitions(spark)
-    bits = max(4, (4 * parts - 1).bit_length())
+    bits = max(4, (parts - 1).bit_length())
     text = F.col("text").cast("string")
     rows = docs.select(key_of().alias("key"), F.hash(F.coalesce(text, F.lit(""))).alias("kind"), text.alias("text"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "kind"), F.lit(4 * parts)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "kind"), F.lit(2 * parts)).cast("int"))
     sent = rows.groupBy("block").applyInArrow(_send_tokens(bits), "bucket int, block int, tokens binary, counts binary")
     replies = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block int, bucket int, ranks binary")
     return written(rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_sets(percent), _SETS), "sets")
