@@ -1,30 +1,63 @@
-"""A training corpus from raw documents: rules, near duplicates, repeated passages, personal data, packing."""
+"""A training corpus from raw documents: quality rules, near duplicates, repeated passages, personal data, packing.
+
+Every stage works on all documents that the one before kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import os
 import sys
 
+from pyspark.sql import DataFrame, SparkSession
+
 ROOT = os.path.dirname(os.path.abspath(__file__))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-from trackloom.llm import substring  # noqa: E402
+from trackloom.llm import jaccard, packing, private, rules, substring  # noqa: E402
+from trackloom.llm.queries import byte_bpe  # noqa: E402
+from trackloom.session import ship_package, shared_path  # noqa: E402
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule rejects go."""
+    ship_package(spark)
+    return rules.keep_clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays; rows without a doc_id stay."""
+    ship_package(spark)
+    groups = jaccard.jaccard_components(docs.select("doc_id", "text"))
+    gone = groups.where("doc_id is not null and not (component_id <=> doc_id)").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
-def passages(spark, docs, sf_dir):
-    """Takes repeated passages out of the texts; every document stays."""
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go out of the texts; every document stays."""
+    ship_package(spark)
     return substring.remove_repeats(docs)
 
 
-STAGES = [("substring_dedup", passages)]
-ORACLE_SQL = None
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by the name of its kind."""
+    ship_package(spark)
+    return private.mask_private(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of training sequences."""
+    ship_package(spark)
+    return packing.pack_documents(docs, byte_bpe())
 
 
-def run(spark, sf_dir):
-    """The stages one after the other, each on all that the one before kept."""
-    from trackloom.session import shared_path
+STAGES = [("quality_rules", quality), ("jaccard_join", near_duplicates), ("substring_dedup", passages), ("private_data", personal_data), ("best_fit_packing", sequences)]
+#: Loopy inference and packing have no SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+ORACLE_SQL = None
+
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of sf_dir, each written and read back as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
