@@ -109,7 +109,7 @@ def test_manifest_job(spark, tmp_path):
     jobs.caption_job(spark, str(manifest), root, log, "j2", str(tmp_path / "out2"), catalog=CATALOG)
     assert read_log(spark, log).where("run_id = 'j2'").count() == 4
     manifest.write_text(json.dumps({"tracks": [{"path": "A/1.wav", "prompt_mode": "custom"}]}))
-    with pytest.raises(ValueError, match="custom-prompt is required"):
+    with pytest.raises(ValueError, match="needs a custom prompt"):
         jobs.caption_job(spark, str(manifest), root, log, "j3", str(tmp_path / "out3"))
 
 

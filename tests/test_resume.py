@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from trackloom.operators import resume, skew, windows
+from trackloom.operators import resume, windows
 from trackloom.sources.catalog import Catalog, read_catalog
 
 CATALOG = Catalog("c", (("genre", "G?"), ("vocals", "V?"), ("mastering", "M?")))
@@ -73,45 +73,6 @@ def test_fatal_cutoff_matches_a_loop(spark):
     assert got == want
 
 
-@pytest.fixture
-def skewed(spark):
-    """One key on a third of all rows, one on none of the right side."""
-    rng = random.Random(7)
-    rows = [("hot" if rng.random() < .34 else f"k{rng.randrange(300)}", i) for i in range(6000)]
-    left = spark.createDataFrame(rows, "key string, id int")
-    right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 300, 3)], "key string, v int")
-    return left, right
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_hot_join_is_the_plain_join(skewed, how):
-    left, right = skewed
-    assert skew.hot_keys(left, "key", share=.1) == ["hot"]
-    salted = skew.join_hot(left, right, "key", how, ["id"], salts=5, hot=["hot"])
-    plain = left.join(right, "key", how)
-    assert sorted(salted.select(*plain.columns).collect()) == sorted(plain.collect())
-
-
-def test_hot_join_spreads_the_key(spark, skewed):
-    left, right = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = skew.join_hot(left, right, "key", "inner", ["id"])
-        homes = out.where("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert homes > 3
-
-
-def test_null_keys_stay_unmatched(spark):
-    left = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3)], "key string, id int")
-    right = spark.createDataFrame([("a", 1)], "key string, v int")
-    got = skew.join_hot(left, right, "key", "left", ["id"], hot=["a"]).collect()
-    assert {(r.id, r.v) for r in got} == {(1, None), (2, 1), (3, 1)}
-
-
 def test_positions_match_sorting(spark):
     paths = [f"{a}/{i}" for a in ("a b", "a.b", "a", "a-") for i in range(50)]
     random.Random(3).shuffle(paths)

@@ -20,7 +20,9 @@ def whole_units(seconds: Column | str, per_second: int = 1000) -> Column:
 
 
 def clamp(value: Column | str, ceiling: int) -> Column:
-    return F.least(_col(value), F.lit(ceiling))
+    """The value, or the ceiling if it is above; an unknown value stays unknown."""
+    value = _col(value)
+    return F.when(value.isNotNull(), F.least(value, F.lit(ceiling)))
 
 
 def over_ceiling(value: Column | str, ceiling: int) -> Column:
@@ -40,9 +42,9 @@ def has_coverage_gap(windows: Column | str, effective_sec: Column | str) -> Colu
 
 
 def effective_duration(duration: Column | str, cap: int = AUDIO_CAP_SEC) -> Column:
-    """Duration after the cap; a cap of 0 switches it off."""
+    """Duration after the cap; a cap of 0 switches it off. An unknown duration stays unknown."""
     duration = _col(duration)
-    return duration if cap == 0 else F.least(duration, F.lit(float(cap)))
+    return duration if cap == 0 else F.when(duration.isNotNull(), F.least(duration, F.lit(float(cap))))
 
 
 def trim_samples(samples: Column | str, sample_rate: Column | str, cap: int = AUDIO_CAP_SEC) -> Column:

@@ -70,13 +70,17 @@ def resolve_settings(
 
 
 def manifest_rejects(tracks: DataFrame, keys: tuple[str, ...] = ("track_index",)) -> DataFrame:
-    """Entries that reject their job: no tracks at all, or an entry without ``path``."""
+    """Entries that reject their job: no tracks at all, an entry without ``path``, or a token number that is none.
+
+    ``max_new_tokens`` may be null, which means that it is not known.
+    """
+    layers = [F.coalesce("globals", F.expr("map()").cast(TEXT_MAP)), F.col("track")]
+    asked = layered("max_new_tokens", layers, None)
+    entry = lambda text: F.concat(F.lit("Entry "), F.col("track_index"), F.lit(text))
     reason = (
-        F.when(F.col("track").isNull(), "Job file contains no tracks.")
-        .when(
-            F.try_element_at("track", F.lit("path")).isNull(),
-            F.concat(F.lit("Track at index "), F.col("track_index"), F.lit(" is missing required key 'path'.")),
-        )
+        F.when(F.col("track").isNull(), "The manifest lists no tracks.")
+        .when(F.try_element_at("track", F.lit("path")).isNull(), entry(" of the manifest has no path."))
+        .when(asked.isNotNull() & to_int(asked).isNull(), entry(" asks for a number of tokens that is not a whole number."))
     )
     return tracks.select(*keys, reason.alias("reason")).where(F.col("reason").isNotNull())
 
@@ -87,10 +91,12 @@ def mixed_settings(settings: DataFrame, name: str, job: str | None = None) -> Da
     One aggregate with partial results; the values themselves are rows of
     ``setting_values``, not a list.
     """
+    # no value is one of the values
+    values = F.count_distinct(name) + F.max(F.col(name).isNull().cast("int"))
     return settings.groupBy(*([job] if job else [])).agg(
         F.min_by(name, "track_index").alias("used"),
-        F.count_distinct(name).alias("n_values"),
-        (F.count_distinct(name) > 1).alias("mixed"),
+        values.alias("n_values"),
+        (values > 1).alias("mixed"),
     )
 
 
@@ -108,14 +114,14 @@ def prompt_for_mode(
     custom = F.col(custom) if isinstance(custom, str) else custom
     given = F.coalesce(custom, F.lit("")) != ""
     prompt, reason = F.when((mode == "custom") & given, custom), F.when(
-        (mode == "custom") & ~given, "--custom-prompt is required when --prompt-mode is 'custom'."
+        (mode == "custom") & ~given, "Prompt mode 'custom' needs a custom prompt."
     )
     for name, text in prompts.items():
         prompt = prompt.when(mode == name, text)
     known = mode.isin("custom", *prompts)
     unknown = F.concat(
-        F.lit("Unknown prompt mode: '"), F.coalesce(mode, F.lit("None")),
-        F.lit("'. Must be 'minimal', 'default', or 'custom'."),
+        F.lit("Prompt mode '"), F.coalesce(mode, F.lit("None")),
+        F.lit("' is not known; use minimal, default or custom."),
     )
     return prompt, reason.when(~F.coalesce(known, F.lit(False)), unknown)
 

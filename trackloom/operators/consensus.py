@@ -11,10 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from trackloom.functions import text
 from trackloom.functions.scalars import whole_units
 from trackloom.operators.resume import latest_state
-from trackloom.operators.skew import hot_keys, join_hot
 
 TEMPO_SPREAD = 5
-MAX_WINDOWS = 63  # a record has four; the window set of a tag is one 64-bit word
 
 
 def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
@@ -24,27 +22,24 @@ def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
     )
 
 
-def _window_bit() -> Column:
-    """The row's window as one bit of a number; a number outside 0..62 fails the job."""
-    window = F.col("chunk_index")
-    inside = window.between(0, MAX_WINDOWS - 1)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), window.cast("int"))
-    outside = F.when(window.isNotNull(), F.raise_error(F.lit("chunk_index out of range")).cast("bigint"))
-    return F.when(inside, bit).otherwise(outside)
+def _windows() -> Column:
+    """How many windows a group's rows come from, as an aggregate; rows without a window count for none."""
+    return F.size(F.collect_set("chunk_index")).cast("bigint")
 
 
-def _windows(bits: Column) -> Column:
-    """How many windows a set of bits holds, as an aggregate."""
-    return F.coalesce(F.bit_count(F.bit_or(bits)), F.lit(0)).cast("bigint")
+def _union(sets: Column) -> Column:
+    """The number of windows in a list of sets of windows."""
+    return F.size(F.array_distinct(F.flatten(sets)))
 
 
 def tag_votes(tags: DataFrame, track: str = "track_id") -> DataFrame:
     """Distinct windows per (track, dimension, tag). One shuffle.
 
-    The windows seen are bits of one number, so partial results have a fixed
-    size; ``count_distinct`` would shuffle the rows twice.
+    A group keeps the set of its windows, which combines before the shuffle and
+    is no larger than a track has windows; ``count_distinct`` would shuffle the
+    rows twice.
     """
-    return tags.groupBy(track, "dimension", "tag").agg(_windows(_window_bit()).alias("windows"))
+    return tags.groupBy(track, "dimension", "tag").agg(_windows().alias("windows"))
 
 
 def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id") -> DataFrame:
@@ -56,13 +51,12 @@ def _with_top(captions: DataFrame, dimension: str, track: str) -> DataFrame:
     """Votes of one dimension, with the most windows any tag of the track has.
 
     A maximum per track joined back, not a ranking window, so a track with
-    very many labels is not sorted in one task. Hot tracks are looked for in
-    the captions, which is one scan of a column.
+    very many labels is not sorted in one task.
     """
     asked = captions.where(F.col("category") == dimension)
     votes = tag_votes(caption_tags(asked, track), track)
     top = votes.groupBy(track).agg(F.max("windows").alias("top_windows"))
-    return join_hot(votes, top, track, "inner", spread_by=["tag"], hot=hot_keys(asked, track))
+    return votes.join(top, track)
 
 
 def voice_consensus(captions: DataFrame, dimension: str = "vocals", track: str = "track_id") -> DataFrame:
@@ -96,7 +90,7 @@ def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = T
     Rows collapse to (track, tempo) first. A tempo is a two- or three-digit
     figure with one decimal, so a track has a bounded number of them.
     """
-    weights = facts.groupBy(track, "bpm").agg(_windows(_window_bit()).alias("n"))
+    weights = facts.groupBy(track, "bpm").agg(_windows().alias("n"))
     stats = weights.groupBy(track).agg(
         F.min("bpm").alias("low"), F.max("bpm").alias("high"),
         F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
@@ -123,18 +117,18 @@ def key_consensus(facts: DataFrame, track: str = "track_id") -> DataFrame:
     shuffle and repeat the text searches.
     """
     seen = facts.groupBy(track, "bpm", "music_key").agg(
-        F.bit_or(_window_bit()).alias("bits"),
+        F.collect_set("chunk_index").alias("seen_in"),
         F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
     ).repartition(track)
     same_bpm = Window.partitionBy(track, "bpm")
     once = F.row_number().over(same_bpm.orderBy("music_key")) == 1  # a tempo weighs once, not per key
-    weighed = seen.withColumn("n", F.when(once, F.bit_count(F.bit_or("bits").over(same_bpm))).otherwise(0))
+    weighed = seen.withColumn("n", F.when(once, _union(F.collect_list("seen_in").over(same_bpm))).otherwise(0))
     near = weighed.withColumn(
         "median_bpm", F.percentile("bpm", 0.5, F.col("n")).over(Window.partitionBy(track))
     )
     distance = F.coalesce(F.abs(F.col("bpm") - F.col("median_bpm")), F.lit(float("inf")))
     per_key = near.groupBy(track, "music_key").agg(
-        _windows(F.col("bits")).alias("votes"), F.min(distance).alias("distance"),
+        _union(F.collect_list("seen_in")).cast("bigint").alias("votes"), F.min(distance).alias("distance"),
         F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
     )
     named = F.col("music_key").isNotNull()

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trackloom.functions import paths
 from trackloom.model import MESSAGES, MODEL_MAX_SEC
-from trackloom.operators.skew import join_hot
 
 
 def waveform_error(samples: Column | str, duration: Column | str, decode_error: Column | str | None = None) -> Column:
@@ -57,11 +56,11 @@ def name_collisions(tracks: DataFrame, path: str = "path", by: str = "stem") ->
 
 
 def collision_members(tracks: DataFrame, path: str = "path", by: str = "stem") -> DataFrame:
-    """Every track of a shared name, as rows. A name may be on a third of all tracks."""
+    """Every track of a shared name, as rows. A name may be on a third of all tracks: the join is one Spark can split."""
     name = paths.stem(path) if by == "stem" else paths.file_name(path)
     named = tracks.select(name.alias("name"), F.col(path).alias("path"))
     shared = name_collisions(tracks, path, by).select("name", "tracks")
-    return join_hot(named, shared, "name", "inner", spread_by=["path"])
+    return named.join(shared, "name")
 
 
 def _length(name: str, dtype: T.DataType) -> Column:

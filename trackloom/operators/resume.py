@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trackloom.functions import paths
 from trackloom.functions.text import quoted
 from trackloom.model import ERROR, FATAL_ERROR_PATTERN, MESSAGES, OK
-from trackloom.operators.skew import join_hot
 from trackloom.sources.catalog import Catalog
 
 
@@ -16,27 +15,39 @@ def remaining_tracks(tracks: DataFrame, done: DataFrame, path: str = "path", key
 
     ``key="basename"`` compares file names, as older done lists do, and drops
     same-named tracks of other albums too; ``key="path"`` compares whole paths.
-    One basename may be on a third of all tracks, so the join is salted.
+    One basename may be on a third of all tracks; an anti-join is one that Spark splits when it is skewed.
     """
-    if key == "path":
-        return tracks.join(done.select(F.col("path").alias(path)).distinct(), path, "left_anti")
-    named = tracks.withColumn("_file", paths.file_name(path))
-    finished = done.select(F.col("file").alias("_file")).distinct()
-    return join_hot(named, finished, "_file", "left_anti", spread_by=[path]).drop("_file")
+    mine, theirs = _done_key(path, key)
+    finished = done.select(theirs.alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    return tracks.withColumn("_key", mine).join(finished, "_key", "left_anti").drop("_key")
 
 
-def conservation(tracks: DataFrame, done: DataFrame, path: str = "path") -> DataFrame:
-    """Counts before, done and remaining. ``balanced`` checks them against the anti-join.
+def _done_key(path: str, key: str) -> tuple[Column, Column]:
+    """What is compared, of a track and of a done row."""
+    if key not in ("basename", "path"):
+        raise ValueError(f"key is 'basename' or 'path', not {key!r}")
+    return (F.col(path), F.col("path")) if key == "path" else (paths.file_name(path), F.col("file"))
 
-    One pass: names are counted per file first, so the join sees each name once.
+
+def conservation(
+    tracks: DataFrame, done: DataFrame, path: str = "path", key: str = "basename", left: DataFrame | None = None,
+) -> DataFrame:
+    """Counts before, done and remaining. ``balanced`` holds if the done and the remaining make up all.
+
+    The remaining are counted in ``left``, such as a manifest that was written,
+    or else in the result of ``remaining_tracks``; the done by a join of their
+    own, which sees each key once.
     """
-    per_name = tracks.groupBy(paths.file_name(path).alias("file")).agg(F.count("*").alias("n"))
-    finished = done.select("file").distinct().withColumn("is_done", F.lit(True))
-    flagged = per_name.join(finished, "file", "left")
-    totals = flagged.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_before"),
-        F.coalesce(F.sum(F.when(F.col("is_done"), F.col("n"))), F.lit(0)).alias("total_done"),
-        F.coalesce(F.sum(F.when(F.col("is_done").isNull(), F.col("n"))), F.lit(0)).alias("total_left"),
+    mine, theirs = _done_key(path, key)
+    per_key = tracks.groupBy(mine.alias("_key")).agg(F.count("*").alias("n"))
+    finished = done.select(theirs.alias("_key")).where(F.col("_key").isNotNull()).distinct().withColumn("is_done", F.lit(True))
+    left = remaining_tracks(tracks, done, path, key) if left is None else left
+    zero = F.lit(0).cast("bigint")
+    parts = per_key.join(finished, "_key", "left").select(
+        "n", F.when(F.col("is_done"), F.col("n")).otherwise(zero).alias("done"), zero.alias("left")
+    ).union(left.agg(F.count("*").alias("left")).select(zero, zero, "left"))
+    totals = parts.agg(
+        F.sum("n").alias("total_before"), F.sum("done").alias("total_done"), F.sum("left").alias("total_left")
     )
     return totals.withColumn("balanced", F.col("total_before") == F.col("total_done") + F.col("total_left"))
 
@@ -116,10 +127,10 @@ def pending_pairs(
 def load_state(tracks: DataFrame, state: DataFrame, catalog: Catalog) -> DataFrame:
     """Each track with its record so far; an empty map of statuses for a new one.
 
-    ``state`` holds each (track, category) once, so the list of a track is no
-    longer than the catalogue.
+    Categories that the catalogue does not list stay in the map. ``state`` holds
+    each (track, category) once.
     """
-    per_track = state.where(F.col("category").isin(catalog.keys)).groupBy("track_id").agg(
+    per_track = state.where(F.col("category").isNotNull()).groupBy("track_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "status")))).alias("categories")
     )
     empty = F.expr("map()").cast("map<string,string>")
@@ -151,12 +162,13 @@ def fatal_cutoff(
     """Every row of a run after its first fatal error becomes a skipped error row.
 
     The first fatal position is a minimum per run (partial before the shuffle),
-    joined back; a run with a third of all rows is salted. No window over a run.
+    joined back: one row per run, which Spark broadcasts when it is small. No
+    window over a run.
     """
     fatal = F.col(fatal) if isinstance(fatal, str) else fatal
     position = F.struct(*order)
     first = results.groupBy(run).agg(F.min(F.when(fatal, position)).alias("_first"))
-    joined = join_hot(results, first, run, "left", spread_by=list(order))
+    joined = results.join(first, run, "left")
     skipped = F.coalesce(position > F.col("_first"), F.lit(False))
     return joined.withColumns({
         "skipped": skipped,

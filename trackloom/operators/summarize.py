@@ -10,8 +10,6 @@ from trackloom.functions.text import cell_text, quoted
 from trackloom.model import ERROR, MESSAGES, OK, PARTIAL, WINDOW_LABELS
 from trackloom.operators.resume import latest_state
 
-PART_SIZE = 10_000
-
 
 def status_of(ok_count: Column | str, total: Column | str) -> Column:
     """ok when all are (no prompts at all included), error when none is, else partial."""
@@ -73,18 +71,18 @@ def summary_pivot(
 def prompt_timing(responses: DataFrame, by: tuple[str, ...] = ("category",)) -> DataFrame:
     """Count, mean, min, median and max of seconds per prompt.
 
-    Seconds are on a 0.1 s grid, so rows collapse to (prompt, seconds) counts
-    first; the median then weighs a bounded number of values.
+    Rows collapse to (prompt, seconds) counts first, and the median weighs the
+    different values. Seconds add up as whole microseconds.
     """
-    tenths = whole_units("processing_time_sec", 10).alias("tenths")
+    micros = whole_units("processing_time_sec", 1_000_000).alias("micros")
     counts = (
         responses.where(F.col("processing_time_sec").isNotNull())
-        .groupBy(*by, tenths).agg(F.count("*").alias("n"))
+        .groupBy(*by, micros).agg(F.count("*").alias("n"))
     )
-    sec = F.col("tenths") / 10
+    sec = F.col("micros") / 1_000_000
     return counts.groupBy(*by).agg(
         F.sum("n").alias("responses"),
-        F.round(F.sum(F.col("tenths") * F.col("n")) / (F.sum("n") * 10), 3).alias("mean_sec"),
+        F.round(F.sum(F.col("micros") * F.col("n")) / (F.sum("n") * 1_000_000), 3).alias("mean_sec"),
         F.min(sec).alias("min_sec"),
         F.percentile(sec, 0.5, F.col("n")).alias("median_sec"),
         F.max(sec).alias("max_sec"),
@@ -94,17 +92,17 @@ def prompt_timing(responses: DataFrame, by: tuple[str, ...] = ("category",)) ->
 def nest_ordered(
     responses: DataFrame, track: str = "track_id", ord_col: str = "prompt_ord",
     fields: tuple[str, ...] = ("status", "output", "error"), order: tuple[str, ...] = (),
-    part_size: int = PART_SIZE,
+    part_size: int | None = None,
 ) -> DataFrame:
     """Responses back into arrays in prompt order: (track, part, responses).
 
-    Each (track, prompt) is reduced to its newest row first, and a record
-    holds at most ``part_size`` prompts: a track with more continues in the
-    next part, so no array grows without bound and no response is lost.
+    Each (track, prompt) is reduced to its newest row first. With ``part_size``
+    a record holds so many prompts at most, and a track with more continues in
+    the next part; without it a track is one record, part 0.
     """
     wanted = responses.select(track, ord_col, *fields, *[o for o in order if o not in fields])
     newest = latest_state(wanted, (track, ord_col), order or fields)
-    part = F.expr(f"cast({ord_col} div {part_size} as bigint)")
+    part = F.expr(f"cast({ord_col} div {part_size} as bigint)") if part_size else F.lit(0).cast("bigint")
     return newest.groupBy(track, part.alias("part")).agg(
         F.array_sort(F.collect_list(F.struct(ord_col, *fields))).alias("responses")
     )
@@ -114,40 +112,41 @@ def nest_by_category(
     log: DataFrame, keys: list[str], by: tuple[str, ...] = ("track_id",),
     fields: tuple[str, ...] = ("status", "output", "error"), order: tuple[str, ...] = ("updated_at",),
 ) -> DataFrame:
-    """The newest response of each catalogue category as a ``categories`` map.
+    """The newest response of each category as a ``categories`` map.
 
-    One shuffle by track; the map has at most one entry per catalogue key.
+    The categories of ``keys`` come first, in that order, then all others that
+    the log has. Each (track, category) is reduced to its newest row before
+    anything is gathered, so a map has one entry per category.
     """
-    entry = F.struct(*fields)
-    newest = [
-        F.max_by(entry, F.when(F.col("category") == k, F.struct(*order))).alias(f"_c{i}")
-        for i, k in enumerate(keys)
-    ]
-    wide = log.where(F.col("category").isin(keys)).groupBy(*by).agg(*newest)
-    present = F.map_filter(
-        F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(f"_c{i}") for i in range(len(keys))])),
-        lambda k, v: v.isNotNull(),
-    )
-    return wide.select(*by, present.alias("categories"))
+    newest = latest_state(log.select(*by, "category", *fields, *[o for o in order if o not in fields]), (*by, "category"), order)
+    known = F.array(*[F.lit(k) for k in keys]).cast("array<string>")
+    place = F.coalesce(F.nullif(F.array_position(known, F.col("category")), F.lit(0)), F.lit(len(keys) + 1))
+    entry = F.struct(place.alias("place"), "category", F.struct(*fields).alias("answer"))
+    gathered = newest.where(F.col("category").isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    pairs = F.transform("_e", lambda e: F.struct(e["category"], e["answer"]))
+    return gathered.select(*by, F.map_from_entries(pairs).alias("categories"))
 
 
-def nest_windows(captions: DataFrame, keys: list[str], by: tuple[str, ...] = ("path",)) -> DataFrame:
+def nest_windows(
+    captions: DataFrame, keys: list[str], by: tuple[str, ...] = ("path",), order: tuple[str, ...] = (),
+) -> DataFrame:
     """Window captions into ``chunks``, windows in order.
 
-    Windows and prompts are both fixed lists. A window's captions are one
-    aggregate per prompt, and a track collects at most its four windows,
-    whatever repeats the input holds.
+    A window beyond the labelled ones has no label. Of several answers of one
+    window and prompt the newest by ``order`` counts, of equals the greatest
+    text. A window's captions are one aggregate per prompt, and a track collects
+    each of its windows once, whatever repeats the input holds.
     """
-    known = captions.where(F.col("chunk_index").between(0, len(WINDOW_LABELS) - 1))
-    per_window = known.groupBy(*by, "chunk_index").agg(
+    newest = F.struct(*order, F.col("output"))
+    per_window = captions.where(F.col("chunk_index").isNotNull()).groupBy(*by, "chunk_index").agg(
         F.min("start_seconds").alias("start_seconds"), F.min("end_seconds").alias("end_seconds"),
-        *[F.max(F.when(F.col("category") == k, F.col("output"))).alias(f"_{j}") for j, k in enumerate(keys)],
+        *[F.max(F.when(F.col("category") == k, newest))["output"].alias(f"_{j}") for j, k in enumerate(keys)],
     )
     texts = F.map_filter(
         F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(f"_{j}") for j in range(len(keys))])),
         lambda k, v: v.isNotNull(),
     )
-    label = F.element_at(F.array(*[F.lit(w) for w in WINDOW_LABELS]), F.col("chunk_index") + 1)
+    label = F.get(F.array(*[F.lit(w) for w in WINDOW_LABELS]), F.col("chunk_index"))
     chunk = F.struct("chunk_index", label.alias("label"), "start_seconds", "end_seconds", texts.alias("captions"))
     nested = per_window.groupBy(*by).agg(F.collect_list(chunk).alias("chunks"))
     in_order = F.array_sort("chunks", lambda x, y: x["chunk_index"] - y["chunk_index"])
@@ -161,12 +160,14 @@ def flat_summary(results: DataFrame) -> DataFrame:
     ).withColumn("fail_count", F.col("total_tracks") - F.col("success_count"))
 
 
-def job_summary(tracks: DataFrame, rollup: DataFrame, prompts: int, output_dir: str, path: str = "path") -> DataFrame:
+def job_summary(
+    tracks: DataFrame, rollup: DataFrame, prompts: int, output_dir: str, path: str = "path", key: str = "track_id",
+) -> DataFrame:
     """One row per manifest entry. A missing file is an error row with no time and no record.
 
-    ``tracks`` carries ``exists``; ``rollup`` has one row per ``track_id``.
+    ``tracks`` carries ``exists``; ``rollup`` has one row per ``key``.
     """
-    joined = tracks.join(rollup, "track_id", "left")
+    joined = tracks.join(rollup, key, "left")
     there = F.col("exists")
     missing = F.concat(F.lit(MESSAGES["not_found"].removesuffix("%s")), quoted(path))
     return joined.select(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trackloom.session import spread
 from trackloom.sources.catalog import Catalog
 
 EVENT_CATALOG = Catalog("events", tuple(
@@ -177,7 +176,7 @@ def captions(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_quantity"
     )
-    return spread(lines).select(
+    return lines.select(
         F.col("l_orderkey").alias("track_id"), F.col("l_linenumber").alias("chunk_index"), F.inline(rows)
     )
 
@@ -231,6 +230,8 @@ def manifest_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"n": '), text("p_partkey"),
         part(kind != "LARGE", ', "path": "', F.col("p_brand"), "/", F.col("p_name"), " ", text("p_partkey"), '.mp3"'),
         part(size > 25, ', "max_new_tokens": ', (size * 20).cast("string")),
+        part(size == 20, ', "max_new_tokens": "many"'),
+        part(size == 21, ', "max_new_tokens": null'),
         part(size <= 10, ', "precision": null'),
         part(size > 40, ', "precision": "4bit"'),
         part(kind == "PROMO", ', "prompt_mode": "custom", "custom_prompt": "', F.col("p_name"), '"'),
@@ -256,6 +257,6 @@ SETTINGS = """settings AS (
       WHEN p_type = 'ECONOMY' THEN 'default' ELSE 'minimal' END AS prompt_mode,
     CASE WHEN p_type = 'PROMO' THEN p_name END AS custom_prompt,
     './out/' AS output_dir,
-    CASE WHEN p_size > 25 THEN p_size * 20 ELSE 512 END AS asked,
+    CASE WHEN p_size > 25 THEN p_size * 20 WHEN p_size NOT IN (20, 21) THEN 512 END AS asked, p_size = 20 AS unreadable,
     CASE WHEN p_type = 'ECONOMY' THEN p_name END AS title
   FROM part)"""

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trackloom.operators import config
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
-from trackloom.session import spread
 from trackloom.sources.catalog import MODE_PROMPTS
 
 CARRY = ("track_index", "job")
@@ -19,19 +18,20 @@ def _settings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {a.SETTINGS}
 SELECT track_index, job, path, model_id, precision, prompt_mode, output_dir, custom_prompt,
-  least(asked, 512) AS max_new_tokens, title FROM settings""")
+  CASE WHEN asked IS NOT NULL THEN least(asked, 512) END AS max_new_tokens, title FROM settings""")
 def layered_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settings(spark, sf_dir).withColumn("title", F.try_element_at("tags", F.lit("title"))).drop("tags", "clamped")
 
 
-@query(f"WITH {a.SETTINGS} SELECT track_index, least(asked, 512) AS max_new_tokens, asked > 512 AS clamped FROM settings")
+@query(f"WITH {a.SETTINGS} SELECT track_index, CASE WHEN asked IS NOT NULL THEN least(asked, 512) END AS max_new_tokens, coalesce(asked > 512, false) AS clamped FROM settings")
 def config_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settings(spark, sf_dir).select("track_index", "max_new_tokens", "clamped")
 
 
 @query(f"""WITH {a.SETTINGS}
-SELECT track_index, job, 'Track at index ' || track_index || ' is missing required key ''path''.' AS reason
-FROM settings WHERE path IS NULL""")
+SELECT track_index, job, 'Entry ' || track_index || CASE WHEN path IS NULL THEN ' of the manifest has no path.'
+  ELSE ' asks for a number of tokens that is not a whole number.' END AS reason
+FROM settings WHERE path IS NULL OR unreadable""")
 def config_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.manifest_rejects(a.manifest_entries(spark, sf_dir), CARRY)
 
@@ -40,9 +40,9 @@ def config_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT track_index, CASE prompt_mode WHEN 'minimal' THEN '{MODE_PROMPTS["minimal"]}'
     WHEN 'default' THEN '{MODE_PROMPTS["default"]}' WHEN 'custom' THEN custom_prompt END AS prompt,
   CASE WHEN prompt_mode = 'custom' AND custom_prompt IS NULL
-      THEN '--custom-prompt is required when --prompt-mode is ''custom''.'
+      THEN 'Prompt mode ''custom'' needs a custom prompt.'
     WHEN prompt_mode = 'verbose'
-      THEN 'Unknown prompt mode: ''verbose''. Must be ''minimal'', ''default'', or ''custom''.' END AS reason
+      THEN 'Prompt mode ''verbose'' is not known; use minimal, default or custom.' END AS reason
 FROM settings""")
 def prompt_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompt, reason = config.prompt_for_mode()
@@ -50,11 +50,10 @@ def prompt_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {a.SETTINGS}
-SELECT job, arg_min(coalesce(precision, 'none'), track_index) AS used, count(DISTINCT coalesce(precision, 'none')) AS n_values,
+SELECT job, arg_min_null(precision, track_index) AS used, count(DISTINCT coalesce(precision, 'none')) AS n_values,
   count(DISTINCT coalesce(precision, 'none')) > 1 AS mixed FROM settings GROUP BY job""")
 def mixed_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _settings(spark, sf_dir).fillna("none", ["precision"])
-    return config.mixed_settings(known, "precision", "job")
+    return config.mixed_settings(_settings(spark, sf_dir), "precision", "job")
 
 
 @query(f"WITH {a.SETTINGS} SELECT precision AS value, count(*) AS tracks FROM settings GROUP BY 1")
@@ -89,7 +88,7 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = a.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus"
     )
-    requests = spread(lines).select(
+    requests = lines.select(
         "l_orderkey", "l_linenumber",
         (F.col("l_quantity") * 10).cast("int").cast("string").alias("duration"),
         F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("guidance"),

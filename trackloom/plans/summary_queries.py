@@ -99,10 +99,10 @@ def summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT CAST(conv_id AS VARCHAR) AS track_id, turn // 10000 AS part, count(*) AS n,
-  string_agg(turn || ':' || length(text), ',' ORDER BY turn) AS body FROM conversations GROUP BY 1, 2""")
+  string_agg(turn || ':' || text, ',' ORDER BY turn) AS body FROM conversations GROUP BY 1, 2""")
 def nest_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = summarize.nest_ordered(a.turns(spark, sf_dir))
-    body = F.transform("responses", lambda r: F.concat_ws(":", r["prompt_ord"], F.length(r["output"])))
+    nested = summarize.nest_ordered(a.turns(spark, sf_dir), part_size=10_000)
+    body = F.transform("responses", lambda r: F.concat_ws(":", r["prompt_ord"], r["output"]))
     return nested.select(
         "track_id", "part", F.size("responses").cast("bigint").alias("n"), F.array_join(body, ",").alias("body")
     )

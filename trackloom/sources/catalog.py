@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from trackloom.model import CATEGORY_KEYS, DETAIL_KEYS
 
-MAX_PROMPTS = 1000
-
 CATALOG_SCHEMA = T.StructType([
     T.StructField("prompt_set", T.StringType()),
     T.StructField("ord", T.IntegerType()),
@@ -30,8 +28,6 @@ class Catalog:
     entries: tuple[tuple[str, str], ...]
 
     def __post_init__(self):
-        if len(self.entries) > MAX_PROMPTS:
-            raise ValueError(f"a catalogue holds at most {MAX_PROMPTS} prompts")
         if len(set(self.keys)) != len(self.entries):
             raise ValueError("categories must be unique")
 
@@ -73,13 +69,10 @@ class Catalog:
 
 
 def read_catalog(spark: SparkSession, path: str, name: str) -> Catalog:
-    """A catalogue from JSON lines with the columns of ``CATALOG_SCHEMA``.
-
-    Reads at most ``MAX_PROMPTS`` + 1 rows to the driver and rejects more.
-    """
+    """A catalogue from JSON lines with the columns of ``CATALOG_SCHEMA``: configuration, read by the driver."""
     rows = (
         spark.read.schema(CATALOG_SCHEMA).json(path)
-        .where(F.col("prompt_set") == name).orderBy("ord").limit(MAX_PROMPTS + 1).collect()
+        .where(F.col("prompt_set") == name).orderBy("ord").collect()
     )
     return Catalog(name, tuple((r["category"], r["prompt"]) for r in rows))
 
