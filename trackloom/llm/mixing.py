@@ -1,14 +1,15 @@
 """Language-model scores by online logistic context mixing.
 
 A text is its tokens: words with A-Z in lower case, then one end. Each token is coded as the path to its leaf in a binary
-tree, and each turn of the path is a bit to predict. The tree is a Huffman tree over 2**16 classes of words (by hash) and
+tree, and each turn of the path is a bit to predict. The tree is a Huffman tree over 2**11 classes of words (by hash) and
 one class for words that training has not seen twice, so common words need few bits. A word's share in its class comes
 from its own count.
 
 Each bit is predicted in four contexts: none, the last common word, the last word, the last two words. The counts of the
-contexts are hashed tables of fixed size. Their log-odds are mixed by weights that a gate picks from the evidence which the
-two longer contexts have. The weights, and a table that corrects the mixture, are adapted online after every bit. They
-start anew in every stretch of ``LANE`` tokens, so all stretches advance side by side, one bit of each at a time.
+contexts are hashed tables of fixed size. Their log-odds go through gates, which the evidence of a context's slot opens, and
+are mixed by weights. The weights, and a table that corrects the mixture, are adapted online
+after every bit. They start anew in every stretch of ``LANE`` tokens, so all stretches advance side by side, one bit of
+each at a time.
 
 Corpus counts, tables and tree come from all training documents: word counts through one exchange of packed blocks, hashed
 counts as sums of dense tables. Only the tables, of fixed size, are sent to the tasks.
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 from trackloom.llm.tables import partitions, written
 from trackloom.llm.words import Words, blobs, key_of, mixed, slices, unblobs
 
-CLASSES = 1 << 16
+CLASSES = 1 << 11
 #: Class of words that training lacks or has once; takes the place of the last hash class.
 RARE = CLASSES - 1
 #: Slots of the hashed tables: last common word, last word, last two words.
-SLOTS = (1 << 20, 1 << 21, 1 << 21)
+SLOTS = (1 << 19, 1 << 20, 1 << 20)
 #: A word counts as common if its path has at most so many bits.
 COMMON_BITS = 9
 #: Tokens that share one set of adaptive weights.
@@ -39,11 +40,13 @@ LANE = 256
 #: Size of a step of the weights, and of the corrections.
 RATE, CORRECTION_RATE = 0.02, 0.02
 #: Stretches of slots in which tables travel, and tokens that are worked on at a time.
-RANGE, TOKENS = 1 << 13, 300_000
+RANGE, TOKENS = 1 << 13, 250_000
 #: Weight of a rare word that training has, against 1 for each further occurrence.
 ONCE = 0.5
 _TABLES = (CLASSES, *SLOTS)
 _OFFSETS = np.concatenate(([0], np.cumsum(_TABLES)))
+#: What the gate of each context lets through, for slots that training has not seen, has seen up to 3 times, or more often.
+_GATES = np.array([[0.25, 0.25, 0.25], [0.6, 0.6, 0.6], [0.1, 0.2, 0.3], [0.1, 0.4, 0.7]])
 _END = np.uint64(0xE7D0E7D0E7D0E7D1)
 
 
@@ -186,6 +189,7 @@ class Coder:
     def __init__(self, counts: np.ndarray):
         self.length, self.nodes, self.bits = huffman(counts)
         self.first = np.concatenate(([0], np.cumsum(self.length)))
+        self.salts = mixed(self.nodes.astype(np.uint64) + np.uint64(1)).astype(np.uint32)
 
     def slots(self, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bits, slots (one row per context, in the joint table) and where each token's bits end."""
@@ -200,17 +204,20 @@ class Coder:
         seen = np.concatenate(([-1], np.maximum.accumulate(common)[:-1])) if n else common
         topic = np.where(seen >= start, codes[np.maximum(seen, 0)], CLASSES + 2)
         contexts = [topic, last, last * (CLASSES + 3) + before]
-        hashed = [mixed((c.astype(np.uint64) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)) for i, c in enumerate(contexts)]
+        hashed = [mixed((c.astype(np.uint64) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32) for i, c in enumerate(contexts)]
         sizes = self.length[codes]
         ends = np.cumsum(sizes)
-        token = np.repeat(np.arange(n), sizes)
-        where = np.arange(len(token)) - np.repeat(ends - sizes, sizes) + self.first[codes][token]
-        node = self.nodes[where]
-        salt = node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        out = np.empty((4, len(token)), np.int32)
-        out[0] = node
+        total = int(ends[-1]) if n else 0
+        where = np.arange(total, dtype=np.int32) + np.repeat((self.first[codes] - (ends - sizes)).astype(np.int32), sizes)
+        salt = self.salts[where]
+        out = np.empty((4, total), np.int32)
+        out[0] = self.nodes[where]
         for i, (h, size) in enumerate(zip(hashed, SLOTS, strict=True)):
-            out[i + 1] = ((h[token] ^ salt) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64) + _OFFSETS[i + 1]
+            slot = np.repeat(h, sizes)
+            slot ^= salt
+            slot *= np.uint32(0x9E3779B1)
+            slot >>= np.uint32(32 - size.bit_length() + 1)
+            np.add(slot, np.uint32(_OFFSETS[i + 1]), out=out[i + 1], casting="unsafe")
         return self.bits[where], out, ends
 
 
@@ -247,12 +254,13 @@ def _count_tables(coder):
 
 
 def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each range of slots the log-odds and the evidence, of the sum of all tasks' counts. Rows come sorted by bucket."""
+    """For each range of slots the gated log-odds of the sum of all tasks' counts. Rows come sorted by bucket."""
     def made(bucket, total):
         zeros, ones = total[::2], total[1::2]
-        odds = np.log((ones + 0.4) / (zeros + 0.4)).astype("<f2")
-        evidence = np.minimum(np.log2(zeros + ones + 1), 255).astype(np.uint8)
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([odds.tobytes()], pa.binary()), pa.array([evidence.tobytes()], pa.binary())], ["bucket", "odds", "evidence"])
+        context = np.searchsorted(_OFFSETS, bucket * RANGE + np.arange(RANGE), side="right") - 1
+        seen = np.digitize(zeros + ones, (1, 4))
+        odds = (np.log((ones + 0.4) / (zeros + 0.4)) * _GATES[np.minimum(context, 3), seen]).astype("<f4")
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([odds.tobytes()], pa.binary())], ["bucket", "odds"])
 
     bucket, total = None, None
     for batch in batches:
@@ -268,62 +276,75 @@ def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made(bucket, total)
 
 
-#: First weights of the contexts for each gate: the longer contexts count as much as they have been seen.
-_GATES = 9
-_FIRST = np.array([[0.25, 0.6, 0.1 + 0.1 * (g // 3), 0.1 + 0.3 * (g % 3)] for g in range(_GATES)], np.float32)
 _BINS = 24
 
 
-def mix(bits: np.ndarray, odds: np.ndarray, gate: np.ndarray, lane_first: np.ndarray, lane_size: np.ndarray) -> np.ndarray:
-    """log10 probability of every bit.
+def side_by_side(lane_first: np.ndarray, lane_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the bits in which lanes advance together, and how many lanes are still going at each step.
 
-    odds: a row per context. Lanes are stretches of bits; each starts with the first weights and adapts them bit by bit. All
-    lanes advance together, the longest first, so that those still going are always in front.
+    The longest lanes come first, so that those still going are always in front.
     """
-    out = np.zeros(len(bits), np.float32)
     order = np.argsort(-lane_size, kind="stable")
     first, size = lane_first[order], lane_size[order]
-    n_lanes = len(order)
-    weights = np.tile(_FIRST.reshape(1, _GATES, 4), (n_lanes, 1, 1)).reshape(-1, 4)
+    steps = int(size[0]) if len(size) else 0
+    live = np.searchsorted(-size, -np.arange(steps), side="left")
+    lane = np.arange(int(live.sum()), dtype=np.int32) - np.repeat((np.cumsum(live) - live).astype(np.int32), live)
+    return first.astype(np.int32)[lane] + np.repeat(np.arange(steps, dtype=np.int32), live), live
+
+
+def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """Probability of every bit, for bits in the order of ``side_by_side``.
+
+    odds: a row of log-odds per context, through the gate. Each lane starts with weights of 1 and an identical correction,
+    and adapts both after each of its bits.
+    """
+    out = np.empty(len(bits), np.float32)
+    n_lanes = int(live[0]) if len(live) else 0
+    weights = np.ones((4, n_lanes), np.float32)
     centre = ((np.arange(_BINS) + 0.5) / _BINS * 24 - 12).astype(np.float32)
     fix = np.tile(1 / (1 + np.exp(-centre)), (n_lanes, 1)).astype(np.float32).ravel()
-    rows, bins = np.arange(n_lanes) * _GATES, np.arange(n_lanes) * _BINS
-    live = np.searchsorted(-size, -np.arange(int(size[0]) if n_lanes else 0), side="left")
-    for t, n in enumerate(live.tolist()):
-        at = first[:n] + t
-        x = odds[at]
-        which = rows[:n] + gate[at]
-        w = weights[which]
-        dot = np.clip(np.einsum("ij,ij->i", x, w), -11.5, 11.5)
-        p = 1 / (1 + np.exp(-dot))
-        bit = bits[at]
-        cell = bins[:n] + ((dot + 12) * np.float32(_BINS / 24)).astype(np.int64)
+    bins = np.arange(n_lanes, dtype=np.int32) * _BINS
+    begin = 0
+    for n in live.tolist():
+        x, bit, w = odds[:, begin : begin + n], bits[begin : begin + n], weights[:, :n]
+        dot = np.einsum("ij,ij->j", x, w)
+        np.clip(dot, -11.5, 11.5, out=dot)
+        p = np.exp(-dot)
+        p += np.float32(1)
+        np.reciprocal(p, out=p)
+        dot += np.float32(12)
+        dot *= np.float32(_BINS / 24)
+        cell = dot.astype(np.int32)
+        cell += bins[:n]
         q = fix[cell]
-        final = np.float32(0.75) * p + np.float32(0.25) * q
-        out[at] = np.where(bit, final, 1 - final)
-        weights[which] = w + (np.float32(RATE) * (bit - p))[:, None] * x
-        fix[cell] = q + np.float32(CORRECTION_RATE) * (bit - q)
-    return np.log10(out)
+        out[begin : begin + n] = np.float32(0.75) * p + np.float32(0.25) * q
+        q += np.float32(CORRECTION_RATE) * (bit - q)
+        fix[cell] = q
+        np.subtract(bit, p, out=p)
+        p *= np.float32(RATE)
+        w += x * p
+        begin += n
+    return np.where(bits > 0, out, 1 - out)
 
 
 def _score(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, odds, evidence, log_class, log_once, known, all_tokens = model.value
+        coder, odds, log_class, log_once, known, all_tokens = model.value
         for batch in _chunks(batches):
             codes, n = unblobs(batch.column("codes"), "<u2")
             first = np.concatenate(([0], np.cumsum(n)))
             bits, slots, ends = coder.slots(codes, first)
-            x = odds[slots.T].astype(np.float32)
-            seen = [np.digitize(evidence[slots[i]], (1, 3)) for i in (2, 3)]
-            gate = 3 * seen[0] + seen[1]
             # a lane is at most LANE tokens of one document
             within = np.arange(len(codes)) - np.repeat(first[:-1], n)
             heads = np.flatnonzero(within % LANE == 0)
             starts = np.concatenate(([0], ends))
             lane_first = starts[heads]
             lane_size = np.diff(np.append(lane_first, len(bits)))
-            logs = mix(bits.astype(np.float32), x, gate, lane_first, lane_size)
-            sums = np.concatenate(([0.0], np.cumsum(logs, dtype=np.float64)))
+            order, live = side_by_side(lane_first, lane_size)
+            x = np.stack([odds[row[order]] for row in slots])
+            logs = np.empty(len(bits))
+            logs[order] = np.log10(mix(bits[order].astype(np.float32), x, live))
+            sums = np.concatenate(([0.0], np.cumsum(logs)))
             by_doc = sums[starts[first[1:]]] - sums[starts[first[:-1]]]
             share = np.concatenate(([0.0], np.cumsum(log_class[codes])))
             share = share[first[1:]] - share[first[:-1]]
@@ -364,18 +385,17 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     for row in train.mapInArrow(_class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["class"]] = row["n"]
     coder = spark.sparkContext.broadcast(Coder(counts + 0.3))
-    tables = train.mapInArrow(_count_tables(coder), "bucket int, counts binary").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_odds, "bucket int, odds binary, evidence binary")
-    odds, evidence = np.zeros(int(_OFFSETS[-1]), np.float16), np.zeros(int(_OFFSETS[-1]), np.uint8)
+    tables = train.mapInArrow(_count_tables(coder), "bucket int, counts binary").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_odds, "bucket int, odds binary")
+    odds = np.zeros(int(_OFFSETS[-1]), np.float32)
     for row in written(tables, "tables").toLocalIterator():
         part = slice(row["bucket"] * RANGE, (row["bucket"] + 1) * RANGE)
-        odds[part] = np.frombuffer(row["odds"], "<f2")[: len(odds[part])]
-        evidence[part] = np.frombuffer(row["evidence"], np.uint8)[: len(odds[part])]
+        odds[part] = np.frombuffer(row["odds"], "<f4")[: len(odds[part])]
     # in the rare class, a word of training shares the class's mass with its like; the rest is for words that it lacks
     n_once = float(counts[RARE])
     log_class = np.log10(np.maximum(counts, 1.0))
     log_class[RARE] = 0.0
     once = (np.log10(ONCE / max(n_once, 1.0)), np.log10(1 - ONCE) if n_once else 0.0)
-    model = spark.sparkContext.broadcast((coder.value, odds, evidence, log_class, once, known, all_tokens))
+    model = spark.sparkContext.broadcast((coder.value, odds, log_class, once, known, all_tokens))
     return coded.mapInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
 
 
