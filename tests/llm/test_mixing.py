@@ -51,19 +51,22 @@ def test_mixing_matches_one_bit_at_a_time():
     rng = np.random.default_rng(3)
     sizes = np.array([40, 7, 25])
     n = int(sizes.sum())
-    bits, gate = rng.integers(0, 2, n).astype(np.float32), rng.integers(0, 9, n)
-    odds = rng.normal(size=(n, 4)).astype(np.float32)
+    bits = rng.integers(0, 2, n).astype(np.float32)
+    odds = rng.normal(size=(4, n)).astype(np.float32)
     first = np.cumsum(sizes) - sizes
-    got = mixing.mix(bits, odds, gate, first, sizes)
+    order, live = mixing.side_by_side(first, sizes)
+    assert sorted(order.tolist()) == list(range(n)) and live.tolist() == [3] * 7 + [2] * 18 + [1] * 15
+    got = np.empty(n)
+    got[order] = mixing.mix(bits[order], odds[:, order], live)
     for lane in range(3):
-        weights = mixing._FIRST.astype(float).copy()
+        weights = np.ones(4)
         fix = 1 / (1 + np.exp(-((np.arange(mixing._BINS) + 0.5) / mixing._BINS * 24 - 12)))
         for t in range(first[lane], first[lane] + sizes[lane]):
-            dot = float(np.clip(odds[t] @ weights[gate[t]], -11.5, 11.5))
+            dot = float(np.clip(odds[:, t] @ weights, -11.5, 11.5))
             p, cell = 1 / (1 + math.exp(-dot)), int((dot + 12) * mixing._BINS / 24)
             final = 0.75 * p + 0.25 * fix[cell]
-            assert math.isclose(got[t], math.log10(final if bits[t] else 1 - final), rel_tol=1e-3, abs_tol=1e-4)
-            weights[gate[t]] += mixing.RATE * (bits[t] - p) * odds[t]
+            assert math.isclose(got[t], final if bits[t] else 1 - final, rel_tol=1e-3, abs_tol=1e-4)
+            weights += mixing.RATE * (bits[t] - p) * odds[:, t]
             fix[cell] += mixing.CORRECTION_RATE * (bits[t] - fix[cell])
 
 
