@@ -99,15 +99,20 @@ def test_manifest_job(spark, tmp_path):
     manifest.write_text(json.dumps({"globals": {"prompt_mode": "custom", "custom_prompt": "Say."}, "tracks": [
         {"path": "A/2.wav"}, {"path": "A/gone.wav"}, {"path": "A/1.wav", "prompt_mode": "minimal"}, {"path": "A/1.wav"}]}))
     jobs.caption_job(spark, str(manifest), root, log, "j1", str(tmp_path / "out"), make_annotator=Loudness)
-    rows = {r.track_id[-5:]: r for r in read_log(spark, log).collect()}
-    assert set(rows) == {"1.wav", "2.wav"} and rows["2.wav"].output == "Say. 2.0s" and rows["1.wav"].category == "minimal"
+    rows = {r.entry: r for r in read_log(spark, log).collect()}
+    assert {e: r.track_id[-5:] for e, r in rows.items()} == {0: "2.wav", 2: "1.wav", 3: "1.wav"}
+    # the same file twice: each entry has its own prompt
+    assert rows[0].output == "Say. 2.0s" and rows[2].category == "minimal" and rows[3].output == "Say. 1.0s"
     document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out" / "results_summary.json").glob("part-*"))))
     assert (document["total_tracks"], document["ok_count"], document["fail_count"]) == (4, 3, 1)
     gone = [r for r in document["results"] if r["file"] == "gone.wav"][0]
     assert gone["error"] == "File not found: 'A/gone.wav'" and "output_file" not in gone and gone["prompts_ok"] == 0
 
     jobs.caption_job(spark, str(manifest), root, log, "j2", str(tmp_path / "out2"), catalog=CATALOG)
-    assert read_log(spark, log).where("run_id = 'j2'").count() == 4
+    assert read_log(spark, log).where("run_id = 'j2'").count() == 6
+    written = [json.loads(x) for p in (tmp_path / "out2" / "records").glob("part-*") for x in p.read_text().splitlines()]
+    assert sorted(r["entry"] for r in written) == [0, 2, 3] and set(written[0]["categories"]) == {"genre", "vocals"}
+    assert "timestamp" in document
     manifest.write_text(json.dumps({"tracks": [{"path": "A/1.wav", "prompt_mode": "custom"}]}))
     with pytest.raises(ValueError, match="needs a custom prompt"):
         jobs.caption_job(spark, str(manifest), root, log, "j3", str(tmp_path / "out3"))
@@ -134,3 +139,58 @@ def test_window_job(spark, tmp_path):
     assert rows["1.wav", 2, "genre"].output == "G?50"
     assert (rows["1.wav", 2, "vocals"].status, rows["1.wav", 2, "vocals"].error) == ("error", "too short")
     assert rows["4.wav", 1, "vocals"].output == "V?150"
+
+
+def test_runs_under_one_id_lose_nothing(spark, tmp_path):
+    root, log = music(tmp_path, ["A/1.wav", "A/2.wav"]), str(tmp_path / "log")
+    for names, total in ((["A/1.wav", "A/2.wav"], 4), ([], 4), (["A/1.wav", "A/2.wav", "A/3.wav"], 6)):
+        music(tmp_path, names)
+        jobs.caption_directory(spark, root, log, "same", CATALOG, Loudness)
+        rows = read_log(spark, log).collect()
+        assert len(rows) == total == len({(r.track_id, r.category) for r in rows})
+
+
+def test_stream_with_a_new_checkpoint_keeps_old_rows(spark, tmp_path):
+    root, log = music(tmp_path, ["A/1.wav"]), str(tmp_path / "log")
+
+    def drain(mark):
+        tracks = stream_audio(spark, root, with_content=False).withColumn("track_id", F.col("path"))
+        streams.resume_annotation(
+            spark, tracks, CATALOG, log, "same", str(tmp_path / mark),
+            lambda todo: an.annotate(todo, Loudness, content="path", opened=True),
+        ).awaitTermination()
+
+    drain("one")
+    music(tmp_path, ["A/1.wav", "A/2.wav"])
+    drain("two")
+    rows = read_log(spark, log).collect()
+    assert len(rows) == 4 and {r.status for r in rows} == {"ok"}
+
+
+def test_only_pending_files_are_read(spark, tmp_path):
+    import os
+
+    root, log = music(tmp_path, ["A/1.wav", "A/2.WAV"]), str(tmp_path / "log")
+    jobs.caption_directory(spark, root, log, "r", CATALOG, Loudness)
+    os.remove(f"{root}/A/1.wav")
+    os.symlink("/proc/kcore", f"{root}/A/big.zip")  # neither readable nor of a size to read
+    open(f"{root}/A/1.wav", "wb").close()
+    os.chmod(f"{root}/A/1.wav", 0)
+    with open(f"{root}/A/3.wav", "wb") as f:
+        f.write(wav(np.zeros(100, "<i2").tobytes()))
+    jobs.caption_directory(spark, root, log, "r", CATALOG, Loudness)
+    rows = read_log(spark, log).collect()
+    assert {(r.track_id[-5:], r.status) for r in rows} == {("1.wav", "ok"), ("2.WAV", "ok"), ("3.wav", "ok")}
+
+
+def test_samples_reach_the_annotator_as_numbers(spark):
+    class Mean:
+        def prepare(self, content):
+            assert isinstance(content, np.ndarray)
+            return float(content.mean())
+
+        def annotate(self, prepared, prompt):
+            return {"output": f"{prepared:.1f}"}
+
+    todo = spark.createDataFrame([("a", [1.0, 2.0])], "track_id string, content array<float>").withColumn("prompts", CATALOG.as_array())
+    assert {r.output for r in an.annotate(todo, Mean).collect()} == {"1.5"}

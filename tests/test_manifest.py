@@ -135,3 +135,32 @@ def test_empty_manifest_is_still_a_document(spark, tmp_path):
     write_manifest(settings, none, str(tmp_path / "m"))
     whole = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*")))
     assert json.loads(whole) == {"globals": {"model_id": "m1"}, "tracks": []}
+
+
+def test_filter_keeps_entries_as_they_stand(spark, tmp_path, manifest):
+    document = {"globals": {"model_id": "m", "max_new_tokens": 512, "deep": {"a": [1, None]}}, "tracks": [
+        {"path": "B/2.mp3", "tags": {"track_number": 2, "title": "é, \"x\""}, "precision": None},
+        {"path": "A/1.mp3", "max_new_tokens": 128}, {"path": "B/2.mp3", "prompt_mode": "minimal"}, {"path": "C/1.mp3"}, {"path": "C/9.mp3"}]}
+    done = tmp_path / "done"
+    done.mkdir()
+    (done / "x.caption.json").write_text(json.dumps({"file": "1.mp3", "path": "A/1.mp3"}, indent=2))
+
+    def read(folder):
+        return json.loads("".join(p.read_text() for p in sorted((tmp_path / folder).glob("part-*"))))
+
+    counts = jobs.filter_manifest(spark, manifest(document), str(done), str(tmp_path / "by_path"), key="path").first()
+    want = {**document, "tracks": [t for t in document["tracks"] if t["path"] != "A/1.mp3"]}
+    assert read("by_path") == want and tuple(counts) == (5, 1, 4, True)
+    # the line-framed form again, by name: C/1.mp3 goes too
+    counts = jobs.filter_manifest(spark, str(tmp_path / "by_path"), str(done), str(tmp_path / "by_name")).first()
+    assert read("by_name") == {**want, "tracks": [t for t in want["tracks"] if t["path"] != "C/1.mp3"]}
+    assert tuple(counts) == (4, 1, 3, True)
+    resolved = jobs.resolve_job(spark, str(tmp_path / "by_name"), framed=True).orderBy("track_index").collect()
+    assert [(r.track_index, r.path, r.max_new_tokens) for r in resolved] == [(0, "B/2.mp3", 512), (1, "B/2.mp3", 512), (2, "C/9.mp3", 512)]
+
+
+def test_unreadable_numbers_are_rejected(spark, manifest):
+    bad = manifest({"globals": {"max_new_tokens": "many"}, "tracks": [{"path": "a"}, {"path": "b", "max_new_tokens": 5}, {"path": "c", "max_new_tokens": None}]})
+    rows = manifests.read_manifest(spark, bad)
+    assert [r.track_index for r in config.manifest_rejects(rows).collect()] == [0]
+    assert [r.max_new_tokens for r in config.resolve_settings(rows).orderBy("track_index").collect()] == [None, 5, None]

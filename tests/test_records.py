@@ -99,15 +99,18 @@ def test_summary_csv_is_plain_csv(spark, tmp_path):
                     ["a.mp3", "/a.mp3", 'said "hi",  90 BPM‑ish', '[error] no, "go"', "[missing]"]]
 
 
-def test_log_batches_are_replaced_not_repeated(spark, tmp_path):
+def test_only_a_replay_of_a_stream_replaces_its_batch(spark, tmp_path):
     path = str(tmp_path / "log")
     assert read_log(spark, path).count() == 0
     batch = spark.createDataFrame([("t", "genre", "ok")], "track_id string, category string, status string")
-    write_batch(batch, path, "run", 0)
-    write_batch(batch, path, "run", 0)
-    write_batch(batch, path, "run", 1)
+    for _ in range(2):
+        write_batch(batch, path, "run", 0, "stream")
+    write_batch(batch, path, "run", 1, "stream")
     rows = read_log(spark, path).collect()
-    assert sorted((r.run_id, r.batch_id, r.status) for r in rows) == [("run", 0, "ok"), ("run", 1, "ok")]
+    assert sorted((r.run_id, r.batch_id, r.attempt) for r in rows) == [("run", 0, "stream"), ("run", 1, "stream")]
+    for _ in range(2):
+        write_batch(batch, path, "run", 0)
+    assert read_log(spark, path).where("run_id = 'run' and batch_id = 0").count() == 3
 
 
 def test_scan_reads_no_content_unless_asked(spark, tmp_path):

@@ -99,9 +99,9 @@ RESPONSES = _struct(
 
 MANIFEST = _struct(globals=TEXT_MAP, tracks=T.ArrayType(TEXT_MAP))
 
-#: The append-only response log, stored under run_id=/batch_id= folders.
+#: The append-only response log, stored under run_id=/batch_id=/attempt= folders.
 LOG = _struct(
     track_id=STR, category=STR, prompt_used=STR, status=STR, output=STR, error=STR, traceback=STR,
     processing_time_sec=DBL, audio_windows=INT, audio_covered_sec=INT, output_truncated=BOOL,
-    updated_at=T.TimestampType(), run_id=STR, batch_id=LONG,
+    updated_at=T.TimestampType(), model_id=STR, entry=LONG, run_id=STR, batch_id=LONG, attempt=STR,
 )

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trackloom.model import DRY_RUN, ERROR, MESSAGES, OK, RESULT
@@ -38,9 +39,22 @@ def _answer(annotator: Annotator, prepared: Any, prompt: str) -> dict:
     return {"status": OK, **given}
 
 
+def read_file(path: str) -> bytes:
+    """The bytes of a file, by a plain path or by a URI of any file system that Arrow knows."""
+    scheme, _, rest = path.partition(":")
+    if not rest or "/" in scheme or scheme == "file":
+        with open("/" + rest.lstrip("/") if scheme == "file" and rest else path, "rb") as f:
+            return f.read()
+    authority, _, name = rest.lstrip("/").partition("/")
+    filesystem, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    with filesystem.open_input_file(f"{root.rstrip('/')}/{name}") as f:
+        return f.read()
+
+
 def annotate(
     pending: DataFrame, make_annotator: Callable[[], Annotator],
     carry: tuple[str, ...] = ("track_id",), content: str = "content", tasks: int | None = None,
+    opened: bool = False,
 ) -> DataFrame:
     """Run an annotator over tracks with a ``prompts`` array; one result row per prompt.
 
@@ -50,6 +64,10 @@ def annotate(
     its prompt (of all prompts, when decoding fails), so a task never fails on
     bad media and a retried task gives the same rows.
 
+    With ``opened`` the content column has the files' paths: the worker opens
+    each file when its turn comes, so only pending files are read and no content
+    is shuffled. A file that can't be read is an error row like bad media.
+
     ``tasks`` deals the tracks out evenly first: worth a shuffle when the
     annotator is slow and the pending tracks sit in few partitions.
     """
@@ -72,10 +90,16 @@ def annotate(
         for batch in batches:
             out = pa.schema([batch.schema.field(c) for c in carry] + list(results))
             rows = []
-            for row in batch.to_pylist():
+            samples = {i: f.name for i, f in enumerate(batch.schema) if pa.types.is_list(f.type) and pa.types.is_floating(f.type.value_type)}
+            plain = batch.select([f.name for i, f in enumerate(batch.schema) if i not in samples])
+            for i, row in enumerate(plain.to_pylist()):
+                for name in samples.values():  # numbers stay in Arrow's memory
+                    cell = batch.column(name)[i]
+                    row[name] = cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else None
                 key = {c: row[c] for c in carry}
                 try:
-                    prepared, broken = annotator.prepare(row[content]), None
+                    given = read_file(row[content]) if opened else row[content]
+                    prepared, broken = annotator.prepare(given), None
                 except Exception as exc:
                     prepared, broken = None, _failure(exc)
                 for p in row["prompts"]:

@@ -8,22 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.functions import paths, scalars
 from trackloom.functions.text import strip
-from trackloom.model import AUDIO_SUFFIXES, LANDMARK_SEC
+from trackloom.model import AUDIO_SUFFIXES, LANDMARK_SEC, TEXT_MAP
 from trackloom.operators import annotate as an, config, resume, summarize, windows
 from trackloom.session import shared_dir
-from trackloom.sinks.documents import write_manifest, write_summary_csv, write_summary_document
+from trackloom.sinks.documents import write_entries, write_manifest, write_summary_csv, write_summary_document
 from trackloom.sinks.log import export_records, read_log, write_batch
 from trackloom.sources import manifests, records
 from trackloom.sources.catalog import Catalog
 from trackloom.sources.scan import scan_audio
 from trackloom.sources.wav import decode_wav
 
-BROADCAST_TRACKS = 200_000  # paths and prompts of this many tracks fit any executor
-
 
 def _with_track_id(scan: DataFrame) -> DataFrame:
-    """The whole path is the key: same-named tracks of two albums stay apart."""
-    return scan.withColumn("path", paths.without_scheme("path")).withColumn("track_id", F.col("path"))
+    """The whole path is the key: same-named tracks of two albums stay apart. ``uri`` is what opens the file."""
+    return scan.withColumn("uri", F.col("path")).withColumn("path", paths.without_scheme("path")).withColumn("track_id", F.col("path"))
 
 
 def build_manifest(
@@ -57,27 +55,15 @@ def build_manifest(
 
 
 def filter_manifest(spark: SparkSession, manifest: str, done: str, out: str, key: str = "basename") -> DataFrame:
-    """Write a line-framed manifest without the finished tracks; returns the counts."""
-    entries = manifests.read_manifest_lines(spark, manifest)
-    tracks = entries.select(
-        F.col("track")["path"].alias("path"), F.from_json(F.col("track")["tags"], "map<string,string>").alias("tags")
-    )
-    finished = records.read_done_files(spark, done)
-    settings = manifests.read_manifest_globals(spark, manifest).select(F.col("globals"))
-    left = resume.remaining_tracks(tracks, finished, key=key)
-    write_manifest(settings, left, out)
-    return resume.conservation(tracks, finished)
-
-
-def _attach_content(scan: DataFrame, pending: DataFrame) -> DataFrame:
-    """Pending tracks with their content, which is by far the larger side.
+    """Write a manifest of either form without the finished tracks; returns the counts, the remaining as written.
 
-    The pending list is counted: while it is small it is broadcast and no
-    content moves; beyond that both sides are shuffled by path.
+    Globals and entries are written as they stood, in their order, every key
+    and type kept; an entry that is listed twice stays twice.
     """
-    small = pending.limit(BROADCAST_TRACKS + 1).count() <= BROADCAST_TRACKS
-    side = pending.select("track_id", "prompts")
-    return scan.join(F.broadcast(side) if small else side, "track_id")
+    tracks, settings = manifests.read_manifest_entries(spark, manifest)
+    finished = records.read_done_files(spark, done)
+    write_entries(settings, resume.remaining_tracks(tracks, finished, key=key), out)
+    return resume.conservation(tracks, finished, key=key, left=manifests.read_manifest_lines(spark, out))
 
 
 def caption_directory(
@@ -87,12 +73,13 @@ def caption_directory(
 ) -> None:
     """Annotate what a folder still lacks and append it to the log.
 
-    Without an annotator this is a dry run. Pending pairs come first and are
-    checkpointed, so content is read only for them and a lost executor does
-    not redo the state join.
+    Without an annotator this is a dry run. The pending tracks are checkpointed
+    as paths, so a lost executor does not redo the state join; a worker opens a
+    file when its turn comes, and no other file is read. Every call adds a folder
+    of its own to the log, whatever its run id.
     """
     shared_dir(spark)
-    listed = _with_track_id(scan_audio(spark, directory)).select("track_id", "path")
+    listed = _with_track_id(scan_audio(spark, directory)).select("track_id", "uri")
     pending = resume.pending_prompts(
         listed, read_log(spark, log_path), catalog, overwrite, ("updated_at", "run_id", "batch_id")
     ).checkpoint()
@@ -100,8 +87,7 @@ def caption_directory(
         pairs = pending.select("track_id", F.inline("prompts"))
         results = an.dry_run(pairs).withColumnRenamed("prompt", "prompt_used")
     else:
-        content = _with_track_id(scan_audio(spark, directory, with_content=True)).drop("path")
-        results = an.annotate(_attach_content(content, pending), make_annotator, tasks=tasks)
+        results = an.annotate(pending, make_annotator, content="uri", tasks=tasks, opened=True)
     write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, batch_id)
 
 
@@ -121,7 +107,9 @@ def summarize_log(spark: SparkSession, log_path: str, out: str, catalog: Catalog
               "audio_covered_sec", "output_truncated", "prompt_used")
     nested = summarize.nest_by_category(named, catalog.keys, ("file", "path"), fields, order)
     export_records(nested, f"{out}/records")
-    header = nested.agg(F.count("*").alias("total_tracks")).withColumn("categories", catalog.keys_array())
+    header = nested.agg(F.count("*").alias("total_tracks")).select(
+        scalars.iso_utc(scalars.now_utc(), zulu=True).alias("timestamp"), "total_tracks", catalog.keys_array().alias("categories")
+    )
     write_summary_document(header, nested, f"{out}/results_summary.json")
 
 
@@ -131,10 +119,12 @@ def resolve_job(spark: SparkSession, manifest: str, framed: bool = False, **sett
     Looks at one rejected entry to name the reason.
     """
     if framed:
-        settings_map = manifests.read_manifest_globals(spark, manifest).withColumn("_one", F.lit(1))
-        entries = manifests.read_manifest_lines(spark, manifest)
-        tracks = windows.positions(entries.withColumn("_p", F.col("track")["path"]), ["_p"], "track_index")
-        tracks = tracks.withColumn("_one", F.lit(1)).join(F.broadcast(settings_map), "_one")  # one row
+        entries, settings_text = manifests.read_manifest_entries(spark, manifest)
+        # the index counts from 0 in the order of the file, as in the other form
+        numbered = windows.positions(entries, ["place"], "track_index").withColumn("track_index", F.col("track_index") - 1)
+        tracks = numbered.select(
+            "track_index", F.from_json(F.lit(settings_text), TEXT_MAP).alias("globals"), F.from_json("entry", TEXT_MAP).alias("track")
+        )
     else:
         tracks = manifests.read_manifest(spark, manifest)
     rejects = config.manifest_rejects(tracks).orderBy("track_index").take(1)
@@ -164,28 +154,39 @@ def caption_job(
 
     A bad manifest or prompt mode fails before any media is read. A missing
     file is an error row of the summary and has no record; the job goes on.
-    Every run does all of its tracks again, as job runs do.
+    Every run does all of its tracks again, as job runs do, and adds to the log.
+    A file that is listed twice is annotated for each of its entries, with that
+    entry's own prompts. Each entry's record, with its tags, is a line of
+    ``records``, named by ``file``.
     """
     shared_dir(spark)
     root = base.rstrip("/") + "/"
     settings = _prompts_of(resolve_job(spark, manifest, framed), catalog)
-    listed = settings.withColumn("track_id", F.concat(F.lit(root), F.col("path")))
+    listed = settings.withColumn("uri", F.concat(F.lit(root), F.col("path"))).withColumn("track_id", paths.without_scheme("uri"))
     scan = _with_track_id(scan_audio(spark, base)).select("track_id")
     tracks = resume.with_existence(listed, scan, "track_id", "track_id").checkpoint()
-    # the same file may be listed twice; it is annotated once, with its first entry's prompts
-    pending = tracks.where("exists").groupBy("track_id").agg(F.min_by("prompts", "track_index").alias("prompts"))
+    pending = tracks.where("exists").withColumnRenamed("track_index", "entry")
+    carry = ("track_id", "entry", "model_id")
     if make_annotator is None:
-        results = an.dry_run(pending.select("track_id", F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
+        results = an.dry_run(pending.select(*carry, F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
     else:
-        content = _with_track_id(scan_audio(spark, base, with_content=True)).drop("path")
-        results = an.annotate(_attach_content(content, pending), make_annotator, tasks=tasks)
-    write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, 0)
+        results = an.annotate(pending, make_annotator, carry, content="uri", tasks=tasks, opened=True)
+    attempt = write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, 0)
 
-    answers = read_log(spark, log_path).where((F.col("run_id") == run_id) & (F.col("batch_id") == 0))
-    rollup = summarize.track_rollup(answers).drop("prompts_total")
-    rows = summarize.job_summary(tracks, rollup, len(catalog.keys) if catalog else 1, "records")
+    answers = read_log(spark, log_path).where((F.col("run_id") == run_id) & (F.col("attempt") == attempt))
+    rollup = summarize.track_rollup(answers, track="entry").withColumnRenamed("entry", "track_index")
+    rows = summarize.job_summary(tracks, rollup.drop("prompts_total"), len(catalog.keys) if catalog else 1, "records", key="track_index")
+    fields = ("status", "output", "error", "traceback", "processing_time_sec", "audio_windows",
+              "audio_covered_sec", "output_truncated", "prompt_used")
+    nested = summarize.nest_by_category(answers, catalog.keys if catalog else [], ("entry", "track_id", "model_id"), fields)
+    tags = tracks.select(F.col("track_index").alias("entry"), F.col("path"), "tags")
+    export_records(nested.join(tags, "entry").select(
+        paths.file_name("path").alias("file"), "path", "entry", "model_id", "tags",
+        scalars.iso_utc(scalars.now_utc(), zulu=True).alias("last_updated"), "categories",
+    ), f"{out}/records")
+    header = summarize.run_summary(rows, len(catalog.keys) if catalog else 1)
     write_summary_document(
-        summarize.run_summary(rows, len(catalog.keys) if catalog else 1), rows.withColumn("path", F.col("track_id")),
+        header.select(scalars.iso_utc(scalars.now_utc(), zulu=True).alias("timestamp"), "*"), rows.withColumn("path", F.col("track_id")),
         f"{out}/results_summary.json", "results",
     )
 

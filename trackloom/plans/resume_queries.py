@@ -112,6 +112,17 @@ def dry_run_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"WITH {a.LOG} SELECT track_id, category, updated_at, status FROM log")
+def log_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches written under one run id and number, and all rows read back."""
+    path = shared_path(spark, "attempts")
+    rows = a.log(spark, sf_dir).drop("event_id")
+    good = F.coalesce(F.col("status") == "ok", F.lit(False))
+    for part in (rows.where(good), rows.where(~good)):
+        write_batch(part, path, "run", 0)
+    return read_log(spark, path).select("track_id", "category", "updated_at", "status")
+
+
 class EchoAnnotator:
     """A stand-in for a model: answers with what it was given, and fails on some media."""
 

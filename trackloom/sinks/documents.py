@@ -10,26 +10,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from trackloom.session import shared_dir
+
 BODY_ROW = "{"
 HEADER_END = "["
 FOOTER = "]}"
 
 
-def write_framed(header: DataFrame, field: str, body: DataFrame, order: list[str], element: Column, path: str) -> None:
+def write_framed(
+    header: DataFrame, field: str, body: DataFrame, order: list[str], element: Column, path: str, lead: str | None = None,
+) -> None:
     """Write ``{<header fields>, "<field>": [<one element per line>]}``.
 
-    ``header`` has one row with the leading fields. ``order`` must be unique
-    per element; the last element is the one without a comma.
+    ``header`` has one row with the leading fields; ``lead`` gives them as JSON
+    text instead. Elements that are equal in ``order`` are told apart by
+    a number of their own; the last element is the one without a comma.
     """
-    lead = header.select(F.to_json(F.struct("*")).alias("_h")).select(
+    lead = header.select((F.to_json(F.struct("*")) if lead is None else F.lit(lead)).alias("_h")).select(
         F.concat(F.expr("left(_h, length(_h) - 1)"), F.when(F.col("_h") != "{}", F.lit(",")).otherwise(""),
                  F.lit(f'"{field}":{HEADER_END}')).alias("value")
     )
-    key = F.struct(*order)
-    last = body.agg(F.max(key).alias("last"))
-    lines = body.select(element.alias("value"), key.alias("k")).join(
-        F.broadcast(last), F.col("k") == F.col("last"), "left"  # one row
-    ).select(
+    # the numbers are written down, so that all readers below see the same ones
+    shared_dir(body.sparkSession)
+    numbered = body.select(
+        element.alias("value"), F.struct(*order).alias("o"), F.monotonically_increasing_id().alias("i")
+    ).select("value", F.struct("o", "i").alias("k")).checkpoint()
+    last = numbered.agg(F.max("k").alias("last"))
+    lines = numbered.join(F.broadcast(last), F.col("k") == F.col("last"), "left").select(  # one row
         F.lit(1).alias("section"), "k",
         F.concat("value", F.when(F.col("last").isNull(), F.lit(",")).otherwise("")).alias("value"),
     )
@@ -52,6 +59,12 @@ def write_manifest(globals_row: DataFrame, tracks: DataFrame, path: str, order:
     write_framed(header, "tracks", tracks, order or ["path"], element, path)
 
 
+def write_entries(globals_text: str, entries: DataFrame, path: str) -> None:
+    """A manifest of entries that are JSON text already, ordered by ``place``, with the globals as they stood."""
+    header = entries.sparkSession.range(1)
+    write_framed(header, "tracks", entries, ["place"], F.col("entry"), path, lead=f'{{"globals":{globals_text}}}')
+
+
 def write_summary_document(header: DataFrame, records: DataFrame, path: str, field: str = "tracks") -> None:
     """The run summary: totals first, then every record in file order."""
     write_framed(header, field, records, ["file", "path"] if "path" in records.columns else ["file"],

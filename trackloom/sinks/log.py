@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.model import LOG
 
 
-def write_batch(responses: DataFrame, log_path: str, run_id: str, batch_id: int) -> None:
-    """Write one batch of the log; writing the same batch again replaces it.
+def write_batch(
+    responses: DataFrame, log_path: str, run_id: str, batch_id: int, attempt: str | None = None,
+) -> str:
+    """Write one batch of the log to a folder of its own; returns the attempt's id.
 
-    The batch has a folder of its own, so a replay after a lost executor or a
-    restarted stream cannot leave duplicates.
+    Without ``attempt`` a fresh one is made, so a run that is started again
+    under its old id adds rows and never replaces any. A stream names its own
+    id: only a replay of the same batch of the same stream is written again
+    in place, so that it leaves no duplicates.
     """
-    body = [f for f in LOG.fields if f.name not in ("run_id", "batch_id")]
+    mode = "overwrite" if attempt else "errorifexists"
+    attempt = attempt or uuid.uuid4().hex
+    body = [f for f in LOG.fields if f.name not in ("run_id", "batch_id", "attempt")]
     present = set(responses.columns)
     responses.select(*[
         (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in body
-    ]).write.mode("overwrite").parquet(f"{log_path}/run_id={run_id}/batch_id={batch_id}")
+    ]).write.mode(mode).parquet(f"{log_path}/run_id={run_id}/batch_id={batch_id}/attempt={attempt}")
+    return attempt
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The log, pruned by run_id and batch_id; empty when nothing was written yet."""
+    """The log, pruned by run_id, batch_id and attempt; empty when nothing was written yet."""
     try:
         return spark.read.schema(LOG).parquet(log_path)
     except Exception as exc:

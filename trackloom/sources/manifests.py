@@ -30,6 +30,51 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def is_framed(spark: SparkSession, path: str) -> bool:
+    """Whether the manifest is of the form of ``write_manifest``: its header stands on a line of its own."""
+    header = F.col("value").startswith(BODY_ROW) & F.col("value").endswith(f'"tracks":{HEADER_END}')
+    return bool(spark.read.text(path).where(header).take(1))
+
+
+def framed_header(spark: SparkSession, path: str) -> str:
+    """The header line of a line-framed manifest; a folder with several manifests is an error."""
+    headers = spark.read.text(path).where(F.col("value").endswith(f'"tracks":{HEADER_END}')).take(2)
+    if len(headers) != 1:
+        raise ValueError(f"{path} holds {'several manifests' if headers else 'no manifest'}")
+    return headers[0]["value"]
+
+
+def read_manifest_entries(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """The tracks of a manifest of either form, as they stand in it; and the JSON text of its globals.
+
+    Columns: place (unique, in the order of the file), path, entry (JSON text).
+    A manifest that has no tracks gives no rows.
+    """
+    if is_framed(spark, path):
+        settings = F.get_json_object(F.lit(framed_header(spark, path) + FOOTER), "$.globals")
+        globals_text = spark.range(1).select(settings.alias("g")).first()["g"] or "{}"
+        lines = spark.read.text(path).select(
+            # part files follow each other by name, splits by offset, lines by their number in the task
+            F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
+                     F.monotonically_increasing_id().alias("line")).alias("place"), "value",
+        )
+        entries = lines.where(
+            F.col("value").startswith(BODY_ROW) & ~F.col("value").endswith(HEADER_END) & (F.col("value") != FOOTER)
+        ).select("place", F.rtrim("value", F.lit(",")).alias("entry"))
+    else:
+        parsed = spark.read.text(path, wholetext=True).select(
+            F.input_file_name().alias("file"), F.from_json("value", "globals string, tracks array<string>").alias("doc")
+        )
+        found = parsed.select("doc.globals").take(2)
+        if len(found) != 1:
+            raise ValueError(f"{path} holds {'several manifests' if found else 'no manifest'}")
+        globals_text = found[0]["globals"] or "{}"
+        entries = parsed.select("file", F.posexplode("doc.tracks").alias("line", "entry")).select(
+            F.struct("file", F.lit(0).cast("bigint").alias("block"), F.col("line").cast("bigint").alias("line")).alias("place"), "entry"
+        )
+    return entries.select("place", F.get_json_object("entry", "$.path").alias("path"), "entry"), globals_text
+
+
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """Tracks of a manifest written by ``write_manifest``: one track per line.
 

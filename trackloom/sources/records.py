@@ -41,15 +41,15 @@ def count_corrupt(spark: SparkSession, path: str, schema: T.StructType, pretty:
 
 
 def read_done_files(spark: SparkSession, path: str, pretty: bool = True) -> DataFrame:
-    """Distinct ``file`` values of any ``.json`` below a folder; documents without one are skipped."""
+    """Distinct (file, path) values of any ``.json`` below a folder; documents with neither are skipped."""
     found = (
-        spark.read.schema("file string")
+        spark.read.schema("file string, path string")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
         .option("multiLine", str(pretty).lower())
         .json(path)
     )
-    return found.where(F.col("file").isNotNull()).distinct()
+    return found.where(F.col("file").isNotNull() | F.col("path").isNotNull()).distinct()
 
 
 def _conform(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:

@@ -8,6 +8,12 @@ from trackloom.functions import paths
 from trackloom.model import AUDIO_SUFFIXES
 
 
+def suffix_glob(suffixes: list[str]) -> str:
+    """A file glob for the suffixes in any case."""
+    either = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s) for s in suffixes]
+    return "*." + ("{" + ",".join(either) + "}" if len(either) > 1 else either[0])
+
+
 def scan_audio(
     spark: SparkSession,
     directory: str,
@@ -17,13 +23,15 @@ def scan_audio(
 ) -> DataFrame:
     """One row per audio file below ``directory``: path, file, length, modificationTime.
 
-    ``content`` is left out unless asked for, so a listing reads no file bodies.
-    The suffix test ignores case, which a path glob would not. Spark's file
+    ``content`` is left out unless asked for, so a listing reads no file bodies;
+    jobs open the files they need by path. The suffixes prune the listing, so
+    other files are not even looked at, whatever their size. Spark's file
     sources skip names that start with ``.`` or ``_``.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
+        .option("pathGlobFilter", suffix_glob(suffixes or AUDIO_SUFFIXES["keyed"]))
         .load(directory)
     )
     wanted = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
@@ -45,6 +53,7 @@ def stream_audio(
     files = (
         spark.readStream.format("binaryFile").schema(SCAN_SCHEMA)
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+        .option("pathGlobFilter", suffix_glob(suffixes or AUDIO_SUFFIXES["keyed"]))
         .load(directory)
     )
     wanted = ["path", "length", "modificationTime"] + (["content"] if with_content else [])

@@ -11,8 +11,6 @@ from trackloom.operators.resume import pending_prompts
 from trackloom.sinks.log import read_log, write_batch
 from trackloom.sources.catalog import Catalog
 
-BATCH_BROADCAST = 200_000  # so many keys fit any executor
-
 
 def _start(writer, every: str | None) -> StreamingQuery:
     """Drain what is there when ``every`` is None, else run on a schedule."""
@@ -45,20 +43,24 @@ def resume_annotation(
     ``tracks`` is a streaming DataFrame with ``track_id``; bound its batches
     with ``maxFilesPerTrigger``. ``annotate`` maps rows with a ``prompts``
     array to result rows. Per batch: drop pairs that the log has as ok, run
-    the rest, and write the batch's own folder. A replayed batch looks at the
-    log without its own folder and replaces it, so it gives the same rows.
+    the rest, and write the batch's own folder, which carries the id that the
+    stream has from its checkpoint. A replayed batch looks at the log without
+    its own folder and replaces it, so it gives the same rows; a stream with
+    another checkpoint never touches it.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("a batch needs the id of its stream")
         others = read_log(spark, log_path).where(
-            ~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
+            ~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id) & (F.col("attempt") == stream))
         ).select("track_id", "category", "status", "updated_at", "run_id", "batch_id")
         # only the batch's tracks matter: the log is cut to them before it is aggregated
         arrived = batch.select("track_id").distinct()
-        small = arrived.limit(BATCH_BROADCAST + 1).count() <= BATCH_BROADCAST
-        others = others.join(F.broadcast(arrived) if small else arrived, "track_id", "left_semi")
+        others = others.join(arrived, "track_id", "left_semi")
         todo = pending_prompts(batch, others, catalog, overwrite, ("updated_at", "batch_id"))
         results = annotate(todo).withColumn("updated_at", F.current_timestamp())
-        write_batch(results, log_path, run_id, batch_id)
+        write_batch(results, log_path, run_id, batch_id, stream)
 
     return _start(tracks.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), every)
