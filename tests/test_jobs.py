@@ -194,3 +194,36 @@ def test_samples_reach_the_annotator_as_numbers(spark):
 
     todo = spark.createDataFrame([("a", [1.0, 2.0])], "track_id string, content array<float>").withColumn("prompts", CATALOG.as_array())
     assert {r.output for r in an.annotate(todo, Mean).collect()} == {"1.5"}
+
+
+def test_refresh_takes_rewritten_records(spark, tmp_path):
+    import os
+
+    source, target = tmp_path / "src", str(tmp_path / "dst")
+    source.mkdir()
+    for name in "ab":
+        (source / f"{name}.caption.json").write_text(f'{{"file": "{name}", "n": 1}}')
+    assert streams.refresh(spark, str(source), target) == 2
+    assert streams.refresh(spark, str(source), target) == 0
+    (source / "a.caption.json").write_text('{"file": "a", "n": 2}')
+    os.utime(source / "a.caption.json", (2_000_000_000, 2_000_000_000))
+    assert streams.refresh(spark, str(source), target) == 1
+    assert sorted(json.loads(r.value)["n"] for r in streams.read_refreshed(spark, target).collect()) == [1, 2]
+
+
+class Breaking:
+    def prepare(self, content):
+        return content
+
+    def annotate(self, prepared, prompt):
+        if prepared == b"3":
+            raise RuntimeError("CUDA error: out of luck")
+        return {"output": prompt}
+
+
+def test_a_broken_worker_tries_no_more(spark):
+    todo = spark.createDataFrame([(i, str(i).encode()) for i in range(6)], "track_id int, content binary").coalesce(1)
+    rows = an.annotate(todo.withColumn("prompts", CATALOG.as_array()), Breaking, fatal="CUDA").collect()
+    errors = {(r.track_id, r.category): (r.error or "")[:7] for r in rows}
+    assert len(rows) == 12 and all(not errors[i, c] for i in (0, 1, 2) for c in ("genre", "vocals"))
+    assert errors[3, "genre"] == "CUDA er" and errors[3, "vocals"] == "Skipped" and errors[5, "genre"] == "Skipped"

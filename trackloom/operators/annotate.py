@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import traceback
 from collections.abc import Callable, Iterator, Mapping
@@ -54,7 +55,7 @@ def read_file(path: str) -> bytes:
 def annotate(
     pending: DataFrame, make_annotator: Callable[[], Annotator],
     carry: tuple[str, ...] = ("track_id",), content: str = "content", tasks: int | None = None,
-    opened: bool = False,
+    opened: bool = False, fatal: str | None = None,
 ) -> DataFrame:
     """Run an annotator over tracks with a ``prompts`` array; one result row per prompt.
 
@@ -68,6 +69,10 @@ def annotate(
     each file when its turn comes, so only pending files are read and no content
     is shuffled. A file that can't be read is an error row like bad media.
 
+    After an error that matches ``fatal`` the worker is taken as broken: its
+    remaining prompts are not tried, and become skipped error rows that a later
+    run takes up again.
+
     ``tasks`` deals the tracks out evenly first: worth a shuffle when the
     annotator is slow and the pending tracks sit in few partitions.
     """
@@ -86,7 +91,7 @@ def annotate(
     schema = T.StructType(carried + extra + RESULT.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        annotator = make_annotator()
+        annotator, stopped = make_annotator(), False
         for batch in batches:
             out = pa.schema([batch.schema.field(c) for c in carry] + list(results))
             rows = []
@@ -97,13 +102,21 @@ def annotate(
                     cell = batch.column(name)[i]
                     row[name] = cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else None
                 key = {c: row[c] for c in carry}
+                if stopped:
+                    rows += [{**key, "ord": p["ord"], "category": p["category"], "prompt_used": p["prompt"],
+                              "status": ERROR, "error": MESSAGES["skipped"]} for p in row["prompts"]]
+                    continue
                 try:
                     given = read_file(row[content]) if opened else row[content]
                     prepared, broken = annotator.prepare(given), None
                 except Exception as exc:
                     prepared, broken = None, _failure(exc)
                 for p in row["prompts"]:
-                    result = broken or _answer(annotator, prepared, p["prompt"])
+                    if stopped:
+                        result = {"status": ERROR, "error": MESSAGES["skipped"]}
+                    else:
+                        result = broken or _answer(annotator, prepared, p["prompt"])
+                        stopped = bool(fatal and result.get("error") and re.search(fatal, result["error"]))
                     rows.append({**key, "ord": p["ord"], "category": p["category"],
                                  "prompt_used": p["prompt"], **result})
             yield pa.RecordBatch.from_pylist(rows, schema=out)

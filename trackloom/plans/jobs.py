@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.functions import paths, scalars
 from trackloom.functions.text import strip
-from trackloom.model import AUDIO_SUFFIXES, LANDMARK_SEC, TEXT_MAP
+from trackloom.model import AUDIO_SUFFIXES, FATAL_ERROR_PATTERN, LANDMARK_SEC, TEXT_MAP
 from trackloom.operators import annotate as an, config, resume, summarize, windows
 from trackloom.session import shared_dir
 from trackloom.sinks.documents import write_entries, write_manifest, write_summary_csv, write_summary_document
@@ -87,7 +87,7 @@ def caption_directory(
         pairs = pending.select("track_id", F.inline("prompts"))
         results = an.dry_run(pairs).withColumnRenamed("prompt", "prompt_used")
     else:
-        results = an.annotate(pending, make_annotator, content="uri", tasks=tasks, opened=True)
+        results = an.annotate(pending, make_annotator, content="uri", tasks=tasks, opened=True, fatal=FATAL_ERROR_PATTERN)
     write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, batch_id)
 
 
@@ -170,7 +170,7 @@ def caption_job(
     if make_annotator is None:
         results = an.dry_run(pending.select(*carry, F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
     else:
-        results = an.annotate(pending, make_annotator, carry, content="uri", tasks=tasks, opened=True)
+        results = an.annotate(pending, make_annotator, carry, content="uri", tasks=tasks, opened=True, fatal=FATAL_ERROR_PATTERN)
     attempt = write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, 0)
 
     answers = read_log(spark, log_path).where((F.col("run_id") == run_id) & (F.col("attempt") == attempt))

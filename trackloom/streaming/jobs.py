@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from trackloom.operators.annotate import read_file
 from trackloom.operators.resume import pending_prompts
+from trackloom.session import ship_package
 from trackloom.sinks.log import read_log, write_batch
 from trackloom.sources.catalog import Catalog
+from trackloom.sources.scan import changed_files
 
 
 def _start(writer, every: str | None) -> StreamingQuery:
@@ -34,6 +39,49 @@ def mirror(
     )
 
 
+def refresh(spark: SparkSession, source: str, target: str, glob: str = "*.caption.json") -> int:
+    """Take over the files of a folder that are new or were rewritten since the last refresh; returns how many.
+
+    The listing is compared by path and time with what the target has, so only
+    changed files are opened, by the workers. Each refresh adds a folder, and
+    ``read_refreshed`` gives the newest text of each path.
+    """
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        .load(source).select("path", "modificationTime")
+    )
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # one file at a time
+                row = batch.slice(i, 1)
+                text = read_file(row.column("path")[0].as_py()).decode(errors="replace")
+                yield row.append_column("value", pa.array([text]))
+
+    ship_package(spark)
+    out = f"{target}/refresh={uuid.uuid4().hex}"
+    changed_files(listed, _refreshed(spark, target)).select("path", "modificationTime").mapInArrow(
+        texts, "path string, modificationTime timestamp, value string"
+    ).write.parquet(out)
+    return spark.read.schema("path string").parquet(out).count()
+
+
+def _refreshed(spark: SparkSession, target: str) -> DataFrame:
+    schema = "path string, modificationTime timestamp, value string, refresh string"
+    try:
+        return spark.read.schema(schema).parquet(target)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def read_refreshed(spark: SparkSession, target: str) -> DataFrame:
+    """path, modificationTime and text (``value``) of the newest state of each file."""
+    newest = _refreshed(spark, target).groupBy("path").agg(F.max(F.struct("modificationTime", "value")).alias("n"))
+    return newest.select("path", "n.*")
+
+
 def resume_annotation(
     spark: SparkSession, tracks: DataFrame, catalog: Catalog, log_path: str, run_id: str, checkpoint: str,
     annotate: Callable[[DataFrame], DataFrame], every: str | None = None, overwrite: bool = False,
