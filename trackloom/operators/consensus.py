@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackloom.functions import text
 from trackloom.functions.scalars import whole_units
+from trackloom.model import REFUSAL_PATTERN
 from trackloom.operators.resume import latest_state
 
 TEMPO_SPREAD = 5
@@ -184,10 +185,19 @@ def routed(dimension: str, a: Column, b: Column, default_a: bool, reliable: Colu
     return F.when(a_first, F.coalesce(a, b)).otherwise(F.coalesce(b, a))
 
 
-def unified_record(pairs: DataFrame, reliable: str = "reliable_dimensions") -> DataFrame:
-    """One record per file: voice and instruments from pass A, tempo and key from pass B.
+def labelled(source: Column, label: str) -> Column:
+    """The answer of the first ``- Label: …`` line of that label; null when there is none or it is a refusal."""
+    answer = F.get(F.filter(text.bullet_fields(source), lambda f: F.lower(f["label"]) == label), 0)["answer"]
+    return F.when((answer != "") & ~answer.rlike(REFUSAL_PATTERN), answer)
 
-    Refusals and duration sentences are dropped first; both raw texts stay.
+
+def unified_record(pairs: DataFrame, reliable: str = "reliable_dimensions", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One record per file: instruments, vocals and texture from pass A, tempo, key, signature and harmony from pass B.
+
+    A dimension that a pass refuses or lacks comes from the other one; one that
+    both lack is null. Refusals and duration sentences are dropped from the
+    description; both raw texts stay. ``keep`` names columns, such as tags, that
+    pass through.
     """
     cleaned = pairs.withColumns({
         "_ca": F.nullif(text.drop_noise("pass_a_raw"), F.lit("")), "_cb": F.nullif(text.drop_noise("pass_b_raw"), F.lit("")),
@@ -195,7 +205,12 @@ def unified_record(pairs: DataFrame, reliable: str = "reliable_dimensions") -> D
     trusted = F.col(reliable)
     a, b = F.col("_ca"), F.col("_cb")
     return cleaned.select(
-        "file", "status", "error", "pass_a_raw", "pass_b_raw",
+        "file", *keep, "status", "error", "pass_a_raw", "pass_b_raw",
+        *[
+            routed(name, labelled(F.col("pass_a_raw"), name), labelled(F.col("pass_b_raw"), name), from_a, trusted).alias(name)
+            for name, from_a in (("instruments", True), ("vocals", True), ("texture", True), ("harmony", False))
+        ],
+        routed("signature", text.time_signature(a), text.time_signature(b), False, trusted).alias("signature"),
         routed("texture", a, b, True, trusted).alias("description"),
         routed("tempo", text.first_bpm(a), text.first_bpm(b), False, trusted).alias("bpm"),
         routed("key", text.musical_key(a), text.musical_key(b), False, trusted).alias("music_key"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackloom.operators import consensus as c
 from trackloom.plans import adapters as a
@@ -127,3 +127,30 @@ def unified_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.contains(description, F.lit("BPM"))).alias("lost_tempo"),
         (F.contains(description, F.lit("not available")) | F.contains(description, F.lit("duration of"))).alias("has_refusal"),
     )
+
+
+@query("""WITH a AS (SELECT CAST(conv_id AS VARCHAR) AS file, max(turn) AS t FROM conversations WHERE role = 'user' GROUP BY 1),
+b AS (SELECT CAST(conv_id AS VARCHAR) AS file, max(turn) AS t FROM conversations WHERE role = 'assistant' GROUP BY 1),
+p AS (SELECT coalesce(a.file, b.file) AS file, a.t AS ta, b.t AS tb FROM a FULL JOIN b ON a.file = b.file)
+SELECT file, file || '!' AS tags, CASE WHEN ta % 2 = 0 AND tb IS NOT NULL THEN 'drum ' || tb WHEN ta IS NOT NULL THEN 'oud ' || ta
+    WHEN tb IS NOT NULL THEN 'drum ' || tb END AS instruments,
+  CASE WHEN tb IS NOT NULL THEN 'alto ' || tb END AS vocals, CASE WHEN ta IS NOT NULL THEN 'dry' END AS texture,
+  CASE WHEN tb IS NOT NULL THEN 'i-iv ' || tb END AS harmony, CASE WHEN tb IS NOT NULL THEN '6/8' ELSE '4/4' END AS signature
+FROM p""")
+def unified_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled answers of two passes, routed by dimension; an even turn says that pass A is not to be trusted for instruments."""
+    turn = a.text("prompt_ord")
+
+    def told(role: str, *lines: Column | str) -> DataFrame:
+        said = a.turns(spark, sf_dir).where(F.col("category") == role)
+        return said.select(F.col("track_id").alias("file"), F.col("prompt_ord").alias("updated_at"), F.concat(
+            *[F.lit(x) if isinstance(x, str) else x for x in lines]).alias("output"))
+
+    first = told("user", "In 4/4.\n- Instruments: oud ", turn, "\n- Vocals: not available\n- Texture: dry")
+    second = told("assistant", "- Instruments: drum ", turn, "\n- Vocals: alto ", turn, "\n- Harmony: i-iv ", turn, "\n6/8")
+    pairs = c.pair_passes(first, second).withColumn("tags", F.concat("file", F.lit("!")))
+    ord_a = F.regexp_extract("pass_a_raw", "oud ([0-9]+)", 1).try_cast("int")
+    routed = pairs.withColumn("reliable_dimensions", F.when(ord_a % 2 == 0, F.array(F.lit("vocals"), F.lit("texture"))))
+    return c.unified_record(routed, keep=("tags",)).select(
+        "file", "tags", "instruments", "vocals", "texture", "harmony", "signature"
+    )
