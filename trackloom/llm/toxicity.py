@@ -1,10 +1,10 @@
 """Toxicity scores: a recurrent network over all overlapping windows of a document.
 
-Learning: over all labelled rows, Spark counts in how many toxic and other documents each hashed word stands; the log-odds
-are the first component of the word vectors. The network itself is fitted on a bounded sample of windows, ``SAMPLE``
-documents: of each the window with the highest log-odds, and one by chance of those that are not toxic. In training the log-odds of
-a document's words come from the other half of the documents. A logistic step turns the highest window of a document into its
-score, fitted on ``CALIBRATION`` of the sample's documents with all their windows.
+Learning takes ``LEARN`` labelled documents at most. Spark counts in how many toxic and other ones each hashed word stands; the
+log-odds are the first component of the word vectors. The network is fitted on windows of ``SAMPLE`` of them: of each the
+window with the highest log-odds, and one by chance of those that are not toxic. In training the log-odds of a document's
+words come from the other half of the documents. A logistic step turns the highest window of a document into its score,
+fitted on ``CALIBRATION`` of the documents with all their windows.
 """
 
 from __future__ import annotations
@@ -13,16 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm import recurrent as net
+from trackloom.llm.tables import written
 from trackloom.llm.words import Words, blobs, slices, unblobs
 
 #: Words in a window, and from one window's start to the next one's.
 WINDOW, STRIDE = 48, 36
-#: Labelled documents that the network and the calibration are fitted on, at most.
-SAMPLE, CALIBRATION = 4_000, 1_000
+#: Labelled documents that are learned from; those of them that the network, and the calibration, are fitted on. At most.
+LEARN, SAMPLE, CALIBRATION = 20_000, 5_000, 1_500
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 11
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.3
@@ -204,28 +205,37 @@ def _calibrated(logits: np.ndarray, labels: np.ndarray, steps: int = 400) -> tup
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[dict, float, float]:
-    """The network and its calibration, from the labelled rows of docs for which ``learn`` holds."""
+    """The network and its calibration, from at most ``LEARN`` labelled documents, drawn by a hash of their doc_ids.
+
+    learn: condition on doc_id.
+    """
     spark = docs.sparkSession
-    marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(learn).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(marks, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
+    marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(learn)
+    marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = marks.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(LEARN)
+    marks = marks.withColumn("place", F.row_number().over(Window.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
+    # at most LEARN ids and numbers are broadcast, so no text is shuffled
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(marks), "doc_id")
+    rows = written(rows.withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")), "learned")
     words = rows.select("text", "toxic", "half").mapInArrow(_document_words, "row long, n00 long, n01 long, n10 long, n11 long")
     counts = np.zeros((2, 2, net.ROWS))
     for r in words.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")]).toLocalIterator():
         counts[:, :, r["row"]] = [[r["n00"], r["n01"]], [r["n10"], r["n11"]]]
-    n_docs = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
+    sizes = rows.groupBy("half", "toxic").agg(F.count("*").alias("n"), F.max("place").alias("last")).collect()
+    n_docs = {(r["half"], r["toxic"]): r["n"] for r in sizes}
     n = np.array([[n_docs.get((h, t), 0) for t in (0, 1)] for h in (0, 1)], float)
     share = lambda x: min(max(x[1] / max(x.sum(), 1), 0.01), 0.9)
     halves = [log_odds(counts[h, 0], counts[h, 1], share(n[h])) for h in (0, 1)]
     own = log_odds(counts[:, 0].sum(axis=0), counts[:, 1].sum(axis=0), share(n.sum(axis=0)))
 
-    sample = rows.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(SAMPLE)
     tables = spark.sparkContext.broadcast(halves)
-    examples = [tuple(r) for r in sample.select("text", "toxic", "half").mapInArrow(_examples(tables), "half int, toxic int, raw binary, sizes binary, rows binary").collect()]
-    model = _fit(examples, own, halves)
+    sample = rows.where(F.col("place") <= SAMPLE).select("text", "toxic", "half")
+    examples = [tuple(r) for r in sample.mapInArrow(_examples(tables), "half int, toxic int, raw binary, sizes binary, rows binary").collect()]
+    model = _fit(sorted(examples), own, halves)
     shared = spark.sparkContext.broadcast(model)
-    some = rows.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(CALIBRATION).repartition(8, "doc_id")
-    seen = some.select("doc_id", "toxic", "text").mapInArrow(_highest(shared), "toxic int, logit double").where("logit > double('-Infinity')").toPandas()
+    last = max((r["last"] for r in sizes), default=0)
+    some = rows.where(F.col("place") > last - CALIBRATION).select("toxic", "text").repartition(8)
+    seen = some.mapInArrow(_highest(shared), "toxic int, logit double").where("logit > double('-Infinity')").toPandas()
     return (model, *_calibrated(seen["logit"].to_numpy(), seen["toxic"].to_numpy().astype(float)))
 
 
@@ -241,7 +251,7 @@ def _highest(model):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted, one row per input row.
 
-    Rows for which ``held_out`` is not true teach, if they are labelled 0 or 1; of several labels of a document the highest
+    held_out: condition on doc_id. Rows for which it is not true teach, if they are labelled 0 or 1; of several labels of a document the highest
     counts. A null or empty text has score 0. Repeated rows get equal scores; null doc_ids are scored and never learned
     from. Without labels of both kinds scores carry no meaning but are there. Columns besides doc_id and text are left out.
     """
