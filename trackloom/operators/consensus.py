@@ -51,13 +51,12 @@ def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id"
 def _with_top(captions: DataFrame, dimension: str, track: str) -> DataFrame:
     """Votes of one dimension, with the most windows any tag of the track has.
 
-    A maximum per track joined back, not a ranking window, so a track with
-    very many labels is not sorted in one task.
+    Two shuffles: the votes, one row per tag, then the votes to their track. The
+    maximum needs no order within a track.
     """
     asked = captions.where(F.col("category") == dimension)
     votes = tag_votes(caption_tags(asked, track), track)
-    top = votes.groupBy(track).agg(F.max("windows").alias("top_windows"))
-    return votes.join(top, track)
+    return votes.withColumn("top_windows", F.max("windows").over(Window.partitionBy(track)))
 
 
 def voice_consensus(captions: DataFrame, dimension: str = "vocals", track: str = "track_id") -> DataFrame:

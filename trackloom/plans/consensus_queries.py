@@ -35,19 +35,19 @@ TOP = "top AS (SELECT track_id, max(windows) AS m FROM votes WHERE dimension = '
 @query(f"""WITH {a.TAGS}, {TOP.format('genre_style')}
 SELECT v.track_id, tag AS genre, windows FROM votes v JOIN top USING (track_id) WHERE dimension = 'genre_style' AND windows = m""")
 def genre_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.genre_consensus(a.captions(spark, sf_dir))
+    return c.genre_consensus(a.captions(spark, sf_dir, "genre_style"))
 
 
 @query(f"""WITH {a.TAGS}, {TOP.format('vocals')}
 SELECT v.track_id, tag AS voice, windows, windows = m AS dominant FROM votes v JOIN top USING (track_id)
 WHERE dimension = 'vocals' AND (windows = m OR windows >= 2)""")
 def vocal_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.voice_consensus(a.captions(spark, sf_dir))
+    return c.voice_consensus(a.captions(spark, sf_dir, "vocals"))
 
 
 @query(f"WITH {a.TAGS} SELECT track_id, tag AS instrument, windows FROM votes WHERE dimension = 'instruments'")
 def instrument_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.instrument_union(a.captions(spark, sf_dir))
+    return c.instrument_union(a.captions(spark, sf_dir, "instruments"))
 
 
 @query(f"WITH {a.FACTS} SELECT * FROM facts")
