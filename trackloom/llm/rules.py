@@ -88,12 +88,18 @@ RULES = (
 )
 
 
-def measured(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """df, with ``__text``, and those of its missing measures that are named, with what they need."""
+def measured(df: DataFrame, names: tuple[str, ...], settled: bool = False) -> DataFrame:
+    """df, with ``__text``, and those of its missing measures that are named, with what they need.
+
+    settled: each measure comes out of a generator of one row. Without it a filter on a measure would be pushed
+    below the columns that make it, which repeats their work in every lambda that reads them.
+    """
     for name in names:
         if name not in df.columns:
             needs, step = MEASURES[name]
-            df = step(measured(df, needs))
+            df = step(measured(df, needs, settled))
+            if settled:
+                df = df.withColumn(name, F.explode(F.array(name)))
     return df
 
 
@@ -131,7 +137,7 @@ def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[Rul
     """
     row = docs.select(F.struct("*").alias("__row"), F.col("text").cast("string").alias("__text"))
     for rule in order or plan_cascade(docs, rules):
-        row = measured(row, rule.needs).where(~F.expr(rule.rejects))
+        row = measured(row, rule.needs, settled=True).where(~F.expr(rule.rejects))
     return row.select("__row.*")
 
 
