@@ -5,9 +5,9 @@ term draws for each of ``SAMPLES`` samples two gamma(2, 1) variables r and c and
 weight s, t = floor(ln(s) / r + b), and ln(a) = ln(c) - r * (t - b) - r. A sample is the pair (term, t) with the smallest a:
 two texts get the same with a probability of the sum of their terms' smaller weights over the sum of the larger ones.
 
-A sample is one number, ln(a) before and a hash of (term, t) after the point, so that all samples are plain minima: they
-combine in hash aggregates without collecting a text's terms. Documents stay where the order of doc_ids has put them, and
-nothing but the texts is shuffled.
+A sample is one number, ln(a) before and a hash of (term, t) after the point, so that all samples are plain minima over
+a text's exploded terms. Terms are counted inside their row, by sorting them, so no table of terms is built. Documents stay
+where the order of doc_ids has put them, and the texts are shuffled once.
 """
 
 from __future__ import annotations
@@ -27,20 +27,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def _uniform(h: Column, part: int) -> Column:
-    """One of three numbers between 0 and 1, of 21 bits each, in a 64-bit hash."""
-    return (F.shiftrightunsigned(h, 21 * part).bitwiseAND(F.lit((1 << 21) - 1)) + F.lit(0.5)) / F.lit(float(1 << 21))
+    """One of five numbers between 0 and 1, of 12 bits each, in a 64-bit hash."""
+    return (F.shiftrightunsigned(h, 12 * part).bitwiseAND(F.lit((1 << 12) - 1)) + F.lit(0.5)) * F.lit(1.0 / (1 << 12))
 
 
 def sample(term: Column, log_weight: Column, j: int) -> Column:
     """The j-th sample of a term: smaller wins."""
-    one, two = F.xxhash64(term, F.lit(2 * j)), F.xxhash64(term, F.lit(2 * j + 1))
-    r = -F.ln(_uniform(one, 0) * _uniform(one, 1))
-    log_c = F.ln(-F.ln(_uniform(one, 2) * _uniform(two, 0)))
-    b = _uniform(two, 1)
+    h = F.xxhash64(term, F.lit(j))
+    r = -F.ln(_uniform(h, 0) * _uniform(h, 1))
+    log_c = F.ln(-F.ln(_uniform(h, 2) * _uniform(h, 3)))
+    b = _uniform(h, 4)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t - b) - r
     # 13 bits before and 27 after the point, then the mark of (term, t)
-    return F.shiftleft(((log_a + F.lit(4096.0)) * F.lit(float(1 << 27))).cast("long"), ID_BITS).bitwiseOR(two.bitwiseXOR(t).bitwiseAND(F.lit((1 << ID_BITS) - 1)))
+    return F.shiftleft(((log_a + F.lit(4096.0)) * F.lit(float(1 << 27))).cast("long"), ID_BITS).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit((1 << ID_BITS) - 1)))
 
 
 def terms(text: Column) -> Column:
@@ -54,13 +54,28 @@ def _terms_of(text: Column) -> Column:
         F.zip_with(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))))[0]
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """rows with ``__counts``, the different values of the sorted array ``__terms`` with how often each comes.
+
+    Steps are columns of their own, so that no lambda works an array out anew for every element.
+    """
+    n = F.size("__terms")
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("__terms", F.lit(1), F.greatest(n - 1, F.lit(0))))
+    new = F.zip_with(F.col("__terms"), F.slice(before, F.lit(1), F.greatest(n, F.lit(0))), lambda a, b: F.when(~a.eqNullSafe(b), a))
+    rows = rows.withColumn("__starts", F.filter(F.transform(new, lambda x, i: F.struct(x.alias("term"), i.alias("i"))), lambda e: e.term.isNotNull()))
+    m = F.size("__starts")
+    ends = F.concat(F.transform(F.slice("__starts", F.lit(2), F.greatest(m - 1, F.lit(0))), lambda e: e.i), F.slice(F.array(n), F.lit(1), F.least(m, F.lit(1))))
+    return rows.withColumn("__counts", F.zip_with("__starts", ends, lambda e, end: F.struct(e.term.alias("term"), (end - e.i).alias("s"))))
+
+
 def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
     """keys and ``ids``, an array of SAMPLES marks, for column ``text``; rows without words are left out.
 
     keys: they tell the rows apart. If texts is dealt out by some of them, nothing is shuffled.
     """
-    bag = texts.select(*keys, F.explode(terms(F.col("text"))).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("s"))
-    bag = bag.select(*keys, "term", F.ln("s").alias("log_s"))
+    bag = counted(texts.select(*keys, F.sort_array(terms(F.col("text"))).alias("__terms")))
+    # an inner explode would be given a filter that works the counts out once more, in every lambda that reads them
+    bag = bag.select(*keys, F.explode_outer("__counts").alias("e")).where("e is not null").select(*keys, F.col("e.term").alias("term"), F.ln("e.s").alias("log_s"))
     least = bag.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("log_s"), j)).alias(f"s{j}") for j in range(SAMPLES)])
     marks = [F.col(f"s{j}").bitwiseAND(F.lit((1 << min(ID_BITS, 4 * DIGITS)) - 1)) for j in range(SAMPLES)]
     return least.select(*keys, F.array(*marks).alias("ids"))
@@ -69,7 +84,7 @@ def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
 def likeness(a: Column, b: Column) -> Column:
     """The share of equal samples; texts without words are like each other and nothing else."""
     same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)) / F.lit(float(SAMPLES))
-    return F.when(a.isNull() & b.isNull(), F.lit(1.0)).when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(same)
+    return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(same)
 
 
 def fingerprint(ids: Column) -> Column:
@@ -95,12 +110,15 @@ def _following(buckets: DataFrame) -> DataFrame:
 
 
 def with_next(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
-    """rows with ``rank`` (in its bucket) and ``next``, what the next row has in column ``value``; the last row's next is the first."""
+    """rows with ``rank`` (in its bucket) and ``next``, what the next row has in column ``value``; the last row's next is the first.
+
+    value: a column without nulls.
+    """
     w = Window.partitionBy("bucket").orderBy(*order)
-    ranked = rows.withColumns({"rank": F.row_number().over(w), "next": F.lead(F.struct(value)).over(w)})
-    heads = ranked.where("rank = 1").select(F.col("bucket").alias("after"), F.struct(value).alias("jump"))
+    ranked = rows.withColumns({"rank": F.row_number().over(w), "next": F.lead(value).over(w)})
+    heads = ranked.where("rank = 1").select(F.col("bucket").alias("after"), F.col(value).alias("jump"))
     jumps = _following(rows).join(heads, "after").select("bucket", "jump")
-    return ranked.join(jumps, "bucket").withColumn("next", F.coalesce("next", "jump")[value]).drop("jump")
+    return ranked.join(jumps, "bucket").withColumn("next", F.coalesce("next", "jump")).drop("jump")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
@@ -114,11 +132,13 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.select("bucket", "rank", "doc_id", "text", n.cast("long").alias("n_chars"), F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next"), F.lit(1), half)).alias("edited"))
-    both = rows.select("bucket", "rank", F.explode(F.array(F.struct(F.lit(0).alias("edition"), F.col("text").alias("text")), F.struct(F.lit(1).alias("edition"), F.col("edited").alias("text")))).alias("e"))
-    marks = signatures(both.select("bucket", "rank", "e.edition", "e.text"), ["bucket", "rank", "edition"])
+    # doc_id goes along so that both readers of the rows share one exchange
+    both = rows.select("bucket", "rank", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("edition"), F.col("text").alias("text")), F.struct(F.lit(1).alias("edition"), F.col("edited").alias("text")))).alias("e"))
+    marks = signatures(both.select("bucket", "rank", "doc_id", "e.edition", "e.text"), ["bucket", "rank", "doc_id", "edition"])
     marks = marks.groupBy("bucket", "rank").agg(F.max(F.when(F.col("edition") == 0, F.col("ids"))).alias("ids"), F.max(F.when(F.col("edition") == 1, F.col("ids"))).alias("edited_ids"))
     facts = rows.select("bucket", "rank", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    signed = written(facts.join(marks, ["bucket", "rank"], "left"), "fingerprints").withColumnRenamed("rank", "place")
-    out = with_next(signed, "ids", ["place"])
+    none = F.array().cast("array<bigint>")
+    signed = facts.join(marks, ["bucket", "rank"], "left").withColumns({"ids": F.coalesce("ids", none), "edited_ids": F.coalesce("edited_ids", none)})
+    out = with_next(written(signed, "fingerprints").withColumnRenamed("rank", "place"), "ids", ["place"])
     return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("ids")).alias("fingerprint"), fingerprint(F.col("edited_ids")).alias("edited_fingerprint"),
                       likeness(F.col("ids"), F.col("edited_ids")).alias("near_edited"), likeness(F.col("ids"), F.col("next")).alias("near_next"))
