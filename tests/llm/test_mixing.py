@@ -70,6 +70,57 @@ def test_mixing_matches_one_bit_at_a_time():
             fix[cell] += mixing.CORRECTION_RATE * (bits[t] - fix[cell])
 
 
+def test_gates_learn():
+    """A gate's weights adapt with its own bits: a context that always lies in one gate is believed less there, not elsewhere."""
+    bits = np.array([1, 1] * 100, np.float32)
+    gate = np.array([0, 8] * 100)
+    odds = np.zeros((4, 200), np.float32)
+    odds[3] = np.where(gate == 0, -2, 2)
+    got = mixing.mix(bits, odds, np.ones(200, np.int64), gate)
+    weights = mixing._FIRST.astype(float).copy()
+    fix = 1 / (1 + np.exp(-((np.arange(mixing._BINS) + 0.5) / mixing._BINS * 24 - 12)))
+    for t in range(200):
+        dot = float(odds[:, t] @ weights[gate[t]])
+        p, cell = 1 / (1 + math.exp(-dot)), int((dot + 12) * mixing._BINS / 24)
+        assert math.isclose(got[t], 0.75 * p + 0.25 * fix[cell], rel_tol=1e-3, abs_tol=1e-4)
+        weights[gate[t]] += mixing.RATE * (1 - p) * odds[:, t]
+        fix[cell] += mixing.CORRECTION_RATE * (1 - fix[cell])
+    assert got[198] > 0.5 and weights[0, 3] < 0 < weights[8, 3]
+
+
+def test_every_context_keeps_its_own_counts():
+    """More bits of contexts than any table of fixed size had slots for, and none shares its counts with another."""
+    rng = np.random.default_rng(4)
+    codes = rng.zipf(1.2, 60_000) % 3000
+    first = np.arange(0, len(codes) + 1, 300)
+    coder = mixing.Coder(np.bincount(codes, minlength=mixing.CLASSES) + 0.3)
+    train = np.repeat(np.arange(len(first) - 1) % 4 > 0, 300)
+    bits, slots, _ = coder.slots(codes, first)
+    keys, at = np.unique(coder.pairs(codes, codes, first).ravel(), return_inverse=True)
+    some, much, odds = mixing.answers(coder, keys, np.bincount(at, weights=np.tile(train, 3)))
+    begin = np.cumsum(some, dtype=np.int64) - some
+    _, step, ends = coder.paths(codes)
+    learned = np.repeat(train, coder.length[codes])
+    for i in range(3):
+        _, slot = np.unique(slots[i + 1], return_inverse=True)
+        ones = np.bincount(slot, weights=learned * bits)[slot]
+        seen = np.bincount(slot, weights=learned)[slot]
+        taken = np.where(bits > 0, ones, seen - ones)
+        pair = np.repeat(at.reshape(3, -1)[i], coder.length[codes])
+        has = step < some[pair]
+        assert (has == (seen > 0)).all() and ((step < much[pair]) == (seen >= mixing.MUCH)).all()
+        want = np.log((taken[has] + 0.4) / (seen[has] - taken[has] + 0.4))
+        assert np.allclose(odds[begin[pair[has]] + step[has]].astype(float), want, rtol=2e-3, atol=2e-3)
+
+
+def test_the_last_words_are_words_not_classes():
+    words = np.array([7, (mixing.RARE << 16) + 7, 9, 7], "<u4")
+    codes = mixing.classes_of(words)
+    assert codes[0] == codes[1]
+    last = mixing.Coder(np.ones(mixing.CLASSES)).contexts(words, codes, np.array([0, 4]))[1]
+    assert len(set(last.tolist())) == 4
+
+
 def test_odd_tables(no_docs, clashing):
     assert mixing.lm_scores(no_docs, fold()).count() == 0
     rows = mixing.lm_scores(clashing, fold()).collect()

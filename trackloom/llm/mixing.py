@@ -1,18 +1,18 @@
 """Language-model scores by online logistic context mixing.
 
 A text is its tokens: words with A-Z in lower case, then one end. Each token is coded as the path to its leaf in a binary
-tree, and each turn of the path is a bit to predict. The tree is a Huffman tree over 2**11 classes of words (by hash) and
+tree, and each turn of the path is a bit to predict. The tree is a Huffman tree over 2**16 classes of words (by hash) and
 one class for words that training has not seen twice, so common words need few bits. A word's share in its class comes
 from its own count.
 
-Each bit is predicted in four contexts: none, the last common word, the last word, the last two words. The counts of the
-contexts are hashed tables of fixed size. Their log-odds go through gates, which the evidence of a context's slot opens, and
-are mixed by weights. The weights, and a table that corrects the mixture, are adapted online
-after every bit. They start anew in every stretch of ``LANE`` tokens, so all stretches advance side by side, one bit of
-each at a time.
+Each bit is predicted in four contexts: none, the last common word, the last word, the last two words. Contexts are words,
+not classes. Their log-odds are mixed by weights that a gate picks from the evidence which the two longer contexts have.
+The weights, and a table that corrects the mixture, are adapted online after every bit. They start anew in every stretch of
+``LANE`` tokens, so all stretches advance side by side, one bit of each at a time.
 
-Corpus counts, tables and tree come from all training documents: word counts through one exchange of packed blocks, hashed
-counts as sums of dense tables. Only the tables, of fixed size, are sent to the tasks.
+Corpus counts come from all training documents and have no fixed size. Every block of documents sends its different words,
+and later its different (context, class) pairs, to the task of their range. That task has all counts of its contexts and
+answers each block with what the block's own paths need. Only the tree, of fixed size, is sent to all tasks.
 """
 
 from __future__ import annotations
@@ -28,25 +28,27 @@ from pyspark.sql import functions as F
 from trackloom.llm.tables import partitions, written
 from trackloom.llm.words import Words, blobs, key_of, mixed, slices, unblobs
 
-CLASSES = 1 << 11
+CLASSES = 1 << 16
 #: Class of words that training lacks or has once; takes the place of the last hash class.
 RARE = CLASSES - 1
-#: Slots of the hashed tables: last common word, last word, last two words.
-SLOTS = (1 << 19, 1 << 20, 1 << 20)
+#: Bits of a class in the key of a (context, class) pair; the rest of its 64 tells the context.
+CLASS_BITS = 16
 #: A word counts as common if its path has at most so many bits.
 COMMON_BITS = 9
 #: Tokens that share one set of adaptive weights.
 LANE = 256
 #: Size of a step of the weights, and of the corrections.
 RATE, CORRECTION_RATE = 0.02, 0.02
-#: Stretches of slots in which tables travel, and tokens that are worked on at a time.
-RANGE, TOKENS = 1 << 13, 250_000
+#: Tokens, and bits of paths, that are worked on at a time.
+TOKENS, PATH_BITS = 250_000, 500_000
 #: Weight of a rare word that training has, against 1 for each further occurrence.
 ONCE = 0.5
-_TABLES = (CLASSES, *SLOTS)
-_OFFSETS = np.concatenate(([0], np.cumsum(_TABLES)))
-#: What the gate of each context lets through, for slots that training has not seen, has seen up to 3 times, or more often.
-_GATES = np.array([[0.25, 0.25, 0.25], [0.6, 0.6, 0.6], [0.1, 0.2, 0.3], [0.1, 0.4, 0.7]])
+#: Counts from which on a context has some evidence, and much.
+SOME, MUCH = 1, 7
+#: A word in a context: 32 bits of its hash. All rare words are one; the others are what stands before a text's first words.
+_RARE_WORD, _BEGIN, _SECOND, _NO_TOPIC = (np.uint64((1 << 32) - 1 + i) for i in range(4))
+#: Where the keys of each context's bits begin in ``Coder.slots``.
+_OFFSETS = np.array([0, CLASSES, CLASSES + (1 << 60), CLASSES + 2 * (1 << 60), CLASSES + 3 * (1 << 60)])
 _END = np.uint64(0xE7D0E7D0E7D0E7D1)
 
 
@@ -130,7 +132,7 @@ def _by_bucket(make):
 
 
 def _coded(docs: pa.Table, replies: pa.Table) -> pa.Table:
-    """Documents as classes of their tokens, with what depends on the tokens' own counts."""
+    """Documents as the words of their tokens, with what depends on the tokens' own counts."""
     docs = _sorted_block(docs)
     tokens, first = _block_tokens(_text(docs))
     replies = replies.sort_by("bucket").combine_chunks()
@@ -138,20 +140,23 @@ def _coded(docs: pa.Table, replies: pa.Table) -> pa.Table:
     _, at = np.unique(tokens, return_inverse=True)
     count = totals[at]
     train = ~np.asarray(docs.column("held_out").combine_chunks().to_numpy(zero_copy_only=False), bool)
-    code = (tokens >> np.uint64(48)).astype(np.int64) % RARE
     rare = count < 2
     known = count > 0
     # a known word's share in its class: its count, over the class's sum; rare ones that training has share the rare class
     share = np.where(known & ~rare, np.log10(np.maximum(count, 1)), 0.0)
     sums = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
-    code = np.where(rare, RARE, code).astype("<u2")
+    words = np.where(rare, _RARE_WORD, np.minimum(tokens >> np.uint64(32), _RARE_WORD - np.uint64(1))).astype("<u4")
     held = (count > 0).astype(np.int64)
     columns = [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(np.diff(first)), pa.array(sums(held).astype(np.int64)), pa.array(sums(np.log10(count + 1.0))), pa.array(sums(share)), pa.array(sums((rare & known).astype(np.int64))),
-               blobs(code, first).cast(pa.binary()), docs.column("bytes").combine_chunks()]
-    return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_shares", "n_once", "codes", "bytes"])
+               blobs(words, first).cast(pa.binary()), docs.column("bytes").combine_chunks(), docs.column("block").combine_chunks()]
+    return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_shares", "n_once", "words", "bytes", "block"])
 
 
-_CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, log_shares double, n_once long, codes binary, bytes long"
+_CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, log_shares double, n_once long, words binary, bytes long, block int"
+
+
+def classes_of(words: np.ndarray) -> np.ndarray:
+    return np.where(words == _RARE_WORD, RARE, (words >> 16) % RARE).astype(np.int64)
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,41 +189,64 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Coder:
-    """Turns classes into the bits of their paths, with the table slots of each context."""
+    """Turns classes into the bits of their paths. Leaves are numbered from left to right, so all below a node are a range.
+
+    For each bit of each path (from ``first``): ``nodes``, ``bits``, and the range ``low`` to ``high`` of leaves after it.
+    """
 
     def __init__(self, counts: np.ndarray):
         self.length, self.nodes, self.bits = huffman(counts)
         self.first = np.concatenate(([0], np.cumsum(self.length)))
-        self.salts = mixed(self.nodes.astype(np.uint64) + np.uint64(1)).astype(np.uint32)
+        right = np.bincount(self.nodes, weights=self.bits).astype(np.int64)
+        left = np.bincount(self.nodes) - right
+        jumps = np.concatenate(([0], np.cumsum(np.where(self.bits > 0, left[self.nodes], 0))))
+        self.low = (jumps[1:] - np.repeat(jumps[self.first[:-1]], self.length)).astype(np.int32)
+        self.high = (self.low + np.where(self.bits > 0, right[self.nodes], left[self.nodes])).astype(np.int32)
+        self.leaf = self.low[self.first[1:] - 1]
+        self.code = np.argsort(self.leaf)
+        sums = np.concatenate(([0.0], np.cumsum(counts[self.code])))
+        after = sums[self.high] - sums[self.low]
+        whole = np.concatenate(([0.0], after[:-1]))
+        whole[self.first[:-1]] = sums[-1]
+        #: log-odds of the turn that is taken, without a context
+        self.alone = np.log(np.maximum(after, 1e-9) / np.maximum(whole - after, 1e-9)).astype(np.float32)
+
+    def paths(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each bit of the codes its place in the table of all paths and its place in its own path; where each code's bits end."""
+        sizes = self.length[codes]
+        ends = np.cumsum(sizes)
+        step = np.arange(int(ends[-1]) if len(codes) else 0, dtype=np.int32) - np.repeat((ends - sizes).astype(np.int32), sizes)
+        return np.repeat(self.first[codes].astype(np.int32), sizes) + step, step, ends
+
+    def contexts(self, words: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Hashes of the last common word, the last word and the last two words before each token; a row each."""
+        words, n = words.astype(np.uint64), len(words)
+        at = np.arange(n)
+        start = np.repeat(first[:-1], np.diff(first))
+        last = np.where(at == start, _BEGIN, np.roll(words, 1))
+        before = np.where(at - start < 2, _SECOND, np.roll(words, 2))
+        common = np.where(self.length[codes] <= COMMON_BITS, at, -1)
+        seen = np.concatenate(([-1], np.maximum.accumulate(common)[:-1])) if n else common
+        topic = np.where(seen >= start, words[np.maximum(seen, 0)], _NO_TOPIC) if n else words
+        return np.stack([mixed(x + np.uint64(i + 1 << 40)) for i, x in enumerate((topic, last, mixed(last) + before))])
+
+    def pairs(self, words: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Keys of each token's class in each context (a row each): the context, then the leaf."""
+        low = np.uint64((1 << CLASS_BITS) - 1)
+        return self.contexts(words, codes, first) & ~low | self.leaf[codes].astype(np.uint64)
 
     def slots(self, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bits, slots (one row per context, in the joint table) and where each token's bits end."""
+        """Bits, the key of each bit's counts in every context (a row each; words are taken for their classes), where each token's bits end.
+
+        This is what ``answers`` holds, written out bit by bit.
+        """
         codes = codes.astype(np.int64)
-        n = len(codes)
-        begin = np.zeros(n, bool)
-        begin[first[:-1][first[:-1] < n]] = True
-        start = np.maximum.accumulate(np.where(begin, np.arange(n), 0)) if n else np.zeros(0, np.int64)
-        last = np.where(begin, CLASSES, np.roll(codes, 1))
-        before = np.where(np.arange(n) - start < 2, CLASSES + 1, np.roll(codes, 2))
-        common = np.where(self.length[codes] <= COMMON_BITS, np.arange(n), -1)
-        seen = np.concatenate(([-1], np.maximum.accumulate(common)[:-1])) if n else common
-        topic = np.where(seen >= start, codes[np.maximum(seen, 0)], CLASSES + 2)
-        contexts = [topic, last, last * (CLASSES + 3) + before]
-        hashed = [mixed((c.astype(np.uint64) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32) for i, c in enumerate(contexts)]
-        sizes = self.length[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if n else 0
-        where = np.arange(total, dtype=np.int32) + np.repeat((self.first[codes] - (ends - sizes)).astype(np.int32), sizes)
-        salt = self.salts[where]
-        out = np.empty((4, total), np.int32)
-        out[0] = self.nodes[where]
-        for i, (h, size) in enumerate(zip(hashed, SLOTS, strict=True)):
-            slot = np.repeat(h, sizes)
-            slot ^= salt
-            slot *= np.uint32(0x9E3779B1)
-            slot >>= np.uint32(32 - size.bit_length() + 1)
-            np.add(slot, np.uint32(_OFFSETS[i + 1]), out=out[i + 1], casting="unsafe")
-        return self.bits[where], out, ends
+        where, _, ends = self.paths(codes)
+        salt = mixed(self.nodes[where].astype(np.uint64) + np.uint64(1))
+        out = [self.nodes[where].astype(np.int64)]
+        for i, h in enumerate(self.contexts(codes, codes, first)):
+            out.append((mixed(np.repeat(h, self.length[codes]) ^ salt) >> np.uint64(4)).astype(np.int64) + _OFFSETS[i + 1])
+        return self.bits[where], np.stack(out), ends
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,48 +260,111 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(a, b - a)
 
 
-def _count_tables(coder):
-    """Counts of both bit values in every slot, over a task's training documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros(2 * int(_OFFSETS[-1]), np.uint32)
-        some = False
-        for batch in _chunks(batches):
-            codes, n = unblobs(batch.column("codes"), "<u2")
-            if len(codes):
-                some = True
-                bits, slots, _ = coder.value.slots(codes, np.concatenate(([0], np.cumsum(n))))
-                for row in slots:
-                    np.add.at(tables, 2 * row + bits, np.uint32(1))
-        if some:
-            for i in range(0, len(tables), 2 * RANGE):
-                part = tables[i : i + 2 * RANGE]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([i // (2 * RANGE)], pa.int32()), pa.array([part.astype("<u4").tobytes()], pa.binary())], ["bucket", "counts"])
-
-    return count
-
-
-def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each range of slots the gated log-odds of the sum of all tasks' counts. Rows come sorted by bucket."""
-    def made(bucket, total):
-        zeros, ones = total[::2], total[1::2]
-        context = np.searchsorted(_OFFSETS, bucket * RANGE + np.arange(RANGE), side="right") - 1
-        seen = np.digitize(zeros + ones, (1, 4))
-        odds = (np.log((ones + 0.4) / (zeros + 0.4)) * _GATES[np.minimum(context, 3), seen]).astype("<f4")
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([odds.tobytes()], pa.binary())], ["bucket", "odds"])
-
-    bucket, total = None, None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            b = batch.column("bucket")[i].as_py()
-            if b != bucket:
-                if total is not None:
-                    yield made(bucket, total)
-                bucket, total = b, np.zeros(2 * RANGE, np.float64)
-            part = np.frombuffer(batch.column("counts")[i].as_py(), "<u4")
-            total[: len(part)] += part
-    if total is not None:
-        yield made(bucket, total)
+def _steps(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sorted keys as differences, in each stretch from 0: of high bytes, most are 0 then."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    heads = bounds[:-1][np.diff(bounds) > 0]
+    steps[heads] = keys[heads]
+    return steps
+
+
+def _planes(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """values[bounds[i]:bounds[i + 1]] byte place by byte place, which the shuffle compresses better."""
+    return [values[a:b].view(np.uint8).reshape(-1, values.itemsize).T.tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def _unplaned(blob: bytes, dtype: np.dtype | str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def _send_pairs(coder, bits: int):
+    """Each block's different (context, class) pairs with their count in its training documents, by key range."""
+    def send(table: pa.Table) -> pa.Table:
+        train, keys, at, _ = _block_pairs(coder.value, table)
+        counts = np.bincount(at, weights=np.tile(train, 3), minlength=len(keys)).astype("<u4")
+        edges = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        bounds = np.concatenate(([0], edges, [len(keys)]))
+        block = table.column("block")[0].as_py() if table.num_rows else 0
+        return pa.Table.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array(np.full(1 << bits, block, np.int32)), pa.array(_planes(_steps(keys, bounds), bounds), pa.binary()), pa.array(_planes(counts, bounds), pa.binary())], ["bucket", "block", "pairs", "counts"])
+
+    return send
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+    return column
+
+
+def _block_pairs(coder: Coder, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each token is one to learn from, the sorted different pairs, each token's pairs among them, and words."""
+    words, n = unblobs(_column(table, "words"), "<u4")
+    held_out = np.asarray(_column(table, "held_out").to_numpy(zero_copy_only=False), bool)
+    keys, at = np.unique(coder.pairs(words, classes_of(words), np.concatenate(([0], np.cumsum(n)))).ravel(), return_inverse=True)
+    return np.repeat(~held_out, n), keys, at, words
+
+
+def answers(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sorted different pairs: on how many bits of its path each has some evidence, and much; log-odds of the turns taken on the former.
+
+    keys have every pair of their contexts that training has. A node's count never exceeds that of the node above it, so
+    evidence ends somewhere on the path.
+    """
+    n = len(keys)
+    context = keys >> np.uint64(CLASS_BITS)
+    heads = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if n else np.zeros(0, np.int64)
+    members = np.diff(np.append(heads, n))
+    sums = np.concatenate(([0], np.cumsum(counts.astype(np.int64))))
+    whole = np.repeat(sums[heads + members] - sums[heads], members)
+    alone = np.repeat(members, members) == 1
+    codes = coder.code[(keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
+    some, much, odds = np.zeros(n, np.uint8), np.zeros(n, np.uint8), []
+    part = (np.cumsum(coder.length[codes]) - 1) // PATH_BITS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b == a:
+            continue
+        where, step, ends = coder.paths(codes[a:b])
+        pair = np.repeat(np.arange(a, b), coder.length[codes[a:b]])
+        # a context's only pair has all its counts on its path
+        after = whole[pair]
+        ask = np.flatnonzero(~alone[pair])
+        base = keys[pair[ask]] & ~np.uint64((1 << CLASS_BITS) - 1)
+        to = np.searchsorted(keys, base + (coder.high[where[ask]] - 1).astype(np.uint64), side="right")
+        since = np.searchsorted(keys, base + coder.low[where[ask]].astype(np.uint64), side="left")
+        after[ask] = sums[to] - sums[since]
+        at = np.concatenate(([0], after[:-1]))
+        begin = step == 0
+        at[begin] = whole[a:b]
+        first = np.concatenate(([0], ends[:-1]))
+        some[a:b] = np.minimum(np.add.reduceat(at >= SOME, first, dtype=np.int64), 255)
+        much[a:b] = np.minimum(np.add.reduceat(at >= MUCH, first, dtype=np.int64), 255)
+        keep = step < some[pair]
+        odds.append(np.log((after[keep] + 0.4) / (at[keep] - after[keep] + 0.4)).astype("<f2"))
+    return some, much, np.concatenate([np.zeros(0, "<f2"), *odds])
+
+
+def _answer(coder):
+    """What the blocks' pairs of a range need, from the counts of all blocks."""
+    def answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = pa.concat_batches(rows)
+        steps = [_unplaned(x, "<u8") for x in batch.column("pairs").to_pylist()]
+        n = [len(x) for x in steps]
+        pairs = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps])
+        counts = np.concatenate([_unplaned(x, "<u4") for x in batch.column("counts").to_pylist()])
+        keys, at = np.unique(pairs, return_inverse=True)
+        some, much, odds = answers(coder.value, keys, np.bincount(at, weights=counts, minlength=len(keys)))
+        begin = np.cumsum(some, dtype=np.int64) - some
+        bounds = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        sent = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            mine = at[a:b]
+            sizes = some[mine].astype(np.int64)
+            sent.append(odds[np.repeat(begin[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())].tobytes())
+        return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), blobs(some[at], bounds).cast(pa.binary()), blobs(much[at], bounds).cast(pa.binary()), pa.array(sent, pa.binary())], ["block", "bucket", "some", "much", "odds"])
+
+    return answer
 
 
 _BINS = 24
@@ -292,22 +383,32 @@ def side_by_side(lane_first: np.ndarray, lane_size: np.ndarray) -> tuple[np.ndar
     return first.astype(np.int32)[lane] + np.repeat(np.arange(steps, dtype=np.int32), live), live
 
 
-def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray) -> np.ndarray:
+#: First weights of the contexts for each gate: the longer contexts count as much as they have been seen.
+_GATES = 9
+_FIRST = np.array([[0.25, 0.6, 0.1 + 0.1 * (g // 3), 0.1 + 0.3 * (g % 3)] for g in range(_GATES)], np.float32)
+
+
+def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray, gate: np.ndarray | None = None) -> np.ndarray:
     """Probability of every bit, for bits in the order of ``side_by_side``.
 
-    odds: a row of log-odds per context, through the gate. Each lane starts with weights of 1 and an identical correction,
-    and adapts both after each of its bits.
+    odds: a row of log-odds per context. gate: which of its ``_GATES`` weight vectors a bit is mixed by. Each lane starts
+    with the first weights of each gate and an identical correction, and adapts both after each of its bits. Without gate a
+    lane has one vector, of weights 1.
     """
     out = np.empty(len(bits), np.float32)
     n_lanes = int(live[0]) if len(live) else 0
-    weights = np.ones((4, n_lanes), np.float32)
+    first = np.ones((1, 4), np.float32) if gate is None else _FIRST
+    weights = np.tile(first, (n_lanes, 1))
+    rows = np.arange(n_lanes) * len(first)
     centre = ((np.arange(_BINS) + 0.5) / _BINS * 24 - 12).astype(np.float32)
     fix = np.tile(1 / (1 + np.exp(-centre)), (n_lanes, 1)).astype(np.float32).ravel()
     bins = np.arange(n_lanes, dtype=np.int32) * _BINS
     begin = 0
     for n in live.tolist():
-        x, bit, w = odds[:, begin : begin + n], bits[begin : begin + n], weights[:, :n]
-        dot = np.einsum("ij,ij->j", x, w)
+        x, bit = odds[:, begin : begin + n], bits[begin : begin + n]
+        which = rows[:n] if gate is None else rows[:n] + gate[begin : begin + n]
+        w = weights[which]
+        dot = np.einsum("ji,ij->i", x, w)
         np.clip(dot, -11.5, 11.5, out=dot)
         p = np.exp(-dot)
         p += np.float32(1)
@@ -322,40 +423,63 @@ def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray) -> np.ndarray:
         fix[cell] = q
         np.subtract(bit, p, out=p)
         p *= np.float32(RATE)
-        w += x * p
+        w += (x * p).T
+        weights[which] = w
         begin += n
     return np.where(bits > 0, out, 1 - out)
 
 
 def _score(model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, odds, log_class, log_once, known, all_tokens = model.value
-        for batch in _chunks(batches):
-            codes, n = unblobs(batch.column("codes"), "<u2")
+    def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        coder, log_class, log_once, known, all_tokens = model.value
+        _, keys, at, words = _block_pairs(coder, docs)
+        at = at.reshape(3, -1)
+        replies = replies.sort_by("bucket")
+        some, much = (unblobs(_column(replies, c), np.uint8)[0] for c in ("some", "much"))
+        table = np.append(unblobs(_column(replies, "odds"), "<f2")[0], np.float16(0))
+        begin = np.cumsum(some, dtype=np.int64) - some
+        codes = classes_of(words)
+        out, done = [], 0
+        for batch in _chunks(iter(docs.combine_chunks().to_batches())):
+            n = batch.column("n_tokens").to_numpy()
             first = np.concatenate(([0], np.cumsum(n)))
-            bits, slots, ends = coder.slots(codes, first)
+            mine = slice(done, done + int(first[-1]))
+            done = mine.stop
+            part = codes[mine]
+            sizes = coder.length[part]
+            where, step, ends = coder.paths(part)
+            bits = coder.bits[where]
             # a lane is at most LANE tokens of one document
-            within = np.arange(len(codes)) - np.repeat(first[:-1], n)
+            within = np.arange(len(part)) - np.repeat(first[:-1], n)
             heads = np.flatnonzero(within % LANE == 0)
             starts = np.concatenate(([0], ends))
             lane_first = starts[heads]
             lane_size = np.diff(np.append(lane_first, len(bits)))
             order, live = side_by_side(lane_first, lane_size)
-            x = np.stack([odds[row[order]] for row in slots])
+            sign = np.where(bits > 0, np.float32(1), np.float32(-1))
+            x, gate = np.empty((4, len(bits)), np.float32), np.zeros(len(bits), np.int8)
+            x[0] = (coder.alone[where] * sign)[order]
+            for i in range(3):
+                pair = at[i, mine]
+                has = step < np.repeat(some[pair], sizes)
+                x[i + 1] = (table[np.where(has, np.repeat(begin[pair], sizes) + step, len(table) - 1)] * sign)[order]
+                if i:
+                    gate = np.int8(3) * gate + has + (step < np.repeat(much[pair], sizes))
             logs = np.empty(len(bits))
-            logs[order] = np.log10(mix(bits[order].astype(np.float32), x, live))
+            logs[order] = np.log10(mix(bits[order].astype(np.float32), x, live, gate[order]))
             sums = np.concatenate(([0.0], np.cumsum(logs)))
             by_doc = sums[starts[first[1:]]] - sums[starts[first[:-1]]]
-            share = np.concatenate(([0.0], np.cumsum(log_class[codes])))
+            share = np.concatenate(([0.0], np.cumsum(log_class[part])))
             share = share[first[1:]] - share[first[:-1]]
-            count = lambda c: batch.column(c).to_numpy()
+            count = lambda c: batch.column(c).to_numpy()  # noqa: E731,B023
             # in the rare class: a word that training has once, or one that it lacks
             once = count("n_once") * log_once[0] + (count("n_tokens") - count("n_known")) * log_once[1]
             score = by_doc + count("log_shares") - share + once
             base = count("log_counts") - count("n_tokens") * np.log10(all_tokens + known + 1.0)
             # one end a document is coded beside its bytes
             rate = -score * np.log2(10) / np.maximum(count("bytes"), 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), batch.column("n_tokens"), batch.column("n_known"), pa.array(np.full(batch.num_rows, all_tokens, np.int64)), pa.array(base), pa.array(score), pa.array(rate)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+            out.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), batch.column("n_tokens"), batch.column("n_known"), pa.array(np.full(batch.num_rows, all_tokens, np.int64)), pa.array(base), pa.array(score), pa.array(rate)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]))
+        return pa.Table.from_batches(out)
 
     return score
 
@@ -376,33 +500,31 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "kind"), F.lit(2 * parts)).cast("int"))
     sent = rows.groupBy("block").applyInArrow(_send(bits), "bucket int, block int, tokens binary, counts binary")
     replies = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(_total), "block int, bucket int, totals binary, known long, all_tokens long")
-    answers = written(replies, "counts")
-    known, all_tokens = answers.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("all_tokens"), F.lit(0))).first()
-    coded = written(rows.groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block")).applyInArrow(_coded, _CODED), "coded")
+    known_counts = written(replies, "counts")
+    known, all_tokens = known_counts.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("all_tokens"), F.lit(0))).first()
+    coded = written(rows.groupBy("block").cogroup(known_counts.select("block", "bucket", "totals").groupBy("block")).applyInArrow(_coded, _CODED), "coded")
 
-    train = coded.where("not held_out").select("n_tokens", "codes")
+    train = coded.where("not held_out").select("words")
     counts = np.zeros(CLASSES)
     for row in train.mapInArrow(_class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["class"]] = row["n"]
     coder = spark.sparkContext.broadcast(Coder(counts + 0.3))
-    tables = train.mapInArrow(_count_tables(coder), "bucket int, counts binary").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_odds, "bucket int, odds binary")
-    odds = np.zeros(int(_OFFSETS[-1]), np.float32)
-    for row in written(tables, "tables").toLocalIterator():
-        part = slice(row["bucket"] * RANGE, (row["bucket"] + 1) * RANGE)
-        odds[part] = np.frombuffer(row["odds"], "<f4")[: len(odds[part])]
+    # all columns go along so that both readers of the documents share one exchange
+    pairs = coded.groupBy("block").applyInArrow(_send_pairs(coder, bits + 3), "bucket int, block int, pairs binary, counts binary")
+    odds = pairs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(_answer(coder)), "block int, bucket int, some binary, much binary, odds binary")
     # in the rare class, a word of training shares the class's mass with its like; the rest is for words that it lacks
     n_once = float(counts[RARE])
     log_class = np.log10(np.maximum(counts, 1.0))
     log_class[RARE] = 0.0
     once = (np.log10(ONCE / max(n_once, 1.0)), np.log10(1 - ONCE) if n_once else 0.0)
-    model = spark.sparkContext.broadcast((coder.value, odds, log_class, once, known, all_tokens))
-    return coded.mapInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    model = spark.sparkContext.broadcast((coder.value, log_class, once, known, all_tokens))
+    return coded.groupBy("block").cogroup(odds.groupBy("block")).applyInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CLASSES, np.int64)
     for batch in batches:
-        total += np.bincount(unblobs(batch.column("codes"), "<u2")[0], minlength=CLASSES)
+        total += np.bincount(classes_of(unblobs(batch.column("words"), "<u4")[0]), minlength=CLASSES)
     some = np.flatnonzero(total)
     if len(some):
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["class", "n"])
