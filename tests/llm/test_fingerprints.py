@@ -48,6 +48,26 @@ def test_collisions_follow_generalised_jaccard(spark):
     assert abs(same - want) < 0.06
 
 
+def test_single_pairs_are_near_generalised_jaccard(spark):
+    """Every single pair, whatever its likeness, lies near the exact value."""
+    pairs = []
+    for k in range(80):
+        w = [f"w{k}x{i}" for i in range(60)]
+        cut = k % 40
+        pairs.append((" ".join(w + w[:20]), " ".join(w[cut:] + w[cut : cut + 10] + [f"v{k}x{i}" for i in range(cut)])))
+    rows = [(2 * k + e, t) for k, p in enumerate(pairs) for e, t in enumerate(p)]
+    ids = {r.doc_id: r.ids for r in fingerprints.signatures(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    bag = lambda t: Counter(zip(t.split(), t.split()[1:]))
+    off = []
+    for k, pair in enumerate(pairs):
+        a, b = (bag(t) for t in pair)
+        same = sum(x == y for x, y in zip(ids[2 * k], ids[2 * k + 1], strict=True)) / fingerprints.SAMPLES
+        off.append(same - sum((a & b).values()) / sum((a | b).values()))
+    # the bounds in the module's docstring
+    assert max(map(abs, off)) < 0.2
+    assert (sum(x * x for x in off) / len(off)) ** 0.5 < 0.07
+
+
 def test_plan_is_native(odd_docs):
     plan = plan_of(fingerprints.with_next(fingerprints.in_order(odd_docs), "text", ["key", "text"]))
     assert not any(x in plan for x in ("EvalPython", "InArrow", "InPandas"))
