@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import fingerprints, jaccard, mixing, packing, private, rules, substring, toxicity, unigram, urls
+from trackloom.llm import collocations, fingerprints, jaccard, mixing, negatives, packing, private, rules, sketches, substring, toxicity, unigram, urls
 from trackloom.session import ship_package
 
 QUERIES: dict = {}
@@ -168,3 +168,73 @@ FROM m
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
+
+
+@register("op11_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+@register("op12_collocations", """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM d
+), t AS (
+  SELECT lang, piece, unnest(words) AS word, unnest(range(len(words))) AS i FROM w
+), e AS (
+  SELECT lang, word AS w1, lead(word) OVER p AS w2, lead(word, 2) OVER p AS w3, lead(word, 3) OVER p AS w4
+  FROM t WINDOW p AS (PARTITION BY piece ORDER BY i)
+), g AS (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM e GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 AS phrase, count(*) FROM e WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 AS phrase, count(*) FROM e WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 AS phrase, count(*) FROM e WHERE w4 IS NOT NULL GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM g WHERE k > 1 AND f >= 30
+), b AS (
+  SELECT lang, array_to_string(words[s : s + m - 1], ' ') AS phrase, max(a) AS longest
+  FROM c, (VALUES (2), (3)) t(m), (VALUES (1), (2), (3)) u(s) WHERE m < k AND s + m - 1 <= k GROUP BY ALL
+), x AS (
+  SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f) AS score
+  FROM c JOIN (VALUES (1), (2), (3)) t(j) ON j < k
+  JOIN g l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(c.words[1 : j], ' ')
+  JOIN g r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(c.words[j + 1 : ], ' ')
+  LEFT JOIN b ON b.lang = c.lang AND b.phrase = c.phrase
+  WHERE b.longest IS NULL OR 100 * b.longest < 80 * c.a
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, j) = 1
+)
+SELECT x.lang, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM x JOIN n ON x.lang = n.lang QUALIFY rank <= 2000
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_odd_sketches")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(table(spark, sf_dir, "documents"))

@@ -63,8 +63,8 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
 class Words:
     """The words of some texts: byte ``starts`` and ``ends``, number of the text (``doc``), and ``hashes``."""
 
-    def __init__(self, texts: pa.Array, fold: bool = False):
-        """fold: A-Z count as a-z. A null text has no words."""
+    def __init__(self, texts: pa.Array, fold: bool = False, separators: np.ndarray = _SEPARATOR):
+        """fold: A-Z count as a-z. separators: which of the 256 bytes stand between words. A null text has no words."""
         texts = texts.cast(pa.large_string())
         if texts.null_count:
             texts = pc.fill_null(texts, "")
@@ -74,7 +74,7 @@ class Words:
         data = np.frombuffer(raw, dtype=np.uint8)[offsets[0] : offsets[-1]] if raw is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
         self.data, self.offsets = data, offsets - offsets[0]
         inside = np.zeros(len(data) + 2, dtype=bool)
-        inside[1:-1] = ~_SEPARATOR[data]
+        inside[1:-1] = ~separators[data]
         opens, closes = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
         first = self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]
         if len(first):  # texts follow each other without a gap
