@@ -16,6 +16,15 @@ from trackloom.operators.resume import latest_state
 TEMPO_SPREAD = 5
 
 
+def by_track(captions: DataFrame, track: str = "track_id") -> DataFrame:
+    """Captions moved to their track's task, once, before they are split or searched.
+
+    Every later step of a track's consensus finds them there. A caption is smaller than the tags and facts that come out
+    of it, and these hardly combine before a shuffle: a tag of a track is in few of its captions.
+    """
+    return captions.repartition(track)
+
+
 def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
     """(track, window, dimension, tag) rows from comma-separated captions."""
     return captions.select(
@@ -34,11 +43,10 @@ def _union(sets: Column) -> Column:
 
 
 def tag_votes(tags: DataFrame, track: str = "track_id") -> DataFrame:
-    """Distinct windows per (track, dimension, tag). One shuffle.
+    """Distinct windows per (track, dimension, tag). No shuffle for tags of captions that went through ``by_track``, else one.
 
-    A group keeps the set of its windows, which combines before the shuffle and
-    is no larger than a track has windows; ``count_distinct`` would shuffle the
-    rows twice.
+    A group keeps the set of its windows, which is no larger than a track has
+    windows; ``count_distinct`` would shuffle the rows twice.
     """
     return tags.groupBy(track, "dimension", "tag").agg(_windows().alias("windows"))
 
@@ -51,10 +59,10 @@ def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id"
 def _with_top(captions: DataFrame, dimension: str, track: str) -> DataFrame:
     """Votes of one dimension, with the most windows any tag of the track has.
 
-    Two shuffles: the votes, one row per tag, then the votes to their track. The
-    maximum needs no order within a track.
+    One shuffle, of the dimension's captions; votes and their maximum, which
+    needs no order, are made where they arrive.
     """
-    asked = captions.where(F.col("category") == dimension)
+    asked = by_track(captions.where(F.col("category") == dimension), track)
     votes = tag_votes(caption_tags(asked, track), track)
     return votes.withColumn("top_windows", F.max("windows").over(Window.partitionBy(track)))
 
@@ -78,7 +86,7 @@ def genre_consensus(captions: DataFrame, dimension: str = "genre_style", track:
 
 def instrument_union(captions: DataFrame, dimension: str = "instruments", track: str = "track_id") -> DataFrame:
     """Every instrument of a track once, with the number of windows that name it."""
-    asked = captions.where(F.col("category") == dimension)
+    asked = by_track(captions.where(F.col("category") == dimension), track)
     return tag_votes(caption_tags(asked, track), track).select(
         track, F.col("tag").alias("instrument"), "windows"
     )
@@ -111,15 +119,14 @@ def key_consensus(facts: DataFrame, track: str = "track_id") -> DataFrame:
     names one says otherwise.
 
     Rows collapse to (track, key, tempo) first: some 40 keys times a few
-    thousand tempos at most, whatever the track's share of the rows. They move
-    to their track's task once, and every later step finds them there. Nulls
-    are handled inside the aggregates: a filter would be pushed below the
-    shuffle and repeat the text searches.
+    thousand tempos at most. With facts of captions that went through
+    ``by_track`` no step shuffles. Nulls are handled inside the aggregates: a
+    filter would be pushed below and repeat the text searches.
     """
     seen = facts.groupBy(track, "bpm", "music_key").agg(
         F.collect_set("chunk_index").alias("seen_in"),
         F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
-    ).repartition(track)
+    )
     same_bpm = Window.partitionBy(track, "bpm")
     once = F.row_number().over(same_bpm.orderBy("music_key")) == 1  # a tempo weighs once, not per key
     weighed = seen.withColumn("n", F.when(once, _union(F.collect_list("seen_in").over(same_bpm))).otherwise(0))

@@ -10,11 +10,11 @@ from trackloom.plans.registry import query
 
 
 def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.caption_tags(a.captions(spark, sf_dir))
+    return c.caption_tags(c.by_track(a.captions(spark, sf_dir)))
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.window_facts(a.captions(spark, sf_dir, "tempo_key"))
+    return c.window_facts(c.by_track(a.captions(spark, sf_dir, "tempo_key")))
 
 
 @query("""SELECT CAST(conv_id AS VARCHAR) AS track_id, turn AS chunk_index, tag FROM (SELECT conv_id, turn,
@@ -52,7 +52,7 @@ def instrument_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {a.FACTS} SELECT * FROM facts")
 def window_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _facts(spark, sf_dir)
+    return c.window_facts(a.captions(spark, sf_dir, "tempo_key"))
 
 
 TEMPO = """seen AS (SELECT DISTINCT track_id, chunk_index, bpm FROM facts WHERE bpm IS NOT NULL),
