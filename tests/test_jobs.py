@@ -110,8 +110,16 @@ def test_manifest_job(spark, tmp_path):
 
     jobs.caption_job(spark, str(manifest), root, log, "j2", str(tmp_path / "out2"), catalog=CATALOG)
     assert read_log(spark, log).where("run_id = 'j2'").count() == 6
-    written = [json.loads(x) for p in (tmp_path / "out2" / "records").glob("part-*") for x in p.read_text().splitlines()]
-    assert sorted(r["entry"] for r in written) == [0, 2, 3] and set(written[0]["categories"]) == {"genre", "vocals"}
+    written = {p.name: json.loads(p.read_text()) for p in (tmp_path / "out2" / "records").iterdir() if p.suffix == ".json"}
+    assert sorted(r["entry"] for r in written.values()) == [0, 2, 3]
+    assert all(set(r["categories"]) == {"genre", "vocals"} and r["status"] == "ok" for r in written.values())
+    # every record that the summary names is there; the entry without a file has none
+    for folder in ("out", "out2"):
+        document = json.loads("".join(p.read_text() for p in sorted((tmp_path / folder / "results_summary.json").glob("part-*"))))
+        named = [r["output_file"] for r in document["results"] if "output_file" in r]
+        assert len(set(named)) == 3 and "records/2.caption.json" in named
+        assert all(json.loads((tmp_path / folder / name).read_text())["file"] in ("1.wav", "2.wav") for name in named)
+    assert (document["precision"], document["mixed_precision"]) == ("bf16", False)
     assert "timestamp" in document
     manifest.write_text(json.dumps({"tracks": [{"path": "A/1.wav", "prompt_mode": "custom"}]}))
     with pytest.raises(ValueError, match="needs a custom prompt"):
@@ -227,3 +235,86 @@ def test_a_broken_worker_tries_no_more(spark):
     errors = {(r.track_id, r.category): (r.error or "")[:7] for r in rows}
     assert len(rows) == 12 and all(not errors[i, c] for i in (0, 1, 2) for c in ("genre", "vocals"))
     assert errors[3, "genre"] == "CUDA er" and errors[3, "vocals"] == "Skipped" and errors[5, "genre"] == "Skipped"
+
+
+class Configured:
+    def configure(self, settings):
+        self.settings = settings
+
+    def prepare(self, content):
+        return len(content)
+
+    def annotate(self, prepared, prompt):
+        return {"output": f"{self.settings['precision']} {self.settings['max_new_tokens']}"}
+
+
+def test_settings_reach_annotator_log_and_summary(spark, tmp_path):
+    root, log = music(tmp_path, ["1.wav", "2.wav"]), str(tmp_path / "log")
+    manifest = tmp_path / "job.json"
+    manifest.write_text(json.dumps({"globals": {"precision": "4bit"}, "tracks": [
+        {"path": "1.wav", "max_new_tokens": 9999}, {"path": "2.wav", "precision": "bf16", "max_new_tokens": "64"}]}))
+    jobs.caption_job(spark, str(manifest), root, log, "j", str(tmp_path / "out"), make_annotator=Configured)
+    rows = {r.track_id[-5:]: (r.output, r.precision, r.max_new_tokens) for r in read_log(spark, log).collect()}
+    ceiling = rows["1.wav"][2]
+    assert rows == {"1.wav": (f"4bit {ceiling}", "4bit", ceiling), "2.wav": ("bf16 64", "bf16", 64)} and ceiling < 9999
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out" / "results_summary.json").glob("part-*"))))
+    assert (document["precision"], document["mixed_precision"]) == ("4bit", True)
+
+
+def test_a_run_that_dies_keeps_its_finished_rounds(spark, tmp_path, monkeypatch):
+    names = [f"A/{i}.wav" for i in range(12)]
+    root, log, out = music(tmp_path, names), str(tmp_path / "log"), tmp_path / "records"
+    real, calls = jobs.write_batch, []
+
+    def dies(*args):
+        calls.append(args[3])
+        if len(calls) == 3:
+            raise KeyboardInterrupt("the driver is lost")
+        return real(*args)
+
+    monkeypatch.setattr(jobs, "write_batch", dies)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.caption_directory(spark, root, log, "r", CATALOG, Loudness, records=str(out), round_tracks=3)
+    done = read_log(spark, log).select("track_id", "batch_id").distinct().collect()
+    assert {r.batch_id for r in done} == {0, 1} and 2 <= len(done) < 12
+    # the records of finished rounds are there, whole
+    assert {json.loads(p.read_text())["path"] for p in out.glob("*.caption.json")} == {r.track_id for r in done}
+    monkeypatch.setattr(jobs, "write_batch", real)
+    again = jobs.caption_directory(spark, root, log, "r2", CATALOG, Loudness, records=str(out), round_tracks=3)
+    rows = read_log(spark, log).collect()
+    assert again >= 1 and len(rows) == 24 == len({(r.track_id, r.category) for r in rows})
+    assert not {r.track_id for r in rows if r.run_id == "r2"} & {r.track_id for r in done}
+    found = [json.loads(p.read_text()) for p in out.glob("*.caption.json")]
+    assert len(found) == 12 and all(set(r["categories"]) == {"genre", "vocals"} for r in found)
+    assert jobs.caption_directory(spark, root, log, "r3", CATALOG, Loudness, records=str(out), round_tracks=3) == 0
+
+
+def test_rounds_follow_the_clock(spark):
+    from trackloom.operators.rounds import in_rounds
+
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("track_id"))
+    now, sizes, seen = [0.0], [], []
+
+    def run(part, number):
+        got = [r.track_id for r in part.collect()]
+        seen.extend(got)
+        sizes.append(len(got))
+        now[0] += len(got) / 10  # ten tracks a second
+
+    rounds = in_rounds(rows, run, seconds=20, clock=lambda: now[0])
+    assert sorted(map(int, seen)) == list(range(2000)) and rounds == len(sizes)
+    assert max(sizes) < 300 and sizes[0] < 30 and sum(100 < s < 300 for s in sizes) >= rounds // 2
+    assert in_rounds(rows, lambda part, n: None) == 1
+    assert in_rounds(rows.limit(0), run) == 0
+
+
+def test_records_add_up_over_runs(spark, tmp_path):
+    """A track's file has the answers of all runs; tracks of one name have files of their own."""
+    root, log, out = music(tmp_path, ["A/1.wav", "B/1.wav", "B/2.wav"]), str(tmp_path / "log"), tmp_path / "records"
+    one = Catalog("c", (("genre", "G?"),))
+    jobs.caption_directory(spark, root, log, "r1", one, Loudness, records=str(out))
+    jobs.caption_directory(spark, root, log, "r2", CATALOG, Loudness, records=str(out))
+    found = {p.name: json.loads(p.read_text()) for p in out.iterdir()}
+    assert len(found) == 3 and "2.caption.json" in found
+    assert {r["path"][-7:] for r in found.values()} == {"A/1.wav", "B/1.wav", "B/2.wav"}
+    assert all(list(r["categories"]) == ["genre", "vocals"] for r in found.values())

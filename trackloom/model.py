@@ -103,5 +103,5 @@ MANIFEST = _struct(globals=TEXT_MAP, tracks=T.ArrayType(TEXT_MAP))
 LOG = _struct(
     track_id=STR, category=STR, prompt_used=STR, status=STR, output=STR, error=STR, traceback=STR,
     processing_time_sec=DBL, audio_windows=INT, audio_covered_sec=INT, output_truncated=BOOL,
-    updated_at=T.TimestampType(), model_id=STR, entry=LONG, run_id=STR, batch_id=LONG, attempt=STR,
+    updated_at=T.TimestampType(), model_id=STR, entry=LONG, precision=STR, max_new_tokens=LONG, run_id=STR, batch_id=LONG, attempt=STR,
 )

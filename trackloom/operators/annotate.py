@@ -9,15 +9,15 @@ from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trackloom.model import DRY_RUN, ERROR, MESSAGES, OK, RESULT
 from trackloom.session import ship_package
+from trackloom.sources.files import read_file
 
 
 class Annotator(Protocol):
-    """User code. It sees the media content and the prompt, nothing else."""
+    """User code. It sees the media content, the prompt and, with a ``configure`` method, its track's settings; nothing else."""
 
     def prepare(self, content: Any) -> Any:
         """Decode one track; called once for all of its prompts."""
@@ -26,6 +26,12 @@ class Annotator(Protocol):
         """Answer one prompt: ``output`` and any other fields of ``RESULT``."""
 
 
+def _configure(annotator: Annotator, settings: Mapping[str, Any]) -> None:
+    """Settings such as a token limit reach an annotator that asks for them, before each track."""
+    if settings and hasattr(annotator, "configure"):
+        annotator.configure(settings)
+
+
 def _failure(exc: Exception) -> dict:
     return {"status": ERROR, "error": str(exc), "traceback": traceback.format_exc()}
 
@@ -40,22 +46,10 @@ def _answer(annotator: Annotator, prepared: Any, prompt: str) -> dict:
     return {"status": OK, **given}
 
 
-def read_file(path: str) -> bytes:
-    """The bytes of a file, by a plain path or by a URI of any file system that Arrow knows."""
-    scheme, _, rest = path.partition(":")
-    if not rest or "/" in scheme or scheme == "file":
-        with open("/" + rest.lstrip("/") if scheme == "file" and rest else path, "rb") as f:
-            return f.read()
-    authority, _, name = rest.lstrip("/").partition("/")
-    filesystem, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    with filesystem.open_input_file(f"{root.rstrip('/')}/{name}") as f:
-        return f.read()
-
-
 def annotate(
     pending: DataFrame, make_annotator: Callable[[], Annotator],
     carry: tuple[str, ...] = ("track_id",), content: str = "content", tasks: int | None = None,
-    opened: bool = False, fatal: str | None = None,
+    opened: bool = False, fatal: str | None = None, settings: tuple[str, ...] = (),
 ) -> DataFrame:
     """Run an annotator over tracks with a ``prompts`` array; one result row per prompt.
 
@@ -73,6 +67,9 @@ def annotate(
     remaining prompts are not tried, and become skipped error rows that a later
     run takes up again.
 
+    ``settings`` names columns whose values an annotator with a ``configure``
+    method gets as a mapping before each track.
+
     ``tasks`` deals the tracks out evenly first: worth a shuffle when the
     annotator is slow and the pending tracks sit in few partitions.
     """
@@ -107,6 +104,7 @@ def annotate(
                               "status": ERROR, "error": MESSAGES["skipped"]} for p in row["prompts"]]
                     continue
                 try:
+                    _configure(annotator, {c: row[c] for c in settings})
                     given = read_file(row[content]) if opened else row[content]
                     prepared, broken = annotator.prepare(given), None
                 except Exception as exc:
@@ -121,7 +119,7 @@ def annotate(
                                  "prompt_used": p["prompt"], **result})
             yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    return pending.select(*carry, content, "prompts").mapInArrow(run, schema)
+    return pending.select(*dict.fromkeys((*carry, content, *settings, "prompts"))).mapInArrow(run, schema)
 
 
 def dry_run(pairs: DataFrame, category: str = "category") -> DataFrame:

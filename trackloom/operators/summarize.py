@@ -162,11 +162,14 @@ def flat_summary(results: DataFrame) -> DataFrame:
 
 def job_summary(
     tracks: DataFrame, rollup: DataFrame, prompts: int, output_dir: str, path: str = "path", key: str = "track_id",
+    record: str | None = None,
 ) -> DataFrame:
     """One row per manifest entry. A missing file is an error row with no time and no record.
 
-    ``tracks`` carries ``exists``; ``rollup`` has one row per ``key``.
+    ``tracks`` carries ``exists``; ``rollup`` has one row per ``key``. ``record``
+    is the column with the names of the record files, if they were named before.
     """
+    named = F.concat(F.lit(output_dir.rstrip("/") + "/"), F.col(record)) if record else record_path(path, output_dir)
     joined = tracks.join(rollup, key, "left")
     there = F.col("exists")
     missing = F.concat(F.lit(MESSAGES["not_found"].removesuffix("%s")), quoted(path))
@@ -177,5 +180,5 @@ def job_summary(
         F.when(there, F.coalesce("prompts_ok", F.lit(0))).otherwise(0).alias("prompts_ok"),
         F.lit(prompts).alias("prompts_total"),
         F.when(~there, missing).alias("error"),
-        F.when(there, record_path(path, output_dir)).alias("output_file"),
+        F.when(there, named).alias("output_file"),
     )

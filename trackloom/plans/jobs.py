@@ -10,11 +10,14 @@ from trackloom.functions import paths, scalars
 from trackloom.functions.text import strip
 from trackloom.model import AUDIO_SUFFIXES, FATAL_ERROR_PATTERN, LANDMARK_SEC, TEXT_MAP
 from trackloom.operators import annotate as an, config, resume, summarize, windows
+from trackloom.operators.rounds import in_rounds
 from trackloom.session import shared_dir
 from trackloom.sinks.documents import write_entries, write_manifest, write_summary_csv, write_summary_document
-from trackloom.sinks.log import export_records, read_log, write_batch
+from trackloom.sinks.log import STATE_ORDER, export_records, read_attempts, read_log, read_state, write_batch
+from trackloom.sinks.record_files import with_record_names, write_record_files
 from trackloom.sources import manifests, records
 from trackloom.sources.catalog import Catalog
+from trackloom.sources.files import check_openable
 from trackloom.sources.scan import scan_audio
 from trackloom.sources.wav import decode_wav
 
@@ -66,29 +69,71 @@ def filter_manifest(spark: SparkSession, manifest: str, done: str, out: str, key
     return resume.conservation(tracks, finished, key=key, left=manifests.read_manifest_lines(spark, out))
 
 
+#: What a record and the log have of one answer.
+ANSWER = ("status", "output", "error", "traceback", "processing_time_sec", "audio_windows", "audio_covered_sec",
+          "output_truncated", "prompt_used")
+#: Settings of a manifest entry that its annotator and its log rows get.
+PASSED_ON = ("precision", "max_new_tokens")
+
+
+def _annotated(pending: DataFrame, make_annotator, tasks: int | None, carry: tuple[str, ...], settings: tuple[str, ...] = ()) -> DataFrame:
+    """Result rows of pending tracks; without an annotator those of a dry run."""
+    if make_annotator is None:
+        return an.dry_run(pending.select(*carry, F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
+    return an.annotate(
+        pending, make_annotator, carry, content="uri", tasks=tasks, opened=True, fatal=FATAL_ERROR_PATTERN, settings=settings
+    )
+
+
+def _committed(
+    spark: SparkSession, results: DataFrame, log_path: str, run_id: str, batch_id: int,
+) -> tuple[DataFrame, str]:
+    """Append a round's results to the log; returns them as read back from there, and their folder."""
+    attempt = write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, batch_id)
+    folder = f"run_id={run_id}/batch_id={batch_id}/attempt={attempt}"
+    return read_attempts(spark, log_path, [folder]), folder
+
+
 def caption_directory(
     spark: SparkSession, directory: str, log_path: str, run_id: str, catalog: Catalog,
     make_annotator: Callable[[], an.Annotator] | None = None, overwrite: bool = False, batch_id: int = 0,
-    tasks: int | None = None,
-) -> None:
-    """Annotate what a folder still lacks and append it to the log.
+    tasks: int | None = None, records: str | None = None, round_tracks: int | None = None, round_seconds: float | None = None,
+) -> int:
+    """Annotate what a folder still lacks and append it to the log; returns the number of rounds.
+
+    Without an annotator this is a dry run. A worker opens a file when its turn
+    comes, and no other file is read. Every call adds folders of its own to the
+    log, whatever its run id.
 
-    Without an annotator this is a dry run. The pending tracks are checkpointed
-    as paths, so a lost executor does not redo the state join; a worker opens a
-    file when its turn comes, and no other file is read. Every call adds a folder
-    of its own to the log, whatever its run id.
+    ``round_tracks`` or ``round_seconds`` bound what a crash can lose: pending
+    tracks are done in rounds, each committed to the log before the next one
+    starts, and the next call finds the finished ones done. Rounds count up from
+    ``batch_id``. With ``records`` each round also writes one record file per
+    track it touched, with all the track's answers so far, to that folder.
     """
     shared_dir(spark)
     listed = _with_track_id(scan_audio(spark, directory)).select("track_id", "uri")
-    pending = resume.pending_prompts(
-        listed, read_log(spark, log_path), catalog, overwrite, ("updated_at", "run_id", "batch_id")
-    ).checkpoint()
-    if make_annotator is None:
-        pairs = pending.select("track_id", F.inline("prompts"))
-        results = an.dry_run(pairs).withColumnRenamed("prompt", "prompt_used")
-    else:
-        results = an.annotate(pending, make_annotator, content="uri", tasks=tasks, opened=True, fatal=FATAL_ERROR_PATTERN)
-    write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, batch_id)
+    if make_annotator is not None:
+        check_openable(directory)
+    if records is not None:
+        listed = with_record_names(listed, "track_id", ("track_id",))
+    before = read_state(spark, log_path)
+    pending = resume.pending_prompts(listed, before, catalog, overwrite, STATE_ORDER)
+    if records is not None:
+        known = resume.latest_state(before.join(pending.select("track_id"), "track_id", "left_semi"), order=STATE_ORDER).checkpoint()
+
+    def run(part: DataFrame, number: int) -> None:
+        answers, _ = _committed(spark, _annotated(part, make_annotator, tasks, ("track_id",)), log_path, run_id, batch_id + number)
+        if records is not None:
+            of_round = part.select("track_id", "record")
+            rows = known.join(of_round, "track_id", "left_semi").unionByName(answers)
+            nested = summarize.nest_by_category(rows, catalog.keys, ("track_id",), ANSWER, STATE_ORDER)
+            write_record_files(nested.join(of_round, "track_id").select(
+                "record", paths.file_name("track_id").alias("file"), F.col("track_id").alias("path"),
+                scalars.iso_utc(scalars.now_utc(), zulu=True).alias("last_updated"), "categories",
+            ), records)
+
+    return in_rounds(pending, run, round_tracks, round_seconds)
 
 
 def summarize_log(spark: SparkSession, log_path: str, out: str, catalog: Catalog, run_id: str | None = None) -> None:
@@ -148,43 +193,51 @@ def _prompts_of(settings: DataFrame, catalog: Catalog | None) -> DataFrame:
 def caption_job(
     spark: SparkSession, manifest: str, base: str, log_path: str, run_id: str, out: str,
     catalog: Catalog | None = None, make_annotator: Callable[[], an.Annotator] | None = None,
-    framed: bool = False, tasks: int | None = None,
+    framed: bool = False, tasks: int | None = None, round_tracks: int | None = None, round_seconds: float | None = None,
 ) -> None:
-    """Annotate the tracks of a manifest and write the job's summary document.
+    """Annotate the tracks of a manifest and write the job's records and summary document.
 
     A bad manifest or prompt mode fails before any media is read. A missing
     file is an error row of the summary and has no record; the job goes on.
-    Every run does all of its tracks again, as job runs do, and adds to the log.
-    A file that is listed twice is annotated for each of its entries, with that
-    entry's own prompts. Each entry's record, with its tags, is a line of
-    ``records``, named by ``file``.
+    Every run does all of its tracks again, as job runs do, and adds to the log,
+    in rounds as in ``caption_directory``. A file that is listed twice is
+    annotated for each of its entries, with that entry's own prompts. Each
+    entry's record, with its tags, is one file of ``records``: the summary's
+    ``output_file``. An entry's precision and token limit reach an annotator
+    that has ``configure``, and the log. The summary says which precision the
+    first entry has and whether others differ.
     """
     shared_dir(spark)
     root = base.rstrip("/") + "/"
     settings = _prompts_of(resolve_job(spark, manifest, framed), catalog)
     listed = settings.withColumn("uri", F.concat(F.lit(root), F.col("path"))).withColumn("track_id", paths.without_scheme("uri"))
     scan = _with_track_id(scan_audio(spark, base)).select("track_id")
-    tracks = resume.with_existence(listed, scan, "track_id", "track_id").checkpoint()
+    if make_annotator is not None:
+        check_openable(root)
+    named = with_record_names(listed, "path", ("path", "track_index"))
+    tracks = resume.with_existence(named, scan, "track_id", "track_id").checkpoint()
     pending = tracks.where("exists").withColumnRenamed("track_index", "entry")
-    carry = ("track_id", "entry", "model_id")
-    if make_annotator is None:
-        results = an.dry_run(pending.select(*carry, F.inline("prompts"))).withColumnRenamed("prompt", "prompt_used")
-    else:
-        results = an.annotate(pending, make_annotator, carry, content="uri", tasks=tasks, opened=True, fatal=FATAL_ERROR_PATTERN)
-    attempt = write_batch(results.withColumn("updated_at", F.current_timestamp()), log_path, run_id, 0)
+    carry = ("track_id", "entry", "model_id", *PASSED_ON)
+    of_tracks = tracks.select(F.col("track_index").alias("entry"), F.col("path"), "tags", "record")
+    keys = catalog.keys if catalog else []
+    folders: list[str] = []
 
-    answers = read_log(spark, log_path).where((F.col("run_id") == run_id) & (F.col("attempt") == attempt))
-    rollup = summarize.track_rollup(answers, track="entry").withColumnRenamed("entry", "track_index")
-    rows = summarize.job_summary(tracks, rollup.drop("prompts_total"), len(catalog.keys) if catalog else 1, "records", key="track_index")
-    fields = ("status", "output", "error", "traceback", "processing_time_sec", "audio_windows",
-              "audio_covered_sec", "output_truncated", "prompt_used")
-    nested = summarize.nest_by_category(answers, catalog.keys if catalog else [], ("entry", "track_id", "model_id"), fields)
-    tags = tracks.select(F.col("track_index").alias("entry"), F.col("path"), "tags")
-    export_records(nested.join(tags, "entry").select(
-        paths.file_name("path").alias("file"), "path", "entry", "model_id", "tags",
-        scalars.iso_utc(scalars.now_utc(), zulu=True).alias("last_updated"), "categories",
-    ), f"{out}/records")
-    header = summarize.run_summary(rows, len(catalog.keys) if catalog else 1)
+    def run(part: DataFrame, number: int) -> None:
+        answers, folder = _committed(spark, _annotated(part, make_annotator, tasks, carry, PASSED_ON), log_path, run_id, number)
+        folders.append(folder)
+        nested = summarize.nest_by_category(answers, keys, ("entry", "track_id", "model_id"), ANSWER)
+        rolled = summarize.track_rollup(answers, track="entry").select("entry", "total_processing_time_sec", "status")
+        write_record_files(nested.join(rolled, "entry").join(of_tracks, "entry").select(
+            "record", paths.file_name("path").alias("file"), "path", "entry", "model_id", "tags",
+            scalars.iso_utc(scalars.now_utc(), zulu=True).alias("last_updated"), "total_processing_time_sec", "status", "categories",
+        ), f"{out}/records")
+
+    in_rounds(pending, run, round_tracks, round_seconds, key=("entry",))
+    rollup = summarize.track_rollup(read_attempts(spark, log_path, folders), track="entry").withColumnRenamed("entry", "track_index")
+    prompts = len(keys) if catalog else 1
+    rows = summarize.job_summary(tracks, rollup.drop("prompts_total"), prompts, "records", key="track_index", record="record")
+    used = config.mixed_settings(tracks, "precision").select(F.col("used").alias("precision"), F.col("mixed").alias("mixed_precision"))
+    header = summarize.run_summary(rows, prompts).join(used)
     write_summary_document(
         header.select(scalars.iso_utc(scalars.now_utc(), zulu=True).alias("timestamp"), "*"), rows.withColumn("path", F.col("track_id")),
         f"{out}/results_summary.json", "results",

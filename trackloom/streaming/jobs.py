@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trackloom.operators.annotate import read_file
 from trackloom.operators.resume import pending_prompts
 from trackloom.session import ship_package
 from trackloom.sinks.log import read_log, write_batch
 from trackloom.sources.catalog import Catalog
+from trackloom.sources.files import read_file
 from trackloom.sources.scan import changed_files
 
 
