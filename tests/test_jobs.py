@@ -318,3 +318,56 @@ def test_records_add_up_over_runs(spark, tmp_path):
     assert len(found) == 3 and "2.caption.json" in found
     assert {r["path"][-7:] for r in found.values()} == {"A/1.wav", "B/1.wav", "B/2.wav"}
     assert all(list(r["categories"]) == ["genre", "vocals"] for r in found.values())
+
+
+def test_stream_state_knows_what_is_done(spark, tmp_path):
+    """Failed prompts are tried again, done ones are not; no batch after the first reads the log."""
+    from trackloom.sinks.log import compact_log
+    from trackloom.streaming.state import annotate_stream
+
+    root, log, mark, inbox = music(tmp_path, ["1.wav", "2.wav", "bad.wav"]), str(tmp_path / "log"), str(tmp_path / "mark"), tmp_path / "inbox"
+    jobs.caption_directory(spark, root, log, "earlier", Catalog("c", (("genre", "G?"),)), Loudness)
+    compact_log(spark, log)
+
+    def arrive(*names):
+        rows = spark.createDataFrame([(f"{root}/{n}", f"{root}/{n}") for n in names], "track_id string, uri string")
+        rows.coalesce(1).write.mode("append").parquet(str(inbox))
+        stream = spark.readStream.schema(rows.schema).parquet(str(inbox))
+        query = annotate_stream(spark, stream, CATALOG, log, "s", mark, Loudness)
+        query.awaitTermination()
+        return query
+
+    arrive("1.wav", "1.wav", "bad.wav")
+    rows = sorted((r.track_id.rsplit("/", 1)[1], r.category, r.status) for r in read_log(spark, log).where("run_id = 's'").collect())
+    assert rows == [("1.wav", "vocals", "ok"), ("bad.wav", "genre", "error"), ("bad.wav", "vocals", "error")]
+    music(tmp_path, ["x.wav"])
+    (tmp_path / "music" / "bad.wav").write_bytes((tmp_path / "music" / "x.wav").read_bytes())
+    query = arrive("1.wav", "bad.wav", "2.wav")
+    second = read_log(spark, log).where("run_id = 's' and batch_id = 1").collect()
+    assert sorted((r.track_id.rsplit("/", 1)[1], r.category, r.status) for r in second) == [
+        ("2.wav", "vocals", "ok"), ("bad.wav", "genre", "ok"), ("bad.wav", "vocals", "ok")]
+    plan = query._jsq.explainInternal(False)
+    assert log not in plan and "TransformWithState" in plan
+    arrive("2.wav", "bad.wav")
+    assert read_log(spark, log).where("run_id = 's' and batch_id = 2").count() == 0
+
+
+def test_a_first_batch_that_died_is_done_again(spark, tmp_path):
+    """Its folder is there, its commit is not: the replay gives the same rows and does not take itself as done."""
+    import os
+
+    from trackloom.streaming.state import annotate_stream
+
+    log, mark, inbox = str(tmp_path / "log"), tmp_path / "mark", str(tmp_path / "inbox")
+    spark.createDataFrame([("a",), ("b",)], "track_id string").coalesce(1).write.parquet(inbox)
+
+    def drain():
+        stream = spark.readStream.schema("track_id string").parquet(inbox)
+        annotate_stream(spark, stream, CATALOG, log, "s", str(mark)).awaitTermination()
+        return sorted((r.track_id, r.category, r.output, r.attempt) for r in read_log(spark, log).collect())
+
+    first = drain()
+    assert len(first) == 4
+    for name in ("0", ".0.crc"):
+        os.remove(mark / "commits" / name)
+    assert drain() == first

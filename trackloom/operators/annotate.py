@@ -32,16 +32,18 @@ def _configure(annotator: Annotator, settings: Mapping[str, Any]) -> None:
         annotator.configure(settings)
 
 
-def _failure(exc: Exception) -> dict:
+def failure(exc: Exception) -> dict:
+    """An exception as a result."""
     return {"status": ERROR, "error": str(exc), "traceback": traceback.format_exc()}
 
 
-def _answer(annotator: Annotator, prepared: Any, prompt: str) -> dict:
+def answer(annotator: Annotator, prepared: Any, prompt: str) -> dict:
+    """The result of one prompt, timed, an exception included."""
     start = time.time()
     try:
         given = dict(annotator.annotate(prepared, prompt))
     except Exception as exc:
-        return _failure(exc)
+        return failure(exc)
     given.setdefault("processing_time_sec", round(time.time() - start, 1))
     return {"status": OK, **given}
 
@@ -108,12 +110,12 @@ def annotate(
                     given = read_file(row[content]) if opened else row[content]
                     prepared, broken = annotator.prepare(given), None
                 except Exception as exc:
-                    prepared, broken = None, _failure(exc)
+                    prepared, broken = None, failure(exc)
                 for p in row["prompts"]:
                     if stopped:
                         result = {"status": ERROR, "error": MESSAGES["skipped"]}
                     else:
-                        result = broken or _answer(annotator, prepared, p["prompt"])
+                        result = broken or answer(annotator, prepared, p["prompt"])
                         stopped = bool(fatal and result.get("error") and re.search(fatal, result["error"]))
                     rows.append({**key, "ord": p["ord"], "category": p["category"],
                                  "prompt_used": p["prompt"], **result})
@@ -122,6 +124,11 @@ def annotate(
     return pending.select(*dict.fromkeys((*carry, content, *settings, "prompts"))).mapInArrow(run, schema)
 
 
+def dry_result(category: str) -> dict:
+    """The placeholder result of one prompt."""
+    return {"status": OK, "output": MESSAGES["dry_run"].replace("%s", category), "output_truncated": False, **DRY_RUN}
+
+
 def dry_run(pairs: DataFrame, category: str = "category") -> DataFrame:
     """Placeholder results as plain column expressions: no Python worker starts."""
     lead, tail = MESSAGES["dry_run"].split("%s")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from trackloom.functions import paths
 from trackloom.operators import resume, summarize
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
 from trackloom.session import shared_path
 from trackloom.sinks.log import export_records
+from trackloom.sinks.record_files import with_record_names, write_record_files
 from trackloom.sources import records
 
 ANSWER = ("status", "output", "error", "traceback", "processing_time_sec", "audio_windows", "audio_covered_sec",
@@ -37,6 +39,26 @@ def flatten_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _back(spark, documents, "keyed").select("track_id", "category", "status", "output", "error", "processing_time_sec")
 
 
+@query(f"""WITH {a.LOG}, {a.LATEST}
+SELECT '/music/' || CAST(track_id AS INT) % 3 || '/' || CAST(track_id AS INT) // 3 || '.mp3' AS path,
+  category, status, output, error, processing_time_sec FROM latest""")
+def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest answers as one file per track, written over the records of a first pass; three albums share every file name."""
+    folder, user = shared_path(spark, "record-files"), F.col("track_id").cast("int")
+    path = F.concat(F.lit("/music/"), user % 3, F.lit("/"), F.floor(user / 3).cast("int"), F.lit(".mp3"))
+    rows = a.log(spark, sf_dir).withColumn("path", path)
+    for name in ANSWER:
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
+    named = with_record_names(rows.select("path").distinct())
+    for so_far in (rows.where("event_id % 2 = 0"), rows):
+        nested = summarize.nest_by_category(so_far, a.EVENT_CATALOG.keys, ("path",), ANSWER, a.LOG_ORDER)
+        documents = nested.join(named, "path").select("record", paths.file_name("path").alias("file"), "path", F.lit("m1").alias("model_id"), "categories")
+        write_record_files(documents, folder)
+    found = records.read_responses(spark, folder, "keyed")
+    return found.select("path", "category", "status", "output", "error", "processing_time_sec")
+
+
 @query("""SELECT CAST(conv_id AS VARCHAR) || '/' || turn AS file, role AS category, text AS output, 'ok' AS status FROM conversations""")
 def flatten_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with one answer each."""

@@ -8,8 +8,9 @@ from trackloom.operators import annotate as an, resume
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
 from trackloom.session import shared_path
-from trackloom.sinks.log import read_log, write_batch
+from trackloom.sinks.log import STATE_KEYS, STATE_ORDER, compact_log, read_log, read_state, vacuum_log, write_batch
 from trackloom.streaming import jobs
+from trackloom.streaming.state import annotate_stream
 
 PENDING = f"""{a.LOG}, {a.LATEST}, {a.LISTENERS}, {a.CATALOG},
 pending AS (SELECT l.track_id, l.content, l.path, c.ord, c.category, c.prompt FROM listeners l, catalog c
@@ -182,3 +183,33 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).awaitTermination()
     done = read_log(spark, log_path).where(F.col("run_id") != "earlier")
     return done.select("track_id", "category", "status", "output")
+
+
+@query(f"""WITH {PENDING}
+SELECT track_id, category, 'ok' AS status, '[DRY RUN placeholder output for ''' || category || ''']' AS output FROM pending""")
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the progress as keyed state: the log is read once, to start the state, and its snapshot only."""
+    inbox, log_path, checkpoint = (shared_path(spark, name) for name in ("inbox", "log", "state"))
+    a.listeners(spark, sf_dir).select("track_id").repartition(3).write.parquet(inbox)
+    write_batch(resume.latest_state(a.log(spark, sf_dir).drop("event_id")), log_path, "earlier", 0)
+    compact_log(spark, log_path)
+    for _ in range(2):
+        stream = spark.readStream.schema("track_id string").option("maxFilesPerTrigger", 2).parquet(inbox)
+        annotate_stream(spark, stream, a.EVENT_CATALOG, log_path, "run", checkpoint).awaitTermination()
+    done = read_log(spark, log_path).where(F.col("run_id") != "earlier")
+    return done.select("track_id", "category", "status", "output")
+
+
+@query(f"""WITH {a.LOG}, {a.LATEST}
+SELECT track_id, category, status, output, error, processing_time_sec FROM latest""")
+def compacted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that is written in three attempts, two of them folded into a snapshot: its newest rows from snapshot and tail."""
+    log_path = shared_path(spark, "log")
+    rows = a.log(spark, sf_dir).withColumn("part", F.pmod("event_id", F.lit(3)))
+    for part in range(3):
+        write_batch(rows.where(F.col("part") == part), log_path, "run", part)
+        if part < 2:
+            compact_log(spark, log_path)
+    vacuum_log(log_path)
+    newest = resume.latest_state(read_state(spark, log_path), STATE_KEYS, STATE_ORDER)
+    return newest.select("track_id", "category", "status", "output", "error", "processing_time_sec")
