@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackloom.model import MANIFEST, TEXT_MAP
 from trackloom.sinks.documents import BODY_ROW, FOOTER, HEADER_END
+from trackloom.sources.files import locate
+from trackloom.sources.split_json import SPLIT_BYTES, Document
 
 
 def parse_manifest(document: Column) -> Column:
@@ -14,10 +17,10 @@ def parse_manifest(document: Column) -> Column:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Tracks of hand-sized manifest documents (each one JSON file).
+    """Tracks of hand-sized manifest documents (each one JSON file, read by one task).
 
-    A single JSON document is read by one task, as any reader must. Large
-    catalogues use the line-framed form of ``read_manifest_lines``.
+    Large ones go through ``read_manifest_entries``, which cuts a document at
+    its elements, or have the line-framed form of ``read_manifest_lines``.
     Columns: manifest, track_index, globals, track.
     """
     documents = spark.read.text(path, wholetext=True).select(
@@ -44,9 +47,28 @@ def framed_header(spark: SparkSession, path: str) -> str:
     return headers[0]["value"]
 
 
-def read_manifest_entries(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+def _as_text(entry: str) -> Column:
+    """An element as the JSON reader gives it as text."""
+    return F.from_json(F.concat(F.lit('{"t":['), entry, F.lit("]}")), "t array<string>")["t"][0]
+
+
+def _one_large_file(path: str, most: int) -> str | None:
+    """The file of a manifest, if it is a single one and larger than that."""
+    store, name = locate(path)
+    info = store.get_file_info(name)
+    if info.type == fs.FileType.Directory:
+        inside = [i for i in store.get_file_info(fs.FileSelector(name)) if not i.base_name.startswith(("_", "."))]
+        if len(inside) != 1 or inside[0].type != fs.FileType.File:
+            return None
+        path, info = f"{path.rstrip('/')}/{inside[0].base_name}", inside[0]
+    return path if info.type == fs.FileType.File and info.size > most else None
+
+
+def read_manifest_entries(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, str]:
     """The tracks of a manifest of either form, as they stand in it; and the JSON text of its globals.
 
+    A document of more than ``split_bytes`` that is not line-framed is cut at its elements and read by many tasks.
+
     Columns: place (unique, in the order of the file), path, entry (JSON text).
     A manifest that has no tracks gives no rows.
     """
@@ -61,6 +83,13 @@ def read_manifest_entries(spark: SparkSession, path: str) -> tuple[DataFrame, st
         entries = lines.where(
             F.col("value").startswith(BODY_ROW) & ~F.col("value").endswith(HEADER_END) & (F.col("value") != FOOTER)
         ).select("place", F.rtrim("value", F.lit(",")).alias("entry"))
+    elif large := _one_large_file(path, split_bytes):
+        document = Document(spark, large, split_bytes)
+        globals_text = spark.range(1).select(F.lit(document.text("globals")).alias("g")).select(_as_text("g")).first()[0] or "{}"
+        entries = document.elements("tracks").select(
+            F.struct(F.lit(large).alias("file"), F.lit(0).cast("bigint").alias("block"), F.col("place").alias("line")).alias("place"),
+            _as_text("text").alias("entry"),
+        )
     else:
         parsed = spark.read.text(path, wholetext=True).select(
             F.input_file_name().alias("file"), F.from_json("value", "globals string, tracks array<string>").alias("doc")
