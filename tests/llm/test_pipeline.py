@@ -47,9 +47,28 @@ def test_stages_one_by_one(spark, odd_docs):
     assert sizes == {i: len(encoder.encode(t or "")) + 1 for i, t in clean.items()}
 
 
+def test_near_duplicates_are_decided_per_row(spark):
+    """An id that comes twice, or not at all, takes no other text with it; of equal rows one stays, in order of the ids."""
+    t = " ".join(f"t{i}" for i in range(60))
+    near, u, v = t.replace("t59", "x"), " ".join(f"u{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
+
+    def kept(rows):
+        docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string").repartition(3)
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert kept([(1, t), (1, t), (2, t), (3, u), (3, t), (None, t), (None, t)]) == [(1, t), (3, u)]
+    assert kept([(None, v), (None, v), (7, near), (9, t), (7, u), (None, t)]) == sorted([(None, v), (7, near), (7, u)], key=str)
+    assert kept([(1, ""), (1, ""), (2, None), (2, None), (None, None)]) == sorted([(1, ""), (1, ""), (2, None), (2, None), (None, None)], key=str)
+    assert kept([(-5, t), (4, near), (4, near)]) == [(-5, t)]
+    assert kept([]) == []
+
+
 def test_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 
