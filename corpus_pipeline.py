@@ -9,6 +9,7 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 if ROOT not in sys.path:
@@ -26,11 +27,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays; rows without a doc_id stay."""
+    """Of each group of linked texts one row stays: the one with the smallest doc_id, rows without one coming last.
+
+    Decided per row, not per doc_id: texts are the nodes, so an id that comes with two texts, or none, takes no other text
+    with it. Of rows with that id and text one stays. Texts without a word are linked with nothing, and all their rows stay.
+    """
     ship_package(spark)
-    groups = jaccard.jaccard_components(docs.select("doc_id", "text"))
-    gone = groups.where("doc_id is not null and not (component_id <=> doc_id)").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    node = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select("doc_id", node.alias("doc_node"), "text")
+    groups = jaccard.jaccard_components(rows.select(F.col("doc_node").alias("doc_id"), "text")).where("n_shingles > 0")
+    groups = groups.select(F.col("doc_id").alias("doc_node"), F.col("component_id").alias("component")).distinct()
+    repeats = rows.groupBy("doc_id", "doc_node").agg(F.count("*").alias("n")).join(groups, "doc_node")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "doc_node")
+    first = repeats.groupBy("component").agg(F.min(place).alias("first"))
+    repeats = repeats.join(first, "component").withColumn("wins", F.col("first") == place)
+    gone = repeats.where(~F.col("wins") | (F.col("n") > 1)).select(F.col("doc_id").alias("its_id"), F.col("doc_node").alias("its_node"), "wins")
+    one = docs.withColumn("its_text", node)
+
+    def same(marks: DataFrame):
+        return (one["its_text"] == marks["its_node"]) & one["doc_id"].eqNullSafe(marks["its_id"])
+
+    # rows that come more than once and stay: one of each
+    often = gone.where("wins")
+    several = one.join(often, same(often), "left_semi").drop("its_text").dropDuplicates(["doc_id", "text"])
+    return one.join(gone, same(gone), "left_anti").drop("its_text").union(several)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
