@@ -131,3 +131,22 @@ def test_collisions_and_number_check(spark):
     assert got == {"a": (40, 30, 122, 30), "b": (1, 0, 2, 1)}
     counts = Counter(r.name for r in quality.collision_members(tracks, by="basename").select("name").collect())
     assert counts == {"01. Intro.mp3": 40}
+
+
+def test_variants_settle_on_the_most_frequent_then_the_more_specific(spark):
+    rows = [(1, "guitar", 1), (1, "acoustic guitar", 3), (1, "acoustic guitar with fingerpicking", 1), (1, "bass guitar", 1), (1, "oud", 1),
+            (2, "pad", 2), (2, "synth pad", 2), (2, "warm synth pad", 1), (3, "drum kit", 1), (3, "kit drum", 1), (4, "pad", 5), (4, "synth pad", 1), (4, "soft pad", 1)]
+    votes = spark.createDataFrame(rows, "track_id int, instrument string, windows long")
+    got = sorted((r.track_id, r.instrument) for r in c.settle_variants(votes).collect())
+    # a guitar is part of both kinds, and weaker than one of them and less specific than the other
+    assert got == [(1, "acoustic guitar"), (1, "bass guitar"), (1, "oud"), (2, "synth pad"), (3, "drum kit"), (4, "pad")]
+    assert c.settle_variants(votes.limit(0)).count() == 0
+
+
+def test_consensus_moves_captions_once(spark):
+    from conftest import plan_of
+
+    captions = spark.createDataFrame([(1, 0, "genre_style", "Dub, Roots"), (1, 1, "genre_style", "dub")], "track_id long, chunk_index int, category string, output string")
+    for plan in (c.genre_consensus(captions), c.voice_consensus(captions), c.instrument_union(captions),
+                 c.tag_consensus(c.caption_tags(c.by_track(captions))), c.key_consensus(c.window_facts(c.by_track(captions)))):
+        assert plan_of(plan).split("\n\n\n")[0].count("Exchange (") == 1

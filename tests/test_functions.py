@@ -156,3 +156,21 @@ def test_word_count(one):
 @pytest.mark.parametrize("value", ["a/b.mp3", "it's.mp3", 'say "x".mp3', "both ' and \".mp3", "back\\slash"])
 def test_quoted_is_repr(one, value):
     assert one(text.quoted("v"), v=value) == repr(value)
+
+
+@pytest.mark.parametrize("said,evades", [
+    ("Explicit tempo data is absent.", True), ("Key: unavailable", True), ("The genre, sadly, is UNKNOWN here", True),
+    ("The drums are absent at first", False), ("a missing beat, then many words until the tempo", False), ("tempo 90", False),
+    ("", False), ("absent", False), ("missing one two three tempo", True), ("missing one two three four tempo", False),
+    ("tempo one two three missing", True), ("tempo one two three four missing", False), ("tempos absent", False),
+])
+def test_absence_near_a_subject(one, said, evades):
+    assert one(text.states_absence("t"), t=said) is evades
+
+
+def test_evasions_go_as_sentences(one):
+    said = "Warm pads. Explicit tempo data is absent! The drums are absent at first. Lyrics? Unavailable."
+    assert one(text.drop_evasions("t"), t=said) == "Warm pads. The drums are absent at first. Lyrics? Unavailable."
+    assert one(text.drop_evasions("t"), t=" Warm pads. ") == " Warm pads. "
+    assert one(text.drop_evasions("t"), t="Tempo is unknown.") == ""
+    assert one(text.drop_evasions("t"), t=None) is None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from trackloom.model import DURATION_LEAK_PATTERN, OK, REFUSAL_PATTERN
+from trackloom.model import ABSENCE_WORDS, DURATION_LEAK_PATTERN, OK, REFUSAL_PATTERN, SUBJECT_WORDS
 
 # --- fixed values: what Python counts as white space, and non-ASCII digits ------
 WHITESPACE = (
@@ -83,6 +83,36 @@ def drop_noise(text: Column | str) -> Column:
     return drop_sentences(text, f"{REFUSAL_PATTERN}|{DURATION_LEAK_PATTERN}")
 
 
+def states_absence(
+    text: Column | str, within: int = 4, subjects: list[str] = SUBJECT_WORDS, absences: list[str] = ABSENCE_WORDS,
+) -> Column:
+    """Whether a subject word stands at most ``within`` words from one that says it is absent."""
+    found = F.regexp_extract_all(F.lower(_col(text)), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+    def near(words: Column) -> Column:
+        around = lambda i: F.slice(words, F.greatest(i - within + 1, F.lit(1)), within + 1 + F.least(i, F.lit(within)))
+        return F.size(F.filter(words, lambda w, i: w.isin(subjects) & F.exists(around(i), lambda x: x.isin(absences)))) > 0
+
+    # as a lambda's argument the words are taken out of the text once
+    return F.exists(F.array(found), near)
+
+
+def drop_evasions(text: Column | str, within: int = 4) -> Column:
+    """The text without sentences that say in other words that a subject is absent; untouched when none does.
+
+    A sentence is only taken apart when an absence word is in it.
+    """
+    text = _col(text)
+    absent = "(?i)" + "|".join(ABSENCE_WORDS)
+    evades = lambda s: s.rlike(absent) & states_absence(s, within)
+    parts = F.transform(sentences(text), lambda s: F.struct(s.alias("s"), evades(s).alias("evades")))
+    # a list of one, so that every sentence is judged once
+    cleaned = F.transform(F.array(parts), lambda ps: F.when(
+        F.exists(ps, lambda p: p["evades"]), strip(F.array_join(F.transform(F.filter(ps, lambda p: ~p["evades"]), lambda p: p["s"]), ""))
+    ).otherwise(text))[0]
+    return F.when(text.rlike(absent), cleaned).otherwise(text)
+
+
 def drop_duration_leaks(text: Column | str, pattern: str = DURATION_LEAK_PATTERN) -> Column:
     return drop_sentences(text, pattern)
 
@@ -132,8 +162,8 @@ def bullet_fields(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    body = strip(text)
-    return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, r"(?U)[\s\x1c-\x1f]+")))
+    # runs of other characters are the words: no strip, no array of them
+    return F.regexp_count(_col(text), F.lit(r"(?U)[^\s\x1c-\x1f]+"))
 
 
 def in_length_rule(text: Column | str, low: int = 60, high: int = 120) -> Column:

@@ -46,6 +46,11 @@ MESSAGES = {
 FATAL_ERROR_PATTERN = "CUDA|device-side assert"
 REFUSAL_PATTERN = r"(?i)not (?:available|provided|described|supplied|specified)"
 DURATION_LEAK_PATTERN = r"(?i)duration of the (?:piece|track|song)"
+#: What an answer may say is absent, and the words that say so; both stand near each other in an evasion.
+SUBJECT_WORDS = ["tempo", "bpm", "key", "signature", "duration", "lyrics", "vocals", "vocal", "instrumentation", "instruments",
+                 "genre", "metadata", "information", "data", "details"]
+ABSENCE_WORDS = ["absent", "unavailable", "missing", "unknown", "unspecified", "undisclosed", "unstated", "undetermined",
+                 "lacking", "omitted", "inaccessible"]
 # -------------------------------------------------------------------------------
 
 

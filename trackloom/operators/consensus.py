@@ -92,6 +92,27 @@ def instrument_union(captions: DataFrame, dimension: str = "instruments", track:
     )
 
 
+def settle_variants(votes: DataFrame, name: str = "instrument", track: str = "track_id") -> DataFrame:
+    """One description of each thing a track has: of two that hold the same words, one more than the other, one goes.
+
+    ``guitar``, ``acoustic guitar`` and ``acoustic guitar with fingerpicking`` are variants. The one that more windows name
+    stays, of equals the more specific one, then the first by name. ``votes`` has (track, name, windows).
+
+    A description is looked for by one of its words, the longest, among the words of its track's others; only pairs that
+    contain each other come out of that join, and no track is gathered.
+    """
+    words = F.array_distinct(F.filter(F.split(F.lower(name), r"\s+"), lambda w: w != ""))
+    known = votes.select(track, name, "windows", words.alias("words"))
+    longest = F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    part = known.select(track, F.col(name).alias("part"), F.col("windows").alias("part_windows"), F.col("words").alias("part_words"), longest.alias("word"))
+    whole = known.select(track, F.col(name).alias("whole"), F.col("windows").alias("whole_windows"), F.col("words").alias("whole_words"), F.explode("words").alias("word"))
+    pairs = part.join(whole, [track, "word"]).where((F.col("part") != F.col("whole")) & (F.size(F.array_except("part_words", "whole_words")) == 0))
+    rank = lambda side: F.struct(F.col(f"{side}_windows"), F.size(f"{side}_words"))
+    whole_stays = (rank("whole") > rank("part")) | ((rank("whole") == rank("part")) & (F.col("whole") < F.col("part")))
+    gone = pairs.select(track, F.when(whole_stays, F.col("part")).otherwise(F.col("whole")).alias(name)).distinct()
+    return votes.join(gone, [track, name], "left_anti")
+
+
 def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = TEMPO_SPREAD) -> DataFrame:
     """Median tempo when the windows are close, else the range. Never the mean.
 

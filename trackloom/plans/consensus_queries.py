@@ -50,6 +50,25 @@ def instrument_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.instrument_union(a.captions(spark, sf_dir, "instruments"))
 
 
+@query("""WITH said AS (SELECT l_orderkey AS track_id, l_linenumber AS w, unnest(['guitar', 'acoustic guitar', 'acoustic guitar with fingerpicking',
+    'pad', 'synth pad ' || CAST(round(l_tax * 100) AS INT)]) AS instrument, unnest([l_linenumber % 3 = 0, l_linenumber % 3 = 1,
+    l_linenumber % 3 = 2, l_returnflag = 'A', true]) AS named FROM lineitem),
+votes AS (SELECT track_id, instrument, count(DISTINCT w) AS windows, string_split(instrument, ' ') AS words FROM said WHERE named GROUP BY 1, 2)
+SELECT track_id, instrument, windows FROM votes v WHERE NOT EXISTS (SELECT 1 FROM votes o WHERE o.track_id = v.track_id
+  AND o.instrument <> v.instrument AND (list_has_all(o.words, v.words) OR list_has_all(v.words, o.words))
+  AND (o.windows > v.windows OR (o.windows = v.windows AND (len(o.words) > len(v.words)
+    OR (len(o.words) = len(v.words) AND o.instrument < v.instrument)))))""")
+def instrument_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guitars and pads that the windows of a track describe at different length, settled to one description each."""
+    line = F.col("l_linenumber")
+    guitar = F.element_at(F.array(F.lit("guitar"), F.lit("Acoustic guitar"), F.lit("acoustic guitar with fingerpicking")), (line % 3 + 1).cast("int"))
+    pads = F.concat(F.when(F.col("l_returnflag") == "A", F.lit(", Pad")).otherwise(F.lit("")), F.lit(", synth pad "), F.round(F.col("l_tax") * 100).cast("int"))
+    said = a.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("track_id"), line.alias("chunk_index"), F.lit("instruments").alias("category"), F.concat(guitar, pads).alias("output")
+    )
+    return c.settle_variants(c.instrument_union(said))
+
+
 @query(f"WITH {a.FACTS} SELECT * FROM facts")
 def window_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.window_facts(a.captions(spark, sf_dir, "tempo_key"))

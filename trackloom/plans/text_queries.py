@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.functions import text as tx
 from trackloom.operators import config
+from trackloom.model import ABSENCE_WORDS, SUBJECT_WORDS
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
 
@@ -33,6 +34,31 @@ def refusal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", tx.drop_refusals("t").alias("cleaned"))
 
 
+EVASIONS = {"en": "Explicit tempo data is absent. ", "de": "Lyrics? Unavailable to this model. The KEY signature remains undisclosed! ",
+            "fr": "The drums are absent at first, and after a long and slow build the tempo is 90. ", "es": "A missing link is the key change"}
+
+
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+@query(f"""WITH spoken AS (SELECT doc_id, CASE lang {' '.join(f"WHEN '{k}' THEN '{v}' || text" for k, v in EVASIONS.items())} ELSE text END AS t FROM documents),
+parts AS (SELECT doc_id, unnest(regexp_extract_all(t, '{SENTENCE}')) AS s, unnest(range(len(regexp_extract_all(t, '{SENTENCE}')))) AS p FROM spoken),
+words AS (SELECT *, regexp_extract_all(lower(s), '[\\p{{L}}\\p{{N}}_]+') AS w FROM parts),
+judged AS (SELECT *, len([i FOR i IN range(1, len(w) + 1) IF list_contains({_list(SUBJECT_WORDS)}, w[i])
+  AND list_has_any(w[greatest(1, i - 4) : i + 4], {_list(ABSENCE_WORDS)})]) > 0 AS evades FROM words),
+kept AS (SELECT doc_id, bool_or(evades) AS cut, coalesce(string_agg(s, '' ORDER BY p) FILTER (NOT evades), '') AS k FROM judged GROUP BY 1)
+SELECT doc_id, CASE WHEN cut THEN regexp_replace(regexp_replace(k, '^{BLANK}+', ''), '{BLANK}+$', '') ELSE t END AS cleaned
+FROM spoken LEFT JOIN kept USING (doc_id)""")
+def evasion_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evasions that name no refusal phrase, and near misses: a subject far from an absence word, an absence without a subject."""
+    spoken = F.col("text")
+    for lang, said in EVASIONS.items():
+        spoken = F.when(F.col("lang") == lang, F.concat(F.lit(said), "text")).otherwise(spoken)
+    rows = a.table(spark, sf_dir, "documents").select("doc_id", spoken.alias("t"))
+    return rows.select("doc_id", tx.drop_evasions("t").alias("cleaned"))
+
+
 @query(f"SELECT doc_id, {_drop_sql('text', '(?i)licen[cs]e')} AS cleaned FROM documents")
 def pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same filter with a pattern that the documents really hold."""
