@@ -59,6 +59,20 @@ def test_bounds_lose_no_pair():
             assert i < jaccard.prefix_size(np.array([len(a)]))[0] and j < jaccard.prefix_size(np.array([len(b)]))[0]
 
 
+def test_parities_lose_no_pair():
+    r = np.random.default_rng(2)
+    dropped = 0
+    for _ in range(400):
+        a = np.unique(r.integers(0, 2**63, r.integers(5, 300), dtype=np.int64)).astype(np.uint64)
+        b = np.union1d(r.choice(a, max(1, int(len(a) * r.uniform(0.5, 1))), replace=False), r.integers(0, 2**63, r.integers(1, 30), dtype=np.int64).astype(np.uint64))
+        bits = jaccard.parities(np.repeat([0, 1], [len(a), len(b)]), np.concatenate((a, b)), 2)
+        ok = jaccard.may_share(np.array([len(a)]), len(b), np.bitwise_count(bits[0] ^ bits[1]).sum(keepdims=True).astype(np.int64))[0]
+        linked = 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+        assert ok or not linked
+        dropped += not ok
+    assert dropped > 100
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 202), (300, 300)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())

@@ -10,7 +10,8 @@ in each of them, and a document with enough tokens of its own makes no candidate
 2. Blocks write signature, size and, for a document that has a shared token in its first prefix, its set. Equal sets are
    one class from here on.
 3. Round one links every document of a prefix list with the list's smallest one. Round two takes all pairs of a list that
-   are not connected yet. Pairs that pass the length and position bounds must also share prefix tokens under the other
+   are not connected yet. Pairs that pass the length and position bounds, and whose parity bitmaps do not differ in more bits
+   than linked sets differ in tokens, must also share prefix tokens under the other
    orders; only then the sets are intersected. Round one makes as many pairs as there are list entries, and a group of near
    copies is one component after it, so round two has pairs only where similarity is in doubt.
 """
@@ -34,7 +35,9 @@ SHINGLE, PERCENT = 5, 75
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Bytes of a token that a set keeps, and that are sent to be counted.
 SET_BYTES, COUNT_BYTES = 6, 4
-_SETS = "key long, kind int, n long, sig1 long, sig2 long, tokens binary, flags binary, prefix binary, places binary"
+#: Bits that tell how many tokens of a set, odd or even, fall on each.
+PARITY_BITS = 512
+_SETS = "key long, kind int, n long, sig1 long, sig2 long, tokens binary, flags binary, prefix binary, places binary, parity binary"
 
 
 def _text_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +147,27 @@ def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n + (-percent * n) // 100 + 1
 
 
+def parities(doc: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
+    """For each of n sets a bitmap of PARITY_BITS bits, as 64-bit words: whether an odd number of its tokens falls on a bit."""
+    out = np.zeros((n, PARITY_BITS // 8), np.uint8)
+    for begin in range(0, n, 4096):
+        a, b = np.searchsorted(doc, (begin, begin + 4096))
+        rows = min(4096, n - begin)
+        at = (doc[a:b] - begin) * PARITY_BITS + (mixed(tokens[a:b]) % np.uint64(PARITY_BITS)).astype(np.int64)
+        odd = np.bincount(at, minlength=rows * PARITY_BITS).reshape(rows, PARITY_BITS) & 1
+        out[begin : begin + rows] = np.packbits(odd.astype(np.uint8), axis=1)
+    return out.view(np.uint64)
+
+
+def may_share(n: np.ndarray, m: np.ndarray, differing: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets of n and m tokens whose parities differ at so many bits can be similar enough.
+
+    Every token that only one of them has flips one bit, so that they differ in as many tokens at least.
+    """
+    need = -((-percent * (n + m)) // (100 + percent))
+    return differing <= n + m - 2 * need
+
+
 def _sets(percent: int):
     def make(docs: pa.Table, replies: pa.Table) -> pa.Table:
         docs = _sorted_block(docs)
@@ -174,8 +198,9 @@ def _sets(percent: int):
         listed_bounds = np.concatenate(([0], np.cumsum(np.bincount(doc[listed], minlength=docs.num_rows))))
         columns = [docs.column("key").combine_chunks(), docs.column("kind").combine_chunks(), pa.array(block.sizes.astype(np.int64)), pa.array(block.sigs[0]), pa.array(block.sigs[1]),
                    blobs(_low_bytes(token[kept] >> np.uint64(64 - 8 * SET_BYTES), SET_BYTES), bounds * SET_BYTES).cast(pa.binary()), blobs(flags[kept], bounds).cast(pa.binary()),
-                   blobs(token[listed], listed_bounds).cast(pa.binary()), blobs(place[listed], listed_bounds).cast(pa.binary())]
-        return pa.Table.from_arrays(columns, ["key", "kind", "n", "sig1", "sig2", "tokens", "flags", "prefix", "places"])
+                   blobs(token[listed], listed_bounds).cast(pa.binary()), blobs(place[listed], listed_bounds).cast(pa.binary()),
+                   blobs(parities(doc[kept], token[kept], docs.num_rows).ravel(), np.arange(docs.num_rows + 1) * (PARITY_BITS // 64)).cast(pa.binary())]
+        return pa.Table.from_arrays(columns, ["key", "kind", "n", "sig1", "sig2", "tokens", "flags", "prefix", "places", "parity"])
 
     return make
 
@@ -201,7 +226,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(batch.num_rows), n)
         for i in range(0, len(row), 100_000):
             some = pa.array(row[i : i + 100_000])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[i : i + 100_000]), batch.column("key").take(some), batch.column("n").cast(pa.int32()).take(some), pa.array(places[i : i + 100_000]), batch.column("component").take(some)], ["token", "key", "n", "place", "component"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[i : i + 100_000]), batch.column("key").take(some), batch.column("n").cast(pa.int32()).take(some), pa.array(places[i : i + 100_000]), batch.column("component").take(some), batch.column("parity").take(some)], ["token", "key", "n", "place", "component", "parity"])
 
 
 def may_reach(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -213,13 +238,14 @@ def may_reach(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray
 
 def _candidates(percent: int, all_pairs: bool):
     """Pairs (a, b), a < b, from the entries, which come sorted by token and key."""
-    def one_list(key, n, place, component):
+    def one_list(key, n, place, component, parity):
         if all_pairs:
             for i in range(len(key) - 1):
                 ok = (component[i + 1 :] != component[i]) & (key[i + 1 :] != key[i])
                 if ok.any():
                     j = np.flatnonzero(ok) + i + 1
                     j = j[may_reach(n[j], place[j], n[i], place[i], percent)]
+                    j = j[may_share(n[j], n[i], np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1).astype(np.int64), percent)]
                     if len(j):
                         yield np.full(len(j), key[i]), key[j]
         else:
@@ -242,6 +268,7 @@ def _candidates(percent: int, all_pairs: bool):
             rest = None
             for batch in batches:
                 columns = [batch.column(c).to_numpy().astype(np.int64) for c in names]
+                columns.append(unblobs(batch.column("parity"), np.uint64)[0].reshape(-1, PARITY_BITS // 64) if all_pairs else columns[0][:, None])
                 if rest is not None:
                     columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
                 cuts = np.flatnonzero(np.diff(columns[0])) + 1
@@ -312,15 +339,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = written(some.groupBy("sig1", "sig2", "n").agg(F.min(F.struct("key", "kind")).alias("rep"), F.count("*").alias("class_size")), "classes")
     # of equal sets the first stands for all
     heads = some.where(F.octet_length("prefix") > 0).join(classes.select("sig1", "sig2", F.col("rep.key").alias("key"), F.col("rep.kind").alias("kind")), ["sig1", "sig2", "key", "kind"], "left_semi").dropDuplicates(["key", "kind"])
-    heads = written(heads.select("key", "n", "tokens", "flags", "prefix", "places"), "heads")
+    heads = written(heads.select("key", "n", "tokens", "flags", "prefix", "places", "parity"), "heads")
 
     def candidates(entries: DataFrame, all_pairs: bool) -> DataFrame:
-        rows = entries.mapInArrow(_entries, "token long, key long, n int, place int, component long")
+        rows = entries.mapInArrow(_entries, "token long, key long, n int, place int, component long, parity binary")
         lists = rows.repartition(parts, "token").sortWithinPartitions("token", "key")
         return lists.mapInArrow(_candidates(percent, all_pairs), "a long, b long").distinct()
 
-    entries = heads.select("key", "n", "prefix", "places")
-    first = written(_links(candidates(entries.withColumn("component", F.col("key")), False), heads, percent), "links")
+    entries = heads.select("key", "n", "prefix", "places", "parity")
+    # round one has a pair an entry and needs no parities
+    alone = entries.withColumn("component", F.col("key")).withColumn("parity", F.lit(None).cast("binary"))
+    first = written(_links(candidates(alone, False), heads, percent), "links")
     of_class = classes.select("sig1", "sig2", F.col("rep.key").alias("class_key"), "class_size")
     members = some.select("key", "n", "sig1", "sig2").join(of_class, ["sig1", "sig2"])
     copies = members.where("key <> class_key").select(F.col("key").alias("a"), F.col("class_key").alias("b"))
