@@ -57,6 +57,17 @@ def test_sum_of_squares_rule():
     assert max(bins) + 1 <= 270
 
 
+def test_full_pieces_are_not_placed(spark):
+    """A very long document among short ones: its full pieces have sequences of their own, which no task packs."""
+    docs = spark.createDataFrame([(1, "word " * 5000), (2, "a b"), (3, "c"), (1, "word " * 5000)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, byte_bpe(), capacity=64).collect()
+    full = [r for r in rows if r.length == 64]
+    assert len({r.sequence_id for r in full}) == len(full) and all(r.sequence_id < 0 and r.offset == 0 for r in full)
+    assert all(r.sequence_id >= 0 for r in rows if r.length < 64)
+    tokens = len(packing.Encoder(*byte_bpe()).encode("word " * 5000)) + 1
+    assert sum(r.length for r in rows if r.doc_id == 1) == 2 * tokens
+
+
 def test_odd_tables(no_docs, clashing):
     assert packing.pack_documents(no_docs, byte_bpe()).count() == 0
     rows = packing.pack_documents(clashing, byte_bpe()).collect()

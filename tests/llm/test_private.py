@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from trackloom.llm import private
 
@@ -36,6 +38,44 @@ def test_base_spans():
         assert private.base_spans(t or "") == brute(t)
 
 
+def test_base_spans_of_random_signs():
+    r = random.Random(3)
+    for signs in ("a.@-", "1.2", "1 -+()", "ab@.c1+- ", "0123456789.+@ -x"):
+        for _ in range(3000):
+            t = "".join(r.choice(signs) for _ in range(r.randint(0, 30)))
+            assert private.base_spans(t) == brute(t), t
+
+
+def test_words_of_a_field_are_those_with_a_digit_or_at():
+    r = random.Random(4)
+    for _ in range(2000):
+        t = "".join(r.choice("a@1 \t\x0b.\xa0") for _ in range(25))
+        assert [m.span() for m in private._WORD.finditer(t)] == [
+            m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t) if re.search("[0-9@]", m.group())
+        ]
+
+
+def test_labels_of_words_with_many_spans():
+    """A word's label is the first span that it touches, whatever lies between."""
+    long_number = "+1" + "(" * 40 + "555" + ")" * 40 + "1234567"
+    text = ";".join(f"a{i}@b.cd" for i in range(30)) + " " + long_number + " 1.2.3.4 " + "4111111111111111-" * 20 + "@x.y"
+    field = private.Field([text])
+    spans = sorted(private.base_spans(text), key=lambda s: s[1])
+    for m, label in zip(private._WORD.finditer(text), field.label.tolist(), strict=True):
+        assert label == next((k + 1 for k, a, b in spans if a < m.end() and m.start() < b), 0)
+
+
+def test_very_long_texts_take_linear_time():
+    n = 1_000_000
+    for text in ("1" * n, "a" * n + " x@y.zz", "a" * n, "1." * (n // 2), "a@" * (n // 2), "+1" + "(" * n, "@" * n, "1 " * (n // 2)):
+        began = time.monotonic()
+        private.base_spans(text)
+        assert time.monotonic() - began < 5, text[:5]
+    began = time.monotonic()
+    assert len(private.Field(["1" * n + " " + "a" * n + "@"]).label) == 2
+    assert time.monotonic() - began < 5
+
+
 def test_base_stays_and_counts(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     for r in private.private_spans(docs).collect():

@@ -1,9 +1,10 @@
 """Best-fit packing of token sequences by the sum-of-squares rule.
 
 A document becomes pieces of at most ``capacity`` tokens; only its first piece can be shorter. Full pieces are
-sequences of their own. The short ones are dealt over tasks, and each task places its pieces, longest first, where the
-squared counts of open bins per residual gap become smallest. A task's state is one counter a gap. Tasks get about
-``PIECES_PER_TASK`` pieces, so the few bins that each leaves open are a fixed small share at every input size.
+sequences of their own, numbered where they are: they are not shuffled, so long documents load no task. The short ones, at
+most one a document, are dealt over tasks, and each task places its pieces, longest first, where the squared counts of open
+bins per residual gap become smallest. Tasks get about ``PIECES_PER_TASK`` short pieces, which bounds their memory and makes
+the few bins that each leaves open a fixed small share at every input size.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.words import key_of, slices
+from trackloom.llm.tables import written
+from trackloom.llm.words import slices
 
 CAPACITY = 2048
 #: Short pieces that one task packs. A bin holds two or more of them on average.
@@ -108,7 +110,10 @@ def place(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, tasks: int = 1) -> DataFrame:
-    """The pieces with sequence_id and offset. A sequence never has more than ``capacity`` tokens and has no gaps."""
+    """The pieces with sequence_id and offset. A sequence never has more than ``capacity`` tokens and has no gaps.
+
+    ``tasks`` share the short pieces. Sequences of one full piece have negative numbers, the others don't.
+    """
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -123,7 +128,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, tasks: int = 1) -> DataFra
         table = table.drop_columns(["kind"]).append_column("sequence_id", pa.array([first + b for b in bins], pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
         yield from table.to_batches()
 
-    return pieces.repartition(tasks, "doc_id", "kind", "piece").mapInArrow(packed, _PLACED)
+    alone = pieces.where(F.col("length") >= capacity).drop("kind").withColumns(
+        {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}
+    )
+    short = pieces.where(F.col("length") < capacity)
+    return short.repartition(tasks, "doc_id", "kind", "piece").mapInArrow(packed, _PLACED).unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, tokenizer: tuple, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -132,5 +141,7 @@ def pack_documents(docs: DataFrame, tokenizer: tuple, end_id: int = 0, capacity:
     A null or empty text is just the end id. Repeated rows and repeated or null doc_ids are documents of their own.
     Columns other than doc_id and text are left out, whatever their names. No documents, no rows.
     """
-    tasks = max(1, math.ceil(docs.count() / PIECES_PER_TASK))
-    return pack(token_pieces(docs, tokenizer, end_id, capacity), capacity, tasks)
+    # the pieces are read three times below, the texts once
+    pieces = written(token_pieces(docs, tokenizer, end_id, capacity), "pieces")
+    tasks = max(1, math.ceil(pieces.where(F.col("length") < capacity).count() / PIECES_PER_TASK))
+    return pack(pieces, capacity, tasks)

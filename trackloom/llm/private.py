@@ -7,13 +7,17 @@ or its second half. Loopy belief propagation runs over the nodes of a batch of d
 spans are fixed to their kind. A word whose marginal for a kind reaches ``CERTAIN`` is added.
 
 The potentials are log ratios of counts over all documents, with the base spans as labels: one aggregate over shapes and
-pairs of labels, of which there is a bounded number.
+pairs of labels. A shape is the first 40 signs of what a word looks like, so longer ones that begin alike share a potential.
+
+Every pattern starts a match at the first sign of a run only, or at an ``@`` or a plus, and gives nothing back where that
+can't help. So a text costs time in proportion to its length, whatever is in it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,15 +28,17 @@ from pyspark.sql import functions as F
 from trackloom.llm.words import slices
 
 KINDS = ("email", "ip", "card", "phone")
+#: From the ``@`` on; what stands before it is taken from the left of it, back to the end of the last address.
+_HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_LOCAL = string.ascii_letters + string.digits + "._%+-"
 _PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
+    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 _ANY = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_WORD = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
 _PLAIN = re.compile(r"[^a-z0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 #: A marginal from which a word is added, rounds of belief propagation, weight of the messages before.
@@ -64,6 +70,24 @@ def _valid(kind: str, text: str) -> bool:
     return True
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping addresses: of each ``@`` with a host behind it, the signs before it that no address has."""
+    free = seen = 0
+    for m in _HOST.finditer(text):
+        before = text[max(free, seen) : m.start()]
+        own = len(before) - len(before.rstrip(_LOCAL))
+        seen = m.start() + 1
+        if own:
+            free = m.end()
+            yield m.start() - own, free
+
+
+def _matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    if kind == "email":
+        return _emails(text)
+    return (m.span() for m in _PATTERNS[kind].finditer(text) if _valid(kind, m.group()))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end), ordered; leftmost matches of each pattern, without those that fail its check."""
     if not _ANY.search(text):
@@ -73,7 +97,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     for k, kind in enumerate(KINDS):
         if at if kind == "email" else digit and (kind != "phone" or plus):
-            out += [(k, m.start(), m.end()) for m in _PATTERNS[kind].finditer(text) if _valid(kind, m.group())]
+            out += [(k, a, b) for a, b in _matches(kind, text)]
     return out
 
 
@@ -102,16 +126,22 @@ class Field:
             self.base.append(spans)
             if not text or not _ANY.search(text):
                 continue
-            order = sorted(spans, key=lambda s: s[1])
-            ends = np.maximum.accumulate([s[2] for s in order]) if order else np.zeros(0)
+            # spans of a kind are in order and don't overlap: each list is walked once, along with the words
+            of_kind = [[s for s in spans if s[0] == k] for k in range(len(KINDS))]
+            at = [0] * len(KINDS)
             before: dict[str, int] = {}
             previous = -1
             for m in _WORD.finditer(text):
                 node = len(doc)
                 a, b = m.start(), m.end()
                 word = m.group()
-                k = int(np.searchsorted(ends, a, side="right")) if len(ends) else 0
-                inside = next((s[0] + 1 for s in order[k : k + 8] if s[1] < b and a < s[2]), 0)
+                touching = []
+                for k, own in enumerate(of_kind) if spans else ():
+                    while at[k] < len(own) and own[at[k]][2] <= a:
+                        at[k] += 1
+                    if at[k] < len(own) and own[at[k]][1] < b:
+                        touching.append((own[at[k]][1], k))
+                inside = min(touching)[1] + 1 if touching else 0
                 lead, tail = len(word) - len(word.lstrip(_EDGE)), len(word) - len(word.rstrip(_EDGE))
                 doc.append(i)
                 start.append(a + (lead if lead < len(word) else 0))
