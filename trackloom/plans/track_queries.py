@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackloom.functions import paths
 from trackloom.model import AUDIO_SUFFIXES
-from trackloom.operators import quality, resume, windows
+from trackloom.operators import json_keys, quality, resume, windows
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
 from trackloom.session import shared_path
@@ -191,6 +191,31 @@ def profile_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile_collection(a.table(spark, sf_dir, "documents"))
 
 
+_DOC = """CASE WHEN event_id % 11 = 0 THEN '{"cut": ' WHEN event_id % 17 <> 0 THEN
+  concat('{"id": ', event_id, ', "', event_type, '": ', props, ', "value": ', CASE event_id % 4 WHEN 0 THEN concat(user_id, '')
+  WHEN 1 THEN concat('"', event_type, '"') WHEN 2 THEN 'null' ELSE concat('[', user_id, ', "', event_type, '"]') END, '}') END"""
+
+
+@query(f"""WITH docs AS (SELECT {_DOC} AS doc FROM events),
+good AS (SELECT json(doc) AS j FROM docs WHERE json_valid(doc)),
+one AS (SELECT key AS path, json_extract(j, '$."' || key || '"') AS j FROM (SELECT j, unnest(json_keys(j)) AS key FROM good)),
+two AS (SELECT path || '.' || key AS path, json_extract(j, '$."' || key || '"') AS j
+  FROM (SELECT path, j, unnest(json_keys(j)) AS key FROM one WHERE json_type(j) = 'OBJECT')
+  UNION ALL SELECT path || '[]', unnest(json_extract(j, '$[*]')) FROM one WHERE json_type(j) = 'ARRAY'),
+every AS (SELECT '' AS path, j FROM good UNION ALL SELECT * FROM one UNION ALL SELECT * FROM two),
+typed AS (SELECT path, CASE json_type(j) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string'
+  WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind,
+  CASE json_type(j) WHEN 'OBJECT' THEN len(json_keys(j)) WHEN 'ARRAY' THEN json_array_length(j)
+  WHEN 'VARCHAR' THEN length(json_extract_string(j, '$')) END AS length FROM every
+  UNION ALL SELECT '', CASE WHEN doc IS NULL THEN 'missing' ELSE 'invalid' END, NULL FROM docs WHERE doc IS NULL OR NOT json_valid(doc))
+SELECT path, count(*) AS "values", {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*json_keys.KINDS, 'invalid', 'missing'))},
+  CAST(min(length) AS INT) AS min_length, CAST(max(length) AS INT) AS max_length FROM typed GROUP BY path""")
+def json_key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose keys and types differ from row to row; some are cut short and some are missing."""
+    docs = a.table(spark, sf_dir, "events").select(F.expr(_DOC).alias("doc"))
+    return json_keys.json_key_profile(docs, "doc")
+
+
 @query(f"""WITH {a.TRACKS} SELECT path FROM tracks ORDER BY path LIMIT 1""")
 def first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.first_item(a.tracks(spark, sf_dir).select("path"), ["path"])
