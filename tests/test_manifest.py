@@ -164,3 +164,17 @@ def test_unreadable_numbers_are_rejected(spark, manifest):
     rows = manifests.read_manifest(spark, bad)
     assert [r.track_index for r in config.manifest_rejects(rows).collect()] == [0]
     assert [r.max_new_tokens for r in config.resolve_settings(rows).orderBy("track_index").collect()] == [None, 5, None]
+
+
+def test_counts_come_from_the_writing_job(spark, tmp_path):
+    """Counts of the one pass against those of the operators, with many files, nothing left, and nothing at all."""
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "d.json").write_text('{"file": "t7.wav", "path": "x/t7.wav"}')
+    for name, n in (("many", 5000), ("none_left", 1), ("no_tracks", 0)):
+        tracks = [{"path": f"a{i % 3}/t{i + 7 if n == 1 else i % 900}.wav"} for i in range(n)]
+        (tmp_path / f"{name}.json").write_text(json.dumps({"globals": {"a": 1}, "tracks": tracks}))
+        counts = jobs.filter_manifest(spark, str(tmp_path / f"{name}.json"), str(tmp_path / "done"), str(tmp_path / name)).first()
+        gone = sum(t["path"].endswith("/t7.wav") for t in tracks)
+        assert counts.asDict() == {"total_before": n, "total_done": gone, "total_left": n - gone, "balanced": True}, name
+        lines = "".join(p.read_text() for p in sorted((tmp_path / name).glob("part-*")))
+        assert len(json.loads(lines)["tracks"]) == n - gone

@@ -22,6 +22,14 @@ def remaining_tracks(tracks: DataFrame, done: DataFrame, path: str = "path", key
     return tracks.withColumn("_key", mine).join(finished, "_key", "left_anti").drop("_key")
 
 
+def with_done(tracks: DataFrame, done: DataFrame, path: str = "path", key: str = "basename") -> DataFrame:
+    """All manifest entries, with ``is_done``: what ``remaining_tracks`` drops, so that one pass can count and filter."""
+    mine, theirs = _done_key(path, key)
+    finished = done.select(theirs.alias("_key")).where(F.col("_key").isNotNull()).distinct().withColumn("_found", F.lit(True))
+    flagged = tracks.withColumn("_key", mine).join(finished, "_key", "left")
+    return flagged.withColumn("is_done", F.coalesce("_found", F.lit(False))).drop("_key", "_found")
+
+
 def _done_key(path: str, key: str) -> tuple[Column, Column]:
     """What is compared, of a track and of a done row."""
     if key not in ("basename", "path"):

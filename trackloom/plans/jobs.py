@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from trackloom.functions import paths, scalars
 from trackloom.functions.text import strip
@@ -61,12 +61,21 @@ def filter_manifest(spark: SparkSession, manifest: str, done: str, out: str, key
     """Write a manifest of either form without the finished tracks; returns the counts, the remaining as written.
 
     Globals and entries are written as they stood, in their order, every key
-    and type kept; an entry that is listed twice stays twice.
+    and type kept; an entry that is listed twice stays twice. The entries are
+    read once: the job that writes counts them as they come in, and the
+    remaining once more where they are written.
     """
     tracks, settings = manifests.read_manifest_entries(spark, manifest)
     finished = records.read_done_files(spark, done)
-    write_entries(settings, resume.remaining_tracks(tracks, finished, key=key), out)
-    return resume.conservation(tracks, finished, key=key, left=manifests.read_manifest_lines(spark, out))
+    came, went = Observation("came"), Observation("went")
+    flagged = resume.with_done(tracks, finished, key=key).observe(
+        came, F.count("*").alias("total_before"), F.count_if("is_done").alias("total_done")
+    )
+    write_entries(settings, flagged.where(~F.col("is_done")).drop("is_done"), out, went)
+    before, is_done, left = came.get["total_before"], came.get["total_done"], went.get["written"]
+    return spark.createDataFrame(
+        [(before, is_done, left, before == is_done + left)], "total_before long, total_done long, total_left long, balanced boolean"
+    )
 
 
 #: What a record and the log have of one answer.

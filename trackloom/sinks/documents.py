@@ -8,7 +8,7 @@ after the other, are the document, and each line can be read on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from trackloom.session import shared_dir
 
@@ -19,12 +19,14 @@ FOOTER = "]}"
 
 def write_framed(
     header: DataFrame, field: str, body: DataFrame, order: list[str], element: Column, path: str, lead: str | None = None,
+    counted: Observation | None = None,
 ) -> None:
     """Write ``{<header fields>, "<field>": [<one element per line>]}``.
 
     ``header`` has one row with the leading fields; ``lead`` gives them as JSON
     text instead. Elements that are equal in ``order`` are told apart by
     a number of their own; the last element is the one without a comma.
+    ``counted`` gets the number of elements, as ``written``, from the job that writes them.
     """
     lead = header.select((F.to_json(F.struct("*")) if lead is None else F.lit(lead)).alias("_h")).select(
         F.concat(F.expr("left(_h, length(_h) - 1)"), F.when(F.col("_h") != "{}", F.lit(",")).otherwise(""),
@@ -46,7 +48,10 @@ def write_framed(
         .unionByName(lines)
         .unionByName(header.select(F.lit(2).alias("section"), no_key, F.lit(FOOTER).alias("value")))
     )
-    framed.orderBy("section", "k").select("value").write.text(path)
+    lines = framed.orderBy("section", "k")
+    if counted is not None:  # above the sort, whose sampling would count a second time
+        lines = lines.observe(counted, F.count_if(F.col("section") == 1).alias("written"))
+    lines.select("value").write.text(path)
 
 
 def write_manifest(globals_row: DataFrame, tracks: DataFrame, path: str, order: list[str] | None = None) -> None:
@@ -59,10 +64,10 @@ def write_manifest(globals_row: DataFrame, tracks: DataFrame, path: str, order:
     write_framed(header, "tracks", tracks, order or ["path"], element, path)
 
 
-def write_entries(globals_text: str, entries: DataFrame, path: str) -> None:
+def write_entries(globals_text: str, entries: DataFrame, path: str, counted: Observation | None = None) -> None:
     """A manifest of entries that are JSON text already, ordered by ``place``, with the globals as they stood."""
     header = entries.sparkSession.range(1)
-    write_framed(header, "tracks", entries, ["place"], F.col("entry"), path, lead=f'{{"globals":{globals_text}}}')
+    write_framed(header, "tracks", entries, ["place"], F.col("entry"), path, f'{{"globals":{globals_text}}}', counted)
 
 
 def write_summary_document(header: DataFrame, records: DataFrame, path: str, field: str = "tracks") -> None:
