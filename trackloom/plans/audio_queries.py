@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackloom.functions import scalars
+from trackloom.model import MESSAGES
 from trackloom.operators import annotate, quality, summarize, windows
 from trackloom.plans import adapters as a
 from trackloom.plans.registry import query
@@ -38,8 +39,13 @@ def landmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("o_orderkey", "chunk_index", "label", "start_seconds", "end_seconds")
 
 
+_ANSWERS = "/".join(MESSAGES["dry_run"] % key for key in DETAILED.keys)
+
+
 @query(f"""WITH {WINDOWS}
-SELECT o_orderkey, count(*) AS total_chunks, string_agg(label, ',' ORDER BY chunk_index) AS labels, 4 * count(*) AS captions
+SELECT o_orderkey, count(*) AS total_chunks, string_agg(label, ',' ORDER BY chunk_index) AS labels, 4 * count(*) AS captions,
+  string_agg(concat(chunk_index, '|', CAST(round(start_seconds * 1000) AS BIGINT), '|', CAST(round(end_seconds * 1000) AS BIGINT),
+    '|', '{_ANSWERS.replace("'", "''")}'), ';' ORDER BY chunk_index) AS content
 FROM windows GROUP BY 1""")
 def nest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows x prompts, answered by the dry run and nested into chunk records."""
@@ -48,10 +54,14 @@ def nest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nested = summarize.nest_windows(annotate.dry_run(cut), DETAILED.keys, ("o_orderkey",))
     captions = F.aggregate("chunks", F.lit(0), lambda n, c: n + F.size(c["captions"]))
+    ms = lambda seconds: F.round(seconds * 1000).cast("bigint").cast("string")
+    content = F.transform("chunks", lambda c: F.concat_ws(
+        "|", c["chunk_index"].cast("string"), ms(c["start_seconds"]), ms(c["end_seconds"]), F.array_join(F.map_values(c["captions"]), "/"),
+    ))
     return nested.select(
         "o_orderkey", F.col("total_chunks").cast("bigint").alias("total_chunks"),
         F.array_join(F.transform("chunks", lambda c: c["label"]), ",").alias("labels"),
-        captions.cast("bigint").alias("captions"),
+        captions.cast("bigint").alias("captions"), F.array_join(content, ";").alias("content"),
     )
 
 
@@ -63,11 +73,13 @@ def effective_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT vec_id, least(len(embedding), 40) AS kept FROM embeddings""")
+@query("""SELECT vec_id, least(len(embedding), 40) AS kept,
+  array_to_string([CAST(floor(CAST(x AS DOUBLE) * 65536) AS BIGINT) FOR x IN embedding[1:40]], ',') AS samples FROM embeddings""")
 def trim_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = a.table(spark, sf_dir, "embeddings")
     kept = scalars.trim_samples("embedding", F.lit(10), 4)
-    return rows.select("vec_id", F.size(kept).cast("bigint").alias("kept"))
+    whole = F.transform(kept, lambda x: F.floor(x.cast("double") * 65536).cast("bigint").cast("string"))
+    return rows.select("vec_id", F.size(kept).cast("bigint").alias("kept"), F.array_join(whole, ",").alias("samples"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_linenumber * 30 AS covered_sec,

@@ -77,12 +77,13 @@ def file_existence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {a.LISTENERS}, {a.CATALOG},
-found AS (SELECT path FROM listeners WHERE c_custkey IN (SELECT o_custkey FROM orders))
+found AS (SELECT path FROM listeners WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))
 SELECT l.path, c.category, 'error' AS status, 'File not found: ''' || l.path || '''' AS error
 FROM listeners l, catalog c WHERE l.path NOT IN (SELECT path FROM found)""")
 def missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tracks = a.listeners(spark, sf_dir)
-    scan = tracks.join(_ordered_by(spark, sf_dir), "c_custkey", "left_semi")
+    urgent = a.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    scan = tracks.join(urgent, "c_custkey", "left_semi")
     errors = resume.missing_file_errors(tracks, scan, a.EVENT_CATALOG)
     return errors.select("path", "category", "status", "error")
 
