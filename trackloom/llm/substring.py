@@ -8,9 +8,10 @@ Documents come in blocks of about ``words.SLICE_BYTES``. Every block is a refere
    it; equal windows have equal anchors, so the task that holds an anchor holds every block's index entries that can
    match, and no block pair is visited that shares no anchor. Each window there is looked up in the entries of all
    earlier documents.
-3. Pieces from 1 and 2 that go on in the same source, word by word, are put together greedily, each as long as it
-   gets. A factor ends where its source no longer matches. Windows that straddle the end of a factor were looked up like
-   all others, so a repeat that no single factor covers is not lost.
+3. A window's source is the earliest place that has it. Pieces from 1 and 2 that go on in the same source, word by word,
+   become one factor. So a factor ends where the earliest source of the next window is another one, and is not always
+   the longest match over all sources. The words that factors cover are the same either way: windows that straddle the
+   end of a factor were looked up like all others, so a repeat that no single factor covers is not lost.
 
 A block sends each distinct window once, so a passage in a third of all documents arrives once per block. One shuffle
 carries the windows (7 bytes a word and one row per run of about 9 words), one carries the texts to their factors.
@@ -186,9 +187,9 @@ def factor_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def parse(pieces: list, n_words: int, window: int) -> list[tuple[int, int, int, int]]:
-    """Factors (start, length in words, source, source_start) of a document from its pieces, greedily from the left.
+    """Factors (start, length in words, source, source_start) of a document from its pieces, from the left.
 
-    A piece that goes on where the factor before it stands in its source makes that factor longer.
+    Each piece names its earliest source. A piece that goes on where the factor before it stands in its source makes that factor longer.
     """
     out: list[list[int]] = []
     for start, n, source, source_start in sorted(pieces):
