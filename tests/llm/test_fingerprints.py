@@ -68,6 +68,15 @@ def test_single_pairs_are_near_generalised_jaccard(spark):
     assert (sum(x * x for x in off) / len(off)) ** 0.5 < 0.07
 
 
+def test_groups_of_samples_change_nothing(spark, odd_docs, monkeypatch):
+    """Each sample is the least over the terms, whichever samples share a row."""
+    texts = odd_docs.select("doc_id", "text")
+    grouped = {r.doc_id: r.ids for r in fingerprints.signatures(texts, ["doc_id"]).collect()}
+    monkeypatch.setattr(fingerprints, "GROUP", 1)
+    assert grouped == {r.doc_id: r.ids for r in fingerprints.signatures(texts, ["doc_id"]).collect()}
+    assert grouped and all(len(ids) == fingerprints.SAMPLES for ids in grouped.values())
+
+
 def test_plan_is_native(odd_docs):
     plan = plan_of(fingerprints.with_next(fingerprints.in_order(odd_docs), "text", ["key", "text"]))
     assert not any(x in plan for x in ("EvalPython", "InArrow", "InPandas"))

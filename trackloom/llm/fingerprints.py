@@ -8,8 +8,9 @@ share of equal samples has a standard error of at most 1 / (2 * sqrt(SAMPLES)),
 in at most 1.2 % of pairs (Hoeffding: 2 * exp(-2 * SAMPLES * 0.2**2)), over the draw of hashes.
 
 A sample is one number, ln(a) before and a hash of (term, t) after the point, so that all samples are plain minima over
-a text's exploded terms. Terms are counted inside their row, by sorting them, so no table of terms is built. Documents stay
-where the order of doc_ids has put them, and the texts are shuffled once.
+a text's exploded terms. A term is exploded once more into groups of ``GROUP`` samples: generated code for all samples in one
+row is a method too long to be compiled, and runs four times slower. Terms are counted inside their row, by sorting them, so
+no table of terms is built. Documents stay where the order of doc_ids has put them, and the texts are shuffled once.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from trackloom.llm.tables import written
 from trackloom.llm.words import key_of
 
 SAMPLES = 64
+#: Samples that are drawn side by side in one row; divides SAMPLES.
+GROUP = 8
 #: Consecutive doc_ids that stand together, and such buckets that stand together in turn.
 BUCKET = 256
 #: Bits of a sample that tell it apart; hexadecimal digits of it in a fingerprint.
@@ -33,9 +36,9 @@ def _uniform(h: Column, part: int) -> Column:
     return (F.shiftrightunsigned(h, 12 * part).bitwiseAND(F.lit((1 << 12) - 1)) + F.lit(0.5)) * F.lit(1.0 / (1 << 12))
 
 
-def sample(term: Column, log_weight: Column, j: int) -> Column:
-    """The j-th sample of a term: smaller wins."""
-    h = F.xxhash64(term, F.lit(j))
+def sample(term: Column, log_weight: Column, j: Column) -> Column:
+    """The j-th sample of a term (j: an int column): smaller wins."""
+    h = F.xxhash64(term, j)
     r = -F.ln(_uniform(h, 0) * _uniform(h, 1))
     log_c = F.ln(-F.ln(_uniform(h, 2) * _uniform(h, 3)))
     b = _uniform(h, 4)
@@ -78,9 +81,11 @@ def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
     bag = counted(texts.select(*keys, F.sort_array(terms(F.col("text"))).alias("__terms")))
     # an inner explode would be given a filter that works the counts out once more, in every lambda that reads them
     bag = bag.select(*keys, F.explode_outer("__counts").alias("e")).where("e is not null").select(*keys, F.col("e.term").alias("term"), F.ln("e.s").alias("log_s"))
-    least = bag.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("log_s"), j)).alias(f"s{j}") for j in range(SAMPLES)])
-    marks = [F.col(f"s{j}").bitwiseAND(F.lit((1 << min(ID_BITS, 4 * DIGITS)) - 1)) for j in range(SAMPLES)]
-    return least.select(*keys, F.array(*marks).alias("ids"))
+    bag = bag.select(*keys, "term", "log_s", F.explode(F.lit(list(range(SAMPLES // GROUP)))).alias("group"))
+    least = bag.groupBy(*keys, "group").agg(*[F.min(sample(F.col("term"), F.col("log_s"), F.col("group") * GROUP + j)).alias(f"s{j}") for j in range(GROUP)])
+    marks = [F.col(f"s{j}").bitwiseAND(F.lit((1 << min(ID_BITS, 4 * DIGITS)) - 1)) for j in range(GROUP)]
+    groups = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("group", F.array(*marks).alias("marks")))).alias("groups"))
+    return groups.select(*keys, F.flatten("groups.marks").alias("ids"))
 
 
 def likeness(a: Column, b: Column) -> Column:
