@@ -80,6 +80,15 @@ def test_held_out_rows_are_told_apart(marked):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_bounds_are_arguments(marked):
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs, labels = marked.select("doc_id", "text"), marked.select("doc_id", "toxic")
+    few = toxicity.toxicity_scores(docs, labels, held, most=0).collect()
+    assert len(few) == 600 and len({r.score for r in few}) > 1
+    small = toxicity.fit(docs, labels, ~held, most=60, sample=40, calibration=20, word_bytes=2)
+    assert small[0]["in"]["own"][:, 0].any() and small[1] > 0
+
+
 def test_odd_tables(no_docs, clashing, marked):
     labels = marked.select("doc_id", "toxic").limit(0)
     assert toxicity.toxicity_scores(no_docs, labels, F.lit(False)).count() == 0

@@ -1,6 +1,6 @@
 """Toxicity scores: a recurrent network over all overlapping windows of a document.
 
-Learning takes ``LEARN`` labelled documents at most. Spark counts in how many toxic and other ones each hashed word stands; the
+Learning takes ``LEARN`` labelled documents at most (all bounds are arguments of ``fit``). Spark counts in how many toxic and other ones each hashed word stands; the
 log-odds are the first component of the word vectors. The network is fitted on windows of ``SAMPLE`` of them: of each the
 window with the highest log-odds, and one by chance of those that are not toxic. In training the log-odds of a document's
 words come from the other half of the documents. A logistic step turns the highest window of a document into its score,
@@ -24,6 +24,8 @@ from trackloom.llm.words import Words, blobs, slices, unblobs
 WINDOW, STRIDE = 48, 36
 #: Labelled documents that are learned from; those of them that the network, and the calibration, are fitted on. At most.
 LEARN, SAMPLE, CALIBRATION = 20_000, 5_000, 1_500
+#: Bytes of a word that learning looks at; scoring reads all.
+WORD_BYTES = 64
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 11
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.3
@@ -150,7 +152,7 @@ class Scorer:
         return out
 
 
-def _fit(examples: list, own: np.ndarray, halves: list[np.ndarray]) -> dict:
+def _fit(examples: list, own: np.ndarray, halves: list[np.ndarray], word_bytes: int) -> dict:
     """examples: (half, toxic, raw, sizes, rows). The word vectors of a half start from the other half's log-odds."""
     rng = np.random.default_rng(SEED)
     vectors = np.zeros((net.ROWS, net.OWN), np.float32)
@@ -170,7 +172,7 @@ def _fit(examples: list, own: np.ndarray, halves: list[np.ndarray]) -> dict:
             n = np.array([len(e[3]) // 4 for e in batch])
             rows = np.concatenate([np.frombuffer(e[4], "<i4") for e in batch]).astype(np.int64)
             data = np.frombuffer(b"".join(e[2] for e in batch), np.uint8)
-            short = np.minimum(sizes, 64)  # learning looks at the first bytes of a very long word
+            short = np.minimum(sizes, word_bytes)
             chars, cmask = net.bytes_of(data, np.cumsum(sizes) - sizes, short)
             words, wmask = _grid(np.cumsum(n) - n, n)
             labels = np.array([e[1] for e in batch], np.float32)
@@ -204,17 +206,18 @@ def _calibrated(logits: np.ndarray, labels: np.ndarray, steps: int = 400) -> tup
     return a / spread, b - a * mean / spread
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[dict, float, float]:
-    """The network and its calibration, from at most ``LEARN`` labelled documents, drawn by a hash of their doc_ids.
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, most: int = LEARN, sample: int = SAMPLE, calibration: int = CALIBRATION, word_bytes: int = WORD_BYTES) -> tuple[dict, float, float]:
+    """The network and its calibration, from at most ``most`` labelled documents, drawn by a hash of their doc_ids.
 
-    learn: condition on doc_id.
+    learn: condition on doc_id. sample, calibration: how many of them, at most, the network and the calibration are fitted
+    on. word_bytes: bytes from a word's start that the network learns from.
     """
     spark = docs.sparkSession
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(learn)
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    marks = marks.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(LEARN)
+    marks = marks.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(most)
     marks = marks.withColumn("place", F.row_number().over(Window.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
-    # at most LEARN ids and numbers are broadcast, so no text is shuffled
+    # at most ``most`` ids and numbers are broadcast, so no text is shuffled
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(marks), "doc_id")
     rows = written(rows.withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")), "learned")
     words = rows.select("text", "toxic", "half").mapInArrow(_document_words, "row long, n00 long, n01 long, n10 long, n11 long")
@@ -229,12 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[dict, float,
     own = log_odds(counts[:, 0].sum(axis=0), counts[:, 1].sum(axis=0), share(n.sum(axis=0)))
 
     tables = spark.sparkContext.broadcast(halves)
-    sample = rows.where(F.col("place") <= SAMPLE).select("text", "toxic", "half")
-    examples = [tuple(r) for r in sample.mapInArrow(_examples(tables), "half int, toxic int, raw binary, sizes binary, rows binary").collect()]
-    model = _fit(sorted(examples), own, halves)
+    drawn = rows.where(F.col("place") <= sample).select("text", "toxic", "half")
+    examples = [tuple(r) for r in drawn.mapInArrow(_examples(tables), "half int, toxic int, raw binary, sizes binary, rows binary").collect()]
+    model = _fit(sorted(examples), own, halves, word_bytes)
     shared = spark.sparkContext.broadcast(model)
     last = max((r["last"] for r in sizes), default=0)
-    some = rows.where(F.col("place") > last - CALIBRATION).select("toxic", "text").repartition(8)
+    some = rows.where(F.col("place") > last - calibration).select("toxic", "text").repartition(8)
     seen = some.mapInArrow(_highest(shared), "toxic int, logit double").where("logit > double('-Infinity')").toPandas()
     return (model, *_calibrated(seen["logit"].to_numpy(), seen["toxic"].to_numpy().astype(float)))
 
@@ -248,15 +251,16 @@ def _highest(model):
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, **bounds: int) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted, one row per input row.
 
     held_out: condition on doc_id. Rows for which it is not true teach, if they are labelled 0 or 1; of several labels of a document the highest
     counts. A null or empty text has score 0. Repeated rows get equal scores; null doc_ids are scored and never learned
     from. Without labels of both kinds scores carry no meaning but are there. Columns besides doc_id and text are left out.
+    bounds: the arguments of ``fit`` that limit what is learned from.
     """
     learn = ~F.coalesce(held_out, F.lit(False))
-    model, a, b = fit(docs, labels, learn)
+    model, a, b = fit(docs, labels, learn, **bounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
