@@ -8,9 +8,10 @@ share of equal samples has a standard error of at most 1 / (2 * sqrt(SAMPLES)),
 in at most 1.2 % of pairs (Hoeffding: 2 * exp(-2 * SAMPLES * 0.2**2)), over the draw of hashes.
 
 A sample is one number, ln(a) before and a hash of (term, t) after the point, so that all samples are plain minima over
-a text's exploded terms. A term is exploded once more into groups of ``GROUP`` samples: generated code for all samples in one
-row is a method too long to be compiled, and runs four times slower. Terms are counted inside their row, by sorting them, so
-no table of terms is built. Documents stay where the order of doc_ids has put them, and the texts are shuffled once.
+a text's exploded terms. A term is exploded once more into groups of ``GROUP`` samples, so that an aggregate has few of
+them: on a table of terms alone that took 3.0 s instead of 12.9 s; in the whole query the gain is smaller. Terms are counted
+inside their row, by sorting them, so no table of terms is built. Documents stay where the order of doc_ids has put them, and
+the texts are shuffled once.
 """
 
 from __future__ import annotations
