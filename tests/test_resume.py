@@ -60,6 +60,17 @@ def test_missing_files(spark):
     assert flags == {"t1": False, "t2": True}
 
 
+def test_missing_files_looks_at_every_order(spark, tmp_path):
+    from trackloom.plans.resume_queries import missing_files
+
+    customers = [(1, "a", "X"), (2, "b", "X"), (3, "c", "X")]
+    spark.createDataFrame(customers, "c_custkey bigint, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(1, "1-URGENT"), (2, "5-LOW"), (2, None)]
+    spark.createDataFrame(orders, "o_custkey bigint, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = missing_files(spark, str(tmp_path)).collect()
+    assert {r.path for r in rows} == {"cust/c.mp3"} and len(rows) == 6
+
+
 def test_fatal_cutoff_matches_a_loop(spark):
     rng = random.Random(1)
     rows = [(f"r{0 if rng.random() < .4 else rng.randrange(1, 6)}", i, rng.choice(["CUDA bad", "slow", None, None, None, None])) for i in range(400)]
