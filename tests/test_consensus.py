@@ -150,3 +150,17 @@ def test_consensus_moves_captions_once(spark):
     for plan in (c.genre_consensus(captions), c.voice_consensus(captions), c.instrument_union(captions),
                  c.tag_consensus(c.caption_tags(c.by_track(captions))), c.key_consensus(c.window_facts(c.by_track(captions)))):
         assert plan_of(plan).split("\n\n\n")[0].count("Exchange (") == 1
+
+
+def test_windows_are_counted_without_gathering_them(spark):
+    from conftest import plan_of
+
+    rows = [(1, w, "instruments", text) for w in (0, 63, 64, 64, 129, -1, 2**31 - 1, None) for text in ("Oud", "oud, Drum")] + [(None, None, "instruments", "Ney")]
+    captions = spark.createDataFrame(rows, "track_id long, chunk_index int, category string, output string")
+    tags = c.tag_consensus(c.caption_tags(c.by_track(captions)))
+    assert {(r.track_id, r.tag): r.windows for r in tags.collect()} == {(1, "oud"): 6, (1, "drum"): 6, (None, "ney"): 0}
+    facts = spark.createDataFrame([(1, w, 80.0) for w in (0, 64, 64, None)], "track_id long, chunk_index int, bpm double")
+    assert c.tempo_consensus(facts).first().median_bpm == 80.0
+    for frame in (tags, c.instrument_union(captions)):
+        assert "ObjectHashAggregate" not in plan_of(frame) and "SortAggregate" not in plan_of(frame)
+    assert tags.rdd.getNumPartitions() >= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -16,13 +16,19 @@ from trackloom.operators.resume import latest_state
 TEMPO_SPREAD = 5
 
 
-def by_track(captions: DataFrame, track: str = "track_id") -> DataFrame:
+#: A caption's tags and facts fill several times the memory of the caption: so many tasks for each that a shuffle has.
+TASKS = 4
+
+
+def by_track(captions: DataFrame, *track: str) -> DataFrame:
     """Captions moved to their track's task, once, before they are split or searched.
 
     Every later step of a track's consensus finds them there. A caption is smaller than the tags and facts that come out
-    of it, and these hardly combine before a shuffle: a tag of a track is in few of its captions.
+    of it, and these hardly combine before a shuffle: a tag of a track is in few of its captions. As those are not moved
+    any more, the captions are dealt to ``TASKS`` times the usual number of tasks, so that each one's fit its memory.
     """
-    return captions.repartition(track)
+    usual = int(captions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return captions.repartition(TASKS * usual, *(track or ("track_id",)))
 
 
 def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
@@ -42,13 +48,30 @@ def _union(sets: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(sets)))
 
 
-def tag_votes(tags: DataFrame, track: str = "track_id") -> DataFrame:
-    """Distinct windows per (track, dimension, tag). No shuffle for tags of captions that went through ``by_track``, else one.
+def _sixty_four() -> Column:
+    """Which 64 windows a row's window is one of."""
+    return F.shiftright(F.col("chunk_index").cast("bigint"), 6)
+
+
+def _bits() -> Column:
+    """The windows of a group of 64, as bits, as an aggregate; rows without a window have none."""
+    place = F.pmod(F.col("chunk_index").cast("bigint"), F.lit(64)).cast("int")
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
 
-    A group keeps the set of its windows, which is no larger than a track has
-    windows; ``count_distinct`` would shuffle the rows twice.
+
+def window_votes(rows: DataFrame, *by: str) -> DataFrame:
+    """Distinct windows per group. No shuffle for rows that are dealt by one of the columns, else one.
+
+    Numbers of 64 bits are aggregated in place in a hash map, where sets of windows would be sorted and spilled as soon as
+    a task has more than a few groups; ``count_distinct`` would shuffle the rows twice. Rows without a window count for none.
     """
-    return tags.groupBy(track, "dimension", "tag").agg(_windows().alias("windows"))
+    marked = rows.groupBy(*by, _sixty_four().alias("_at")).agg(_bits().alias("_bits"))
+    return marked.groupBy(*by).agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).alias("windows"))
+
+
+def tag_votes(tags: DataFrame, track: str = "track_id") -> DataFrame:
+    """Distinct windows per (track, dimension, tag). No shuffle for tags of captions that went through ``by_track``, else one."""
+    return window_votes(tags, track, "dimension", "tag")
 
 
 def tag_consensus(tags: DataFrame, min_windows: int = 2, track: str = "track_id") -> DataFrame:
@@ -119,7 +142,7 @@ def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = T
     Rows collapse to (track, tempo) first. A tempo is a two- or three-digit
     figure with one decimal, so a track has a bounded number of them.
     """
-    weights = facts.groupBy(track, "bpm").agg(_windows().alias("n"))
+    weights = window_votes(facts, track, "bpm").withColumnRenamed("windows", "n")
     stats = weights.groupBy(track).agg(
         F.min("bpm").alias("low"), F.max("bpm").alias("high"),
         F.percentile("bpm", 0.5, F.col("n")).alias("median_bpm"),
