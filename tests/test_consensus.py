@@ -164,3 +164,19 @@ def test_windows_are_counted_without_gathering_them(spark):
     for frame in (tags, c.instrument_union(captions)):
         assert "ObjectHashAggregate" not in plan_of(frame) and "SortAggregate" not in plan_of(frame)
     assert tags.rdd.getNumPartitions() >= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_variants_settle_where_the_votes_are(spark):
+    from conftest import plan_of
+
+    rows = [(None, "pad", 1, "a"), (None, "synth pad", 2, "b"), (1, None, 1, "c"), (1, " ", 1, "d"), (1, "Pad", 3, "e"), (1, "pad", 3, "f"), (1, "pad", 3, "g"),
+            (1, "soft  pad", 1, "h"), (2, "pad pad", 1, "i"), (2, "pad", 1, "j"), (2, "x", None, "k"), (2, "x y", 1, "l")]
+    votes = spark.createDataFrame(rows, "track_id int, instrument string, windows long, more string")
+    got = sorted(r.more for r in c.settle_variants(votes).collect())
+    # without a track nothing is settled; "Pad" sorts before "pad", "pad" before "pad pad"; repeats go and stay together
+    assert got == ["a", "b", "c", "d", "e", "j", "l"]
+    captions = spark.createDataFrame([(1, 0, "instruments", "pad, synth pad")], "track_id long, chunk_index int, category string, output string")
+    settled = c.settle_variants(c.instrument_union(captions))
+    plan = plan_of(settled).split("\n\n\n")[0]
+    assert plan.count("Exchange (") == 1 and "Join" not in plan
+    assert [r.instrument for r in settled.collect()] == ["synth pad"]

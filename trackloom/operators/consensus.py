@@ -121,19 +121,32 @@ def settle_variants(votes: DataFrame, name: str = "instrument", track: str = "tr
     ``guitar``, ``acoustic guitar`` and ``acoustic guitar with fingerpicking`` are variants. The one that more windows name
     stays, of equals the more specific one, then the first by name. ``votes`` has (track, name, windows).
 
-    A description is looked for by one of its words, the longest, among the words of its track's others; only pairs that
-    contain each other come out of that join, and no track is gathered.
+    A description is looked for by one of its words, the longest, among the words of its track's others: the descriptions
+    of a (track, word) meet in a window, and those that go are marked in a second one. Votes that are dealt by track are
+    not moved again, and no track is gathered: of its descriptions only those with the same longest word are.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower(name), r"\s+"), lambda w: w != ""))
-    known = votes.select(track, name, "windows", words.alias("words"))
+    def words(said: Column) -> Column:
+        return F.array_distinct(F.filter(F.split(F.lower(said), r"\s+"), lambda w: w != ""))
+
+    def rank(side: Column) -> Column:
+        return F.struct(side["windows"], F.size(side["words"]))
+
     longest = F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    part = known.select(track, F.col(name).alias("part"), F.col("windows").alias("part_windows"), F.col("words").alias("part_words"), longest.alias("word"))
-    whole = known.select(track, F.col(name).alias("whole"), F.col("windows").alias("whole_windows"), F.col("words").alias("whole_words"), F.explode("words").alias("word"))
-    pairs = part.join(whole, [track, "word"]).where((F.col("part") != F.col("whole")) & (F.size(F.array_except("part_words", "whole_words")) == 0))
-    rank = lambda side: F.struct(F.col(f"{side}_windows"), F.size(f"{side}_words"))
-    whole_stays = (rank("whole") > rank("part")) | ((rank("whole") == rank("part")) & (F.col("whole") < F.col("part")))
-    gone = pairs.select(track, F.when(whole_stays, F.col("part")).otherwise(F.col("whole")).alias(name)).distinct()
-    return votes.join(gone, [track, name], "left_anti")
+    known = votes.select(
+        F.struct(*votes.columns).alias("vote"), F.col(track).alias("track"), F.col(name).alias("name"), words(F.col(name)).alias("words"),
+    )
+    by_word = known.withColumn("longest", longest).select("vote", "track", "name", "longest", F.posexplode_outer("words").alias("place", "word"))
+    told = F.struct("name", F.col("vote.windows").alias("windows"), words(F.col("name")).alias("words"))
+    part = F.when(F.col("track").isNotNull() & (F.col("word") == F.col("longest")), told)
+    met = by_word.withColumns({"parts": F.collect_list(part).over(Window.partitionBy("track", "word")), "whole": told})
+    whole = F.col("whole")
+    held = F.filter("parts", lambda p: (p["name"] != whole["name"]) & (F.size(F.array_except(p["words"], whole["words"])) == 0))
+    goes = F.transform(held, lambda p: F.when((rank(whole) > rank(p)) | ((rank(whole) == rank(p)) & (whole["name"] < p["name"])), p["name"]).otherwise(whole["name"]))
+    itself = F.struct(F.when(F.coalesce("place", F.lit(0)) == 0, F.col("vote")).alias("vote"), F.col("name"), F.lit(False).alias("gone"))
+    others = F.transform(F.array_distinct(goes), lambda n: F.struct(F.lit(None).cast(by_word.schema["vote"].dataType).alias("vote"), n.alias("name"), F.lit(True).alias("gone")))
+    marks = met.select("track", F.inline(F.concat(F.array(itself), others))).where(F.col("vote").isNotNull() | F.col("gone"))
+    marked = marks.withColumn("gone", F.max("gone").over(Window.partitionBy("track", "name")))
+    return marked.where(F.col("vote").isNotNull() & ~F.col("gone")).select("vote.*")
 
 
 def tempo_consensus(facts: DataFrame, track: str = "track_id", spread: float = TEMPO_SPREAD) -> DataFrame:
