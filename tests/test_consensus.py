@@ -180,3 +180,13 @@ def test_variants_settle_where_the_votes_are(spark):
     plan = plan_of(settled).split("\n\n\n")[0]
     assert plan.count("Exchange (") == 1 and "Join" not in plan
     assert [r.instrument for r in settled.collect()] == ["synth pad"]
+
+
+def test_key_consensus_gathers_no_windows(spark):
+    from conftest import plan_of
+
+    rows = [(1, w, 80.0, "C major", None) for w in (0, 64, 128)] + [(1, w, 82.0, "D minor", "6/8") for w in (0, 1, 1, 64, 65)] + [(1, None, 90.0, "E major", None)]
+    facts = spark.createDataFrame(rows, "track_id long, chunk_index int, bpm double, music_key string, signature string")
+    best = c.key_consensus(c.by_track(facts))
+    assert best.collect() == [(1, "D minor", 3, "6/8")]
+    assert "collect_" not in plan_of(best) and "ObjectHashAggregate" not in plan_of(best)

@@ -38,16 +38,6 @@ def caption_tags(captions: DataFrame, track: str = "track_id") -> DataFrame:
     )
 
 
-def _windows() -> Column:
-    """How many windows a group's rows come from, as an aggregate; rows without a window count for none."""
-    return F.size(F.collect_set("chunk_index")).cast("bigint")
-
-
-def _union(sets: Column) -> Column:
-    """The number of windows in a list of sets of windows."""
-    return F.size(F.array_distinct(F.flatten(sets)))
-
-
 def _sixty_four() -> Column:
     """Which 64 windows a row's window is one of."""
     return F.shiftright(F.col("chunk_index").cast("bigint"), 6)
@@ -180,19 +170,22 @@ def key_consensus(facts: DataFrame, track: str = "track_id") -> DataFrame:
     ``by_track`` no step shuffles. Nulls are handled inside the aggregates: a
     filter would be pushed below and repeat the text searches.
     """
-    seen = facts.groupBy(track, "bpm", "music_key").agg(
-        F.collect_set("chunk_index").alias("seen_in"),
-        F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
+    seen = facts.groupBy(track, "bpm", "music_key", _sixty_four().alias("at")).agg(
+        _bits().alias("bits"), F.min("signature").alias("sig_lo"), F.max("signature").alias("sig_hi"),
     )
-    same_bpm = Window.partitionBy(track, "bpm")
+    same_bpm = Window.partitionBy(track, "bpm", "at")
     once = F.row_number().over(same_bpm.orderBy("music_key")) == 1  # a tempo weighs once, not per key
-    weighed = seen.withColumn("n", F.when(once, _union(F.collect_list("seen_in").over(same_bpm))).otherwise(0))
+    windows = F.coalesce(F.bit_count(F.bit_or("bits").over(same_bpm)), F.lit(0))
+    weighed = seen.withColumn("n", F.when(once, windows).otherwise(0))
     near = weighed.withColumn(
         "median_bpm", F.percentile("bpm", 0.5, F.col("n")).over(Window.partitionBy(track))
     )
     distance = F.coalesce(F.abs(F.col("bpm") - F.col("median_bpm")), F.lit(float("inf")))
-    per_key = near.groupBy(track, "music_key").agg(
-        _union(F.collect_list("seen_in")).cast("bigint").alias("votes"), F.min(distance).alias("distance"),
+    keyed = near.groupBy(track, "music_key", "at").agg(
+        F.bit_or("bits").alias("bits"), F.min(distance).alias("distance"), F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
+    )
+    per_key = keyed.groupBy(track, "music_key").agg(
+        F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("votes"), F.min("distance").alias("distance"),
         F.min("sig_lo").alias("sig_lo"), F.max("sig_hi").alias("sig_hi"),
     )
     named = F.col("music_key").isNotNull()
