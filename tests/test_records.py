@@ -146,3 +146,24 @@ def test_profiles(spark):
     assert (rows["a"].min_length, rows["m"].max_length, rows["a"].type) == (2, 2, "array<int>")
     keys = {r.key: (r.present, r.non_null) for r in quality.key_profile(df, "m").collect()}
     assert keys == {"k": (2, 1), "z": (1, 1)}
+
+
+def test_windows_move_once_and_their_records_are_compressed(spark, tmp_path):
+    from conftest import plan_of
+    from trackloom.operators import summarize
+
+    rows = [("t", w, float(w), w + 1.0, k, f"{k}{w}{n}", n) for w in (1, 0, 7) for k in ("a", "b", "c") for n in (2, 1)] + [("t", None, 0.0, 1.0, "a", "lost", 9), ("u", 0, 0.0, 1.0, "a", None, 1)]
+    captions = spark.createDataFrame(rows, "path string, chunk_index int, start_seconds double, end_seconds double, category string, output string, at int")
+    nested = summarize.nest_windows(captions, ["a", "b"], order=("at",))
+    plan = plan_of(nested).split("\n\n\n")[0]
+    tree = plan[:plan.index("\n\n(1)")] if "\n\n(1)" in plan else plan
+    assert tree.count("Exchange (") == 1 and "Sort" not in tree[tree.index("Exchange ("):]
+    got = {r.path: [(x.chunk_index, x.start_seconds, x.captions) for x in r.chunks] for r in nested.collect()}
+    assert got == {"t": [(w, float(w), {"a": f"a{w}2", "b": f"b{w}2"}) for w in (0, 1, 7)], "u": [(0, 0.0, {})]}
+
+    from pyspark.sql import functions as F
+    documents = nested.select(F.struct(F.lit("m").alias("model"), F.col("path").alias("audio_file"), "total_chunks").alias("metadata"), "chunks")
+    export_records(documents, str(tmp_path / "packed"), "gzip")
+    assert any((tmp_path / "packed").glob("*.json.gz")) and not any((tmp_path / "packed").glob("*.json"))
+    read = records.read_responses(spark, str(tmp_path / "packed"), "chunks", pretty=False)
+    assert {(r.track_id, r.chunk_index, r.category, r.output) for r in read.collect()} == {("t", w, k, f"{k}{w}2") for w in (0, 1, 7) for k in "ab"}

@@ -8,6 +8,7 @@ from trackloom.functions.paths import file_name, record_path
 from trackloom.functions.scalars import whole_units
 from trackloom.functions.text import cell_text, quoted
 from trackloom.model import ERROR, MESSAGES, OK, PARTIAL, WINDOW_LABELS
+from trackloom.operators.consensus import by_track
 from trackloom.operators.resume import latest_state
 
 
@@ -136,9 +137,16 @@ def nest_windows(
     window and prompt the newest by ``order`` counts, of equals the greatest
     text. A window's captions are one aggregate per prompt, and a track collects
     each of its windows once, whatever repeats the input holds.
+
+    Captions move to their track's task once; the greatest texts need an order,
+    which fits the memory of these tasks, but not always that of the tasks that
+    read the captions.
     """
     newest = F.struct(*order, F.col("output"))
-    per_window = captions.where(F.col("chunk_index").isNotNull()).groupBy(*by, "chunk_index").agg(
+    used = captions.where(F.col("chunk_index").isNotNull()).select(
+        *dict.fromkeys((*by, "chunk_index", "start_seconds", "end_seconds", "category", *order, "output"))
+    )
+    per_window = by_track(used, *by).groupBy(*by, "chunk_index").agg(
         F.min("start_seconds").alias("start_seconds"), F.min("end_seconds").alias("end_seconds"),
         *[F.max(F.when(F.col("category") == k, newest))["output"].alias(f"_{j}") for j, k in enumerate(keys)],
     )
