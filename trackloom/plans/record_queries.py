@@ -19,7 +19,7 @@ ANSWER = ("status", "output", "error", "traceback", "processing_time_sec", "audi
 
 def _back(spark: SparkSession, documents: DataFrame, shape: str) -> DataFrame:
     path = shared_path(spark, f"records-{shape}")
-    export_records(documents, path)
+    export_records(documents, path, "gzip")
     return records.read_responses(spark, path, shape, pretty=False)
 
 
