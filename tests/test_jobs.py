@@ -371,3 +371,29 @@ def test_a_first_batch_that_died_is_done_again(spark, tmp_path):
     for name in ("0", ".0.crc"):
         os.remove(mark / "commits" / name)
     assert drain() == first
+
+
+def test_a_track_reads_and_writes_its_state_once():
+    from pyspark.sql import Row
+    from trackloom.streaming.state import Progress
+
+    class Value:
+        def __init__(self):
+            self.value, self.calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+    value = Value()
+    handle = type("Handle", (), {"getValueState": lambda self, name, schema: value})()
+    processor = Progress([(f"k{i}", "?") for i in range(9)], None, None, None)
+    processor.init(handle)
+    processor.handleInitialState(("t",), Row(track_id="t", ok_categories=["k3", "k4"]), None)
+    told = list(processor.handleInputRows(("t",), iter([Row(track_id="t"), Row(track_id="t")]), None))
+    assert [r.category for r in told] == ["k0", "k1", "k2", "k5", "k6", "k7", "k8"] and value.calls == 3
+    assert list(processor.handleInputRows(("t",), iter([Row(track_id="t")]), None)) == [] and value.calls == 4

@@ -36,19 +36,22 @@ class Progress(StatefulProcessor):
 
     A track that arrives twice in a batch is annotated once. A failed category is left out of the state, so that it is tried
     again when its track arrives again. After an error that matches ``fatal`` the worker's remaining prompts are skipped.
+
+    A track's state is one value: each call of the state store crosses to the JVM, so a track reads it once and writes it once
+    at most, however many prompts there are.
     """
 
     def __init__(self, prompts: list[tuple[str, str]], make_annotator: Callable[[], Any] | None, content: str | None, fatal: str | None):
         self.prompts, self.make_annotator, self.content, self.fatal = prompts, make_annotator, content, fatal
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.done = handle.getMapState("done", "category string", "status string")
+        self.done = handle.getValueState("done", "categories array<string>")
         self.annotator = self.make_annotator() if self.make_annotator else None
         self.stopped = False
 
     def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
-        for category in initialState["ok_categories"]:
-            self.done.updateValue((category,), (OK,))
+        if initialState["ok_categories"]:
+            self.done.update((list(initialState["ok_categories"]),))
 
     def _answer(self, prepared: Any, broken: dict | None, category: str, prompt: str) -> dict:
         if self.stopped:
@@ -63,7 +66,10 @@ class Progress(StatefulProcessor):
         first = next(rows)
         for _ in rows:  # repeats of the track
             pass
-        todo = [(c, p) for c, p in self.prompts if not self.done.containsKey((c,))]
+        known = self.done.get()
+        done = set(known[0]) if known else set()
+        before = len(done)
+        todo = [(c, p) for c, p in self.prompts if c not in done]
         prepared = broken = None
         if todo and self.annotator is not None and not self.stopped:
             try:
@@ -73,9 +79,11 @@ class Progress(StatefulProcessor):
         for category, prompt in todo:
             result = self._answer(prepared, broken, category, prompt)
             if result["status"] == OK:
-                self.done.updateValue((category,), (OK,))
+                done.add(category)
             told = {"track_id": key[0], "category": category, "prompt_used": prompt, **result}
             yield Row(**{f: told.get(f) for f in ANSWERED.names})
+        if len(done) > before:
+            self.done.update((sorted(done),))
 
     def close(self) -> None:
         pass
