@@ -46,6 +46,28 @@ def test_chains_and_doubtful_pairs(spark):
     assert got == brute(rows)
 
 
+def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies that are like each other but not like the smallest ones: pairs grow with the documents, not with their square."""
+    words = [f"w{i}" for i in range(100)]
+
+    def edited(doc, places):
+        return " ".join(f"x{doc}" if i in places else w for i, w in enumerate(words))
+
+    rows = [(i, edited(i, (10 + 8 * i, 14 + 8 * ((i + 5) % 10)))) for i in range(10)]
+    rows += [(i, edited(i, (10 + i % 80,))) for i in range(10, 130)]
+    made, links = [], jaccard._links
+
+    def counted(pairs, sets, percent):
+        made.append(pairs.count())
+        return links(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    assert max(Counter(c for _, c in got.values()).values()) >= 120
+    assert sum(made) < 12 * len(rows)
+
+
 def test_bounds_lose_no_pair():
     r = np.random.default_rng(0)
     for _ in range(300):

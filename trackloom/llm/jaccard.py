@@ -9,11 +9,14 @@ in each of them, and a document with enough tokens of its own makes no candidate
    up and answers with one byte a token. That byte is the token's rank class.
 2. Blocks write signature, size and, for a document that has a shared token in its first prefix, its set. Equal sets are
    one class from here on.
-3. Round one links every document of a prefix list with the list's smallest one. Round two takes all pairs of a list that
-   are not connected yet. Pairs that pass the length and position bounds, and whose parity bitmaps do not differ in more bits
+3. Round one links every document of a prefix list with the list's smallest one. Round two links every document outside a
+   list's largest component with the nearest document of another component, again and again until it finds no link; each
+   time at most half of the components that it links are left. Round three takes all pairs of a list that are
+   not connected yet. Pairs that pass the length and position bounds, and whose parity bitmaps do not differ in more bits
    than linked sets differ in tokens, must also share prefix tokens under the other
-   orders; only then the sets are intersected. Round one makes as many pairs as there are list entries, and a group of near
-   copies is one component after it, so round two has pairs only where similarity is in doubt.
+   orders; only then the sets are intersected. One and each of two make at most as many pairs as there are list entries. Near
+   copies that are not like the smallest are joined to their group by round two, so round three has pairs only where
+   similarity is in doubt.
 """
 
 from __future__ import annotations
@@ -236,22 +239,38 @@ def may_reach(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray
     return fits & (1 + np.minimum(n - 1 - place, m - 1 - other) >= need)
 
 
-def _candidates(percent: int, all_pairs: bool):
+#: How the pairs of a list are taken.
+SMALLEST, NEAREST, ALL = range(3)
+
+
+def _candidates(percent: int, which: int):
     """Pairs (a, b), a < b, from the entries, which come sorted by token and key."""
+    def apart(i, others, n, place, parity):
+        """Those of others that may be linked with entry i, and in how many bits they differ."""
+        j = others[may_reach(n[others], place[others], n[i], place[i], percent)]
+        differing = np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1).astype(np.int64)
+        ok = may_share(n[j], n[i], differing, percent)
+        return j[ok], differing[ok]
+
     def one_list(key, n, place, component, parity):
-        if all_pairs:
-            for i in range(len(key) - 1):
-                ok = (component[i + 1 :] != component[i]) & (key[i + 1 :] != key[i])
-                if ok.any():
-                    j = np.flatnonzero(ok) + i + 1
-                    j = j[may_reach(n[j], place[j], n[i], place[i], percent)]
-                    j = j[may_share(n[j], n[i], np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1).astype(np.int64), percent)]
-                    if len(j):
-                        yield np.full(len(j), key[i]), key[j]
-        else:
+        if which == SMALLEST:
             j = np.flatnonzero(may_reach(n, place, n[0], place[0], percent) & (key != key[0]))
             if len(j):
                 yield np.full(len(j), key[0]), key[j]
+        elif which == NEAREST:
+            _, at, sizes = np.unique(component, return_inverse=True, return_counts=True)
+            for i in np.flatnonzero(at != sizes.argmax()):
+                j, differing = apart(i, np.flatnonzero(at != at[i]), n, place, parity)
+                if len(j):
+                    near = key[j[np.argmin(differing / (n[j] + n[i]))]]
+                    yield np.minimum(key[i : i + 1], near), np.maximum(key[i : i + 1], near)
+        else:
+            for i in range(len(key) - 1):
+                others = np.flatnonzero((component[i + 1 :] != component[i]) & (key[i + 1 :] != key[i])) + i + 1
+                if len(others):
+                    j, _ = apart(i, others, n, place, parity)
+                    if len(j):
+                        yield np.full(len(j), key[i]), key[j]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -268,7 +287,7 @@ def _candidates(percent: int, all_pairs: bool):
             rest = None
             for batch in batches:
                 columns = [batch.column(c).to_numpy().astype(np.int64) for c in names]
-                columns.append(unblobs(batch.column("parity"), np.uint64)[0].reshape(-1, PARITY_BITS // 64) if all_pairs else columns[0][:, None])
+                columns.append(unblobs(batch.column("parity"), np.uint64)[0].reshape(-1, PARITY_BITS // 64) if which != SMALLEST else columns[0][:, None])
                 if rest is not None:
                     columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
                 cuts = np.flatnonzero(np.diff(columns[0])) + 1
@@ -282,7 +301,7 @@ def _candidates(percent: int, all_pairs: bool):
                 yield [c[:] for c in rest[1:]]
 
         for entries in lists():
-            if all_pairs and (entries[3] == entries[3][0]).all():
+            if which != SMALLEST and (entries[3] == entries[3][0]).all():
                 continue
             for pair in one_list(*entries):
                 held.append(pair)
@@ -341,23 +360,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     heads = some.where(F.octet_length("prefix") > 0).join(classes.select("sig1", "sig2", F.col("rep.key").alias("key"), F.col("rep.kind").alias("kind")), ["sig1", "sig2", "key", "kind"], "left_semi").dropDuplicates(["key", "kind"])
     heads = written(heads.select("key", "n", "tokens", "flags", "prefix", "places", "parity"), "heads")
 
-    def candidates(entries: DataFrame, all_pairs: bool) -> DataFrame:
+    def candidates(entries: DataFrame, which: int) -> DataFrame:
         rows = entries.mapInArrow(_entries, "token long, key long, n int, place int, component long, parity binary")
         lists = rows.repartition(parts, "token").sortWithinPartitions("token", "key")
-        return lists.mapInArrow(_candidates(percent, all_pairs), "a long, b long").distinct()
+        return lists.mapInArrow(_candidates(percent, which), "a long, b long").distinct()
 
     entries = heads.select("key", "n", "prefix", "places", "parity")
     # round one has a pair an entry and needs no parities
     alone = entries.withColumn("component", F.col("key")).withColumn("parity", F.lit(None).cast("binary"))
-    first = written(_links(candidates(alone, False), heads, percent), "links")
+    first = written(_links(candidates(alone, SMALLEST), heads, percent), "links")
     of_class = classes.select("sig1", "sig2", F.col("rep.key").alias("class_key"), "class_size")
     members = some.select("key", "n", "sig1", "sig2").join(of_class, ["sig1", "sig2"])
     copies = members.where("key <> class_key").select(F.col("key").alias("a"), F.col("class_key").alias("b"))
     found = components(first.union(copies))
-    known = entries.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    second = written(_links(candidates(known, True), heads, percent), "links")
-    if second.take(1):
-        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
+    def linked(found: DataFrame, which: int) -> DataFrame | None:
+        """The components with the links that are found between them; None if there are none."""
+        known = entries.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        more = written(_links(candidates(known, which), heads, percent), "links")
+        return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)) if more.take(1) else None
+
+    while (nearer := linked(found, NEAREST)) is not None:
+        found = nearer
+    # what is left is in doubt, and taken pair by pair
+    if (rest := linked(found, ALL)) is not None:
+        found = rest
 
     blank = sets.where("n = 0").select("key", "n", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_size"))
     members = members.select("key", "n", "class_key", "class_size").union(blank)
