@@ -77,6 +77,26 @@ def test_groups_of_samples_change_nothing(spark, odd_docs, monkeypatch):
     assert grouped and all(len(ids) == fingerprints.SAMPLES for ids in grouped.values())
 
 
+def test_few_samples_are_drawn_in_full(spark):
+    """Of a text of 400 terms most samples can't win; that is told from their hashes, and changes none of the marks."""
+    words = [f"w{i * 7919 % 400}" for i in range(401)]
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, "of the " * 200), (3, "a b"), (4, "one"), (5, "")], "doc_id long, text string")
+    bag = fingerprints.bags(texts.where("doc_id = 1"), ["doc_id"])
+    drawn = bag.select(*[F.count(fingerprints.drawn(j)).alias(f"n{j}") for j in range(fingerprints.GROUP)]).first()
+    assert 0 < sum(drawn) < 0.4 * bag.count() * fingerprints.GROUP
+    whole = {r.doc_id: r.ids for r in fingerprints.signatures(texts, ["doc_id"]).collect()}
+    assert sorted(whole) == [1, 2, 3, 4] and not any(x is None for ids in whole.values() for x in ids)
+    assert whole == {r.doc_id: r.ids for r in fingerprints.signatures(texts, ["doc_id"], fingerprints.LIMIT).collect()}
+
+
+def test_texts_above_the_limit_are_drawn_anew(spark, odd_docs, monkeypatch):
+    rows = sorted(fingerprints.edited_pairs(odd_docs).collect(), key=str)
+    monkeypatch.setattr(fingerprints, "LIMIT", 0.5)
+    few = fingerprints.signatures(odd_docs.select("doc_id", "text"), ["doc_id"], 0.5)
+    assert few.where(F.exists("ids", F.isnull)).count() > 0
+    assert sorted(fingerprints.edited_pairs(odd_docs).collect(), key=str) == rows
+
+
 def test_plan_is_native(odd_docs):
     plan = plan_of(fingerprints.with_next(fingerprints.in_order(odd_docs), "text", ["key", "text"]))
     assert not any(x in plan for x in ("EvalPython", "InArrow", "InPandas"))

@@ -9,8 +9,12 @@ in at most 1.2 % of pairs (Hoeffding: 2 * exp(-2 * SAMPLES * 0.2**2)), over the
 
 A sample is one number, ln(a) before and a hash of (term, t) after the point, so that all samples are plain minima over
 a text's exploded terms. A term is exploded once more into groups of ``GROUP`` samples, so that an aggregate has few of
-them: on a table of terms alone that took 3.0 s instead of 12.9 s; in the whole query the gain is smaller. Terms are counted
-inside their row, by sorting them, so no table of terms is built. Documents stay where the order of doc_ids has put them, and
+them and its generated code is short. Terms are counted inside their row, by sorting them, so no table of terms is built.
+
+The smallest a of a text with weights of sum W is exponential with mean 1 / W. So a sample is drawn in full only if it may
+be below ``LIMIT`` / W, as told without logarithms: c >= 1 - u2 * u3, and exp(-r * (t - b) - r) >= u0 * u1 / s. A text whose
+smallest a is not below that (exp(-``LIMIT``) of them for each sample) is drawn anew without a limit, so results don't depend
+on it. Documents stay where the order of doc_ids has put them, and
 the texts are shuffled once.
 """
 
@@ -24,7 +28,9 @@ from trackloom.llm.words import key_of
 
 SAMPLES = 64
 #: Samples that are drawn side by side in one row; divides SAMPLES.
-GROUP = 8
+GROUP = 4
+#: A text's samples are sought below this, over the sum of its weights; far above any a without such a limit.
+LIMIT, NO_LIMIT = 24.0, 1e300
 #: Consecutive doc_ids that stand together, and such buckets that stand together in turn.
 BUCKET = 256
 #: Bits of a sample that tell it apart; hexadecimal digits of it in a fingerprint.
@@ -37,6 +43,11 @@ def _uniform(h: Column, part: int) -> Column:
     return (F.shiftrightunsigned(h, 12 * part).bitwiseAND(F.lit((1 << 12) - 1)) + F.lit(0.5)) * F.lit(1.0 / (1 << 12))
 
 
+def _order(log_a: Column) -> Column:
+    """13 bits before and 27 after the point."""
+    return ((log_a + F.lit(4096.0)) * F.lit(float(1 << 27))).cast("long")
+
+
 def sample(term: Column, log_weight: Column, j: Column) -> Column:
     """The j-th sample of a term (j: an int column): smaller wins."""
     h = F.xxhash64(term, j)
@@ -45,8 +56,19 @@ def sample(term: Column, log_weight: Column, j: Column) -> Column:
     b = _uniform(h, 4)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t - b) - r
-    # 13 bits before and 27 after the point, then the mark of (term, t)
-    return F.shiftleft(((log_a + F.lit(4096.0)) * F.lit(float(1 << 27))).cast("long"), ID_BITS).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit((1 << ID_BITS) - 1)))
+    # the order, then the mark of (term, t)
+    return F.shiftleft(_order(log_a), ID_BITS).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit((1 << ID_BITS) - 1)))
+
+
+def may_win(term: Column, weight: Column, j: Column, limit: Column) -> Column:
+    """False only if the a of the j-th sample of a term is limit or more.
+
+    With weight 1, t is 0 and a = c * x**(1 - b) for x = u0 * u1, where x**(1 - b) >= x / (1 - b * (1 - x)) (Bernoulli).
+    """
+    h = F.xxhash64(term, j)
+    x = _uniform(h, 0) * _uniform(h, 1)
+    b = F.when(weight == 1, 1.0).otherwise(0.0) * _uniform(h, 4)
+    return (F.lit(1.0) - _uniform(h, 2) * _uniform(h, 3)) * x < limit * weight * (F.lit(1.0) - b * (F.lit(1.0) - x))
 
 
 def terms(text: Column) -> Column:
@@ -74,17 +96,32 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__counts", F.zip_with("__starts", ends, lambda e, end: F.struct(e.term.alias("term"), (end - e.i).alias("s"))))
 
 
-def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
+def bags(texts: DataFrame, keys: list[str], limit: float = LIMIT) -> DataFrame:
+    """keys, ``limit``, and the terms of column ``text`` (``term``, ``weight``, ``log_s``), once for each ``group`` of samples."""
+    bag = counted(texts.select(*keys, F.sort_array(terms(F.col("text"))).alias("__terms")))
+    bag = bag.withColumn("limit", F.lit(limit) / F.greatest(F.size("__terms"), F.lit(1)))
+    # an inner explode would be given a filter that works the counts out once more, in every lambda that reads them
+    bag = bag.select(*keys, "limit", F.explode_outer("__counts").alias("e")).where("e is not null")
+    bag = bag.select(*keys, "limit", F.col("e.term").alias("term"), F.col("e.s").cast("double").alias("weight"), F.ln("e.s").alias("log_s"))
+    return bag.select(*keys, "limit", "term", "weight", "log_s", F.explode(F.lit(list(range(SAMPLES // GROUP)))).alias("group"))
+
+
+def drawn(j: int) -> Column:
+    """The j-th sample of a row of ``bags``, null if it can't be below the limit."""
+    n = F.col("group") * GROUP + j
+    return F.when(may_win(F.col("term"), F.col("weight"), n, F.col("limit")), sample(F.col("term"), F.col("log_s"), n))
+
+
+def signatures(texts: DataFrame, keys: list[str], limit: float = NO_LIMIT) -> DataFrame:
     """keys and ``ids``, an array of SAMPLES marks, for column ``text``; rows without words are left out.
 
-    keys: they tell the rows apart. If texts is dealt out by some of them, nothing is shuffled.
+    keys: they tell the rows apart. If texts is dealt out by some of them, nothing is shuffled. limit: where the smallest a is
+    not below limit over the number of terms, ids has a null; NO_LIMIT leaves none.
     """
-    bag = counted(texts.select(*keys, F.sort_array(terms(F.col("text"))).alias("__terms")))
-    # an inner explode would be given a filter that works the counts out once more, in every lambda that reads them
-    bag = bag.select(*keys, F.explode_outer("__counts").alias("e")).where("e is not null").select(*keys, F.col("e.term").alias("term"), F.ln("e.s").alias("log_s"))
-    bag = bag.select(*keys, "term", "log_s", F.explode(F.lit(list(range(SAMPLES // GROUP)))).alias("group"))
-    least = bag.groupBy(*keys, "group").agg(*[F.min(sample(F.col("term"), F.col("log_s"), F.col("group") * GROUP + j)).alias(f"s{j}") for j in range(GROUP)])
-    marks = [F.col(f"s{j}").bitwiseAND(F.lit((1 << min(ID_BITS, 4 * DIGITS)) - 1)) for j in range(GROUP)]
+    least = bags(texts, keys, limit).groupBy(*keys, "group").agg(F.max("limit").alias("limit"), *[F.min(drawn(j)).alias(f"s{j}") for j in range(GROUP)])
+    # one step of the order less, for what rounding does
+    top = F.shiftleft(_order(F.ln("limit")) - F.lit(1), ID_BITS)
+    marks = [F.when(F.col(f"s{j}") < top, F.col(f"s{j}").bitwiseAND(F.lit((1 << min(ID_BITS, 4 * DIGITS)) - 1))) for j in range(GROUP)]
     groups = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("group", F.array(*marks).alias("marks")))).alias("groups"))
     return groups.select(*keys, F.flatten("groups.marks").alias("ids"))
 
@@ -129,6 +166,14 @@ def with_next(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
     return ranked.join(jumps, "bucket").withColumn("next", F.coalesce("next", "jump")).drop("jump")
 
 
+def _marks(rows: DataFrame, limit: float) -> DataFrame:
+    """bucket, rank, and the samples of columns text (``ids``) and edited (``edited_ids``), null without words."""
+    # doc_id goes along so that all readers of the rows share one exchange
+    both = rows.select("bucket", "rank", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("edition"), F.col("text").alias("text")), F.struct(F.lit(1).alias("edition"), F.col("edited").alias("text")))).alias("e"))
+    marks = signatures(both.select("bucket", "rank", "doc_id", "e.edition", "e.text"), ["bucket", "rank", "doc_id", "edition"], limit)
+    return marks.groupBy("bucket", "rank").agg(F.max(F.when(F.col("edition") == 0, F.col("ids"))).alias("ids"), F.max(F.when(F.col("edition") == 1, F.col("ids"))).alias("edited_ids"))
+
+
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next, one row per input row.
 
@@ -140,13 +185,14 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.select("bucket", "rank", "doc_id", "text", n.cast("long").alias("n_chars"), F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next"), F.lit(1), half)).alias("edited"))
-    # doc_id goes along so that both readers of the rows share one exchange
-    both = rows.select("bucket", "rank", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("edition"), F.col("text").alias("text")), F.struct(F.lit(1).alias("edition"), F.col("edited").alias("text")))).alias("e"))
-    marks = signatures(both.select("bucket", "rank", "doc_id", "e.edition", "e.text"), ["bucket", "rank", "doc_id", "edition"])
-    marks = marks.groupBy("bucket", "rank").agg(F.max(F.when(F.col("edition") == 0, F.col("ids"))).alias("ids"), F.max(F.when(F.col("edition") == 1, F.col("ids"))).alias("edited_ids"))
     facts = rows.select("bucket", "rank", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     none = F.array().cast("array<bigint>")
-    signed = facts.join(marks, ["bucket", "rank"], "left").withColumns({"ids": F.coalesce("ids", none), "edited_ids": F.coalesce("edited_ids", none)})
-    out = with_next(written(signed, "fingerprints").withColumnRenamed("rank", "place"), "ids", ["place"])
+    signed = facts.join(_marks(rows, LIMIT), ["bucket", "rank"], "left").withColumns({"ids": F.coalesce("ids", none), "edited_ids": F.coalesce("edited_ids", none)})
+    signed = written(signed, "fingerprints")
+    lacking = signed.where(F.exists("ids", F.isnull) | F.exists("edited_ids", F.isnull)).select("bucket", "rank")
+    if not lacking.isEmpty():
+        again = _marks(rows.join(lacking, ["bucket", "rank"], "left_semi"), NO_LIMIT).withColumnsRenamed({"ids": "all_ids", "edited_ids": "all_edited_ids"})
+        signed = signed.join(again, ["bucket", "rank"], "left").withColumns({"ids": F.coalesce("all_ids", "ids"), "edited_ids": F.coalesce("all_edited_ids", "edited_ids")}).drop("all_ids", "all_edited_ids")
+    out = with_next(signed.withColumnRenamed("rank", "place"), "ids", ["place"])
     return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("ids")).alias("fingerprint"), fingerprint(F.col("edited_ids")).alias("edited_fingerprint"),
                       likeness(F.col("ids"), F.col("edited_ids")).alias("near_edited"), likeness(F.col("ids"), F.col("next")).alias("near_next"))
