@@ -121,6 +121,24 @@ def test_the_last_words_are_words_not_classes():
     assert len(set(last.tolist())) == 4
 
 
+def test_log_odds_that_paths_share_are_sent_once():
+    """Of a context with many classes less than half of the log-odds are sent, and all come back as they were."""
+    rng = np.random.default_rng(5)
+    coder = mixing.Coder(rng.integers(0, 50, mixing.CLASSES) + 0.3)
+    leaves = [np.sort(rng.choice(mixing.CLASSES, n, replace=False)) for n in (5000, 1, 300, 2, 1)]
+    keys = np.concatenate([(np.uint64(i + 3) << np.uint64(mixing.CLASS_BITS)) | x.astype(np.uint64) for i, x in enumerate(leaves)])
+    some, _, odds = mixing.answers(coder, keys, rng.integers(0, 3, len(keys)))
+    some = some.astype(np.int64)
+    shared = coder.shared(keys, some)
+    assert shared[np.cumsum([0, *map(len, leaves[:-1])])].sum() == 0
+    begin = np.cumsum(some) - some
+    sent = odds[mixing._places(begin + shared, some - shared)]
+    assert len(sent) < 0.5 * len(odds)
+    assert mixing.completed(sent, some, shared).tobytes() == odds.tobytes()
+    nothing = np.zeros(0, np.int64)
+    assert len(mixing.completed(odds[:0], nothing, coder.shared(keys[:0], nothing))) == 0
+
+
 def test_odd_tables(no_docs, clashing):
     assert mixing.lm_scores(no_docs, fold()).count() == 0
     rows = mixing.lm_scores(clashing, fold()).collect()

@@ -204,6 +204,10 @@ class Coder:
         self.high = (self.low + np.where(self.bits > 0, right[self.nodes], left[self.nodes])).astype(np.int32)
         self.leaf = self.low[self.first[1:] - 1]
         self.code = np.argsort(self.leaf)
+        #: the first 64 turns of the path to each leaf, from the highest bit on
+        step = np.arange(len(self.bits)) - np.repeat(self.first[:-1], self.length)
+        turns = np.where((self.bits > 0) & (step < 64), np.uint64(1) << (np.uint64(63) - np.minimum(step, 63).astype(np.uint64)), np.uint64(0))
+        self.turns = np.bitwise_or.reduceat(turns, self.first[:-1])[self.code]
         sums = np.concatenate(([0.0], np.cumsum(counts[self.code])))
         after = sums[self.high] - sums[self.low]
         whole = np.concatenate(([0.0], after[:-1]))
@@ -235,6 +239,21 @@ class Coder:
         low = np.uint64((1 << CLASS_BITS) - 1)
         return self.contexts(words, codes, first) & ~low | self.leaf[codes].astype(np.uint64)
 
+    def shared(self, keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """For sorted different pairs: on how many bits with evidence (at most ``some``) the path is that of the pair before, in its context."""
+        if not len(keys):
+            return np.zeros(0, np.int64)
+        turns = self.turns[(keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
+        context = keys >> np.uint64(CLASS_BITS)
+        apart = turns[1:] ^ turns[:-1]
+        same = np.zeros(len(apart), np.int64)
+        for width in (32, 16, 8, 4, 2, 1):
+            more = apart < np.uint64(1) << np.uint64(64 - width)
+            same[more] += width
+            apart[more] <<= np.uint64(width)
+        same[context[1:] != context[:-1]] = 0
+        return np.minimum(np.concatenate(([0], same)), some)
+
     def slots(self, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bits, the key of each bit's counts in every context (a row each; words are taken for their classes), where each token's bits end.
 
@@ -277,6 +296,32 @@ def _unplaned(blob: bytes, dtype: np.dtype | str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def _packed(blob: bytes) -> bytes:
+    return len(blob).to_bytes(8, "little") + pa.Codec("zstd").compress(blob, asbytes=True)
+
+
+def _unpacked(blob: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+
+
+def _places(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[i], begin[i] + 1 ... of sizes[i] places each, end to end."""
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def completed(sent: np.ndarray, some: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The log-odds of all pairs, ``some`` each, of those that are sent: all but the first ``shared`` of each, which the pair before has too."""
+    begin = np.cumsum(some, dtype=np.int64) - some
+    out = np.zeros(int(some.sum(dtype=np.int64)), sent.dtype)
+    out[_places(begin + shared, some - shared)] = sent
+    at = np.arange(len(some))
+    for step in range(int(shared.max(initial=0))):
+        copies = np.flatnonzero(shared > step)
+        source = np.maximum.accumulate(np.where(shared > step, 0, at))[copies]
+        out[begin[copies] + step] = out[begin[source] + step]
+    return out
+
+
 def _send_pairs(coder, bits: int):
     """Each block's different (context, class) pairs with their count in its training documents, by key range."""
     def send(table: pa.Table) -> pa.Table:
@@ -285,7 +330,7 @@ def _send_pairs(coder, bits: int):
         edges = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
         bounds = np.concatenate(([0], edges, [len(keys)]))
         block = table.column("block")[0].as_py() if table.num_rows else 0
-        return pa.Table.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array(np.full(1 << bits, block, np.int32)), pa.array(_planes(_steps(keys, bounds), bounds), pa.binary()), pa.array(_planes(counts, bounds), pa.binary())], ["bucket", "block", "pairs", "counts"])
+        return pa.Table.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array(np.full(1 << bits, block, np.int32)), pa.array([_packed(x) for x in _planes(_steps(keys, bounds), bounds)], pa.binary()), pa.array([_packed(x) for x in _planes(counts, bounds)], pa.binary())], ["bucket", "block", "pairs", "counts"])
 
     return send
 
@@ -349,10 +394,10 @@ def _answer(coder):
     """What the blocks' pairs of a range need, from the counts of all blocks."""
     def answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         batch = pa.concat_batches(rows)
-        steps = [_unplaned(x, "<u8") for x in batch.column("pairs").to_pylist()]
+        steps = [_unplaned(_unpacked(x), "<u8") for x in batch.column("pairs").to_pylist()]
         n = [len(x) for x in steps]
         pairs = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps])
-        counts = np.concatenate([_unplaned(x, "<u4") for x in batch.column("counts").to_pylist()])
+        counts = np.concatenate([_unplaned(_unpacked(x), "<u4") for x in batch.column("counts").to_pylist()])
         keys, at = np.unique(pairs, return_inverse=True)
         some, much, odds = answers(coder.value, keys, np.bincount(at, weights=counts, minlength=len(keys)))
         begin = np.cumsum(some, dtype=np.int64) - some
@@ -360,8 +405,11 @@ def _answer(coder):
         sent = []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             mine = at[a:b]
+            # what a pair shares with the one before is sent once
             sizes = some[mine].astype(np.int64)
-            sent.append(odds[np.repeat(begin[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())].tobytes())
+            shared = coder.value.shared(pairs[a:b], sizes)
+            values = odds[_places(begin[mine] + shared, sizes - shared)]
+            sent.append(_packed(_planes(values, np.array([0, len(values)]))[0]))
         return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), blobs(some[at], bounds).cast(pa.binary()), blobs(much[at], bounds).cast(pa.binary()), pa.array(sent, pa.binary())], ["block", "bucket", "some", "much", "odds"])
 
     return answer
@@ -432,11 +480,12 @@ def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray, gate: np.ndarray |
 def _score(model):
     def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
         coder, log_class, log_once, known, all_tokens = model.value
-        _, keys, at, words = _block_pairs(coder, docs)
+        _, pairs, at, words = _block_pairs(coder, docs)
         at = at.reshape(3, -1)
         replies = replies.sort_by("bucket")
         some, much = (unblobs(_column(replies, c), np.uint8)[0] for c in ("some", "much"))
-        table = np.append(unblobs(_column(replies, "odds"), "<f2")[0], np.float16(0))
+        sent = np.concatenate([np.zeros(0, "<f2"), *[_unplaned(_unpacked(x), "<f2") for x in _column(replies, "odds").to_pylist()]])
+        table = np.append(completed(sent, some.astype(np.int64), coder.shared(pairs, some.astype(np.int64))), np.float16(0))
         begin = np.cumsum(some, dtype=np.int64) - some
         codes = classes_of(words)
         out, done = [], 0
