@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trackloom.llm import collocations
@@ -106,3 +109,19 @@ def test_packed_rows_round_trip():
     merged, counts = collocations._merge(columns, np.ones(200, np.int64))
     want = Counter(zip(*[c.tolist() for c in columns], strict=True))
     assert dict(zip(zip(*[c.tolist() for c in merged], strict=True), counts.tolist(), strict=True)) == want
+
+
+def test_memory_of_a_pass_is_that_of_a_small_slice():
+    """A worker's arrays don't grow with the batches that it gets."""
+    text = " ".join(f"w{i % 5000}" for i in range(1000))
+    batch = pa.record_batch([pa.array(["en"] * 3000), pa.array([text] * 3000)], ["lang", "text"])
+    bits = SimpleNamespace(value=np.full(8192, 255, np.uint8))
+    for work in (collocations._word_counts, collocations._pair_sums(bits, 3), collocations._stripes(bits, bits, 3)):
+        for _ in work(iter([batch.slice(0, 10)])):
+            pass
+        tracemalloc.start()
+        for _ in work(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 120_000_000

@@ -41,8 +41,8 @@ from trackloom.llm.words import Words, blobs, mixed, slices, unblobs
 LONGEST = 4
 #: Bits of the two bitmaps at most; tokens for each range of hashes; entries that a task holds before it sends.
 WORD_BITS, PAIR_BITS, RANGE, HELD = 25, 26, 500_000, 1_000_000
-#: Parts of a stripe, as a power of two; bytes of text worked on at a time.
-PART_BITS, SLICE = 6, 4_000_000
+#: Parts of a stripe, as a power of two; bytes of text worked on at a time (a worker takes some 50 bytes for each).
+PART_BITS, SLICE = 6, 1_000_000
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[ord(c) for c in ".,;:!?"]] = True
