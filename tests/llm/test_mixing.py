@@ -139,6 +139,38 @@ def test_log_odds_that_paths_share_are_sent_once():
     assert len(mixing.completed(odds[:0], nothing, coder.shared(keys[:0], nothing))) == 0
 
 
+def test_blocks_ask_and_are_answered_in_few_bytes():
+    """Answers hold counts of turns not taken, less than half of what the log-odds took; all log-odds come back as they were."""
+    rng = np.random.default_rng(6)
+    coder = mixing.Coder(rng.integers(0, 50, mixing.CLASSES) + 0.3)
+    members = np.concatenate([[5000, 1, 300], rng.integers(1, 6, 8000)])
+    leaves = [np.sort(rng.choice(mixing.CLASSES, n, replace=False)) for n in members]
+    keys = np.concatenate([(np.uint64(i * 40_000 + 3) << np.uint64(mixing.CLASS_BITS)) | x.astype(np.uint64) for i, x in enumerate(leaves)])
+    counts = rng.zipf(1.5, len(keys)).clip(0, 100_000) - 1
+    some, much, odds = mixing.answers(coder, keys, counts)
+    whole = mixing.evidence(coder, keys, counts)
+    assert (whole[0] == some).all()
+    begin = np.cumsum(some, dtype=np.int64) - some
+    # a block that has some of the pairs, and some of their counts
+    has = np.flatnonzero(rng.random(len(keys)) < 0.7)
+    own = counts[has] // 3
+    pairs, asked = mixing.unpacked_pairs(coder, mixing.packed_pairs(coder, keys[has], own))
+    assert (pairs == keys[has]).all() and (asked == own).all()
+    cuts = np.array([0, 0, np.searchsorted(pairs, keys[5301]), len(pairs), len(pairs)])
+    messages, before = [], 0
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        mine = has[a:b]
+        evident = some[mine].astype(np.int64)
+        messages.append(mixing.packed_answer(coder, pairs[a:b], own[a:b], evident, whole[1][mine], whole[2], begin[mine]))
+        shared = coder.shared(pairs[a:b], evident)
+        values = odds[mixing._places(begin[mine] + shared, evident - shared)]
+        before += len(mixing._packed([some[mine].tobytes(), much[mine].tobytes(), mixing._plane(values)]))
+    got = mixing.unpacked_answers(coder, pairs, own, cuts, messages)
+    assert (got[0] == some[has]).all() and (got[1] == much[has]).all()
+    assert got[2][:-1].tobytes() == odds[mixing._places(begin[has], some[has].astype(np.int64))].tobytes() and got[2][-1] == 0
+    assert sum(map(len, messages)) < 0.5 * before
+
+
 def test_odd_tables(no_docs, clashing):
     assert mixing.lm_scores(no_docs, fold()).count() == 0
     rows = mixing.lm_scores(clashing, fold()).collect()

@@ -12,11 +12,14 @@ The weights, and a table that corrects the mixture, are adapted online after eve
 
 Corpus counts come from all training documents and have no fixed size. Every block of documents sends its different words,
 and later its different (context, class) pairs, to the task of their range. That task has all counts of its contexts and
-answers each block with what the block's own paths need. Only the tree, of fixed size, is sent to all tasks.
+answers each block with what the block's own paths need: how often training took the turns that a path does not take, most
+of which are 0. Ranges, and then blocks, take turns, so that not all messages are on disk at once. Only the tree, of fixed
+size, is sent to all tasks.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -40,7 +43,11 @@ LANE = 256
 #: Size of a step of the weights, and of the corrections.
 RATE, CORRECTION_RATE = 0.02, 0.02
 #: Tokens, and bits of paths, that are worked on at a time.
-TOKENS, PATH_BITS = 250_000, 500_000
+TOKENS, PATH_BITS = 100_000, 500_000
+#: Pairs whose answers are read at a time.
+PAIRS = 50_000
+#: Rounds in which ranges of pairs are asked about, and then blocks are scored: what moves in one is gone from disk before the next.
+ASK_ROUNDS, SCORE_ROUNDS = 2, 4
 #: Weight of a rare word that training has, against 1 for each further occurrence.
 ONCE = 0.5
 #: Counts from which on a context has some evidence, and much.
@@ -107,7 +114,7 @@ def _total(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     first = np.zeros(batch.num_rows, bool)
     first[0] = True
     zero = np.zeros(batch.num_rows, np.int64)
-    return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), blobs(total[at].astype("<i8"), np.concatenate(([0], np.cumsum(n)))).cast(pa.binary()), pa.array(np.where(first, known, zero)), pa.array(np.where(first, all_tokens, zero))], ["block", "bucket", "totals", "known", "all_tokens"])
+    return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), pa.array([_packed(_bytes(x)) for x in np.split(total[at], np.cumsum(n)[:-1])], pa.binary()), pa.array(np.where(first, known, zero)), pa.array(np.where(first, all_tokens, zero))], ["block", "bucket", "totals", "known", "all_tokens"])
 
 
 def _by_bucket(make):
@@ -132,11 +139,11 @@ def _by_bucket(make):
 
 
 def _coded(docs: pa.Table, replies: pa.Table) -> pa.Table:
-    """Documents as the words of their tokens, with what depends on the tokens' own counts."""
+    """A block's documents as the words of their tokens, with what depends on the tokens' own counts: one row."""
     docs = _sorted_block(docs)
     tokens, first = _block_tokens(_text(docs))
     replies = replies.sort_by("bucket").combine_chunks()
-    totals = unblobs(replies.column("totals").combine_chunks(), "<i8")[0] if replies.num_rows else np.zeros(0, np.int64)
+    totals = np.concatenate([np.zeros(0, np.int64), *[_numbers(*_unpacked(x)) for x in replies.column("totals").to_pylist()]])
     _, at = np.unique(tokens, return_inverse=True)
     count = totals[at]
     train = ~np.asarray(docs.column("held_out").combine_chunks().to_numpy(zero_copy_only=False), bool)
@@ -147,12 +154,28 @@ def _coded(docs: pa.Table, replies: pa.Table) -> pa.Table:
     sums = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
     words = np.where(rare, _RARE_WORD, np.minimum(tokens >> np.uint64(32), _RARE_WORD - np.uint64(1))).astype("<u4")
     held = (count > 0).astype(np.int64)
-    columns = [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(np.diff(first)), pa.array(sums(held).astype(np.int64)), pa.array(sums(np.log10(count + 1.0))), pa.array(sums(share)), pa.array(sums((rare & known).astype(np.int64))),
-               blobs(words, first).cast(pa.binary()), docs.column("bytes").combine_chunks(), docs.column("block").combine_chunks()]
-    return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_shares", "n_once", "words", "bytes", "block"])
+    columns = [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(np.diff(first)), pa.array(sums(held).astype(np.int64)), pa.array(sums(np.log10(count + 1.0))), pa.array(sums(share)), pa.array(sums((rare & known).astype(np.int64))), docs.column("bytes").combine_chunks()]
+    batch = pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_shares", "n_once", "bytes"]).combine_chunks().to_batches()[0]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    # a word is its rank in the block, most are small numbers then; of equally frequent ones the dictionary has small steps
+    distinct, at, n = np.unique(words, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(order), "<u4")
+    rank[order] = np.arange(len(order))
+    packed = _packed([_plane(np.diff(distinct[order], prepend=np.uint32(0)).astype("<u4")), _plane(rank[at])])
+    return pa.Table.from_arrays([docs.column("block").combine_chunks()[:1], pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary())], ["block", "docs", "words"])
 
 
-_CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, log_shares double, n_once long, words binary, bytes long, block int"
+_CODED = "block int, docs binary, words binary"
+
+
+def _opened(docs: bytes, words: bytes) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """A block's documents, their words end to end, and where each document's begin."""
+    batch = pa.ipc.open_stream(docs).read_next_batch()
+    steps, rank = (_unplaned(x, "<u4") for x in _unpacked(words))
+    return batch, np.cumsum(steps, dtype=np.uint32)[rank], np.concatenate(([0], np.cumsum(batch.column("n_tokens").to_numpy())))
 
 
 def classes_of(words: np.ndarray) -> np.ndarray:
@@ -204,6 +227,9 @@ class Coder:
         self.high = (self.low + np.where(self.bits > 0, right[self.nodes], left[self.nodes])).astype(np.int32)
         self.leaf = self.low[self.first[1:] - 1]
         self.code = np.argsort(self.leaf)
+        #: leaves by the length of their paths, and the place of each among them: common classes come first
+        self.by_length = np.argsort(self.length[self.code], kind="stable").astype("<u2")
+        self.rank = np.argsort(self.by_length).astype("<u2")
         #: the first 64 turns of the path to each leaf, from the highest bit on
         step = np.arange(len(self.bits)) - np.repeat(self.first[:-1], self.length)
         turns = np.where((self.bits > 0) & (step < 64), np.uint64(1) << (np.uint64(63) - np.minimum(step, 63).astype(np.uint64)), np.uint64(0))
@@ -279,29 +305,72 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(a, b - a)
 
 
-def _steps(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sorted keys as differences, in each stretch from 0: of high bytes, most are 0 then."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    heads = bounds[:-1][np.diff(bounds) > 0]
-    steps[heads] = keys[heads]
-    return steps
-
-
-def _planes(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """values[bounds[i]:bounds[i + 1]] byte place by byte place, which the shuffle compresses better."""
-    return [values[a:b].view(np.uint8).reshape(-1, values.itemsize).T.tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+def _plane(values: np.ndarray) -> bytes:
+    """Byte place by byte place, which compresses better."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
 
 
 def _unplaned(blob: bytes, dtype: np.dtype | str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
-def _packed(blob: bytes) -> bytes:
-    return len(blob).to_bytes(8, "little") + pa.Codec("zstd").compress(blob, asbytes=True)
+def _packed(parts: list[bytes]) -> bytes:
+    """Each part compressed on its own, after the sizes of all."""
+    codec = pa.Codec("zstd")
+    small = [codec.compress(x, asbytes=True) if x else x for x in parts]
+    return bytes([len(parts)]) + np.array([[len(x) for x in parts], [len(x) for x in small]], "<u4").tobytes() + b"".join(small)
+
+
+def _unpacked(blob: bytes) -> list[bytes]:
+    codec, n = pa.Codec("zstd"), blob[0]
+    sizes, small = np.frombuffer(blob, "<u4", 2 * n, 1).reshape(2, n).tolist()
+    begin, out = 1 + 8 * n, []
+    for size, length in zip(sizes, small, strict=True):
+        out.append(codec.decompress(blob[begin : begin + length], size, asbytes=True) if size else b"")
+        begin += length
+    return out
+
+
+def _bytes(values: np.ndarray) -> list[bytes]:
+    """Numbers that are small for the most part: a byte each, and those from 255 on."""
+    return [np.minimum(values, 255).astype(np.uint8).tobytes(), _plane(values[values >= 255].astype("<i8"))]
 
 
-def _unpacked(blob: bytes) -> bytes:
-    return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+def _numbers(low: bytes, high: bytes) -> np.ndarray:
+    values = np.frombuffer(low, np.uint8).astype(np.int64)
+    if high:
+        values[values == 255] = _unplaned(high, "<i8")
+    return values
+
+
+def _heads(keys: np.ndarray) -> np.ndarray:
+    """Whether each of the sorted pairs is the first of its context."""
+    context = keys >> np.uint64(CLASS_BITS)
+    return np.concatenate((np.ones(min(len(keys), 1), bool), context[1:] != context[:-1]))
+
+
+def packed_pairs(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted different pairs and their counts: the contexts as steps, for each how many pairs, the rank of its first leaf, steps to the others."""
+    heads = _heads(keys)
+    leaf = (keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)
+    context = keys[heads] >> np.uint64(CLASS_BITS)
+    members = np.diff(np.append(np.flatnonzero(heads), len(keys)))
+    steps = np.diff(leaf, prepend=0)[~heads].astype("<u2")
+    return _packed([_plane(np.diff(context, prepend=np.uint64(0))), *_bytes(members), _plane(coder.rank[leaf[heads]]), _plane(steps), *_bytes(counts)])
+
+
+def unpacked_pairs(coder: Coder, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, low, high, ranks, others, *counts = _unpacked(blob)
+    members = _numbers(low, high)
+    context = np.cumsum(_unplaned(steps, "<u8"), dtype=np.uint64)
+    first = np.cumsum(members) - members
+    leaf = np.zeros(int(members.sum()), np.int64)
+    heads = np.zeros(len(leaf), bool)
+    heads[first] = True
+    leaf[~heads] = _unplaned(others, "<u2")
+    leaf = np.cumsum(leaf)
+    leaf += np.repeat(coder.by_length[_unplaned(ranks, "<u2")] - leaf[first], members)
+    return np.repeat(context << np.uint64(CLASS_BITS), members) | leaf.astype(np.uint64), _numbers(*counts)
 
 
 def _places(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -322,49 +391,59 @@ def completed(sent: np.ndarray, some: np.ndarray, shared: np.ndarray) -> np.ndar
     return out
 
 
-def _send_pairs(coder, bits: int):
-    """Each block's different (context, class) pairs with their count in its training documents, by key range."""
-    def send(table: pa.Table) -> pa.Table:
-        train, keys, at, _ = _block_pairs(coder.value, table)
-        counts = np.bincount(at, weights=np.tile(train, 3), minlength=len(keys)).astype("<u4")
-        edges = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-        bounds = np.concatenate(([0], edges, [len(keys)]))
-        block = table.column("block")[0].as_py() if table.num_rows else 0
-        return pa.Table.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array(np.full(1 << bits, block, np.int32)), pa.array([_packed(x) for x in _planes(_steps(keys, bounds), bounds)], pa.binary()), pa.array([_packed(x) for x in _planes(counts, bounds)], pa.binary())], ["bucket", "block", "pairs", "counts"])
+def _send_pairs(coder, bits: int, turn: int):
+    """Each block's different (context, class) pairs with their count in its training documents, by key range: the ranges of one round."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "docs", "words")), strict=True):
+                docs, words, first = _opened(*row)
+                keys, _, counts = _block_pairs(coder.value, docs, words, first)
+                bounds = _range_bounds(keys, 1 << bits)
+                ranges = np.arange(turn, 1 << bits, ASK_ROUNDS, dtype=np.int32)
+                pairs = [packed_pairs(coder.value, keys[a:b], counts[a:b]) for a, b in zip(bounds[ranges].tolist(), bounds[ranges + 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ranges), pa.array(np.full(len(ranges), block, np.int32)), pa.array(pairs, pa.binary())], ["bucket", "block", "pairs"])
 
     return send
 
 
-def _column(table: pa.Table, name: str) -> pa.Array:
-    column = table.column(name).combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        return column.chunk(0) if column.num_chunks else pa.array([], column.type)
-    return column
+def _range_bounds(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where the sorted keys of each of n ranges begin, and the end; n is a power of two."""
+    edges = np.searchsorted(keys, np.arange(1, n, dtype=np.uint64) << np.uint64(65 - n.bit_length()))
+    return np.concatenate(([0], edges, [len(keys)])).astype(np.int64)
 
 
-def _block_pairs(coder: Coder, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Whether each token is one to learn from, the sorted different pairs, each token's pairs among them, and words."""
-    words, n = unblobs(_column(table, "words"), "<u4")
-    held_out = np.asarray(_column(table, "held_out").to_numpy(zero_copy_only=False), bool)
-    keys, at = np.unique(coder.pairs(words, classes_of(words), np.concatenate(([0], np.cumsum(n)))).ravel(), return_inverse=True)
-    return np.repeat(~held_out, n), keys, at, words
+def _block_pairs(coder: Coder, docs: pa.RecordBatch, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted different pairs, each token's pairs among them (a row per context), and the pairs' counts in training documents."""
+    held_out = np.asarray(docs.column("held_out").to_numpy(zero_copy_only=False), bool)
+    train = np.repeat(~held_out, np.diff(first))
+    # a context at a time, which takes less memory than all at once
+    keys, at, counts = [], [], []
+    for row in coder.pairs(words, classes_of(words), first):
+        some, places = np.unique(row, return_inverse=True)
+        keys.append(some)
+        at.append(places.astype(np.int32))
+        counts.append(np.bincount(places, weights=train, minlength=len(some)))
+    begin = np.cumsum([0, *map(len, keys)])
+    keys, to = np.unique(np.concatenate(keys), return_inverse=True)
+    counts = np.bincount(to, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
+    return keys, np.stack([to[a + places].astype(np.int32) for a, places in zip(begin[:-1].tolist(), at, strict=True)]), counts
 
 
-def answers(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For sorted different pairs: on how many bits of its path each has some evidence, and much; log-odds of the turns taken on the former.
+def evidence(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sorted different pairs: on how many bits of its path each has some evidence; its context's count; on these bits, the count of the turn that is not taken.
 
     keys have every pair of their contexts that training has. A node's count never exceeds that of the node above it, so
     evidence ends somewhere on the path.
     """
     n = len(keys)
-    context = keys >> np.uint64(CLASS_BITS)
-    heads = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if n else np.zeros(0, np.int64)
+    heads = np.flatnonzero(_heads(keys))
     members = np.diff(np.append(heads, n))
     sums = np.concatenate(([0], np.cumsum(counts.astype(np.int64))))
     whole = np.repeat(sums[heads + members] - sums[heads], members)
     alone = np.repeat(members, members) == 1
     codes = coder.code[(keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
-    some, much, odds = np.zeros(n, np.uint8), np.zeros(n, np.uint8), []
+    kind = np.dtype("<u4" if sums[-1] < 1 << 32 else "<u8")
+    some, beside = np.zeros(n, np.uint8), [np.zeros(0, kind)]
     part = (np.cumsum(coder.length[codes]) - 1) // PATH_BITS
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -382,35 +461,116 @@ def answers(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndar
         at = np.concatenate(([0], after[:-1]))
         begin = step == 0
         at[begin] = whole[a:b]
-        first = np.concatenate(([0], ends[:-1]))
-        some[a:b] = np.minimum(np.add.reduceat(at >= SOME, first, dtype=np.int64), 255)
-        much[a:b] = np.minimum(np.add.reduceat(at >= MUCH, first, dtype=np.int64), 255)
+        some[a:b] = np.minimum(np.add.reduceat(at >= SOME, np.concatenate(([0], ends[:-1])), dtype=np.int64), 255)
         keep = step < some[pair]
-        odds.append(np.log((after[keep] + 0.4) / (at[keep] - after[keep] + 0.4)).astype("<f2"))
-    return some, much, np.concatenate([np.zeros(0, "<f2"), *odds])
+        beside.append((at[keep] - after[keep]).astype(kind))
+    return some, whole, np.concatenate(beside)
+
+
+def _own(some: np.ndarray, shared: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """From which bit on a pair's counts are sent. Where it leaves the path of the pair before, its count is the other's turn not taken."""
+    return np.where(heads, 0, np.minimum(shared + 1, some))
+
+
+def read_odds(sent: np.ndarray, wholes: np.ndarray, some: np.ndarray, shared: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted different pairs: on how many bits each has much evidence; log-odds of the turns taken on the ``some`` bits with any.
+
+    sent: counts of the turns not taken, from the bit of ``_own`` on; wholes: counts of the contexts. heads: first pairs of
+    a context, which share nothing.
+    """
+    n = len(some)
+    skip = _own(some, shared, heads)
+    size = some - skip
+    begin = np.cumsum(size) - size
+    # the pair that a path leaves at its first bit of its own: the last one before that shares less
+    source = np.arange(n) - 1
+    source[heads] = np.flatnonzero(heads)
+    while len(late := np.flatnonzero(shared[source] > shared)):
+        source[late] = source[source[late]]
+    leaves = np.flatnonzero(~heads & (shared < some))
+    there = begin[source[leaves]] + shared[leaves] - skip[source[leaves]]
+    start = np.zeros(n, np.int64)
+    start[heads] = wholes
+    start[leaves] = sent[there]
+    sums = np.concatenate(([0], np.cumsum(sent)))
+    after = np.repeat(start + sums[begin], size) - sums[1:]
+    much_sums = np.concatenate(([0], np.cumsum(after + sent >= MUCH)))
+    count = much_sums[begin + size] - much_sums[begin]
+    count[leaves] += start[leaves] + after[there] >= MUCH
+    much = (shared + count)[np.maximum.accumulate(np.where(heads | (count > 0), np.arange(n), 0))]
+    odds = np.empty(int((some - shared).sum()), "<f2")
+    place = np.cumsum(some - shared) - (some - shared)
+    odds[place[leaves]] = np.log((start[leaves] + 0.4) / (after[there] + 0.4))
+    odds[_places(place + skip - shared, size)] = np.log((after + 0.4) / (sent + 0.4))
+    return much, completed(odds, some, shared)
+
+
+def answers(coder: Coder, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``read_odds`` gives for all pairs of some contexts: bits with some evidence, and with much; log-odds on the former."""
+    some, whole, beside = evidence(coder, keys, counts)
+    much, odds = read_odds(beside.astype(np.int64), whole, some.astype(np.int64), np.zeros(len(keys), np.int64), np.ones(len(keys), bool))
+    return some, much, odds
+
+
+def packed_answer(coder: Coder, keys: np.ndarray, own: np.ndarray, some: np.ndarray, whole: np.ndarray, beside: np.ndarray, begin: np.ndarray) -> bytes:
+    """What a block with these pairs and counts of its own lacks. beside has the ``some`` values of each pair from ``begin`` on.
+
+    Most turns not taken have no count: the others go as the steps to them, and their values.
+    """
+    heads = _heads(keys)
+    skip = _own(some, coder.shared(keys, some), heads)
+    sent = beside[_places(begin + skip, some - skip)]
+    seen = np.flatnonzero(sent)
+    first = np.flatnonzero(heads)
+    others = whole[first] - (np.add.reduceat(own, first) if len(first) else 0)
+    return _packed([*_bytes(_lengths(coder, keys) - some), *_bytes(others), *_bytes(np.diff(seen, prepend=-1)), *_bytes(sent[seen])])
+
+
+def _lengths(coder: Coder, keys: np.ndarray) -> np.ndarray:
+    return coder.length[coder.code[(keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]]
+
+
+def unpacked_answers(coder: Coder, keys: np.ndarray, own: np.ndarray, bounds: np.ndarray, messages: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits with some evidence, with much, and log-odds of a block's pairs, then 0; a message has the pairs from one of the bounds to the next."""
+    parts = [_unpacked(x) for x in messages]
+    some = (_lengths(coder, keys) - np.concatenate([_numbers(*x[:2]) for x in parts])).astype(np.uint8)
+    much, odds = np.zeros(len(keys), np.uint8), np.zeros(int(some.sum(dtype=np.int64)) + 1, "<f2")
+    done = 0
+    group = (bounds[1:] - 1) // PAIRS
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(messages)]
+    for since, to in zip(cuts[:-1], cuts[1:], strict=True):
+        mine = slice(bounds[since], bounds[to])
+        if mine.stop == mine.start:
+            continue
+        others, steps, values = ([_numbers(*x[k : k + 2]) for x in parts[since:to]] for k in (2, 4, 6))
+        heads, evident = _heads(keys[mine]), some[mine].astype(np.int64)
+        shared = coder.shared(keys[mine], evident)
+        ends = np.concatenate(([0], np.cumsum(evident - _own(evident, shared, heads))))[bounds[since : to + 1] - mine.start]
+        sent = np.zeros(ends[-1], np.int64)
+        for a, step, value in zip(ends[:-1].tolist(), steps, values, strict=True):
+            sent[a - 1 + np.cumsum(step)] = value
+        wholes = np.concatenate(others) + np.add.reduceat(own[mine], np.flatnonzero(heads))
+        much[mine], got = read_odds(sent, wholes, evident, shared, heads)
+        odds[done : done + len(got)] = got
+        done += len(got)
+    return some, much, odds
 
 
 def _answer(coder):
     """What the blocks' pairs of a range need, from the counts of all blocks."""
     def answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         batch = pa.concat_batches(rows)
-        steps = [_unplaned(_unpacked(x), "<u8") for x in batch.column("pairs").to_pylist()]
-        n = [len(x) for x in steps]
-        pairs = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps])
-        counts = np.concatenate([_unplaned(_unpacked(x), "<u4") for x in batch.column("counts").to_pylist()])
-        keys, at = np.unique(pairs, return_inverse=True)
-        some, much, odds = answers(coder.value, keys, np.bincount(at, weights=counts, minlength=len(keys)))
-        begin = np.cumsum(some, dtype=np.int64) - some
-        bounds = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
-        sent = []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            mine = at[a:b]
-            # what a pair shares with the one before is sent once
-            sizes = some[mine].astype(np.int64)
-            shared = coder.value.shared(pairs[a:b], sizes)
-            values = odds[_places(begin[mine] + shared, sizes - shared)]
-            sent.append(_packed(_planes(values, np.array([0, len(values)]))[0]))
-        return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), blobs(some[at], bounds).cast(pa.binary()), blobs(much[at], bounds).cast(pa.binary()), pa.array(sent, pa.binary())], ["block", "bucket", "some", "much", "odds"])
+        asked = [unpacked_pairs(coder.value, x) for x in batch.column("pairs").to_pylist()]
+        keys, at = np.unique(np.concatenate([k for k, _ in asked]), return_inverse=True)
+        some, whole, beside = evidence(coder.value, keys, np.bincount(at, weights=np.concatenate([c for _, c in asked]), minlength=len(keys)))
+        some = some.astype(np.int64)
+        begin = np.cumsum(some) - some
+        sent, done = [], 0
+        for pairs, own in asked:
+            mine = at[done : done + len(pairs)]
+            done += len(pairs)
+            sent.append(packed_answer(coder.value, pairs, own, some[mine], whole[mine], beside, begin[mine]))
+        return pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), pa.array(sent, pa.binary())], ["block", "bucket", "counts"])
 
     return answer
 
@@ -477,27 +637,26 @@ def mix(bits: np.ndarray, odds: np.ndarray, live: np.ndarray, gate: np.ndarray |
     return np.where(bits > 0, out, 1 - out)
 
 
-def _score(model):
+def _score(coder, model):
     def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        coder, log_class, log_once, known, all_tokens = model.value
-        _, pairs, at, words = _block_pairs(coder, docs)
-        at = at.reshape(3, -1)
+        log_class, log_once, known, all_tokens = model.value
+        batch, words, doc_first = _opened(docs.column("docs")[0].as_py(), docs.column("words")[0].as_py())
+        pairs, at, own = _block_pairs(coder.value, batch, words, doc_first)
         replies = replies.sort_by("bucket")
-        some, much = (unblobs(_column(replies, c), np.uint8)[0] for c in ("some", "much"))
-        sent = np.concatenate([np.zeros(0, "<f2"), *[_unplaned(_unpacked(x), "<f2") for x in _column(replies, "odds").to_pylist()]])
-        table = np.append(completed(sent, some.astype(np.int64), coder.shared(pairs, some.astype(np.int64))), np.float16(0))
+        some, much, table = unpacked_answers(coder.value, pairs, own, _range_bounds(pairs, replies.num_rows), replies.column("counts").to_pylist())
+        del pairs, own
         begin = np.cumsum(some, dtype=np.int64) - some
         codes = classes_of(words)
         out, done = [], 0
-        for batch in _chunks(iter(docs.combine_chunks().to_batches())):
+        for batch in _chunks(iter([batch])):
             n = batch.column("n_tokens").to_numpy()
             first = np.concatenate(([0], np.cumsum(n)))
             mine = slice(done, done + int(first[-1]))
             done = mine.stop
             part = codes[mine]
-            sizes = coder.length[part]
-            where, step, ends = coder.paths(part)
-            bits = coder.bits[where]
+            sizes = coder.value.length[part]
+            where, step, ends = coder.value.paths(part)
+            bits = coder.value.bits[where]
             # a lane is at most LANE tokens of one document
             within = np.arange(len(part)) - np.repeat(first[:-1], n)
             heads = np.flatnonzero(within % LANE == 0)
@@ -507,7 +666,7 @@ def _score(model):
             order, live = side_by_side(lane_first, lane_size)
             sign = np.where(bits > 0, np.float32(1), np.float32(-1))
             x, gate = np.empty((4, len(bits)), np.float32), np.zeros(len(bits), np.int8)
-            x[0] = (coder.alone[where] * sign)[order]
+            x[0] = (coder.value.alone[where] * sign)[order]
             for i in range(3):
                 pair = at[i, mine]
                 has = step < np.repeat(some[pair], sizes)
@@ -553,27 +712,35 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     known, all_tokens = known_counts.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("all_tokens"), F.lit(0))).first()
     coded = written(rows.groupBy("block").cogroup(known_counts.select("block", "bucket", "totals").groupBy("block")).applyInArrow(_coded, _CODED), "coded")
 
-    train = coded.where("not held_out").select("words")
     counts = np.zeros(CLASSES)
-    for row in train.mapInArrow(_class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in coded.mapInArrow(_class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["class"]] = row["n"]
     coder = spark.sparkContext.broadcast(Coder(counts + 0.3))
-    # all columns go along so that both readers of the documents share one exchange
-    pairs = coded.groupBy("block").applyInArrow(_send_pairs(coder, bits + 3), "bucket int, block int, pairs binary, counts binary")
-    odds = pairs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(_answer(coder)), "block int, bucket int, some binary, much binary, odds binary")
+    odds = []
+    for turn in range(ASK_ROUNDS):
+        pairs = coded.mapInArrow(_send_pairs(coder, bits + 3, turn), "bucket int, block int, pairs binary")
+        odds.append(written(pairs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(_answer(coder)), "block int, bucket int, counts binary"), "answers"))
+    odds = functools.reduce(DataFrame.union, odds)
     # in the rare class, a word of training shares the class's mass with its like; the rest is for words that it lacks
     n_once = float(counts[RARE])
     log_class = np.log10(np.maximum(counts, 1.0))
     log_class[RARE] = 0.0
     once = (np.log10(ONCE / max(n_once, 1.0)), np.log10(1 - ONCE) if n_once else 0.0)
-    model = spark.sparkContext.broadcast((coder.value, log_class, once, known, all_tokens))
-    return coded.groupBy("block").cogroup(odds.groupBy("block")).applyInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    model = spark.sparkContext.broadcast((log_class, once, known, all_tokens))
+    scores = []
+    for turn in range(SCORE_ROUNDS):
+        docs, counts = (x.where(F.col("block") % SCORE_ROUNDS == turn).groupBy("block") for x in (coded, odds))
+        scores.append(written(docs.cogroup(counts).applyInArrow(_score(coder, model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"), "scores"))
+    return functools.reduce(DataFrame.union, scores)
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CLASSES, np.int64)
     for batch in batches:
-        total += np.bincount(classes_of(unblobs(batch.column("words"), "<u4")[0]), minlength=CLASSES)
+        for row in zip(batch.column("docs").to_pylist(), batch.column("words").to_pylist(), strict=True):
+            docs, words, first = _opened(*row)
+            train = ~np.asarray(docs.column("held_out").to_numpy(zero_copy_only=False), bool)
+            total += np.bincount(classes_of(words[np.repeat(train, np.diff(first))]), minlength=CLASSES)
     some = np.flatnonzero(total)
     if len(some):
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["class", "n"])
